@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 import oracle_queries as O
 from strata.functions.keys import surrogate_key
 from strata.operators.rules import business_rules, tag_rules
+from strata.plans import catalog as K
 from strata.plans import zones as Z
 from strata.plans.pipeline import TPCH_TIERS, Batch, build
 from strata.sources.tpch import raw_entity
@@ -163,6 +164,55 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
 }
 
 
+def _k(fn, round_cols=()):
+    return lambda spark, sf: _out(fn(spark, sf), tuple(round_cols))
+
+
+# load patterns, history, checks, run log, clones (strata.plans.catalog)
+_QUERIES.update(
+    {
+        "incremental_append": (_k(K.incremental_append), O.incremental_append()),
+        "incremental_append_empty_target": (_k(K.incremental_append_empty_target), O.incremental_append_empty_target()),
+        "merge_upsert": (_k(K.merge_upsert), O.merge_upsert()),
+        "delete_insert_window": (_k(K.delete_insert_window), O.delete_insert_window()),
+        "late_lookback": (_k(K.late_lookback), O.late_lookback()),
+        "microbatch_days": (_k(K.microbatch_days), O.microbatch_days()),
+        "schema_change_append_cols": (_k(K.schema_change_append_cols), O.schema_change_append_cols()),
+        "schema_change_sync": (_k(K.schema_change_sync), O.schema_change_sync()),
+        "snapshot_diff": (_k(K.snapshot_diff), O.snapshot_diff()),
+        "scd2_timestamp": (_k(K.scd2_timestamp), O.scd2_timestamp()),
+        "scd2_hard_delete": (_k(K.scd2_hard_delete), O.scd2_hard_delete()),
+        "scd2_as_of": (_k(K.scd2_as_of), O.scd2_as_of()),
+        "scd2_check": (_k(K.scd2_check), O.scd2_check()),
+        "check_not_null": (_k(K.check_not_null), O.check_not_null()),
+        "check_not_null_where": (_k(K.check_not_null_where), O.check_not_null_where()),
+        "check_unique": (_k(K.check_unique), O.check_unique()),
+        "check_accepted_values": (_k(K.check_accepted_values), O.check_accepted_values()),
+        "check_relationships": (_k(K.check_relationships), O.check_relationships()),
+        "check_between": (_k(K.check_between), O.check_between()),
+        "check_regex": (_k(K.check_regex), O.check_regex()),
+        "check_grain": (_k(K.check_grain), O.check_grain()),
+        "check_row_count_between": (_k(K.check_row_count_between), O.check_row_count_between()),
+        "row_count_diff": (_k(K.row_count_diff), O.row_count_diff()),
+        "source_freshness": (_k(K.source_freshness), O.source_freshness()),
+        "contract_fct_orders": (_k(K.contract_fct_orders), O.fct_orders()),
+        "quality_summary": (_k(K.quality_summary), O.quality_summary()),
+        "runlog_parse": (_k(K.runlog_parse), O.query_log_parsed()),
+        "runlog_sequence": (_k(K.runlog_sequence), O.runlog_sequence()),
+        "runlog_sequence_bucketed": (_k(K.runlog_sequence_bucketed), O.query_log_parsed()),
+        "runlog_slowest": (_k(K.runlog_slowest), O.runlog_slowest()),
+        "runlog_failures": (_k(K.runlog_failures), O.runlog_failures()),
+        "runlog_row_trend": (_k(K.runlog_row_trend), O.runlog_row_trend()),
+        "runlog_summary": (_k(K.runlog_summary), O.runlog_summary()),
+        "runlog_trend_monitor": (_k(K.runlog_trend_monitor), O.runlog_trend_monitor()),
+        "mask_pii": (_k(K.mask_pii), O.mask_pii()),
+        "slim_clone": (_k(K.slim_clone), O.rounded(O.silver("orders"), [], doubles=["total_amount"])),
+        # seeded Bernoulli sample: no SQL equivalent with the same draw → rows-only check
+        "sampled_clone": (_k(K.sampled_clone), None),
+    }
+)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: daily revenue through all five zones on /root/testdata/sf0.001."""
     return queries()["agg_daily_revenue"](spark, SMOKE_DIR)

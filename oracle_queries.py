@@ -167,17 +167,20 @@ def technical_reason(entity: str) -> str:
     return f"CASE {whens} END"
 
 
-def transient(entity: str) -> str:
+def transient(entity: str, batch_id: str = BATCH_ID, batch_ts: str = BATCH_TS, where: str = "TRUE") -> str:
     cond = " AND ".join(f"{c} IS NOT NULL" for c in TECH[entity])
-    return f"SELECT *, ({cond}) AS _is_valid, {ts()} AS _loaded_at, '{BATCH_ID}' AS _batch_id FROM ({RAW[entity]}) AS raw"
+    return (
+        f"SELECT *, ({cond}) AS _is_valid, {ts(batch_ts)} AS _loaded_at, '{batch_id}' AS _batch_id "
+        f"FROM ({RAW[entity]}) AS raw WHERE {where}"
+    )
 
 
-def bronze(entity: str) -> str:
+def bronze(entity: str, batch_id: str = BATCH_ID, batch_ts: str = BATCH_TS, where: str = "TRUE") -> str:
     s, d, t = TAGS[entity]
     return (
         f"SELECT * EXCLUDE (_is_valid), '{s}' AS _source_system, '{d}' AS _domain, '{t}' AS _sensitivity_tag, "
-        f"{ts()} AS _bronze_inserted_at, {skey(KEY[entity], '_batch_id')} AS _bronze_sk "
-        f"FROM ({transient(entity)}) AS trn WHERE _is_valid"
+        f"{ts(batch_ts)} AS _bronze_inserted_at, {skey(KEY[entity], '_batch_id')} AS _bronze_sk "
+        f"FROM ({transient(entity, batch_id, batch_ts, where)}) AS trn WHERE _is_valid"
     )
 
 
@@ -282,3 +285,380 @@ SELECT product_id, product_name, category, subcategory, brand, price, cost, prof
        CASE WHEN total_revenue > 0 THEN (total_revenue - (cost * total_quantity_sold)) / total_revenue
             ELSE 0.0 END AS gross_margin_pct
 FROM ({dim_products()}) AS d"""
+
+
+# --------------------------------------------------------------------------- loads
+LOAD1_TS = "2024-01-01 00:00:00"
+LOAD2_TS = "2024-02-01 06:00:00"
+SNAP1_TS = "2024-01-02 00:00:00"
+SNAP2_TS = "2024-02-02 00:00:00"
+LOG_NOW = "2024-01-31 00:00:00"
+FRESHNESS_NOW = "2024-01-31 06:00:00"
+
+
+def _dbl(sql: str, cols) -> str:
+    return rounded(sql, [], doubles=list(cols))
+
+
+def incremental_append() -> str:
+    first = bronze("orders", "load-2024-01-01", LOAD1_TS, "order_date < DATE '1998-01-01'")
+    second = bronze("orders", "load-2024-02-01", LOAD2_TS)
+    return _dbl(
+        f"SELECT * FROM ({first}) AS a UNION ALL SELECT * FROM ({second}) AS b "
+        f"WHERE _loaded_at > (SELECT coalesce(max(_loaded_at), TIMESTAMP '1900-01-01') FROM ({first}) AS f)",
+        ["total_amount"],
+    )
+
+
+def incremental_append_empty_target() -> str:
+    return _dbl(bronze("orders", "load-2024-02-01", LOAD2_TS), ["total_amount"])
+
+
+def _orders_v(version: int, where: str = "TRUE") -> str:
+    return (
+        f"SELECT order_id, customer_id, order_date, status, CAST(total_amount AS DOUBLE) AS total_amount, "
+        f"{version} AS version FROM ({RAW_ORDERS}) AS o WHERE {where}"
+    )
+
+
+def merge_upsert() -> str:
+    tgt = _orders_v(1, "order_date < DATE '1998-01-01'")
+    src = _orders_v(2, "order_date >= DATE '1997-01-01'")
+    return (
+        f"WITH tgt AS ({tgt}), src AS ({src}) "
+        "SELECT * FROM tgt WHERE NOT EXISTS (SELECT 1 FROM src WHERE src.order_id IS NOT DISTINCT FROM tgt.order_id) "
+        "UNION ALL SELECT * FROM src"
+    )
+
+
+def delete_insert_window() -> str:
+    tgt = _orders_v(1)
+    src = _orders_v(2, "order_date BETWEEN DATE '1995-07-01' AND DATE '1997-06-30'")
+    inside = "order_date >= DATE '1996-01-01' AND order_date < DATE '1997-01-01'"
+    return (
+        f"SELECT * FROM ({tgt}) AS t WHERE NOT ({inside}) OR order_date IS NULL "
+        f"UNION ALL SELECT * FROM ({src}) AS s WHERE {inside}"
+    )
+
+
+def late_lookback() -> str:
+    cols = "event_id, ts, user_id, event_type, value"
+    return (
+        f"WITH tgt AS (SELECT {cols}, 1 AS version FROM events WHERE ts < TIMESTAMP '2024-01-20'), "
+        f"late AS (SELECT {cols}, 2 AS version FROM events WHERE ts > (SELECT max(ts) FROM tgt) - INTERVAL 3 DAY) "
+        "SELECT * FROM tgt WHERE event_id NOT IN (SELECT event_id FROM late) UNION ALL SELECT * FROM late"
+    )
+
+
+def microbatch_days() -> str:
+    return (
+        "SELECT date_trunc('day', ts) AS _batch_start, event_type, count(*) AS events, "
+        "round(sum(value), 4) AS value_sum FROM events GROUP BY ALL"
+    )
+
+
+def schema_change_append_cols() -> str:
+    return (
+        f"WITH o AS ({RAW_ORDERS}) "
+        "SELECT order_id, customer_id, order_date, status, CAST(NULL AS VARCHAR) AS payment_method, "
+        "CAST(NULL AS INTEGER) AS priority_rank FROM o WHERE order_date < DATE '1998-01-01' "
+        "UNION ALL SELECT order_id, customer_id, order_date, status, payment_method, "
+        "CAST(substr(payment_method, 1, 1) AS INTEGER) AS priority_rank FROM o WHERE order_date >= DATE '1998-01-01'"
+    )
+
+
+def schema_change_sync() -> str:
+    return (
+        f"WITH o AS ({RAW_ORDERS}) "
+        "SELECT order_id, customer_id, order_date, CAST(NULL AS VARCHAR) AS payment_method FROM o "
+        "WHERE order_date < DATE '1998-01-01' "
+        "UNION ALL SELECT order_id, customer_id, order_date, payment_method FROM o WHERE order_date >= DATE '1998-01-01'"
+    )
+
+
+# --------------------------------------------------------------------------- history
+V1 = (
+    "SELECT c_custkey AS customer_id, c_name AS name, c_nationkey AS nation_key, c_mktsegment AS segment, "
+    "TIMESTAMP '2024-01-01 00:00:00' AS updated_at FROM customer WHERE c_acctbal >= -900"
+)
+V2 = (
+    "SELECT c_custkey AS customer_id, c_name AS name, c_nationkey AS nation_key, "
+    "CASE WHEN c_acctbal > 5000 THEN lower(c_mktsegment) ELSE c_mktsegment END AS segment, "
+    "CASE WHEN c_acctbal > 5000 THEN TIMESTAMP '2024-02-01 00:00:00' ELSE TIMESTAMP '2024-01-01 00:00:00' END AS updated_at "
+    "FROM customer WHERE NOT (c_acctbal >= 9000 AND c_acctbal < 9250)"
+)
+
+
+def snapshot_diff() -> str:
+    cols = ["name", "nation_key", "segment", "updated_at"]
+    differs = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in cols)
+    pick = ", ".join(f"CASE WHEN n.customer_id IS NULL THEN o.{c} ELSE n.{c} END AS {c}" for c in cols)
+    return (
+        f"WITH v1 AS ({V1}), v2 AS ({V2}) SELECT coalesce(n.customer_id, o.customer_id) AS customer_id, "
+        f"CASE WHEN o.customer_id IS NULL THEN 'insert' WHEN n.customer_id IS NULL THEN 'delete' "
+        f"WHEN {differs} THEN 'update' ELSE 'same' END AS _change, {pick} "
+        "FROM v1 AS o FULL OUTER JOIN v2 AS n ON o.customer_id = n.customer_id"
+    )
+
+
+def _hist_row(alias: str, valid_from: str, valid_to: str) -> str:
+    return (
+        f"{alias}.customer_id, {alias}.name, {alias}.nation_key, {alias}.segment, {alias}.updated_at, "
+        f"CAST({valid_from} AS TIMESTAMP) AS valid_from, CAST({valid_to} AS TIMESTAMP) AS valid_to"
+    )
+
+
+def scd2_timestamp() -> str:
+    body = (
+        f"SELECT {_hist_row('o', 'o.updated_at', ts(SNAP2_TS))} FROM v1 o WHERE o.customer_id NOT IN (SELECT customer_id FROM v2) "
+        f"UNION ALL SELECT {_hist_row('o', 'o.updated_at', 'n.updated_at')} FROM v1 o JOIN v2 n USING (customer_id) WHERE n.updated_at > o.updated_at "
+        f"UNION ALL SELECT {_hist_row('n', 'n.updated_at', 'NULL')} FROM v1 o JOIN v2 n USING (customer_id) WHERE n.updated_at > o.updated_at "
+        f"UNION ALL SELECT {_hist_row('o', 'o.updated_at', 'NULL')} FROM v1 o JOIN v2 n USING (customer_id) WHERE NOT (n.updated_at > o.updated_at) "
+        f"UNION ALL SELECT {_hist_row('n', 'n.updated_at', 'NULL')} FROM v2 n WHERE n.customer_id NOT IN (SELECT customer_id FROM v1)"
+    )
+    return f"WITH v1 AS ({V1}), v2 AS ({V2}) SELECT *, {skey('customer_id', 'valid_from')} AS scd_id FROM ({body}) AS h"
+
+
+def scd2_hard_delete() -> str:
+    return f"SELECT * FROM ({scd2_timestamp()}) AS h WHERE valid_to = {ts(SNAP2_TS)}"
+
+
+def scd2_as_of() -> str:
+    t = ts("2024-02-01 12:00:00")
+    return f"SELECT * FROM ({scd2_timestamp()}) AS h WHERE valid_from <= {t} AND (valid_to IS NULL OR {t} < valid_to)"
+
+
+def scd2_check() -> str:
+    def row(a, vf, vt):
+        return (f"{a}.customer_id, {a}.name, {a}.nation_key, {a}.segment, CAST({vf} AS TIMESTAMP) AS valid_from, "
+                f"CAST({vt} AS TIMESTAMP) AS valid_to")
+    chg = "(o.segment IS DISTINCT FROM n.segment OR o.name IS DISTINCT FROM n.name)"
+    s1, s2 = ts(SNAP1_TS), ts(SNAP2_TS)
+    body = (
+        f"SELECT {row('o', s1, s2)} FROM v1 o WHERE o.customer_id NOT IN (SELECT customer_id FROM v2) "
+        f"UNION ALL SELECT {row('o', s1, s2)} FROM v1 o JOIN v2 n USING (customer_id) WHERE {chg} "
+        f"UNION ALL SELECT {row('n', s2, 'NULL')} FROM v1 o JOIN v2 n USING (customer_id) WHERE {chg} "
+        f"UNION ALL SELECT {row('o', s1, 'NULL')} FROM v1 o JOIN v2 n USING (customer_id) WHERE NOT {chg} "
+        f"UNION ALL SELECT {row('n', s2, 'NULL')} FROM v2 n WHERE n.customer_id NOT IN (SELECT customer_id FROM v1)"
+    )
+    return f"WITH v1 AS ({V1}), v2 AS ({V2}) SELECT *, {skey('customer_id', 'valid_from')} AS scd_id FROM ({body}) AS h"
+
+
+# --------------------------------------------------------------------------- checks
+def _summary(table: str, column: str | None, check: str, severity: str, rows: str, failures: str, frm: str) -> str:
+    col = "CAST(NULL AS VARCHAR)" if column is None else f"'{column}'"
+    return (
+        f"SELECT '{table}' AS table_name, {col} AS column_name, '{check}' AS check_name, '{severity}' AS severity, "
+        f"CAST({rows} AS BIGINT) AS row_count, CAST({failures} AS BIGINT) AS failures, "
+        f"CASE WHEN {failures} = 0 THEN 'pass' ELSE '{severity}' END AS status FROM {frm}"
+    )
+
+
+def check_not_null() -> str:
+    return _summary("customers", "email", "not_null", "error", "count(*)", "count(*) FILTER (WHERE email IS NULL)", f"({RAW_CUSTOMERS}) AS t")
+
+
+def check_not_null_where() -> str:
+    trn = transient("customers", "run", LOAD2_TS)
+    return _summary("trn_customers", "email", "not_null_where", "error", "count(*)",
+                    "count(*) FILTER (WHERE _is_valid = true AND email IS NULL)", f"({trn}) AS t")
+
+
+def check_unique() -> str:
+    dup = f"(SELECT count(*) FROM (SELECT order_item_id FROM ({RAW_ORDER_ITEMS}) AS i WHERE order_item_id IS NOT NULL GROUP BY order_item_id HAVING count(*) > 1) AS d)"
+    return _summary("order_items", "order_item_id", "unique", "error", f"(SELECT count(*) FROM ({RAW_ORDER_ITEMS}) AS i2)", dup, "(SELECT 1) AS one")
+
+
+STATUS_LIST = "('COMPLETED', 'SHIPPED', 'PROCESSING', 'CANCELLED', 'PENDING')"
+
+
+def check_accepted_values() -> str:
+    return _summary("orders", "status", "accepted_values", "error", "count(*)",
+                    f"count(*) FILTER (WHERE status IS NOT NULL AND status NOT IN {STATUS_LIST})",
+                    f"(SELECT upper(trim(status)) AS status FROM ({RAW_ORDERS}) AS o) AS t")
+
+
+def check_relationships() -> str:
+    f, p = fct_orders(), silver("products")
+    orph = f"(SELECT count(*) FROM ({f}) AS f WHERE product_id IS NOT NULL AND product_id NOT IN (SELECT product_id FROM ({p}) AS p WHERE product_id IS NOT NULL))"
+    return _summary("fct_orders", "product_id", "relationships", "error", f"(SELECT count(*) FROM ({f}) AS f2)", orph, "(SELECT 1) AS one")
+
+
+def check_between() -> str:
+    frm = f"({RAW_PRODUCTS}) AS t"
+    a = _summary("products", "cost", "between", "error", "count(*)", "count(*) FILTER (WHERE cost IS NOT NULL AND cost < 0)", frm)
+    b = _summary("products", "price", "between", "error", "count(*)",
+                 "count(*) FILTER (WHERE price IS NOT NULL AND (price <= 0 OR price >= 2000))", frm)
+    return f"{a} UNION ALL {b}"
+
+
+def check_regex() -> str:
+    return _summary("customers", "email", "match_regex", "warn", "count(*)",
+                    "count(*) FILTER (WHERE email IS NOT NULL AND NOT regexp_matches(email, '^[a-z0-9._]+@[a-z0-9]+\\.[a-z]+$'))",
+                    f"(SELECT lower(trim(email)) AS email FROM ({RAW_CUSTOMERS}) AS c) AS t")
+
+
+def check_grain() -> str:
+    return f"SELECT order_item_id, count(*) AS row_count FROM ({RAW_ORDER_ITEMS}) AS i GROUP BY order_item_id HAVING count(*) > 1"
+
+
+def check_row_count_between() -> str:
+    return _summary("fct_orders", None, "row_count_between", "error", "count(*)",
+                    "CASE WHEN count(*) < 1 OR count(*) > 1000000000 THEN 1 ELSE 0 END", f"({fct_orders()}) AS f")
+
+
+def row_count_diff() -> str:
+    return (
+        f"SELECT s, t, s - t AS row_diff, CASE WHEN s = t THEN 'match' ELSE 'mismatch' END AS status FROM "
+        f"(SELECT (SELECT count(*) FROM ({RAW_ORDERS}) AS a) AS s, (SELECT count(*) FROM ({silver('orders')}) AS b) AS t) AS x"
+    ).replace("SELECT s, t,", "SELECT s AS source_rows, t AS target_rows,")
+
+
+def source_freshness() -> str:
+    return (
+        f"SELECT 'events' AS table_name, m AS max_loaded_at, round(age, 4) AS age_hours, "
+        f"CASE WHEN m IS NULL THEN 'error' WHEN age > 24 THEN 'error' WHEN age > 12 THEN 'warn' ELSE 'pass' END AS status "
+        f"FROM (SELECT m, (epoch_us({ts(FRESHNESS_NOW)}) - epoch_us(m)) / 3600000000.0 AS age FROM (SELECT max(ts) AS m FROM events) AS a) AS b"
+    )
+
+
+CUST_LABELS = "('VIP', 'Premium', 'Regular', 'New')"
+PROD_LABELS = "('High Performance', 'Medium Performance', 'Low Performance', 'No Sales')"
+
+
+def quality_summary() -> str:
+    dc, dp, f = "dc", "dp", "f"
+    n = lambda c: f"count(*) FILTER (WHERE {c} IS NULL)"
+    dup = lambda t, c: f"(SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1) AS d)"
+    cnt = lambda t: f"(SELECT count(*) FROM {t})"
+    orph = lambda c, t: f"(SELECT count(*) FROM f WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {c} FROM {t} WHERE {c} IS NOT NULL))"
+    parts = [
+        _summary("dim_customers", "customer_id", "not_null", "error", "count(*)", n("customer_id"), dc),
+        _summary("dim_customers", "customer_id", "unique", "error", cnt(dc), dup(dc, "customer_id"), "(SELECT 1) AS one"),
+        _summary("dim_customers", "email", "not_null", "error", "count(*)", n("email"), dc),
+        _summary("dim_customers", "email", "match_regex", "warn", "count(*)",
+                 "count(*) FILTER (WHERE email IS NOT NULL AND NOT regexp_matches(email, '^[^@]+@[^@]+\\.[^@]+$'))", dc),
+        _summary("dim_customers", "total_orders", "between", "error", "count(*)", "count(*) FILTER (WHERE total_orders < 0)", dc),
+        _summary("dim_customers", "total_spent", "between", "error", "count(*)", "count(*) FILTER (WHERE total_spent < 0)", dc),
+        _summary("dim_customers", "customer_tier", "accepted_values", "error", "count(*)",
+                 f"count(*) FILTER (WHERE customer_tier IS NOT NULL AND customer_tier NOT IN {CUST_LABELS})", dc),
+        _summary("dim_products", "product_id", "not_null", "error", "count(*)", n("product_id"), dp),
+        _summary("dim_products", "product_id", "unique", "error", cnt(dp), dup(dp, "product_id"), "(SELECT 1) AS one"),
+        _summary("dim_products", "price", "between", "error", "count(*)", "count(*) FILTER (WHERE price <= 0)", dp),
+        _summary("dim_products", "total_revenue", "between", "error", "count(*)", "count(*) FILTER (WHERE total_revenue < 0)", dp),
+        _summary("dim_products", "performance_category", "accepted_values", "error", "count(*)",
+                 f"count(*) FILTER (WHERE performance_category IS NOT NULL AND performance_category NOT IN {PROD_LABELS})", dp),
+        _summary("fct_orders", "order_item_id", "not_null", "error", "count(*)", n("order_item_id"), f),
+        _summary("fct_orders", "order_item_id", "unique", "error", cnt(f), dup(f, "order_item_id"), "(SELECT 1) AS one"),
+        _summary("fct_orders", "order_id", "not_null", "error", "count(*)", n("order_id"), f),
+        _summary("fct_orders", "customer_id", "relationships", "warn", cnt(f), orph("customer_id", dc), "(SELECT 1) AS one"),
+        _summary("fct_orders", "product_id", "relationships", "warn", cnt(f), orph("product_id", dp), "(SELECT 1) AS one"),
+        _summary("fct_orders", "quantity", "between", "error", "count(*)", "count(*) FILTER (WHERE quantity <= 0)", f),
+        _summary("fct_orders", "unit_price", "between", "error", "count(*)", "count(*) FILTER (WHERE unit_price <= 0)", f),
+    ]
+    return f"WITH dc AS ({dim_customers()}), dp AS ({dim_products()}), f AS ({fct_orders()}) " + " UNION ALL ".join(parts)
+
+
+# --------------------------------------------------------------------------- run log
+EVENT_MODEL = {"click": "dim_customers", "view": "fct_orders", "purchase": "agg_daily_revenue", "error": "dim_products"}
+EVENT_QTYPE = {"click": "INSERT", "view": "CREATE_TABLE_AS_SELECT", "purchase": "MERGE", "error": "INSERT"}
+
+
+def _case(col: str, mapping: dict) -> str:
+    return "CASE " + " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
+
+
+def query_log_parsed() -> str:
+    ok = "value >= 1"
+    base = (
+        "SELECT *, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"
+    )
+    sel = f"""
+SELECT CASE WHEN {ok} THEN 'inv-' || CAST(user_id AS VARCHAR) || '-' || day END AS invocation_id,
+       CASE WHEN {ok} THEN 'daily_build' END AS job,
+       CASE WHEN {ok} THEN (CASE WHEN user_id % 3 = 0 THEN 'dev' ELSE 'prod' END) END AS env,
+       CASE WHEN {ok} THEN {_case('event_type', EVENT_MODEL)} END AS model,
+       CASE WHEN {ok} THEN 'gold' END AS model_schema,
+       CASE WHEN {ok} THEN 'table' END AS materialized,
+       CASE WHEN {ok} THEN 'scheduled__' || day END AS airflow_run_id,
+       'q-' || CAST(event_id AS VARCHAR) AS query_id,
+       ts AS start_time,
+       ts + to_microseconds(CAST(round(value * 1000000) AS BIGINT)) AS end_time,
+       round(CAST(round(value * 1000) AS BIGINT) / 1000.0, 2) AS duration_seconds,
+       CASE WHEN event_type = 'error' THEN 'FAIL' ELSE 'SUCCESS' END AS status,
+       CASE WHEN event_type = 'error' THEN '100183' END AS error_code,
+       CASE WHEN event_type = 'error' THEN 'model failed for user ' || CAST(user_id AS VARCHAR) END AS error_message,
+       k AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated, CAST(0 AS BIGINT) AS rows_deleted, k AS rows_produced,
+       CASE WHEN k >= 95 THEN 'SELECT' ELSE coalesce({_case('event_type', EVENT_QTYPE)}, 'SELECT') END AS query_type
+FROM ({base}) AS e"""
+    kept = (
+        f"SELECT * FROM ({sel}) AS p WHERE invocation_id IS NOT NULL AND model IS NOT NULL "
+        "AND query_type IN ('CREATE_TABLE_AS_SELECT', 'MERGE', 'INSERT', 'UPDATE', 'DELETE')"
+    )
+    return (
+        "SELECT *, CAST(row_number() OVER (PARTITION BY invocation_id ORDER BY start_time, query_id) AS INTEGER) AS event_sequence "
+        f"FROM ({kept}) AS k"
+    )
+
+
+def runlog_sequence() -> str:
+    return (
+        "SELECT invocation_id, event_sequence, model, model_schema, materialized, duration_seconds, status, rows_inserted, "
+        f"error_message FROM ({query_log_parsed()}) AS l WHERE airflow_run_id = 'scheduled__2024-01-15'"
+    )
+
+
+def runlog_slowest() -> str:
+    return (
+        "SELECT model, round(avg(duration_seconds), 1) AS avg_seconds, max(duration_seconds) AS max_seconds, "
+        f"count(*) AS run_count FROM ({query_log_parsed()}) AS l WHERE env = 'prod' AND status = 'SUCCESS' "
+        f"AND start_time >= {ts(LOG_NOW)} - INTERVAL 30 DAY GROUP BY model"
+    )
+
+
+def runlog_failures() -> str:
+    return (
+        f"SELECT invocation_id, model, error_message, start_time FROM ({query_log_parsed()}) AS l "
+        f"WHERE status = 'FAIL' AND start_time >= {ts(LOG_NOW)} - INTERVAL 7 DAY"
+    )
+
+
+def runlog_row_trend() -> str:
+    return (
+        "SELECT CAST(start_time AS DATE) AS run_date, start_time, query_id, rows_inserted, duration_seconds "
+        f"FROM ({query_log_parsed()}) AS l WHERE model = 'dim_customers' AND env = 'prod' "
+        "ORDER BY start_time DESC, query_id DESC LIMIT 30"
+    )
+
+
+def runlog_summary() -> str:
+    return (
+        "SELECT invocation_id, min(start_time) AS started_at, max(end_time) AS ended_at, count(*) AS models_run, "
+        "count(*) FILTER (WHERE status = 'FAIL') AS models_failed, CAST(sum(rows_inserted) AS BIGINT) AS rows_inserted "
+        f"FROM ({query_log_parsed()}) AS l GROUP BY invocation_id"
+    )
+
+
+def runlog_trend_monitor() -> str:
+    w = "OVER (PARTITION BY model, env ORDER BY start_time, query_id)"
+    inner = (
+        f"SELECT model, env, query_id, start_time, duration_seconds, lag(duration_seconds) {w} AS prev_duration_seconds, "
+        f"rows_inserted, lag(rows_inserted) {w} AS prev_rows_inserted FROM ({query_log_parsed()}) AS l"
+    )
+    ratio = "CASE WHEN prev_rows_inserted > 0 THEN rows_inserted / prev_rows_inserted END"
+    return (
+        f"SELECT *, {ratio} AS row_change_ratio, CASE WHEN prev_rows_inserted IS NULL THEN 'first' "
+        f"WHEN {ratio} > 2.0 THEN 'spike' WHEN {ratio} < 0.5 THEN 'drop' ELSE 'ok' END AS row_flag FROM ({inner}) AS t"
+    )
+
+
+# --------------------------------------------------------------------------- clones
+def mask_pii() -> str:
+    b = bronze("customers", "run", LOAD2_TS)
+    return (
+        "SELECT customer_id, CASE WHEN _sensitivity_tag = 'pii' THEN regexp_replace(email, '^[^@]*', '***') ELSE email END AS email, "
+        "CASE WHEN _sensitivity_tag = 'pii' THEN '***' || right(phone, 4) ELSE phone END AS phone, "
+        "CASE WHEN _sensitivity_tag = 'pii' THEN sha256(address) ELSE address END AS address, "
+        "CASE WHEN _sensitivity_tag = 'pii' THEN CAST(NULL AS VARCHAR) ELSE last_name END AS last_name, "
+        f"_sensitivity_tag FROM ({b}) AS b"
+    )

@@ -22,6 +22,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators.dedup import latest_per_key
 from strata.sources.tables import cut_lineage, table_exists, write_table
@@ -41,11 +42,20 @@ def high_water_mark(target: DataFrame | None, col: str, default=DEFAULT_HWM):
     return default if value is None else value
 
 
-def _lit_like(value, like: Column | None = None) -> Column:
+def _lit_like(value, data_type: T.DataType | None = None) -> Column:
+    """A literal typed like the column it is compared with (NTZ stays NTZ)."""
+    if isinstance(value, dt.datetime):
+        value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
+    elif isinstance(value, dt.date):
+        value = value.isoformat()
     lit = F.lit(value)
-    if isinstance(value, str):
-        lit = lit.cast("timestamp_ntz")
-    return lit
+    if data_type is not None:
+        return lit.cast(data_type)
+    return lit.cast("timestamp_ntz") if isinstance(value, str) else lit
+
+
+def _type_of(df: DataFrame, col: str) -> T.DataType:
+    return df.schema[col].dataType
 
 
 def new_rows_since(
@@ -60,7 +70,7 @@ def new_rows_since(
     ``lookback`` is an interval text such as ``'3 days'``.
     """
     hwm = high_water_mark(target, col, default)
-    bound = _lit_like(hwm)
+    bound = _lit_like(hwm, _type_of(src, col))
     if lookback:
         bound = bound - F.expr(f"INTERVAL {lookback}")
     return src.where(F.col(col) > bound)
@@ -155,7 +165,8 @@ def merge_table(
 def delete_insert(target: DataFrame, src: DataFrame, col: str, start, end) -> DataFrame:
     """Replace the half-open window ``[start, end)`` of ``col``: target outside ∪ source inside."""
     def inside(df: DataFrame) -> Column:
-        return (F.col(col) >= _lit_like(start)) & (F.col(col) < _lit_like(end))
+        t = _type_of(df, col)
+        return (F.col(col) >= _lit_like(start, t)) & (F.col(col) < _lit_like(end, t))
 
     outside = target.where(~inside(target) | F.col(col).isNull())
     return outside.unionByName(src.where(inside(src)))

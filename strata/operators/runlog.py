@@ -207,5 +207,5 @@ def trend_monitor(
     return with_prev.select(
         *group, "query_id", "start_time", "duration_seconds",
         F.col("prev_duration_seconds"), "rows_inserted", "prev_rows_inserted",
-        F.round(ratio, 4).alias("row_change_ratio"), flag.alias("row_flag"),
+        ratio.alias("row_change_ratio"), flag.alias("row_flag"),
     )

@@ -146,3 +146,83 @@ RAW_READERS = {
 
 def raw_entity(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return RAW_READERS[entity](spark, sf_dir)
+
+
+# Which model each event type stands for in the run-log stand-in,
+# and the statement type it was written with.
+EVENT_MODEL = {"click": "dim_customers", "view": "fct_orders", "purchase": "agg_daily_revenue", "error": "dim_products"}
+EVENT_QUERY_TYPE = {"click": "INSERT", "view": "CREATE_TABLE_AS_SELECT", "purchase": "MERGE", "error": "INSERT"}
+
+
+def _lookup(col: str, mapping: dict) -> F.Column:
+    """CASE col WHEN k THEN v ... END (NULL otherwise), JVM-side."""
+    out = None
+    for k, v in mapping.items():
+        cond = F.col(col) == F.lit(k)
+        out = F.when(cond, F.lit(v)) if out is None else out.when(cond, F.lit(v))
+    return out
+
+
+def raw_query_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model-run log derived from ``events``: one row per event.
+
+    invocation = user × day, model from the event type (signup → no model in
+    the tag), status FAIL for errors, duration = ``value`` seconds, rows
+    inserted = the ``k`` of the JSON ``props``. Tags are real JSON built with
+    ``to_json``; rows with ``value < 1`` carry a malformed tag, and statements
+    whose ``k >= 95`` are plain SELECTs, so the parse filter has work to do.
+    """
+    ev = read_table(spark, sf_dir, "events")
+    day = F.col("ts").cast("date").cast("string")
+    model = _lookup("event_type", EVENT_MODEL)
+    qtype = _lookup("event_type", EVENT_QUERY_TYPE)
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    tag = F.to_json(
+        F.struct(
+            F.concat(F.lit("inv-"), F.col("user_id").cast("string"), F.lit("-"), day).alias("invocation_id"),
+            F.lit("daily_build").alias("job"),
+            F.when(F.col("user_id") % 3 == 0, F.lit("dev")).otherwise(F.lit("prod")).alias("env"),
+            model.alias("model"),
+            F.lit("gold").alias("schema"),
+            F.lit("table").alias("materialized"),
+            F.concat(F.lit("scheduled__"), day).alias("airflow_run_id"),
+        )
+    )
+    micros = F.round(F.col("value") * 1_000_000).cast("bigint")
+    is_err = F.col("event_type") == "error"
+    return ev.select(
+        F.when(F.col("value") < 1, F.concat(F.lit("{bad json "), F.col("event_id").cast("string"))).otherwise(tag).alias("query_tag"),
+        F.concat(F.lit("q-"), F.col("event_id").cast("string")).alias("query_id"),
+        F.col("ts").alias("start_time"),
+        F.timestamp_add("MICROSECOND", micros, F.col("ts")).alias("end_time"),
+        F.round(F.col("value") * 1000).cast("bigint").alias("execution_time_ms"),
+        F.when(is_err, F.lit("FAIL")).otherwise(F.lit("SUCCESS")).alias("execution_status"),
+        F.when(is_err, F.lit("100183")).alias("error_code"),
+        F.when(is_err, F.concat(F.lit("model failed for user "), F.col("user_id").cast("string"))).alias("error_message"),
+        k.alias("rows_inserted"),
+        F.lit(0).cast("bigint").alias("rows_updated"),
+        F.lit(0).cast("bigint").alias("rows_deleted"),
+        k.alias("rows_produced"),
+        F.when(k >= 95, F.lit("SELECT")).otherwise(F.coalesce(qtype, F.lit("SELECT"))).alias("query_type"),
+    )
+
+
+def customer_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two extracts of the customer table, for history (SCD2) and change detection.
+
+    v1 (taken 2024-01-01): every customer except those with balance < -900.
+    v2 (taken 2024-02-01): balance > 5000 → segment lower-cased and updated;
+    balance in [9000, 9250) → gone (hard delete); balance < -900 → new.
+    """
+    c = read_table(spark, sf_dir, "customer")
+    base = [F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation_key")]
+    jan = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    feb = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    v1 = c.where(F.col("c_acctbal") >= -900).select(*base, F.col("c_mktsegment").alias("segment"), jan.alias("updated_at"))
+    rich = F.col("c_acctbal") > 5000
+    v2 = c.where(~((F.col("c_acctbal") >= 9000) & (F.col("c_acctbal") < 9250))).select(
+        *base,
+        F.when(rich, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment")).alias("segment"),
+        F.when(rich, feb).otherwise(jan).alias("updated_at"),
+    )
+    return v1, v2
