@@ -77,48 +77,61 @@ _SUMMARY = ("table_name", "column_name", "check_name", "severity", "row_count",
 
 
 def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
-    """One summary row per check: (table_name, column_name, check_name, severity, row_count, failures, status)."""
-    row_checks = [c for c in checks if c.kind in ROW_CHECKS]
-    other = [c for c in checks if c.kind not in ROW_CHECKS]
+    """One summary row per check: (table_name, column_name, check_name, severity, row_count, failures, status).
+
+    Passes over ``df``: one aggregate for all row-level checks and row-count
+    bounds, plus one per unique check (group by the column, then a global
+    aggregate of the group counts) and one per relationships check (left join
+    to the distinct parent keys, then a global aggregate). Each pass yields its
+    own row count, so no check needs an extra count job.
+    """
+    row_checks = [c for c in checks if c.kind in ROW_CHECKS or c.kind == "row_count_between"]
+    other = [c for c in checks if c not in row_checks]
     parts: list[DataFrame] = []
-    need_rows = bool(row_checks) or any(c.kind in ("unique", "relationships", "row_count_between") for c in other)
-    if row_checks or need_rows:
+    if row_checks:
         aggs = [F.count(F.lit(1)).alias("__rows")]
-        aggs += [F.count_if(failure_condition(c)).alias(f"__f{i}") for i, c in enumerate(row_checks)]
+        for i, c in enumerate(row_checks):
+            if c.kind == "row_count_between":
+                continue
+            aggs.append(F.count_if(failure_condition(c)).alias(f"__f{i}"))
         one = df.agg(*aggs)  # the single pass
-        if row_checks:
-            stack = ", ".join(
-                f"'{c.column}', '{c.name}', '{c.severity}', __f{i}" for i, c in enumerate(row_checks)
-            )
-            rows = one.selectExpr("__rows", f"stack({len(row_checks)}, {stack}) as (column_name, check_name, severity, failures)")
-            parts.append(rows.select(F.lit(table).alias("table_name"), "column_name", "check_name", "severity", F.col("__rows").alias("row_count"), "failures"))
-        row_count = one.select(F.col("__rows").alias("row_count"))
+        terms = []
+        for i, c in enumerate(row_checks):
+            col = "CAST(NULL AS STRING)" if c.column is None else f"'{c.column}'"
+            if c.kind == "row_count_between":
+                lo = c.min if c.min is not None else -1
+                hi = c.max if c.max is not None else 2**62
+                fail = f"CAST(IF(__rows < {lo} OR __rows > {hi}, 1, 0) AS BIGINT)"
+            else:
+                fail = f"__f{i}"
+            terms.append(f"{col}, '{c.name}', '{c.severity}', {fail}")
+        rows = one.selectExpr("__rows", f"stack({len(terms)}, {', '.join(terms)}) as (column_name, check_name, severity, failures)")
+        parts.append(rows.select(F.lit(table).alias("table_name"), "column_name", "check_name", "severity", F.col("__rows").alias("row_count"), "failures"))
     for c in other:
         if c.kind == "unique":
-            f = unique_violations(df, [c.column]).agg(F.count(F.lit(1)).alias("failures"))
+            groups = df.groupBy(c.column).agg(F.count(F.lit(1)).alias("__n"))
+            res = groups.agg(
+                F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("row_count"),
+                F.count_if(F.col(c.column).isNotNull() & (F.col("__n") > 1)).alias("failures"),
+            )
         elif c.kind == "relationships":
-            f = orphans(df, c.column, c.to, c.field_ or c.column).agg(F.count(F.lit(1)).alias("failures"))
-        elif c.kind == "row_count_between":
-            f = df.agg(F.count(F.lit(1)).alias("n")).select(
-                F.when((F.col("n") < F.lit(c.min if c.min is not None else -1)) | (F.col("n") > F.lit(c.max if c.max is not None else 2**62)), 1).otherwise(0).cast("bigint").alias("failures")
+            keys = c.to.select(F.col(c.field_ or c.column).alias("__pk")).where(F.col("__pk").isNotNull()).distinct()
+            keys = keys.withColumn("__hit", F.lit(True))
+            j = df.select(c.column).join(keys, F.col(c.column) == F.col("__pk"), "left")
+            res = j.agg(
+                F.count(F.lit(1)).alias("row_count"),
+                F.count_if(F.col(c.column).isNotNull() & F.col("__hit").isNull()).alias("failures"),
             )
         else:
             raise ValueError(f"unknown check {c.kind!r}")
-        # Pair each failure count with the table row count through a union +
-        # global aggregate (both sides are single rows; no join needed).
-        merged = (
-            f.select(F.lit(None).cast("bigint").alias("row_count"), F.col("failures").cast("bigint"))
-            .unionByName(row_count.select(F.col("row_count").cast("bigint"), F.lit(None).cast("bigint").alias("failures")))
-            .agg(F.max("row_count").alias("row_count"), F.max("failures").alias("failures"))
-        )
         parts.append(
-            merged.select(
+            res.select(
                 F.lit(table).alias("table_name"),
                 F.lit(c.column).cast("string").alias("column_name"),
                 F.lit(c.name).alias("check_name"),
                 F.lit(c.severity).alias("severity"),
                 "row_count",
-                "failures",
+                F.col("failures").cast("bigint").alias("failures"),
             )
         )
     if not parts:
