@@ -24,7 +24,7 @@ from strata.operators.scd2 import snapshot_timestamp
 from strata.plans import gold as G
 from strata.plans import zones as Z
 from strata.plans.entities import ENTITIES
-from strata.sources.tables import table_exists, write_table, zone_path
+from strata.sources.tables import read_table, table_exists, write_table, zone_path
 
 ENTITY_NAMES = ("customers", "orders", "order_items", "products")
 
@@ -128,7 +128,7 @@ def run_pipeline(
                lambda d, p=rej_path: write_table(d, p))
         # bronze: append valid rows newer than the high-water mark
         brz_path = path("bronze", f"brz_{e}")
-        trn = spark.read.parquet(trn_path)
+        trn = read_table(spark, trn_path, flags=["_is_valid"])
         target = spark.read.parquet(brz_path) if table_exists(spark, brz_path) else None
         record(f"brz_{e}", "bronze", "incremental", Z.bronze(trn, e, batch.batch_ts, target),
                lambda d, p=brz_path, t=target: write_table(d, p, mode="append" if t is not None else "overwrite"))
@@ -136,7 +136,7 @@ def run_pipeline(
         val_path = path("silver", f"_slv_{e}_validated")
         record(f"slv_{e}_validated", "silver", "table", Z.silver_validated(spark.read.parquet(brz_path), e, batch.batch_ts),
                lambda d, p=val_path: write_table(d, p, partition_by=["_is_business_valid"]))
-        val = spark.read.parquet(val_path)
+        val = read_table(spark, val_path, flags=["_is_business_valid"])
         record(f"slv_{e}", "silver", "table", Z.silver_clean(val, e), lambda d, p=path("silver", f"slv_{e}"): write_table(d, p))
         srej_path = path("silver", f"slv_{e}_rejects")
         srej = Z.silver_rejects(val, e, batch.batch_ts)

@@ -41,6 +41,15 @@ def _jvm_path(spark: SparkSession, path: str):
     return fs, hpath
 
 
+def read_table(spark: SparkSession, path: str, flags: Sequence[str] = ()) -> DataFrame:
+    """Parquet table; ``flags`` are boolean partition columns (partition discovery
+    infers them as strings). Filters on them still prune partitions."""
+    from pyspark.sql import functions as F
+
+    df = spark.read.parquet(path)
+    return df.withColumns({f: F.col(f).cast("boolean") for f in flags}) if flags else df
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _jvm_path(spark, path)
     return bool(fs.exists(p))
