@@ -63,9 +63,13 @@ def dedupe_within_watermark(df: DataFrame, keys: list[str], event_time: str, del
 
     Works on batch DataFrames too (then it is a plain ``dropDuplicates``).
     """
-    if df.isStreaming:
-        return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
-    return df.dropDuplicates(keys)
+    if not df.isStreaming:
+        return df.dropDuplicates(keys)
+    if isinstance(df.schema[event_time].dataType, T.TimestampNTZType):
+        # watermarks need an instant: watermark on a (session time zone) copy
+        wm = df.withColumn("__event_time", F.col(event_time).cast("timestamp"))
+        return wm.withWatermark("__event_time", delay).dropDuplicatesWithinWatermark(keys).drop("__event_time")
+    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
 def late_rows_count(df: DataFrame, event_time: str, watermark_ts: str) -> DataFrame:
