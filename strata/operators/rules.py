@@ -47,6 +47,20 @@ def reason_expr(rules: Sequence[Rule]) -> Column:
     return out
 
 
+def valid_expr(rules: Sequence[Rule]) -> Column:
+    """TRUE when no rule fails: ``NOT coalesce(c1, false) AND NOT coalesce(c2, false) ...``.
+
+    Equal to ``reason_expr(rules) IS NULL`` but written as a conjunction, so
+    Catalyst can simplify each term (``NOT coalesce(isnull(a), false)`` →
+    ``isnotnull(a)``) and push them into the parquet scan.
+    """
+    out = None
+    for r in rules:
+        term = ~F.coalesce(r.expr(), F.lit(False))
+        out = term if out is None else out & term
+    return F.lit(True) if out is None else out
+
+
 def tag_rules(
     df: DataFrame,
     rules: Sequence[Rule],
@@ -54,10 +68,9 @@ def tag_rules(
     reason_col: str | None = "_reject_reason",
 ) -> DataFrame:
     """Add ``reason_col`` (first failing rule) and ``flag_col`` (no rule failed)."""
-    reason = reason_expr(rules)
-    cols = {flag_col: reason.isNull()}
+    cols = {flag_col: valid_expr(rules)}
     if reason_col:
-        cols = {reason_col: reason, flag_col: reason.isNull()}
+        cols = {reason_col: reason_expr(rules), flag_col: valid_expr(rules)}
     return df.withColumns(cols)
 
 

@@ -16,7 +16,7 @@ from strata.functions.text import clean_columns
 from strata.operators.dedup import latest_per_key
 from strata.operators.load import new_rows_since
 from strata.operators.metadata import ENTITY_TAGS, ts_literal, with_batch, with_bronze_tags
-from strata.operators.rules import business_rules, reason_expr, tag_rules, technical_rules
+from strata.operators.rules import business_rules, tag_rules, technical_rules, valid_expr
 from strata.plans.entities import ENTITIES
 
 GOVERNANCE = ("_source_system", "_domain", "_sensitivity_tag")
@@ -26,7 +26,7 @@ GOVERNANCE = ("_source_system", "_domain", "_sensitivity_tag")
 def transient(raw: DataFrame, entity: str, batch_id: str, batch_ts: dt.datetime | str) -> DataFrame:
     """All raw rows, technical flag ``_is_valid``, ``_loaded_at``, ``_batch_id``."""
     e = ENTITIES[entity]
-    tagged = raw.select(*e.columns).withColumn("_is_valid", reason_expr(technical_rules(entity)).isNull())
+    tagged = raw.select(*e.columns).withColumn("_is_valid", valid_expr(technical_rules(entity)))
     return with_batch(tagged, batch_id, batch_ts)
 
 
