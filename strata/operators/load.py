@@ -83,19 +83,41 @@ def append_incremental(src: DataFrame, target: DataFrame | None, col: str, defau
     return new if target is None else target.unionByName(new)
 
 
-def append_table(src: DataFrame, path: str, col: str, partition_by: Sequence[str] = (), full_refresh: bool = False) -> int:
+def append_table(
+    src: DataFrame,
+    path: str,
+    col: str,
+    partition_by: Sequence[str] = (),
+    full_refresh: bool = False,
+    hwm_path: str | None = None,
+) -> int:
     """Append newer rows to the parquet table at ``path``; returns rows appended.
 
-    First run (no table) or ``full_refresh`` writes everything.
+    First run (no table) or ``full_refresh`` writes everything. With
+    ``hwm_path`` the high-water mark comes from a small side table (one row per
+    load) instead of a ``max()`` over the whole target, and the new mark is taken
+    from ``observe`` metrics of the write itself: no extra scan either way.
     """
     spark = src.sparkSession
     exists = table_exists(spark, path) and not full_refresh
-    target = spark.read.parquet(path) if exists else None
-    new = new_rows_since(src, target, col) if exists else src
+    if exists:
+        if hwm_path and table_exists(spark, hwm_path):
+            hwm = high_water_mark(spark.read.parquet(hwm_path), "hwm")
+        else:
+            hwm = high_water_mark(spark.read.parquet(path), col)
+        new = src.where(F.col(col) > _lit_like(hwm, _type_of(src, col)))
+    else:
+        new = src
     obs = Observation("appended")
-    new = new.observe(obs, F.count(F.lit(1)).alias("rows"))
+    new = new.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(col).alias("hwm"))
     write_table(new, path, mode="append" if exists else "overwrite", partition_by=partition_by)
-    return int(obs.get["rows"])
+    metrics = obs.get
+    rows = int(metrics["rows"])
+    if hwm_path and rows:
+        mark = spark.createDataFrame([(metrics["hwm"], rows)], T.StructType([
+            T.StructField("hwm", src.schema[col].dataType), T.StructField("rows", T.LongType())]))
+        write_table(mark, hwm_path, mode="append" if table_exists(spark, hwm_path) and not full_refresh else "overwrite")
+    return rows
 
 
 # --------------------------------------------------------------------------- merge

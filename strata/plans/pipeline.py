@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import checks as chk
-from strata.operators.load import merge_upsert, new_rows_since
+from strata.operators.load import append_table, merge_upsert, new_rows_since
 from strata.operators.runlog import log_entry, tag_text
 from strata.operators.scd2 import snapshot_timestamp
 from strata.plans import gold as G
@@ -101,8 +101,9 @@ def run_pipeline(
         obs = Observation(model)
         status, err, n = "SUCCESS", None, None
         try:
-            write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
-            n = int(obs.get["rows"])
+            counted = write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
+            # a write that filters (incremental append) reports its own row count
+            n = counted if isinstance(counted, int) else int(obs.get["rows"])
             res.written[model] = n
         except Exception as exc:  # logged, then re-raised
             status, err = "FAIL", str(exc)[:1000]
@@ -126,12 +127,12 @@ def run_pipeline(
             rej = new_rows_since(rej, old, "_rejected_at")
         record(f"trn_{e}_rejects", "transient", "merge", merge_upsert(old, rej, ["_reject_id"]),
                lambda d, p=rej_path: write_table(d, p))
-        # bronze: append valid rows newer than the high-water mark
+        # bronze: append valid rows newer than the high-water mark, kept in a
+        # one-row-per-load side table (no max() over the growing bronze table)
         brz_path = path("bronze", f"brz_{e}")
         trn = read_table(spark, trn_path, flags=["_is_valid"])
-        target = spark.read.parquet(brz_path) if table_exists(spark, brz_path) else None
-        record(f"brz_{e}", "bronze", "incremental", Z.bronze(trn, e, batch.batch_ts, target),
-               lambda d, p=brz_path, t=target: write_table(d, p, mode="append" if t is not None else "overwrite"))
+        record(f"brz_{e}", "bronze", "incremental", Z.bronze(trn, e, batch.batch_ts),
+               lambda d, p=brz_path: append_table(d, p, "_loaded_at", hwm_path=f"{p}.__hwm"))
         # silver: validated once, then clean and rejects from the written table
         val_path = path("silver", f"_slv_{e}_validated")
         record(f"slv_{e}_validated", "silver", "table", Z.silver_validated(spark.read.parquet(brz_path), e, batch.batch_ts),

@@ -122,3 +122,15 @@ def test_run_microbatch_and_retry_one_slice(spark, scratch):
     redo = L.run_microbatch(ev, "ts", T(2024, 1, 1), T(2024, 1, 4), dt.timedelta(days=1), lambda d: d, sink, only=[T(2024, 1, 2)])
     assert len(redo) == 1 and spark.read.parquet(path).count() == 9
     assert table_exists(spark, path)
+
+
+def test_append_table_with_side_watermark(spark, scratch):
+    path, marks = f"{scratch}/brz2", f"{scratch}/brz2_hwm"
+    first = _df(spark, [(1, "a", T(2024, 1, 1)), (2, "b", T(2024, 1, 3))])
+    assert L.append_table(first, path, "ts", hwm_path=marks) == 2
+    assert spark.read.parquet(marks).first().hwm == T(2024, 1, 3)
+    second = _df(spark, [(2, "b", T(2024, 1, 3)), (3, "c", T(2024, 1, 4))])
+    assert L.append_table(second, path, "ts", hwm_path=marks) == 1
+    assert L.append_table(second, path, "ts", hwm_path=marks) == 0
+    assert spark.read.parquet(path).count() == 3
+    assert L.high_water_mark(spark.read.parquet(marks), "hwm") == T(2024, 1, 4)
