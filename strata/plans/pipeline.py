@@ -205,3 +205,33 @@ def gold_checks(fct: DataFrame, dim_c: DataFrame, dim_p: DataFrame, tiers: Tiers
         C("between", "quantity", min=0, strictly=True), C("between", "unit_price", min=0, strictly=True),
     ]))
     return s
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m strata.plans.pipeline --root DIR (--sf-dir DIR | --seeds DIR) [--env prod]``."""
+    import argparse
+    import json
+
+    from strata.sources.seeds import read_entity
+
+    ap = argparse.ArgumentParser(description="run the five-zone pipeline for one batch")
+    ap.add_argument("--root", required=True, help="lake root (shared storage)")
+    ap.add_argument("--env", default="prod", choices=["dev", "ci", "uat", "prod"])
+    ap.add_argument("--ci-schema")
+    ap.add_argument("--sf-dir", help="directory with the raw (TPC-H style) tables")
+    ap.add_argument("--seeds", help="seed CSV directory (dev)")
+    ap.add_argument("--batch-id", default="run-0001")
+    ap.add_argument("--batch-ts", default="2024-02-01 06:00:00")
+    ap.add_argument("--tpch-tiers", action="store_true", help="use thresholds suited to the TPC-H stand-ins")
+    ap.add_argument("--log", help="run-log table path")
+    a = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("strata-pipeline").getOrCreate()
+    env = "dev" if a.seeds else a.env
+    raws = {e: read_entity(spark, env, e, seeds_dir=a.seeds, sf_dir=a.sf_dir) for e in ENTITY_NAMES}
+    res = run_pipeline(spark, raws, a.root, env=a.env, batch=Batch(a.batch_id, a.batch_ts),
+                       tiers=TPCH_TIERS if a.tpch_tiers else Tiers(), ci_schema=a.ci_schema, log_path=a.log)
+    print(json.dumps({"written": res.written, "checks": [r.asDict() for r in res.checks]}, default=str))
+
+
+if __name__ == "__main__":
+    main()

@@ -50,6 +50,12 @@ def read_table(spark: SparkSession, path: str, flags: Sequence[str] = ()) -> Dat
     return df.withColumns({f: F.col(f).cast("boolean") for f in flags}) if flags else df
 
 
+def register_views(tables: dict[str, DataFrame]) -> None:
+    """Expose DataFrames as temporary views (query-on-read, like a view model)."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _jvm_path(spark, path)
     return bool(fs.exists(p))
