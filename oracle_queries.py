@@ -662,3 +662,11 @@ def mask_pii() -> str:
         "CASE WHEN _sensitivity_tag = 'pii' THEN CAST(NULL AS VARCHAR) ELSE last_name END AS last_name, "
         f"_sensitivity_tag FROM ({b}) AS b"
     )
+
+
+def with_metadata_columns() -> str:
+    return _dbl(
+        f"SELECT *, 'fivetran' AS _source_system, 'product' AS _domain, 'public' AS _sensitivity_tag, "
+        f"{ts(LOAD2_TS)} AS _processed_at, 'run-0002' AS _batch_id FROM ({RAW_PRODUCTS}) AS p",
+        ["price", "cost"],
+    )

@@ -262,6 +262,13 @@ def runlog_trend_monitor(spark, sf):
     return R.trend_monitor(_log(spark, sf))
 
 
+def with_metadata_columns(spark, sf):
+    """The generic metadata macro: five tag columns on raw products."""
+    from strata.operators.metadata import with_metadata
+
+    return with_metadata(raw_entity(spark, sf, "products"), "fivetran", "product", "public", LOAD2_TS, "run-0002")
+
+
 # --------------------------------------------------------------------------- clones
 def mask_pii(spark, sf):
     brz = Z.bronze(Z.transient(raw_entity(spark, sf, "customers"), "customers", "run", LOAD2_TS), "customers", LOAD2_TS)

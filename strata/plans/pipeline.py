@@ -75,6 +75,7 @@ def build(raws: dict[str, DataFrame], batch: Batch = Batch(), tiers: Tiers = Tie
 class RunResult:
     written: dict[str, int] = field(default_factory=dict)
     checks: list = field(default_factory=list)
+    reconciliation: dict[str, int] = field(default_factory=dict)  # raw rows − transient rows
 
 
 def run_pipeline(
@@ -120,6 +121,8 @@ def run_pipeline(
         trn_path = path("transient", f"trn_{e}")
         record(f"trn_{e}", "transient", "table", Z.transient(raws[e], e, batch.batch_id, batch.batch_ts),
                lambda d, p=trn_path: write_table(d, p, partition_by=["_is_valid"]))
+        # row-count reconciliation raw → transient (0 = every raw row landed)
+        res.reconciliation[e] = chk.row_count_diff(raws[e], spark.read.parquet(trn_path)).first()["row_diff"]
         rej_path = path("transient", f"trn_{e}_rejects")
         rej = Z.transient_rejects(raws[e], e, batch.batch_id, batch.batch_ts)
         old = spark.read.parquet(rej_path) if table_exists(spark, rej_path) else None

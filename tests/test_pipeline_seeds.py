@@ -62,6 +62,7 @@ def test_run_pipeline_writes_zones_and_is_rerunnable(spark, raws, scratch):
     r1 = run_pipeline(spark, raws, root, env="prod", batch=Batch("b1", "2024-02-01 06:00:00"), log_path=log)
     assert r1.written["trn_customers_rejects"] == 1 and r1.written["trn_orders_rejects"] == 1
     assert r1.written["slv_customers_rejects"] == 3 and r1.written["fct_orders"] == 6
+    assert r1.reconciliation == {e: 0 for e in ENTITIES}
     statuses = {(x["table_name"], x["column_name"], x["check_name"]): x["status"] for x in r1.checks}
     assert statuses[("fct_orders", "customer_id", "relationships")] == "warn"  # order 106's customer 9 is unknown
     read = lambda z, t: spark.read.parquet(f"{root}/{z}/{t}")
