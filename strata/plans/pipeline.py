@@ -14,11 +14,11 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import checks as chk
-from strata.operators.load import append_table, merge_upsert, new_rows_since
+from strata.operators.load import append_table, high_water_mark, merge_upsert, new_rows_since
 from strata.operators.runlog import log_entry, tag_text
 from strata.operators.scd2 import snapshot_timestamp
 from strata.plans import gold as G
@@ -87,8 +87,14 @@ def run_pipeline(
     tiers: Tiers = Tiers(),
     ci_schema: str | None = None,
     log_path: str | None = None,
+    incremental_silver: bool = True,
 ) -> RunResult:
-    """Write every zone for one batch; returns per-table row counts and check results."""
+    """Write every zone for one batch; returns per-table row counts and check results.
+
+    ``incremental_silver``: silver folds in only the bronze rows it has not seen
+    (the result equals a full rebuild; keys not touched keep their
+    ``_silver_processed_at``). Off, silver is rebuilt from all bronze history.
+    """
     res = RunResult()
     path = lambda zone, table: zone_path(root, env, zone, table, ci_schema)
     log_rows: list[DataFrame] = []
@@ -97,7 +103,6 @@ def run_pipeline(
         start = dt.datetime.now()
         tag = tag_text(invocation_id=batch.batch_id, job=f"build_{env}", env=env, model=model, schema=zone, materialized=materialized)
         spark.sparkContext.setJobDescription(tag)
-        from pyspark.sql import Observation
 
         obs = Observation(model)
         status, err, n = "SUCCESS", None, None
@@ -136,12 +141,31 @@ def run_pipeline(
         trn = read_table(spark, trn_path, flags=["_is_valid"])
         record(f"brz_{e}", "bronze", "incremental", Z.bronze(trn, e, batch.batch_ts),
                lambda d, p=brz_path: append_table(d, p, "_loaded_at", hwm_path=f"{p}.__hwm"))
-        # silver: validated once, then clean and rejects from the written table
+        # silver: validated once (written, partitioned by the business flag), then
+        # clean and rejects read from it. Incremental mode validates only bronze
+        # rows newer than silver's own mark and replaces those keys in silver.
         val_path = path("silver", f"_slv_{e}_validated")
-        record(f"slv_{e}_validated", "silver", "table", Z.silver_validated(spark.read.parquet(brz_path), e, batch.batch_ts),
+        slv_path = path("silver", f"slv_{e}")
+        slv_mark = f"{slv_path}.__hwm"
+        brz = spark.read.parquet(brz_path)
+        incremental = incremental_silver and table_exists(spark, slv_path) and table_exists(spark, slv_mark)
+        if incremental:
+            # old batches' files are skipped through parquet min/max stats on _loaded_at
+            brz = brz.where(F.col("_loaded_at") > F.lit(high_water_mark(spark.read.parquet(slv_mark), "hwm")))
+        seen = Observation(f"{e}_bronze_seen")
+        brz = brz.observe(seen, F.max("_loaded_at").alias("hwm"))
+        record(f"slv_{e}_validated", "silver", "table", Z.silver_validated(brz, e, batch.batch_ts),
                lambda d, p=val_path: write_table(d, p, partition_by=["_is_business_valid"]))
         val = read_table(spark, val_path, flags=["_is_business_valid"])
-        record(f"slv_{e}", "silver", "table", Z.silver_clean(val, e), lambda d, p=path("silver", f"slv_{e}"): write_table(d, p))
+        clean = Z.silver_clean(val, e)
+        if incremental:
+            touched = val.select(ent.key)
+            clean = spark.read.parquet(slv_path).join(touched, ent.key, "left_anti").unionByName(clean)
+        record(f"slv_{e}", "silver", "table", clean, lambda d, p=slv_path: write_table(d, p))
+        mark = seen.get.get("hwm")
+        if mark is not None:
+            write_table(spark.createDataFrame([(mark,)], "hwm timestamp_ntz"), slv_mark,
+                        mode="append" if table_exists(spark, slv_mark) else "overwrite")
         srej_path = path("silver", f"slv_{e}_rejects")
         srej = Z.silver_rejects(val, e, batch.batch_ts)
         sold = spark.read.parquet(srej_path) if table_exists(spark, srej_path) else None
@@ -149,7 +173,6 @@ def run_pipeline(
             srej = new_rows_since(srej, sold, "_rejected_at")
         record(f"slv_{e}_rejects", "silver", "merge", merge_upsert(sold, srej, ["_reject_id"]),
                lambda d, p=srej_path: write_table(d, p))
-        del ent
 
     slv = {e: spark.read.parquet(path("silver", f"slv_{e}")) for e in ENTITY_NAMES}
     gold = {
