@@ -88,6 +88,7 @@ def run_pipeline(
     ci_schema: str | None = None,
     log_path: str | None = None,
     incremental_silver: bool = True,
+    threads: int = 4,
 ) -> RunResult:
     """Write every zone for one batch; returns per-table row counts and check results.
 
@@ -119,7 +120,7 @@ def run_pipeline(
                 qtype = {"table": "CREATE_TABLE_AS_SELECT", "incremental": "INSERT", "merge": "MERGE", "snapshot": "MERGE"}[materialized]
                 log_rows.append(log_entry(spark, tag, f"{batch.batch_id}:{model}", start, dt.datetime.now(), status, n, query_type=qtype, error_message=err))
 
-    for e in ENTITY_NAMES:
+    def entity_chain(e: str) -> None:
         ent = ENTITIES[e]
         # transient: full rebuild, partitioned by the validity flag so bronze and
         # the rejects each read only their half.
@@ -176,30 +177,42 @@ def run_pipeline(
         record(f"slv_{e}_rejects", "silver", "merge", merge_upsert(sold, srej, ["_reject_id"]),
                lambda d, p=srej_path: write_table(d, p))
 
+    # the four entity chains are independent: submit them concurrently
+    # (``threads`` like the reference's client parallelism; 1 = serial)
+    _run_all([lambda e=e: entity_chain(e) for e in ENTITY_NAMES], threads)
+
     slv = {e: spark.read.parquet(path("silver", f"slv_{e}")) for e in ENTITY_NAMES}
     gold = {
         "dim_customers": (G.dim_customers(slv["customers"], slv["orders"], tiers.customer), G.DIM_CUSTOMERS_CONTRACT),
         "dim_products": (G.dim_products(slv["products"], slv["order_items"], tiers.product), G.DIM_PRODUCTS_CONTRACT),
         "fct_orders": (G.fct_orders(slv["order_items"], slv["orders"]), G.FCT_ORDERS_CONTRACT),
     }
-    for name, (df, contract) in gold.items():
-        record(name, "gold", "table", chk.enforce_contract(df, contract), lambda d, p=path("gold", name): write_table(d, p))
-    fo = spark.read.parquet(path("gold", "fct_orders"))
-    dc = spark.read.parquet(path("gold", "dim_customers"))
-    dp = spark.read.parquet(path("gold", "dim_products"))
-    for name, df in (
-        ("agg_daily_revenue", G.agg_daily_revenue(fo)),
-        ("agg_sales_by_customer", G.agg_sales_by_customer(dc)),
-        ("agg_sales_by_product", G.agg_sales_by_product(dp)),
-    ):
-        record(name, "gold_analytics", "table", df, lambda d, p=path("gold_analytics", name): write_table(d, p))
-
-    # snapshot (SCD2) of silver customers
+    # snapshot (SCD2) of silver customers, independent of gold
     snap_path = path("bronze", "snap_customers")
     hist = spark.read.parquet(snap_path) if table_exists(spark, snap_path) else None
     snap_src = slv["customers"].select(*[c for c in slv["customers"].columns if not c.startswith("_")])
-    record("snap_customers", "bronze", "snapshot", snapshot_timestamp(hist, snap_src, "customer_id", "updated_at", batch.batch_ts),
-           lambda d, p=snap_path: write_table(d, p))
+    jobs = [
+        lambda: record("snap_customers", "bronze", "snapshot",
+                       snapshot_timestamp(hist, snap_src, "customer_id", "updated_at", batch.batch_ts),
+                       lambda d: write_table(d, snap_path))
+    ]
+    jobs += [
+        lambda name=name, df=df, contract=contract: record(
+            name, "gold", "table", chk.enforce_contract(df, contract), lambda d, p=path("gold", name): write_table(d, p))
+        for name, (df, contract) in gold.items()
+    ]
+    _run_all(jobs, threads)
+    fo = spark.read.parquet(path("gold", "fct_orders"))
+    dc = spark.read.parquet(path("gold", "dim_customers"))
+    dp = spark.read.parquet(path("gold", "dim_products"))
+    _run_all([
+        lambda name=name, df=df: record(name, "gold_analytics", "table", df, lambda d, p=path("gold_analytics", name): write_table(d, p))
+        for name, df in (
+            ("agg_daily_revenue", G.agg_daily_revenue(fo)),
+            ("agg_sales_by_customer", G.agg_sales_by_customer(dc)),
+            ("agg_sales_by_product", G.agg_sales_by_product(dp)),
+        )
+    ], threads)
 
     # tests right after the models (error severity stops the run)
     res.checks = chk.raise_on_error(gold_checks(spark.read.parquet(path("gold", "fct_orders")), dc, dp, tiers))
@@ -211,6 +224,19 @@ def run_pipeline(
     return res
 
 
+def _run_all(jobs: list, threads: int) -> None:
+    """Run independent write jobs, ``threads`` at a time; the first failure is raised."""
+    if threads <= 1:
+        for j in jobs:
+            j()
+        return
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        for f in [pool.submit(j) for j in jobs]:
+            f.result()
+
+
 def gold_checks(fct: DataFrame, dim_c: DataFrame, dim_p: DataFrame, tiers: Tiers = Tiers()) -> DataFrame:
     """The gold zone's declared tests, compiled per table into one pass + unique/FK jobs."""
     C = chk.Check
