@@ -90,9 +90,17 @@ def append_table(
     partition_by: Sequence[str] = (),
     full_refresh: bool = False,
     hwm_path: str | None = None,
+    on_schema_change: str = "ignore",
 ) -> int:
     """Append newer rows to the parquet table at ``path``; returns rows appended.
 
+    ``on_schema_change`` when the source's columns differ from the table's:
+    ``ignore`` appends the table's columns only (missing ones NULL);
+    ``append_new_columns`` appends files with the wider schema (parquet readers
+    merge schemas, old files read NULL for new columns — nothing is rewritten);
+    ``sync_all_columns`` rewrites the table to the source's columns (staged swap);
+    ``fail`` raises.
+
     First run (no table) or ``full_refresh`` writes everything. With
     ``hwm_path`` the high-water mark comes from a small side table (one row per
     load) instead of a ``max()`` over the whole target, and the new mark is taken
@@ -101,6 +109,10 @@ def append_table(
     spark = src.sparkSession
     exists = table_exists(spark, path) and not full_refresh
     if exists:
+        current = spark.read.option("mergeSchema", "true").parquet(path)
+        aligned_target, src = align_schema(current, src, on_schema_change)
+        if on_schema_change == "sync_all_columns" and aligned_target.columns != current.columns:
+            write_table(cut_lineage(aligned_target), path)  # rewrite old rows to the new column set
         if hwm_path and table_exists(spark, hwm_path):
             hwm = high_water_mark(spark.read.parquet(hwm_path), "hwm")
         else:

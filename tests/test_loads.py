@@ -134,3 +134,31 @@ def test_append_table_with_side_watermark(spark, scratch):
     assert L.append_table(second, path, "ts", hwm_path=marks) == 0
     assert spark.read.parquet(path).count() == 3
     assert L.high_water_mark(spark.read.parquet(marks), "hwm") == T(2024, 1, 4)
+
+
+def test_append_table_schema_change_modes(spark, scratch):
+    base = spark.createDataFrame([(1, "a", T(2024, 1, 1))], "id int, v string, ts timestamp_ntz")
+    wider = spark.createDataFrame([(2, "b", T(2024, 1, 2), 7)], "id int, v string, ts timestamp_ntz, extra int")
+    narrower = spark.createDataFrame([(3, T(2024, 1, 3))], "id int, ts timestamp_ntz")
+    read = lambda p: spark.read.option("mergeSchema", "true").parquet(p)
+
+    p1 = f"{scratch}/ign"
+    L.append_table(base, p1, "ts")
+    L.append_table(wider, p1, "ts", on_schema_change="ignore")
+    assert sorted(read(p1).columns) == ["id", "ts", "v"] and read(p1).count() == 2
+
+    p2 = f"{scratch}/add"
+    L.append_table(base, p2, "ts")
+    L.append_table(wider, p2, "ts", on_schema_change="append_new_columns")
+    got = sorted((r.id, r.extra) for r in read(p2).collect())
+    assert got == [(1, None), (2, 7)]
+
+    p3 = f"{scratch}/sync"
+    L.append_table(base, p3, "ts")
+    L.append_table(narrower, p3, "ts", on_schema_change="sync_all_columns")
+    assert sorted(read(p3).columns) == ["id", "ts"] and read(p3).count() == 2
+
+    p4 = f"{scratch}/fail"
+    L.append_table(base, p4, "ts")
+    with pytest.raises(ValueError, match="schema changed"):
+        L.append_table(wider, p4, "ts", on_schema_change="fail")
