@@ -8,7 +8,7 @@ rule map and uses built-in functions only.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,5 +112,3 @@ def select_tables(tables: Mapping[tuple[str, str], DataFrame], table_list: str)
     wanted = {(s.upper(), t.upper()) for s, t in parse_table_list(table_list)}
     return {k: v for k, v in tables.items() if (k[0].upper(), k[1].upper()) in wanted}
 
-
-__all__: Sequence[str] = ("clone_for_ci", "drop_ci_schema", "mask_columns", "sample_table", "parse_table_list")

@@ -76,6 +76,7 @@ class RunResult:
     written: dict[str, int] = field(default_factory=dict)
     checks: list = field(default_factory=list)
     reconciliation: dict[str, int] = field(default_factory=dict)  # raw rows − transient rows
+    silver_checks: list = field(default_factory=list)
 
 
 def run_pipeline(
@@ -89,12 +90,15 @@ def run_pipeline(
     log_path: str | None = None,
     incremental_silver: bool = True,
     threads: int = 4,
+    fk_severity: str = "warn",
 ) -> RunResult:
     """Write every zone for one batch; returns per-table row counts and check results.
 
     ``incremental_silver``: silver folds in only the bronze rows it has not seen
     (the result equals a full rebuild; keys not touched keep their
     ``_silver_processed_at``). Off, silver is rebuilt from all bronze history.
+    ``fk_severity``: silver relationship tests warn by default, because a child
+    whose parent was rejected is an expected orphan; ``"error"`` makes them block.
     """
     res = RunResult()
     path = lambda zone, table: zone_path(root, env, zone, table, ci_schema)
@@ -182,6 +186,8 @@ def run_pipeline(
     _run_all([lambda e=e: entity_chain(e) for e in ENTITY_NAMES], threads)
 
     slv = {e: spark.read.parquet(path("silver", f"slv_{e}")) for e in ENTITY_NAMES}
+    # silver tests run before gold: an error-severity failure stops everything downstream
+    res.silver_checks = chk.raise_on_error(silver_checks(slv, fk_severity))
     gold = {
         "dim_customers": (G.dim_customers(slv["customers"], slv["orders"], tiers.customer), G.DIM_CUSTOMERS_CONTRACT),
         "dim_products": (G.dim_products(slv["products"], slv["order_items"], tiers.product), G.DIM_PRODUCTS_CONTRACT),
@@ -237,6 +243,30 @@ def _run_all(jobs: list, threads: int) -> None:
             f.result()
 
 
+def silver_checks(slv: dict[str, DataFrame], fk_severity: str = "warn") -> DataFrame:
+    """The silver zone's declared tests: keys not NULL and unique, required columns, statuses, FKs."""
+    C = chk.Check
+    from strata.operators.rules import ORDER_STATUSES
+
+    nn = lambda *cols: [C("not_null", c) for c in cols]
+    suites = {
+        "slv_customers": [*nn("customer_id", "email", "first_name", "last_name", "state_code", "country_code"),
+                          C("unique", "customer_id"), C("unique", "email")],
+        "slv_orders": [*nn("order_id", "customer_id", "total_amount", "status"), C("unique", "order_id"),
+                       C("accepted_values", "status", values=ORDER_STATUSES),
+                       C("relationships", "customer_id", to=slv["customers"], field_="customer_id", severity=fk_severity)],
+        "slv_order_items": [*nn("order_item_id", "order_id", "product_id", "quantity"), C("unique", "order_item_id"),
+                            C("relationships", "order_id", to=slv["orders"], field_="order_id", severity=fk_severity),
+                            C("relationships", "product_id", to=slv["products"], field_="product_id", severity=fk_severity)],
+        "slv_products": [*nn("product_id", "price", "cost"), C("unique", "product_id")],
+    }
+    out = None
+    for table, checks in suites.items():
+        part = chk.run_checks(slv[table.removeprefix("slv_")], table, checks)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def gold_checks(fct: DataFrame, dim_c: DataFrame, dim_p: DataFrame, tiers: Tiers = Tiers()) -> DataFrame:
     """The gold zone's declared tests, compiled per table into one pass + unique/FK jobs."""
     C = chk.Check

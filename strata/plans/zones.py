@@ -15,7 +15,7 @@ from strata.functions.keys import surrogate_key
 from strata.functions.text import clean_columns
 from strata.operators.dedup import latest_per_key
 from strata.operators.load import new_rows_since
-from strata.operators.metadata import ENTITY_TAGS, ts_literal, with_batch, with_bronze_tags
+from strata.operators.metadata import ts_literal, with_batch, with_bronze_tags
 from strata.operators.rules import business_rules, tag_rules, technical_rules, valid_expr
 from strata.plans.entities import ENTITIES
 
@@ -89,10 +89,6 @@ def silver_rejects(validated: DataFrame, entity: str, batch_ts: dt.datetime | st
     )
 
 
-def entity_tags(entity: str) -> tuple[str, str, str]:
-    return ENTITY_TAGS[entity]
-
-
 def silver_from_raw(raw: DataFrame, entity: str, batch_id: str, batch_ts: dt.datetime | str) -> DataFrame:
     """raw → transient → bronze → silver clean, for a single batch (no history)."""
     trn = transient(raw, entity, batch_id, batch_ts)

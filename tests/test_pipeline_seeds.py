@@ -123,3 +123,21 @@ def test_incremental_silver_equals_full_rebuild(spark, raws, scratch):
     assert cust == {1: "Chicago", 3: "Austin"}
     assert 104 in {r.order_id for r in spark.read.parquet(f"{inc}/silver/slv_orders").collect()}
     assert spark.read.parquet(f"{inc}/gold/fct_orders").count() == 7
+
+
+def test_silver_checks_block_gold_on_error(spark, raws, scratch):
+    from pyspark.sql import functions as F
+
+    r = run_pipeline(spark, raws, f"{scratch}/ok", batch=Batch("b1", "2024-02-01 06:00:00"))
+    st = {(x["table_name"], x["column_name"], x["check_name"]): x["status"] for x in r.silver_checks}
+    assert st[("slv_orders", "customer_id", "relationships")] == "warn"  # order 106 → unknown customer 9
+    assert st[("slv_customers", "email", "unique")] == "pass"
+    # two customers with the same e-mail: silver's unique(email) fails, gold is never built
+    dup = {**raws, "customers": raws["customers"].withColumn(
+        "email", F.when(F.col("customer_id") == 2, F.lit("ana@mail.com")).otherwise(F.col("email")))}
+    with pytest.raises(AssertionError, match="unique"):
+        run_pipeline(spark, dup, f"{scratch}/bad", batch=Batch("b1", "2024-02-01 06:00:00"))
+    from strata.sources.tables import table_exists
+
+    assert table_exists(spark, f"{scratch}/bad/silver/slv_customers")
+    assert not table_exists(spark, f"{scratch}/bad/gold/dim_customers")
