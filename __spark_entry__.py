@@ -180,6 +180,8 @@ _QUERIES.update(
         "schema_change_append_cols": (_k(K.schema_change_append_cols), O.schema_change_append_cols()),
         "schema_change_sync": (_k(K.schema_change_sync), O.schema_change_sync()),
         "snapshot_diff": (_k(K.snapshot_diff), O.snapshot_diff()),
+        "only_changed_customers": (_k(K.only_changed_customers), O.only_changed_customers()),
+        "orders_fk_rule": (_k(K.orders_fk_rule), O.orders_fk_rule()),
         "scd2_timestamp": (_k(K.scd2_timestamp), O.scd2_timestamp()),
         "scd2_hard_delete": (_k(K.scd2_hard_delete), O.scd2_hard_delete()),
         "scd2_as_of": (_k(K.scd2_as_of), O.scd2_as_of()),

@@ -670,3 +670,21 @@ def with_metadata_columns() -> str:
         f"{ts(LOAD2_TS)} AS _processed_at, 'run-0002' AS _batch_id FROM ({RAW_PRODUCTS}) AS p",
         ["price", "cost"],
     )
+
+
+def only_changed_customers() -> str:
+    cols = ["name", "nation_key", "segment", "updated_at"]
+    differs = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in cols)
+    return (
+        f"WITH v1 AS ({V1}), v2 AS ({V2}) SELECT n.* FROM v2 AS n LEFT JOIN v1 AS o ON n.customer_id = o.customer_id "
+        f"WHERE o.customer_id IS NULL OR {differs}"
+    )
+
+
+def orders_fk_rule() -> str:
+    orphan = (f"customer_id IS NOT NULL AND customer_id NOT IN "
+              f"(SELECT customer_id FROM ({silver('customers')}) AS c WHERE customer_id IS NOT NULL)")
+    return (
+        f"SELECT order_id, customer_id, CASE WHEN {orphan} THEN 'orphan customer' END AS _reject_reason, "
+        f"NOT coalesce({orphan}, false) AS _is_fk_valid FROM ({silver('orders')}) AS o"
+    )

@@ -128,6 +128,22 @@ def snapshot_diff(spark, sf):
     return L.diff(v1, v2, ["customer_id"])
 
 
+def only_changed_customers(spark, sf):
+    """D2 option: of the second extract, only rows that are new or differ from the first."""
+    v1, v2 = customer_versions(spark, sf)
+    return L.only_changed(v2, v1, ["customer_id"])
+
+
+def orders_fk_rule(spark, sf):
+    """Optional FK business rule: silver orders whose customer is not a silver customer."""
+    from strata.operators.rules import Rule, foreign_key_rule, tag_rules
+
+    t = _all(spark, sf, Batch())
+    tagged = foreign_key_rule(t["slv_orders"], t["slv_customers"], "customer_id")
+    out = tag_rules(tagged, [Rule("orphan customer", F.col("_fk_missing"))], "_is_fk_valid", "_reject_reason")
+    return out.select("order_id", "customer_id", "_reject_reason", "_is_fk_valid")
+
+
 def _history(spark, sf) -> DataFrame:
     v1, v2 = customer_versions(spark, sf)
     h1 = H.snapshot_timestamp(None, v1, "customer_id", "updated_at", SNAP1_TS)
