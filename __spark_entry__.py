@@ -208,6 +208,7 @@ _QUERIES.update(
         "runlog_summary": (_k(K.runlog_summary), O.runlog_summary()),
         "runlog_trend_monitor": (_k(K.runlog_trend_monitor), O.runlog_trend_monitor()),
         "with_metadata_columns": (_k(K.with_metadata_columns), O.with_metadata_columns()),
+        "streaming_dedupe_events": (_k(K.streaming_dedupe_events), "SELECT DISTINCT ON (event_id) * FROM events"),
         "mask_pii": (_k(K.mask_pii), O.mask_pii()),
         "slim_clone": (_k(K.slim_clone), O.rounded(O.silver("orders"), [], doubles=["total_amount"])),
         # seeded Bernoulli sample: no SQL equivalent with the same draw → rows-only check

@@ -285,6 +285,24 @@ def with_metadata_columns(spark, sf):
     return with_metadata(raw_entity(spark, sf, "products"), "fivetran", "product", "public", LOAD2_TS, "run-0002")
 
 
+def streaming_dedupe_events(spark, sf):
+    """Events as a file stream (availableNow) through the watermark de-duplication.
+
+    Runs the stream to completion into a parquet sink under the session's
+    checkpoint directory and returns the sink.
+    """
+    import uuid
+
+    from strata.sources.tables import ensure_checkpoint_dir
+    from strata.streaming import dedupe_stream_to_table
+
+    schema = read_table(spark, sf, "events").schema
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/strata_streams/events-{uuid.uuid4().hex}"
+    return dedupe_stream_to_table(
+        spark, sf, schema, ["event_id"], "ts", f"{root}/sink", f"{root}/_checkpoint", file_glob="events.parquet"
+    )
+
+
 # --------------------------------------------------------------------------- clones
 def mask_pii(spark, sf):
     brz = Z.bronze(Z.transient(raw_entity(spark, sf, "customers"), "customers", "run", LOAD2_TS), "customers", LOAD2_TS)

@@ -75,3 +75,38 @@ def dedupe_within_watermark(df: DataFrame, keys: list[str], event_time: str, del
 def late_rows_count(df: DataFrame, event_time: str, watermark_ts: str) -> DataFrame:
     """Rows older than a watermark timestamp (what a streaming job would drop as too late)."""
     return df.where(F.col(event_time) < F.lit(watermark_ts).cast("timestamp_ntz")).agg(F.count(F.lit(1)).alias("late_rows"))
+
+
+def dedupe_stream_to_table(
+    spark: SparkSession,
+    source_path: str,
+    schema: T.StructType,
+    keys: list[str],
+    event_time: str,
+    sink_path: str,
+    checkpoint_path: str,
+    delay: str = "3 days",
+    file_glob: str | None = None,
+) -> DataFrame:
+    """Run a file-source stream through ``dedupe_within_watermark`` into a parquet sink.
+
+    ``source_path`` is a directory; ``file_glob`` picks its files (e.g. one table).
+
+    ``availableNow`` processes what has landed and stops; the parquet sink's own
+    log makes every epoch exactly-once. Returns the sink as a batch DataFrame.
+    """
+    reader = spark.readStream.schema(schema)
+    if file_glob:
+        reader = reader.option("pathGlobFilter", file_glob)
+    stream = reader.parquet(source_path)
+    q = (
+        dedupe_within_watermark(stream, keys, event_time, delay)
+        .writeStream.format("parquet")
+        .option("path", sink_path)
+        .option("checkpointLocation", checkpoint_path)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(sink_path)
