@@ -101,6 +101,28 @@ def clone_for_ci(
     return f"Clone completed. {n} tables cloned into {target_schema} (mode={mode}, sample={pct}%)."
 
 
+def clone_zones(
+    spark: SparkSession,
+    root: str,
+    zones: str,
+    target_root: str,
+    target_schema: str,
+    pct: float = 0,
+    table_list: str = "*",
+    seed: int = 42,
+    masks: Mapping[str, Mapping[str, str]] | None = None,
+) -> str:
+    """Full mode: every table found in the comma-separated ``zones`` under ``root``;
+    slim mode: only the ``SCHEMA.TABLE`` entries of ``table_list``."""
+    from strata.sources.tables import list_tables
+
+    tables: dict[tuple[str, str], DataFrame] = {}
+    for zone in [z.strip() for z in zones.split(",") if z.strip()]:
+        for t in list_tables(spark, f"{root.rstrip('/')}/{zone}"):
+            tables[(zone, t)] = spark.read.parquet(f"{root.rstrip('/')}/{zone}/{t}")
+    return clone_for_ci(spark, tables, target_root, target_schema, pct, table_list, seed, masks)
+
+
 def drop_ci_schema(spark: SparkSession, root: str, schema: str) -> None:
     """Teardown of a CI schema (only PR_/CI_ names, to protect real zones)."""
     if not schema.upper().startswith(("PR_", "CI_")):

@@ -56,6 +56,19 @@ def register_views(tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
+def list_tables(spark: SparkSession, zone_dir: str) -> list[str]:
+    """Table directories directly under a zone directory (hidden / staging ones skipped)."""
+    fs, p = _jvm_path(spark, zone_dir)
+    if not fs.exists(p):
+        return []
+    names = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and not name.startswith(("_", ".")) and ".__" not in name:
+            names.append(name)
+    return sorted(names)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _jvm_path(spark, path)
     return bool(fs.exists(p))

@@ -141,3 +141,21 @@ def test_silver_checks_block_gold_on_error(spark, raws, scratch):
 
     assert table_exists(spark, f"{scratch}/bad/silver/slv_customers")
     assert not table_exists(spark, f"{scratch}/bad/gold/dim_customers")
+
+
+def test_clone_zones_full_and_slim(spark, raws, scratch):
+    from strata.operators.clone import clone_zones
+    from strata.sources.tables import list_tables
+
+    root = f"{scratch}/lake"
+    run_pipeline(spark, raws, root, batch=Batch("b1", "2024-02-01 06:00:00"))
+    gold = list_tables(spark, f"{root}/gold")
+    assert gold == ["dim_customers", "dim_products", "fct_orders"]
+    msg = clone_zones(spark, root, "gold, gold_analytics", f"{scratch}/ci", "PR_9", pct=0,
+                      masks={"dim_customers": {"email": "redact_email"}})
+    assert "6 tables" in msg and "mode=full" in msg
+    assert spark.read.parquet(f"{scratch}/ci/PR_9/GOLD_FCT_ORDERS").count() == 6
+    emails = {r.email for r in spark.read.parquet(f"{scratch}/ci/PR_9/GOLD_DIM_CUSTOMERS").collect()}
+    assert emails == {"***@mail.com"}
+    slim = clone_zones(spark, root, "silver", f"{scratch}/ci", "PR_10", pct=0, table_list="silver.slv_orders")
+    assert "1 tables" in slim and list_tables(spark, f"{scratch}/ci/PR_10") == ["SILVER_SLV_ORDERS"]
