@@ -28,3 +28,23 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, cores: int | None = None) -> dict[str, str]:
+    """Session settings sized from the input volume (apply with ``spark.conf.set``).
+
+    Shuffle partitions ≈ input / 256 MB (at least 2× the cores so every core has
+    work), rounded up; AQE then coalesces small ones and splits skewed ones at
+    the same advisory size. Scan splits use the same target.
+    """
+    parts = max(1, -(-input_bytes // target_partition_bytes))
+    if cores:
+        parts = max(parts, 2 * cores)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 4),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }

@@ -42,3 +42,11 @@ def test_cli_runs_on_seeds(spark, scratch, capsys):
     main(["--root", f"{scratch}/lake", "--seeds", SEEDS, "--env", "dev"])
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["written"]["fct_orders"] == 6
+
+
+def test_scale_conf():
+    from strata.session import scale_conf
+
+    c = scale_conf(100 * 2**40, cores=8000)  # 100 TB on 8,000 cores
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(10 * 2**20, cores=8)["spark.sql.shuffle.partitions"] == "16"
