@@ -20,7 +20,7 @@ from strata.operators.rules import business_rules, tag_rules
 from strata.plans import catalog as K
 from strata.plans import zones as Z
 from strata.plans.pipeline import TPCH_TIERS, Batch, build
-from strata.sources.tpch import raw_entity
+from strata.sources.tpch import RawEntities, raw_entity
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 BATCH = Batch(O.BATCH_ID, O.BATCH_TS)
@@ -42,7 +42,7 @@ def _out(df: DataFrame, round_cols: tuple[str, ...] = (), places: int = 4) -> Da
 
 
 def _raws(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {e: raw_entity(spark, sf, e) for e in ENTITIES}
+    return RawEntities(spark, sf)
 
 
 def _gold(spark: SparkSession, sf: str, name: str) -> DataFrame:

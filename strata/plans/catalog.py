@@ -21,7 +21,7 @@ from strata.plans import gold as G
 from strata.plans import zones as Z
 from strata.plans.pipeline import TPCH_TIERS, Batch, build, gold_checks
 from strata.sources.tables import materialize
-from strata.sources.tpch import customer_versions, raw_entity, raw_query_history, read_table
+from strata.sources.tpch import RawEntities, customer_versions, raw_entity, raw_query_history, read_table
 
 ENTITIES = ("customers", "orders", "order_items", "products")
 # Scenario clocks.
@@ -36,7 +36,7 @@ SPLIT_DATE = "1998-01-01"
 
 
 def _all(spark: SparkSession, sf: str, batch: Batch) -> dict[str, DataFrame]:
-    return build({e: raw_entity(spark, sf, e) for e in ENTITIES}, batch, TPCH_TIERS)
+    return build(RawEntities(spark, sf), batch, TPCH_TIERS)
 
 
 # --------------------------------------------------------------------------- loads

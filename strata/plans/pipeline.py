@@ -53,21 +53,40 @@ def silver_of(raw: DataFrame, entity: str, batch: Batch) -> DataFrame:
     return Z.silver_from_raw(raw, entity, batch.batch_id, batch.batch_ts)
 
 
+class _Tables(dict):
+    """Table name → lazy DataFrame, each built on first access (and only its inputs)."""
+
+    def __init__(self, raws: dict[str, DataFrame], batch: Batch, tiers: Tiers):
+        super().__init__()
+        self._raws, self._batch, self._tiers = raws, batch, tiers
+        self._recipes = {
+            **{f"slv_{e}": (lambda e=e: silver_of(self._raws[e], e, self._batch)) for e in ENTITY_NAMES},
+            "dim_customers": lambda: G.dim_customers(self["slv_customers"], self["slv_orders"], self._tiers.customer),
+            "dim_products": lambda: G.dim_products(self["slv_products"], self["slv_order_items"], self._tiers.product),
+            "fct_orders": lambda: G.fct_orders(self["slv_order_items"], self["slv_orders"]),
+            "agg_daily_revenue": lambda: G.agg_daily_revenue(self["fct_orders"]),
+            "agg_sales_by_customer": lambda: G.agg_sales_by_customer(self["dim_customers"]),
+            "agg_sales_by_product": lambda: G.agg_sales_by_product(self["dim_products"]),
+        }
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in self._recipes:
+            raise KeyError(name)
+        df = self[name] = self._recipes[name]()
+        return df
+
+    def keys(self):  # every table that can be built, not only the ones built so far
+        return self._recipes.keys()
+
+
 def build(raws: dict[str, DataFrame], batch: Batch = Batch(), tiers: Tiers = Tiers()) -> dict[str, DataFrame]:
-    """All silver, gold and analytics tables as lazy DataFrames (single batch)."""
-    slv = {e: silver_of(raws[e], e, batch) for e in ENTITY_NAMES}
-    dc = G.dim_customers(slv["customers"], slv["orders"], tiers.customer)
-    dp = G.dim_products(slv["products"], slv["order_items"], tiers.product)
-    fo = G.fct_orders(slv["order_items"], slv["orders"])
-    return {
-        **{f"slv_{e}": df for e, df in slv.items()},
-        "dim_customers": dc,
-        "dim_products": dp,
-        "fct_orders": fo,
-        "agg_daily_revenue": G.agg_daily_revenue(fo),
-        "agg_sales_by_customer": G.agg_sales_by_customer(dc),
-        "agg_sales_by_product": G.agg_sales_by_product(dp),
-    }
+    """Silver, gold and analytics tables as lazy DataFrames (single batch).
+
+    Returns a mapping that constructs a table (and only what it depends on) when
+    it is first looked up: building a DataFrame costs analysis round-trips, so a
+    caller that needs one table does not pay for all of them.
+    """
+    return _Tables(raws, batch, tiers)
 
 
 # --------------------------------------------------------------------------- production run

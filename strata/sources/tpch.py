@@ -35,8 +35,24 @@ def _money(c: F.Column) -> F.Column:
     return c.cast(MONEY)
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read an input table. Inputs are immutable snapshots, so the schema taken
+    from the parquet footers the first time is reused: later reads skip footer
+    inference (~5x cheaper to construct) and still list the files afresh."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
+
+
+def clear_schema_cache() -> None:
+    _SCHEMAS.clear()
 
 
 def _days_after(base: str, days) -> F.Column:
@@ -148,6 +164,20 @@ def raw_entity(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return RAW_READERS[entity](spark, sf_dir)
 
 
+class RawEntities(dict):
+    """entity → raw DataFrame, constructed on first lookup."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._spark, self._sf = spark, sf_dir
+
+    def __missing__(self, entity: str) -> DataFrame:
+        if entity not in RAW_READERS:
+            raise KeyError(entity)
+        df = self[entity] = raw_entity(self._spark, self._sf, entity)
+        return df
+
+
 # Which model each event type stands for in the run-log stand-in,
 # and the statement type it was written with.
 EVENT_MODEL = {"click": "dim_customers", "view": "fct_orders", "purchase": "agg_daily_revenue", "error": "dim_products"}
