@@ -235,8 +235,13 @@ def quality_summary(spark, sf):
     tables are first written once (parquet under the session's checkpoint dir)
     instead of being recomputed from raw per check.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     t = _all(spark, sf, Batch())
-    fct, dc, dp = (materialize(t[n], n) for n in ("fct_orders", "dim_customers", "dim_products"))
+    names = ("fct_orders", "dim_customers", "dim_products")
+    built = [t[n] for n in names]  # construct on this thread, write concurrently
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        fct, dc, dp = pool.map(lambda nd: materialize(nd[1], nd[0]), zip(names, built))
     return gold_checks(fct, dc, dp, TPCH_TIERS)
 
 
