@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.joins import broadcast_if_small
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -63,10 +65,10 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
-    # nation (25 rows) and region (5 rows) are fixed-size dimensions; the
-    # planner broadcasts them from their file-size estimate.
-    geo = n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "n_name", "r_name")
-    j = c.join(geo, c.c_nationkey == geo.n_nationkey, "left")
+    # nation (25 rows) and region (5 rows) are fixed-size dimensions: broadcast,
+    # behind a size check on the optimizer's estimate
+    geo = n.join(broadcast_if_small(r), n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "n_name", "r_name")
+    j = c.join(broadcast_if_small(geo), c.c_nationkey == geo.n_nationkey, "left")
     dotted = F.replace(F.col("c_name"), F.lit("#"), F.lit("."))
     created = _days_after("2020-01-01", F.col("c_nationkey"))
     return j.select(

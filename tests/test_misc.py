@@ -50,3 +50,19 @@ def test_scale_conf():
     c = scale_conf(100 * 2**40, cores=8000)  # 100 TB on 8,000 cores
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert scale_conf(10 * 2**20, cores=8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_broadcast_if_small(spark):
+    from strata.operators.joins import broadcast_if_small, estimated_bytes
+
+    small = spark.read.parquet("/root/testdata/sf0.001/nation.parquet")
+    big = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    assert estimated_bytes(small) < 1 << 20
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lambda side: big.join(side, big.c_nationkey == side.n_nationkey)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan(broadcast_if_small(small))
+        assert "BroadcastHashJoin" not in plan(broadcast_if_small(small, max_bytes=1))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
