@@ -8,19 +8,26 @@ rounded (4 places, both sides), because engines sum in different orders.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-import oracle_queries as O
-from strata.functions.keys import surrogate_key
-from strata.operators.rules import business_rules, tag_rules
-from strata.plans import catalog as K
-from strata.plans import zones as Z
-from strata.plans.pipeline import TPCH_TIERS, Batch, build
-from strata.sources.tpch import RawEntities, raw_entity
+# importable by file path from any working directory
+_ROOT = os.path.dirname(os.path.abspath(__file__))
+if _ROOT not in sys.path:
+    sys.path.insert(0, _ROOT)
+
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+import oracle_queries as O  # noqa: E402
+from strata.functions.keys import surrogate_key  # noqa: E402
+from strata.operators.rules import business_rules, tag_rules  # noqa: E402
+from strata.plans import catalog as K  # noqa: E402
+from strata.plans import zones as Z  # noqa: E402
+from strata.plans.pipeline import TPCH_TIERS, Batch, build  # noqa: E402
+from strata.sources.tpch import RawEntities, raw_entity  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 BATCH = Batch(O.BATCH_ID, O.BATCH_TS)
