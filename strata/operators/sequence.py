@@ -50,12 +50,18 @@ def bucketed_lag(
     """
     b = df.withColumn("__bucket", bucket)
     w_in = Window.partitionBy(*group, "__bucket").orderBy(*_asc(order))
-    local = b.withColumns({f"__lag_{c}": F.lag(c).over(w_in) for c in cols}).withColumn("__first", F.row_number().over(w_in) == 1)
-    order_struct = F.struct(*[F.col(o) for o in order])
-    last = b.groupBy(*group, "__bucket").agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order_struct).alias("__last"))
+    local = b.withColumns(
+        {
+            **{f"__lag_{c}": F.lag(c).over(w_in) for c in cols},
+            "__first": F.row_number().over(w_in) == 1,
+            # the bucket's last row is the one without a successor: no extra aggregate
+            "__last_row": F.lead(F.lit(1)).over(w_in).isNull(),
+        }
+    )
+    last = local.where("__last_row").select(*group, "__bucket", F.struct(*[F.col(c) for c in cols]).alias("__last"))
     w_prev = Window.partitionBy(*group).orderBy("__bucket")
     prev = last.withColumn("__prev", F.lag("__last").over(w_prev)).drop("__last")
     out = local.join(prev, [*group, "__bucket"], "left")
     return out.withColumns(
         {f"{prefix}{c}": F.when(F.col("__first"), F.col(f"__prev.{c}")).otherwise(F.col(f"__lag_{c}")) for c in cols}
-    ).drop("__bucket", "__first", "__prev", *[f"__lag_{c}" for c in cols])
+    ).drop("__bucket", "__first", "__last_row", "__prev", *[f"__lag_{c}" for c in cols])
