@@ -163,10 +163,12 @@ def run_pipeline(
         record(f"trn_{e}_rejects", "transient", "merge", merge_upsert(old, rej, ["_reject_id"]),
                lambda d, p=rej_path: write_table(d, p))
         # bronze: append valid rows newer than the high-water mark, kept in a
-        # one-row-per-load side table (no max() over the growing bronze table)
+        # one-row-per-load side table (no max() over the growing bronze table);
+        # partitioned by load date so later readers prune whole loads
         brz_path = path("bronze", f"brz_{e}")
-        record(f"brz_{e}", "bronze", "incremental", Z.bronze(trn_all, e, batch.batch_ts),
-               lambda d, p=brz_path: append_table(d, p, "_loaded_at", hwm_path=f"{p}.__hwm"))
+        brz_new = Z.bronze(trn_all, e, batch.batch_ts).withColumn("_load_date", F.to_date("_loaded_at"))
+        record(f"brz_{e}", "bronze", "incremental", brz_new,
+               lambda d, p=brz_path: append_table(d, p, "_loaded_at", partition_by=["_load_date"], hwm_path=f"{p}.__hwm"))
         # silver: validated once (written, partitioned by the business flag), then
         # clean and rejects read from it. Incremental mode validates only bronze
         # rows newer than silver's own mark and replaces those keys in silver.
@@ -176,8 +178,9 @@ def run_pipeline(
         brz = spark.read.parquet(brz_path)
         incremental = incremental_silver and table_exists(spark, slv_path) and table_exists(spark, slv_mark)
         if incremental:
-            # old batches' files are skipped through parquet min/max stats on _loaded_at
-            brz = brz.where(F.col("_loaded_at") > F.lit(high_water_mark(spark.read.parquet(slv_mark), "hwm")))
+            # the date predicate prunes old load partitions; the exact one keeps rows after the mark
+            hwm = F.lit(high_water_mark(spark.read.parquet(slv_mark), "hwm")).cast("timestamp_ntz")
+            brz = brz.where((F.col("_load_date") >= F.to_date(hwm)) & (F.col("_loaded_at") > hwm))
         seen = Observation(f"{e}_bronze_seen")
         brz = brz.observe(seen, F.max("_loaded_at").alias("hwm"))
         record(f"slv_{e}_validated", "silver", "table", Z.silver_validated(brz, e, batch.batch_ts),
