@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import checks as chk
 from strata.operators.load import append_table, high_water_mark, merge_upsert, new_rows_since
+from strata.operators.metadata import ts_literal
 from strata.operators.runlog import log_entry, tag_text
 from strata.operators.scd2 import snapshot_timestamp
 from strata.plans import gold as G
@@ -113,9 +114,8 @@ def run_pipeline(
 ) -> RunResult:
     """Write every zone for one batch; returns per-table row counts and check results.
 
-    ``incremental_silver``: silver folds in only the bronze rows it has not seen
-    (the result equals a full rebuild; keys not touched keep their
-    ``_silver_processed_at``). Off, silver is rebuilt from all bronze history.
+    ``incremental_silver``: silver folds in only the bronze rows it has not seen;
+    the result equals a full rebuild. Off, silver is rebuilt from all bronze history.
     ``fk_severity``: silver relationship tests warn by default, because a child
     whose parent was rejected is an expected orphan; ``"error"`` makes them block.
     """
@@ -190,6 +190,8 @@ def run_pipeline(
         if incremental:
             touched = val.select(ent.key)
             clean = spark.read.parquet(slv_path).join(touched, ent.key, "left_anti").unionByName(clean)
+            # the table is rewritten anyway: stamp every row with this run, as a rebuild does
+            clean = clean.withColumn("_silver_processed_at", ts_literal(batch.batch_ts))
         record(f"slv_{e}", "silver", "table", clean, lambda d, p=slv_path: write_table(d, p))
         mark = seen.get.get("hwm")
         if mark is not None:

@@ -112,12 +112,12 @@ def test_incremental_silver_equals_full_rebuild(spark, raws, scratch):
         run_pipeline(spark, r, inc, batch=Batch(f"b{i}", ts), incremental_silver=True)
         run_pipeline(spark, r, full, batch=Batch(f"b{i}", ts), incremental_silver=False)
     for e in ENTITIES:
-        a = spark.read.parquet(f"{inc}/silver/slv_{e}").drop("_silver_processed_at")
-        b = spark.read.parquet(f"{full}/silver/slv_{e}").drop("_silver_processed_at")
+        a = spark.read.parquet(f"{inc}/silver/slv_{e}")
+        b = spark.read.parquet(f"{full}/silver/slv_{e}")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, e
         # and both equal the definition: latest per key over all bronze, then valid
         brz = spark.read.parquet(f"{full}/bronze/brz_{e}")
-        ref = Z.silver_clean(Z.silver_validated(brz, e, "2024-02-03 06:00:00"), e).drop("_silver_processed_at")
+        ref = Z.silver_clean(Z.silver_validated(brz, e, "2024-02-03 06:00:00"), e)
         assert ref.exceptAll(a).count() == 0 and a.exceptAll(ref).count() == 0, e
     cust = {r.customer_id: r.city for r in spark.read.parquet(f"{inc}/silver/slv_customers").collect()}
     assert cust == {1: "Chicago", 3: "Austin"}
