@@ -42,7 +42,7 @@ def high_water_mark(target: DataFrame | None, col: str, default=DEFAULT_HWM):
     return default if value is None else value
 
 
-def _lit_like(value, data_type: T.DataType | None = None) -> Column:
+def typed_literal(value, data_type: T.DataType | None = None) -> Column:
     """A literal typed like the column it is compared with (NTZ stays NTZ)."""
     if isinstance(value, dt.datetime):
         value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
@@ -70,7 +70,7 @@ def new_rows_since(
     ``lookback`` is an interval text such as ``'3 days'``.
     """
     hwm = high_water_mark(target, col, default)
-    bound = _lit_like(hwm, _type_of(src, col))
+    bound = typed_literal(hwm, _type_of(src, col))
     if lookback:
         bound = bound - F.expr(f"INTERVAL {lookback}")
     return src.where(F.col(col) > bound)
@@ -117,7 +117,7 @@ def append_table(
             hwm = high_water_mark(spark.read.parquet(hwm_path), "hwm")
         else:
             hwm = high_water_mark(spark.read.parquet(path), col)
-        new = src.where(F.col(col) > _lit_like(hwm, _type_of(src, col)))
+        new = src.where(F.col(col) > typed_literal(hwm, _type_of(src, col)))
     else:
         new = src
     obs = Observation("appended")
@@ -203,7 +203,7 @@ def delete_insert(target: DataFrame, src: DataFrame, col: str, start, end) -> Da
     """Replace the half-open window ``[start, end)`` of ``col``: target outside ∪ source inside."""
     def inside(df: DataFrame) -> Column:
         t = _type_of(df, col)
-        return (F.col(col) >= _lit_like(start, t)) & (F.col(col) < _lit_like(end, t))
+        return (F.col(col) >= typed_literal(start, t)) & (F.col(col) < typed_literal(end, t))
 
     outside = target.where(~inside(target) | F.col(col).isNull())
     return outside.unionByName(src.where(inside(src)))
@@ -259,7 +259,8 @@ def run_microbatch(
     for s, e in time_slices(start, end, size):
         if only is not None and s not in only:
             continue
-        part = src.where((F.col(col) >= F.lit(s).cast("timestamp_ntz")) & (F.col(col) < F.lit(e).cast("timestamp_ntz")))
+        t = _type_of(src, col)
+        part = src.where((F.col(col) >= typed_literal(s, t)) & (F.col(col) < typed_literal(e, t)))
         sink(transform(part), s, e)
         done.append((s, e))
     return done

@@ -16,9 +16,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators import checks as chk
-from strata.operators.load import append_table, high_water_mark, merge_upsert, new_rows_since
+from strata.operators.load import append_table, high_water_mark, merge_upsert, new_rows_since, typed_literal
 from strata.operators.metadata import ts_literal
 from strata.operators.runlog import log_entry, tag_text
 from strata.operators.scd2 import snapshot_timestamp
@@ -179,7 +180,7 @@ def run_pipeline(
         incremental = incremental_silver and table_exists(spark, slv_path) and table_exists(spark, slv_mark)
         if incremental:
             # the date predicate prunes old load partitions; the exact one keeps rows after the mark
-            hwm = F.lit(high_water_mark(spark.read.parquet(slv_mark), "hwm")).cast("timestamp_ntz")
+            hwm = typed_literal(high_water_mark(spark.read.parquet(slv_mark), "hwm"), T.TimestampNTZType())
             brz = brz.where((F.col("_load_date") >= F.to_date(hwm)) & (F.col("_loaded_at") > hwm))
         seen = Observation(f"{e}_bronze_seen")
         brz = brz.observe(seen, F.max("_loaded_at").alias("hwm"))

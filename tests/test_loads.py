@@ -162,3 +162,22 @@ def test_append_table_schema_change_modes(spark, scratch):
     L.append_table(base, p4, "ts")
     with pytest.raises(ValueError, match="schema changed"):
         L.append_table(wider, p4, "ts", on_schema_change="fail")
+
+
+def test_high_water_mark_literal_ignores_python_time_zone(spark):
+    import os
+    import time
+
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "America/New_York"
+    time.tzset()
+    try:
+        src = _df(spark, [(1, "a", T(2024, 1, 1, 10)), (2, "b", T(2024, 1, 1, 12))])
+        tgt = _df(spark, [(0, "t", T(2024, 1, 1, 11))])
+        assert [r.id for r in L.new_rows_since(src, tgt, "ts").collect()] == [2]
+    finally:
+        if old is None:
+            os.environ.pop("TZ", None)
+        else:
+            os.environ["TZ"] = old
+        time.tzset()
