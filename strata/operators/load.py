@@ -77,9 +77,12 @@ def new_rows_since(
 
 
 # --------------------------------------------------------------------------- append
-def append_incremental(src: DataFrame, target: DataFrame | None, col: str, default=DEFAULT_HWM) -> DataFrame:
-    """The target after an append load: target ∪ (source rows newer than its high-water mark)."""
-    new = new_rows_since(src, target, col, default)
+def append_incremental(
+    src: DataFrame, target: DataFrame | None, col: str, default=DEFAULT_HWM, lookback: str | None = None
+) -> DataFrame:
+    """The target after an append load: target ∪ (source rows newer than its high-water mark,
+    minus ``lookback`` when given — re-taken rows then need a merge, see ``lookback_merge``)."""
+    new = new_rows_since(src, target, col, default, lookback)
     return new if target is None else target.unionByName(new)
 
 

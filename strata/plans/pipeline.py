@@ -161,7 +161,7 @@ def run_pipeline(
         old = spark.read.parquet(rej_path) if table_exists(spark, rej_path) else None
         if old is not None:
             rej = new_rows_since(rej, old, "_rejected_at")
-        record(f"trn_{e}_rejects", "transient", "merge", merge_upsert(old, rej, ["_reject_id"]),
+        record(f"trn_{e}_rejects", "transient", "merge", merge_upsert(old, rej, ["_reject_id"], dedupe_order=_reject_order(rej)),
                lambda d, p=rej_path: write_table(d, p))
         # bronze: append valid rows newer than the high-water mark, kept in a
         # one-row-per-load side table (no max() over the growing bronze table);
@@ -203,7 +203,7 @@ def run_pipeline(
         sold = spark.read.parquet(srej_path) if table_exists(spark, srej_path) else None
         if sold is not None:
             srej = new_rows_since(srej, sold, "_rejected_at")
-        record(f"slv_{e}_rejects", "silver", "merge", merge_upsert(sold, srej, ["_reject_id"]),
+        record(f"slv_{e}_rejects", "silver", "merge", merge_upsert(sold, srej, ["_reject_id"], dedupe_order=_reject_order(srej)),
                lambda d, p=srej_path: write_table(d, p))
 
     # the four entity chains are independent: submit them concurrently
@@ -255,6 +255,12 @@ def run_pipeline(
     return res
 
 
+def _reject_order(rej: DataFrame) -> list:
+    """Total order for rejects sharing a ``_reject_id`` (NULL key parts collide, SURVEY D6):
+    latest first, then a hash of the whole row, so one row per id is kept deterministically."""
+    return ["_rejected_at desc", F.xxhash64(*rej.columns).desc()]
+
+
 def _run_all(jobs: list, threads: int) -> None:
     """Run independent write jobs, ``threads`` at a time; the first failure is raised."""
     if threads <= 1:

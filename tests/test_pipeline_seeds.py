@@ -159,3 +159,16 @@ def test_clone_zones_full_and_slim(spark, raws, scratch):
     assert emails == {"***@mail.com"}
     slim = clone_zones(spark, root, "silver", f"{scratch}/ci", "PR_10", pct=0, table_list="silver.slv_orders")
     assert "1 tables" in slim and list_tables(spark, f"{scratch}/ci/PR_10") == ["SILVER_SLV_ORDERS"]
+
+
+def test_reject_ids_stay_unique_when_key_parts_collide(spark, raws, scratch):
+    from pyspark.sql import functions as F
+
+    # two raw customers with id 6 and a NULL e-mail: same reject id (id, NULL marker)
+    extra = raws["customers"].where("customer_id = 6").withColumn("first_name", F.lit("twin"))
+    dup = {**raws, "customers": raws["customers"].unionByName(extra)}
+    root = f"{scratch}/d6"
+    for i in range(2):
+        run_pipeline(spark, dup, root, batch=Batch(f"b{i}", f"2024-02-0{i + 1} 06:00:00"))
+    rej = spark.read.parquet(f"{root}/transient/trn_customers_rejects")
+    assert rej.count() == 1 and rej.select("_reject_id").distinct().count() == 1
