@@ -150,11 +150,12 @@ def merge_upsert(
     keys: Sequence[str],
     dedupe_order: Sequence[str | Column] | None = None,
     null_safe: bool = True,
+    check_unique: bool = False,
 ) -> DataFrame:
     """Matched keys take the source row, unmatched rows of both sides are kept.
 
     The source must be unique on ``keys``: pass ``dedupe_order`` to keep the
-    latest source row per key. With ``null_safe`` NULL key parts match each
+    latest source row per key, or ``check_unique`` to raise on duplicates. With ``null_safe`` NULL key parts match each
     other, which makes the merge idempotent (a second application is a no-op).
     Plan: one anti-join of the target against the (usually small) source, so
     AQE can broadcast the source side from its runtime size, plus a union.
@@ -163,6 +164,11 @@ def merge_upsert(
         raise ValueError("merge needs key columns")
     if dedupe_order:
         src = latest_per_key(src, keys, dedupe_order)
+    elif check_unique:
+        # one aggregate job; only a single offending key is fetched
+        dup = src.groupBy(*keys).count().where("count > 1").limit(1).collect()
+        if dup:
+            raise ValueError(f"merge source is not unique on {list(keys)}: {dup[0].asDict()}")
     if target is None:
         return src
     src = src.select(*target.columns) if set(target.columns) == set(src.columns) else src

@@ -181,3 +181,10 @@ def test_high_water_mark_literal_ignores_python_time_zone(spark):
         else:
             os.environ["TZ"] = old
         time.tzset()
+
+
+def test_merge_check_unique_raises(spark):
+    src = _df(spark, [(1, "a", T(2024, 1, 1)), (1, "b", T(2024, 1, 2))])
+    with pytest.raises(ValueError, match="not unique"):
+        L.merge_upsert(None, src, ["id"], check_unique=True)
+    assert L.merge_upsert(None, src.where("v = 'a'"), ["id"], check_unique=True).count() == 1
