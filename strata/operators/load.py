@@ -112,7 +112,9 @@ def append_table(
     spark = src.sparkSession
     exists = table_exists(spark, path) and not full_refresh
     if exists:
-        current = spark.read.option("mergeSchema", "true").parquet(path)
+        # the merged schema needs every file footer; only the column-changing modes need it
+        merge = on_schema_change in ("append_new_columns", "sync_all_columns", "fail")
+        current = spark.read.option("mergeSchema", str(merge).lower()).parquet(path)
         aligned_target, src = align_schema(current, src, on_schema_change)
         if on_schema_change == "sync_all_columns" and aligned_target.columns != current.columns:
             write_table(cut_lineage(aligned_target), path)  # rewrite old rows to the new column set
