@@ -172,3 +172,25 @@ def test_reject_ids_stay_unique_when_key_parts_collide(spark, raws, scratch):
         run_pipeline(spark, dup, root, batch=Batch(f"b{i}", f"2024-02-0{i + 1} 06:00:00"))
     rej = spark.read.parquet(f"{root}/transient/trn_customers_rejects")
     assert rej.count() == 1 and rej.select("_reject_id").distinct().count() == 1
+
+
+def test_reports_on_the_jobs_own_run_log(spark, raws, scratch):
+    from strata.operators import runlog as R
+
+    log_path = f"{scratch}/own_log"
+    for i in range(2):
+        run_pipeline(spark, raws, f"{scratch}/lake2", env="prod", batch=Batch(f"b{i}", f"2024-02-0{i + 1} 06:00:00"),
+                     log_path=log_path)
+    log = R.parse_log(spark.read.parquet(log_path))
+    n_models = log.where("invocation_id = 'b0'").count()
+    assert n_models == log.where("invocation_id = 'b1'").count() > 25
+    seq = [r.event_sequence for r in log.where("invocation_id = 'b1'").orderBy("event_sequence").collect()]
+    assert seq == list(range(1, n_models + 1))
+    import datetime as dt
+
+    slow = R.slowest_models(log, dt.datetime.now(), env="prod", days=1).collect()
+    assert len(slow) == n_models and all(r.run_count == 2 for r in slow)
+    trend = R.trend_monitor(log).where("model = 'fct_orders'").orderBy("start_time").collect()
+    assert [r.row_flag for r in trend] == ["first", "ok"] and trend[1].prev_rows_inserted == 6
+    summary = {r.invocation_id: (r.models_run, r.models_failed) for r in R.invocation_summary(log).collect()}
+    assert summary == {"b0": (n_models, 0), "b1": (n_models, 0)}
