@@ -72,11 +72,6 @@ def dedupe_within_watermark(df: DataFrame, keys: list[str], event_time: str, del
     return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def late_rows_count(df: DataFrame, event_time: str, watermark_ts: str) -> DataFrame:
-    """Rows older than a watermark timestamp (what a streaming job would drop as too late)."""
-    return df.where(F.col(event_time) < F.lit(watermark_ts).cast("timestamp_ntz")).agg(F.count(F.lit(1)).alias("late_rows"))
-
-
 def dedupe_stream_to_table(
     spark: SparkSession,
     source_path: str,
