@@ -12,11 +12,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.metadata import ts_literal
+from strata.operators.dedup import sequence_in_group
 from strata.operators.sequence import bucketed_lag, bucketed_row_number
 
 # Statement types that count as a model write.
@@ -125,8 +126,7 @@ def parse_log(log: DataFrame, sequence_bucket: Column | None = None) -> DataFram
     )
     if sequence_bucket is not None:
         return bucketed_row_number(kept, ["invocation_id"], ["start_time", "query_id"], sequence_bucket, "event_sequence")
-    w = Window.partitionBy("invocation_id").orderBy(F.col("start_time").asc_nulls_last(), F.col("query_id").asc_nulls_last())
-    return kept.withColumn("event_sequence", F.row_number().over(w))
+    return sequence_in_group(kept, ["invocation_id"], ["start_time", "query_id"], "event_sequence")
 
 
 # --------------------------------------------------------------------------- reports

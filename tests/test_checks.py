@@ -74,3 +74,8 @@ def test_contract(spark):
     assert "missing column y" in msg and "undeclared column s" in msg and "column id is bigint" in msg
     coerced = chk.enforce_contract(df.drop("s", "x").withColumn("y", F.lit("k")), bad, coerce=True)
     assert dict(coerced.dtypes) == {"id": "int", "y": "string"}
+
+
+def test_unique_violations_lists_offending_values(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,)], "k int")
+    assert [(r.k, r.row_count) for r in chk.unique_violations(df, ["k"]).collect()] == [(1, 2)]

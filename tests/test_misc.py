@@ -66,3 +66,15 @@ def test_broadcast_if_small(spark):
         assert "BroadcastHashJoin" not in plan(broadcast_if_small(small, max_bytes=1))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_input_schema_cache(spark):
+    from strata.sources import tpch
+
+    tpch.clear_schema_cache()
+    a = tpch.read_table(spark, "/root/testdata/sf0.001", "region")
+    assert "/root/testdata/sf0.001/region.parquet" in tpch._SCHEMAS
+    b = tpch.read_table(spark, "/root/testdata/sf0.001", "region")
+    assert a.schema == b.schema and b.count() == a.count() == 5
+    tpch.clear_schema_cache()
+    assert not tpch._SCHEMAS
