@@ -1,4 +1,9 @@
-"""Per-entity facts the zones need: key, columns, standardisation, reject keys."""
+"""Per-entity facts the zones need: key, columns, standardisation, reject keys.
+
+Fixed values: the column names, the per-column standardisation rule, the
+renames and the reject-key columns below are the reference's, stated as data.
+The dedupe tie-break orders are ours (the reference leaves ties open).
+"""
 
 from __future__ import annotations
 
