@@ -30,8 +30,6 @@ def no_broadcast(spark):
 
 def test_no_python_udf_in_any_query(spark):
     for name, fn in E.queries().items():
-        if name in ("quality_summary", "streaming_dedupe_events"):
-            continue  # these materialise first; covered by their parts
         plan = _plan(fn(spark, SF001))
         assert not re.search(r"PythonUDF|ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas", plan), name
 
