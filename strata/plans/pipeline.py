@@ -26,7 +26,7 @@ from strata.operators.scd2 import snapshot_timestamp
 from strata.plans import gold as G
 from strata.plans import zones as Z
 from strata.plans.entities import ENTITIES
-from strata.sources.tables import read_table, table_exists, write_table, zone_path
+from strata.sources.tables import cut_lineage, read_table, table_exists, write_table, zone_path
 
 ENTITY_NAMES = ("customers", "orders", "order_items", "products")
 
@@ -112,11 +112,14 @@ def run_pipeline(
     incremental_silver: bool = True,
     threads: int = 4,
     fk_severity: str = "warn",
+    bronze_only_changed: bool = False,
 ) -> RunResult:
     """Write every zone for one batch; returns per-table row counts and check results.
 
     ``incremental_silver``: silver folds in only the bronze rows it has not seen;
     the result equals a full rebuild. Off, silver is rebuilt from all bronze history.
+    ``bronze_only_changed``: bronze appends only the rows of keys whose latest
+    version differs from the last one loaded (SURVEY D2 option); silver is the same.
     ``fk_severity``: silver relationship tests warn by default, because a child
     whose parent was rejected is an expected orphan; ``"error"`` makes them block.
     """
@@ -149,9 +152,10 @@ def run_pipeline(
         # transient: full rebuild, partitioned by the validity flag so bronze and
         # the rejects each read only their half.
         trn_path = path("transient", f"trn_{e}")
-        record(f"trn_{e}", "transient", "table", Z.transient(raws[e], e, batch.batch_id, batch.batch_ts),
+        trn_df = Z.transient(raws[e], e, batch.batch_id, batch.batch_ts)
+        record(f"trn_{e}", "transient", "table", trn_df,
                lambda d, p=trn_path: write_table(d, p, partition_by=["_is_valid"]))
-        trn_all = read_table(spark, trn_path, flags=["_is_valid"])
+        trn_all = read_table(spark, trn_path, schema=trn_df.schema)
         # row-count reconciliation: raw rows observed flowing into the write vs rows
         # in the written table (a footer-only count; the raw source is not re-scanned)
         res.reconciliation[e] = res.written[f"trn_{e}"] - trn_all.count()
@@ -168,15 +172,20 @@ def run_pipeline(
         # partitioned by load date so later readers prune whole loads
         brz_path = path("bronze", f"brz_{e}")
         brz_new = Z.bronze(trn_all, e, batch.batch_ts).withColumn("_load_date", F.to_date("_loaded_at"))
+        commit_state = None
+        if bronze_only_changed:
+            brz_new, commit_state = _only_changed_keys(spark, brz_new, ent, f"{brz_path}.__state")
         record(f"brz_{e}", "bronze", "incremental", brz_new,
                lambda d, p=brz_path: append_table(d, p, "_loaded_at", partition_by=["_load_date"], hwm_path=f"{p}.__hwm"))
+        if commit_state is not None:
+            commit_state()  # only after the append landed: a failed append is retried in full
         # silver: validated once (written, partitioned by the business flag), then
         # clean and rejects read from it. Incremental mode validates only bronze
         # rows newer than silver's own mark and replaces those keys in silver.
         val_path = path("silver", f"_slv_{e}_validated")
         slv_path = path("silver", f"slv_{e}")
         slv_mark = f"{slv_path}.__hwm"
-        brz = spark.read.parquet(brz_path)
+        brz = read_table(spark, brz_path, schema=brz_new.schema)
         incremental = incremental_silver and table_exists(spark, slv_path) and table_exists(spark, slv_mark)
         if incremental:
             # the date predicate prunes old load partitions; the exact one keeps rows after the mark
@@ -184,9 +193,10 @@ def run_pipeline(
             brz = brz.where((F.col("_load_date") >= F.to_date(hwm)) & (F.col("_loaded_at") > hwm))
         seen = Observation(f"{e}_bronze_seen")
         brz = brz.observe(seen, F.max("_loaded_at").alias("hwm"))
-        record(f"slv_{e}_validated", "silver", "table", Z.silver_validated(brz, e, batch.batch_ts),
+        val_df = Z.silver_validated(brz, e, batch.batch_ts)
+        record(f"slv_{e}_validated", "silver", "table", val_df,
                lambda d, p=val_path: write_table(d, p, partition_by=["_is_business_valid"]))
-        val = read_table(spark, val_path, flags=["_is_business_valid"])
+        val = read_table(spark, val_path, schema=val_df.schema)
         clean = Z.silver_clean(val, e)
         if incremental:
             touched = val.select(ent.key)
@@ -255,6 +265,33 @@ def run_pipeline(
     return res
 
 
+def _only_changed_keys(spark: SparkSession, brz_new: DataFrame, ent, state_path: str):
+    """Rows of the keys whose latest version in this batch is new or changed.
+
+    A key can repeat within a batch, so change is decided per key on its latest
+    version (silver's order, then a row hash); all of the batch's rows of a
+    changed key are kept, which leaves silver's within-batch choice unchanged.
+    The state (key, hash of the latest loaded version) is one row per key; the
+    returned ``commit`` writes it and must run only after the append succeeded.
+    """
+    from strata.operators.dedup import latest_per_key
+
+    key = ent.key
+    row_hash = F.xxhash64(*ent.columns)
+    latest = latest_per_key(brz_new.withColumn("_row_hash", row_hash), [key], list(ent.dedupe_order) or [key],
+                            tie_break=[F.col("_row_hash").desc()])
+    cand = latest.select(key, "_row_hash")
+    prev = spark.read.parquet(state_path) if table_exists(spark, state_path) else None
+    changed = cand if prev is None else cand.join(prev, [key, "_row_hash"], "left_anti")
+    # the bronze filter and the later state update must see the same set: cut it once
+    changed = cut_lineage(changed)
+
+    def commit() -> None:
+        write_table(merge_upsert(prev, changed, [key]), state_path)
+
+    return brz_new.join(changed.select(key), key, "left_semi"), commit
+
+
 def _reject_order(rej: DataFrame) -> list:
     """Total order for rejects sharing a ``_reject_id`` (NULL key parts collide, SURVEY D6):
     latest first, then a hash of the whole row, so one row per id is kept deterministically."""

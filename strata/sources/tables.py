@@ -41,11 +41,17 @@ def _jvm_path(spark: SparkSession, path: str):
     return fs, hpath
 
 
-def read_table(spark: SparkSession, path: str, flags: Sequence[str] = ()) -> DataFrame:
+def read_table(spark: SparkSession, path: str, flags: Sequence[str] = (), schema=None) -> DataFrame:
     """Parquet table; ``flags`` are boolean partition columns (partition discovery
-    infers them as strings). Filters on them still prune partitions."""
+    infers them as strings). Filters on them still prune partitions.
+
+    Pass the ``schema`` it was written with when the table may be empty: an empty
+    partitioned write leaves no data file to infer a schema from.
+    """
     from pyspark.sql import functions as F
 
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     df = spark.read.parquet(path)
     return df.withColumns({f: F.col(f).cast("boolean") for f in flags}) if flags else df
 

@@ -194,3 +194,20 @@ def test_reports_on_the_jobs_own_run_log(spark, raws, scratch):
     assert [r.row_flag for r in trend] == ["first", "ok"] and trend[1].prev_rows_inserted == 6
     summary = {r.invocation_id: (r.models_run, r.models_failed) for r in R.invocation_summary(log).collect()}
     assert summary == {"b0": (n_models, 0), "b1": (n_models, 0)}
+
+
+def test_change_only_bronze_gives_the_same_silver(spark, raws, scratch):
+    full, chg = f"{scratch}/fullcopy", f"{scratch}/changes"
+    runs = [(raws, "2024-02-01 06:00:00"), (_changed(raws), "2024-02-02 06:00:00"), (_changed(raws), "2024-02-03 06:00:00")]
+    for i, (r, ts) in enumerate(runs):
+        run_pipeline(spark, r, full, batch=Batch(f"b{i}", ts))
+        run_pipeline(spark, r, chg, batch=Batch(f"b{i}", ts), bronze_only_changed=True)
+    for e in ENTITIES:
+        a = spark.read.parquet(f"{full}/silver/slv_{e}")
+        b = spark.read.parquet(f"{chg}/silver/slv_{e}")
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, e
+    # run 2 changed two customers (1: city, 2: e-mail) and fixed one (3); run 3 changed nothing
+    loads = {str(r._load_date): r["count"] for r in spark.read.parquet(f"{chg}/bronze/brz_customers").groupBy("_load_date").count().collect()}
+    assert loads == {"2024-02-01": 5, "2024-02-02": 3}
+    assert spark.read.parquet(f"{full}/bronze/brz_customers").count() == 5 + 5 + 5
+    assert spark.read.parquet(f"{chg}/gold/fct_orders").count() == spark.read.parquet(f"{full}/gold/fct_orders").count() == 7
