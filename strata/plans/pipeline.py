@@ -376,12 +376,15 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--batch-ts", default="2024-02-01 06:00:00")
     ap.add_argument("--tpch-tiers", action="store_true", help="use thresholds suited to the TPC-H stand-ins")
     ap.add_argument("--log", help="run-log table path")
+    ap.add_argument("--bronze-only-changed", action="store_true", help="append only keys whose latest version changed")
+    ap.add_argument("--threads", type=int, default=4)
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("strata-pipeline").getOrCreate()
     env = "dev" if a.seeds else a.env
     raws = {e: read_entity(spark, env, e, seeds_dir=a.seeds, sf_dir=a.sf_dir) for e in ENTITY_NAMES}
     res = run_pipeline(spark, raws, a.root, env=a.env, batch=Batch(a.batch_id, a.batch_ts),
-                       tiers=TPCH_TIERS if a.tpch_tiers else Tiers(), ci_schema=a.ci_schema, log_path=a.log)
+                       tiers=TPCH_TIERS if a.tpch_tiers else Tiers(), ci_schema=a.ci_schema, log_path=a.log,
+                       bronze_only_changed=a.bronze_only_changed, threads=a.threads)
     print(json.dumps({"written": res.written, "checks": [r.asDict() for r in res.checks]}, default=str))
 
 
