@@ -188,3 +188,16 @@ def test_merge_check_unique_raises(spark):
     with pytest.raises(ValueError, match="not unique"):
         L.merge_upsert(None, src, ["id"], check_unique=True)
     assert L.merge_upsert(None, src.where("v = 'a'"), ["id"], check_unique=True).count() == 1
+
+
+def test_delete_insert_keeps_null_window_values_and_retyped_columns(spark):
+    tgt = _df(spark, [(1, "t", None), (2, "t", T(2024, 1, 5))])
+    src = _df(spark, [(3, "s", T(2024, 1, 6))])
+    out = L.delete_insert(tgt, src, "ts", T(2024, 1, 4), T(2024, 1, 8))
+    assert sorted((r.id, r.v) for r in out.collect()) == [(1, "t"), (3, "s")]  # NULL ts is outside every window
+    a = spark.createDataFrame([(1, "x")], "id int, v string")
+    b = spark.createDataFrame([(2, 5)], "id int, v int")
+    with pytest.raises(ValueError, match="retyped=\\['v'\\]"):
+        L.align_schema(a, b, "fail")
+    t, s = L.align_schema(a, b, "ignore")  # the target's type wins
+    assert dict(s.dtypes)["v"] == "string" and t.unionByName(s).count() == 2

@@ -77,3 +77,11 @@ def test_mask_and_clone(spark, scratch):
     big = spark.range(20000)
     n = sample_table(big, 10, seed=1).count()
     assert 1500 < n < 2500
+
+
+def test_null_mask_keeps_type(spark):
+    df = spark.createDataFrame([(1, 42, "pii")], "id int, secret int, _sensitivity_tag string")
+    out = mask_columns(df, {"secret": "null"})
+    assert dict(out.dtypes)["secret"] == "int" and out.first().secret is None
+    with pytest.raises(ValueError):
+        mask_columns(df, {"secret": "rot13"})
