@@ -8,6 +8,7 @@ rounded (4 places, both sides), because engines sum in different orders.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -224,14 +225,29 @@ _QUERIES.update(
 )
 
 
+# the training-data operators and the corpus pipeline, where they are installed
+_LLM: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_LLM_SQL: dict[str, str] = {}
+if importlib.util.find_spec("strata.llm") and importlib.util.find_spec("corpus_pipeline"):
+    import corpus_pipeline  # noqa: E402
+    from strata.llm.queries import ORACLE_SQL as _LLM_SQL  # noqa: E402
+    from strata.llm.queries import QUERIES as _LLM  # noqa: E402
+
+    _LLM = {**_LLM, "pipeline": corpus_pipeline.run}
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: daily revenue through all five zones on /root/testdata/sf0.001."""
     return queries()["agg_daily_revenue"](spark, SMOKE_DIR)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**core_queries(), **_LLM}
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v[1] for k, v in _QUERIES.items() if v[1] is not None}
+    return {**{k: v[1] for k, v in _QUERIES.items() if v[1] is not None}, **_LLM_SQL}
