@@ -6,6 +6,7 @@ import os
 import shutil
 import string
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/strata_llm/{name}-{uuid.uuid4().hex}"
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; every other character stays."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
@@ -100,4 +106,4 @@ def _round(df: DataFrame) -> DataFrame:
     return materialize(df, "components")
 
 
-__all__ = ["ascii_lower", "connected_components", "drop_path", "drop_rows", "ensure_checkpoint_dir", "materialize", "one_of_repeated", "ship", "table", "text_key"]
+__all__ = ["ascii_lower", "connected_components", "drop_path", "drop_rows", "ensure_checkpoint_dir", "materialize", "one_of_repeated", "shared_path", "ship", "table", "text_key"]

@@ -23,22 +23,13 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 POS_BITS = 28  # of a packed fingerprint; a text may have 2^28 words
 
 
-def words(text: Column) -> Column:
-    """Lower-cased words of a text; NULL has none."""
-    parts = F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS)
-    # only the first and the last part can be empty
-    first = F.when(parts[0] == "", F.slice(parts, F.lit(2), F.size(parts))).otherwise(parts)
-    return first
-
-
-def _drop_last_empty(parts: Column) -> Column:
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
-
-
 def with_words(rows: DataFrame) -> DataFrame:
-    """Adds ``words``: each step its own projection, so nothing is split twice."""
-    rows = rows.withColumn("words", words(F.col("text")))
-    return rows.withColumn("words", F.when(F.size("words") == 0, F.col("words")).otherwise(_drop_last_empty(F.col("words"))))
+    """Adds ``words``, the lower-cased words of ``text`` (NULL has none); each step is a projection of its own, so nothing is split twice."""
+    rows = rows.withColumn("words", F.split(ascii_lower(F.coalesce(F.col("text"), F.lit(""))), SEPARATORS))
+    # only the first and the last part can be empty
+    begin = F.when(F.get("words", F.lit(0)) == "", 2).otherwise(1)
+    end = F.size("words") - F.when(F.element_at("words", -1) == "", 1).otherwise(0)
+    return rows.withColumn("words", F.slice("words", begin, F.greatest(end - begin + 1, F.lit(0))))
 
 
 def _gram_hashes(rows: DataFrame, k: int) -> DataFrame:
@@ -76,7 +67,8 @@ def fingerprints(rows: DataFrame, k: int, w: int, mark_rows: bool = False) -> Da
     low = (1 << POS_BITS) - 1
     rows = _gram_hashes(rows, k)
     rows = rows.withColumn("_p", F.transform("grams", lambda h, i: h.bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("bigint")))).drop("grams")
-    each = rows.select(*cols, "_p", F.posexplode(F.concat(F.array(F.lit(None).cast("bigint")), F.col("_p"))).alias("_i", "_own"))
+    # never empty; the outer form keeps the optimizer from testing the array beforehand, which would build it twice
+    each = rows.select(*cols, "_p", F.posexplode_outer(F.concat(F.array(F.lit(None).cast("bigint")), F.col("_p"))).alias("_i", "_own"))
     at = lambda d: F.get("_p", F.col("_i") - 1 + d)  # noqa: E731  NULL outside; least() skips NULLs
     if w > 1:
         smallest = F.least(F.col("_own"), *[at(d) for d in range(1, w)])
