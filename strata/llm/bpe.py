@@ -22,10 +22,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.pretokens import END_OF_TEXT, WordIds, byte_alphabet, default_vocabulary, id_lists, load_vocabulary, pretokens, token_bytes
+from strata.llm.pretokens import END_OF_TEXT, WordIds, byte_alphabet, default_vocabulary, id_lists, load_vocabulary, pretokens, row_slices, token_bytes
 
 MEMO_ARCS = 2_000_000
 TOGETHER = 64  # bytes of the longest word that is encoded with others
@@ -223,7 +224,8 @@ def encode(text: Column, path: str | None = None) -> Column:
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for lists in batches:
-            yield id_lists(*_encoder(path)(lists))
+            for ids, ends in _encoder(path).slices(lists):
+                yield id_lists(ids, ends)
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "binary")(pretokens(text))
@@ -255,7 +257,9 @@ def decode(ids: Column, path: str | None = None) -> Column:
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for packed in batches:
-            yield decode_array(packed, path)
+            sizes = np.asarray(pa.compute.binary_length(packed).fill_null(0), np.int64) // 4
+            for a, b in row_slices(sizes):
+                yield decode_array(packed.slice(a, b - a), path)
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "string")(ids)

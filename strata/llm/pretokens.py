@@ -7,7 +7,7 @@ each distinct word once (remembered within bounds) and expands ids by index arit
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 VOCABULARY = "byte_bpe_50k.json"  # of the public tokenizer files
-MEMO_WORDS = 400_000  # words a worker remembers; beyond, it starts anew
+MEMO_WORDS = 250_000  # words a worker remembers; beyond, it starts anew
 
 # Fixed value: white space as the tokenizer's split pattern means it (Unicode White_Space).
 _SPACE = r"\t-\r \x85\xa0  -     　"
@@ -55,34 +55,59 @@ def pretokens(text: Column) -> Column:
     return F.when(F.contains(text, F.lit(END_OF_TEXT)), special).otherwise(split(text))
 
 
+SLICE_WORDS = 1 << 18  # words, or ids, that are worked on at once (a longer row alone)
+
+
+def row_slices(sizes: np.ndarray, limit: int = SLICE_WORDS) -> Iterator[tuple[int, int]]:
+    """Runs of rows whose sizes add up to ``limit`` at most, one row at least; none for no rows."""
+    ends, at = np.cumsum(sizes), 0
+    while at < len(ends):
+        upto = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, side="right"))
+        yield at, max(upto, at + 1)
+        at = max(upto, at + 1)
+
+
 class WordIds:
     """Ids of words, remembered up to ``MEMO_WORDS``; ``encode(words) -> [ids]`` is asked for unknown ones only."""
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
-        self.encode, self.memo = encode, {}
-
-    def __call__(self, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids, end of each row in them)."""
-        lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-        flat = lists.flatten()
-        rows = np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths().fill_null(0), np.int64))])
+        self.encode = encode
+        self._forget()
+
+    def _forget(self) -> None:
+        self.memo: dict[str, int] = {}  # word -> its place in what follows
+        self.start, self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def _learn(self, words: list[str]) -> None:
+        ids = self.encode(words)
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.memo.update(zip(words, range(len(self.memo), len(self.memo) + len(words)), strict=True))
+        self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.pool = np.concatenate([self.pool, *(np.asarray(x, np.uint32) for x in ids)])
+
+    def slices(self, lists: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(all ids, end of each row in them) for one run of rows after the other."""
+        sizes = np.asarray(lists.value_lengths().fill_null(0), np.int64)
+        for a, b in row_slices(sizes):
+            yield self._ids(lists.slice(a, b - a).flatten(), np.cumsum(sizes[a:b]))
+
+    def _ids(self, flat: pa.Array, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(flat):
-            return np.zeros(0, np.uint32), rows[1:]
+            return np.zeros(0, np.uint32), rows
         coded = flat.dictionary_encode()
         words = coded.dictionary.to_pylist()
         new = [w for w in words if w not in self.memo]
         if len(self.memo) + len(new) > MEMO_WORDS:
-            self.memo, new = {}, words
-        got = dict(zip(new, (np.asarray(x, np.uint32) for x in self.encode(new)), strict=True))
-        self.memo.update(got)
-        per = [self.memo[w] for w in words]
-        size = np.fromiter(map(len, per), np.int64, len(per))
-        pool, start = np.concatenate(per), np.cumsum(size) - size
-        which = coded.indices.to_numpy(zero_copy_only=False)
-        n = size[which]
+            self._forget()
+            new = words
+        if new:
+            self._learn(new)
+        place = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy(zero_copy_only=False)]
+        n = self.size[place]
         ends = np.cumsum(n)
-        at = np.repeat(start[which] - (ends - n), n) + np.arange(ends[-1])
-        return pool[at], np.concatenate([[0], ends])[rows[1:]]
+        at = np.repeat(self.start[place] - (ends - n), n) + np.arange(ends[-1])
+        return self.pool[at], np.concatenate([[0], ends])[rows]
 
 
 def id_lists(ids: np.ndarray, ends: np.ndarray) -> pa.Array:

@@ -39,8 +39,8 @@ def token_count(text: Column, path: str | None = None) -> Column:
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for lists in batches:
-            _, ends = library_encoder(path)(lists)
-            yield pa.array(np.diff(ends, prepend=0).astype(np.int64))
+            for _, ends in library_encoder(path).slices(lists):
+                yield pa.array(np.diff(ends, prepend=0).astype(np.int64))
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "bigint")(pretokens(text))

@@ -253,10 +253,14 @@ def write_token_files(docs: DataFrame, out: str, id_col: str = "doc_id", text_co
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_())]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=["file", "block", "n_ids", "payload", "doc_ids", "sizes", "last"])
 
+        def documents(batch: pa.RecordBatch) -> Iterator[tuple]:
+            names = iter(batch.column(0).to_pylist())
+            for ids, ends in library_encoder(path).slices(batch.column(1)):
+                for a, b in zip(np.append(0, ends[:-1]).tolist(), ends.tolist(), strict=True):
+                    yield next(names), np.append(ids[a:b], np.uint32(end_id)).astype(np.uint32)
+
         for batch in batches:
-            ids, ends = library_encoder(path)(batch.column(1))
-            for doc, a, b in zip(batch.column(0).to_pylist(), np.append(0, ends[:-1]).tolist(), ends.tolist(), strict=True):
-                own = np.append(ids[a:b], np.uint32(end_id)).astype(np.uint32)
+            for doc, own in documents(batch):
                 at = 0
                 while at < len(own):
                     part = own[at : at + BLOCK_IDS - size]
