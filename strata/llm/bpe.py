@@ -265,14 +265,27 @@ def decode(ids: Column, path: str | None = None) -> Column:
     return F.arrow_udf(run, "string")(ids)
 
 
+def _both(text: Column, path: str) -> Column:
+    """struct(ids, decoded) in one pass through one worker: what is decoded are the packed ids."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for lists in batches:
+            for ids, ends in _encoder(path).slices(lists):
+                packed = id_lists(ids, ends)
+                yield pa.StructArray.from_arrays([packed, decode_array(packed, path)], names=["ids", "decoded"])
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "struct<ids:binary,decoded:string>")(pretokens(text))
+
+
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """One row per row: doc_id, ids (packed), n_tokens, decoded.
 
     Repeated rows and NULL ids give rows like any other; an empty table gives an empty
     result; other columns are ignored.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), encode(F.col(text_col), path).alias("ids"))
-    return rows.select("doc_id", "ids", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), decode(F.col("ids"), path).alias("decoded"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), _both(F.col(text_col), path or default_vocabulary()).alias("both"))
+    return rows.select("doc_id", "both.ids", (F.octet_length("both.ids") / 4).cast("bigint").alias("n_tokens"), "both.decoded")
 
 
 def digests(docs: DataFrame) -> DataFrame:
