@@ -40,8 +40,9 @@ def surrogate_key(*cols: str | Column, df: DataFrame | None = None) -> Column:
 def row_hash(*cols: str | Column) -> Column:
     """64-bit hash of a column list, for change detection (not a key).
 
-    ``xxhash64`` is computed JVM-side and treats NULL distinctly from any value.
+    ``xxhash64`` skips NULLs, so each column is hashed with its NULL flag: ('x', NULL)
+    and (NULL, 'x') differ.
     """
     if not cols:
         raise ValueError("row_hash needs at least one column")
-    return F.xxhash64(*[_as_column(c) for c in cols])
+    return F.xxhash64(*[x for c in map(_as_column, cols) for x in (c, c.isNull())])

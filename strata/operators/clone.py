@@ -8,6 +8,7 @@ rule map and uses built-in functions only.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,9 @@ from strata.sources.tables import drop_path, write_table
 
 MASK_RULES = ("hash", "redact_email", "null", "keep_last4")
 
+# what may be created or dropped: one name, no path
+_CI_SCHEMA = re.compile(r"(?:PR|CI)_[A-Za-z0-9_]+", re.IGNORECASE)
+
 
 def mask_expr(col: str, rule: str) -> Column:
     c = F.col(col)
@@ -85,16 +89,22 @@ def clone_for_ci(
 
     Refuses targets that are not CI schemas (must start with ``PR_`` or ``CI_``).
     """
-    if not target_schema.upper().startswith(("PR_", "CI_")):
-        raise ValueError("clone target must be a CI schema (PR_* or CI_*)")
+    if not _CI_SCHEMA.fullmatch(target_schema):
+        raise ValueError("clone target must be a CI schema (PR_* or CI_*, letters, digits and underscores)")
     wanted = None if table_list.strip() == "*" else {(s.upper(), t.upper()) for s, t in parse_table_list(table_list)}
+    there = {(s.upper(), t.upper()) for s, t in tables}
+    if wanted is not None and wanted - there:
+        raise ValueError(f"no such tables: {sorted('.'.join(x) for x in wanted - there)}")
+    masks = {t.upper(): m for t, m in (masks or {}).items()}
+    if set(masks) - {t for _, t in there}:
+        raise ValueError(f"masks for unknown tables: {sorted(set(masks) - {t for _, t in there})}")
     n = 0
     for (schema, table), df in tables.items():
         if wanted is not None and (schema.upper(), table.upper()) not in wanted:
             continue
         out = sample_table(df, pct, seed)
-        if masks and table in masks:
-            out = mask_columns(out, masks[table])
+        if table.upper() in masks:
+            out = mask_columns(out, masks[table.upper()])
         write_table(out, f"{target_root.rstrip('/')}/{target_schema}/{clone_name(schema, table)}")
         n += 1
     mode = "full" if wanted is None else "slim"
@@ -125,7 +135,7 @@ def clone_zones(
 
 def drop_ci_schema(spark: SparkSession, root: str, schema: str) -> None:
     """Teardown of a CI schema (only PR_/CI_ names, to protect real zones)."""
-    if not schema.upper().startswith(("PR_", "CI_")):
+    if not _CI_SCHEMA.fullmatch(schema):
         raise ValueError("only CI schemas can be dropped")
     drop_path(spark, f"{root.rstrip('/')}/{schema}")
 

@@ -19,15 +19,19 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.keys import row_hash
 from strata.operators.dedup import latest_per_key
 from strata.sources.tables import cut_lineage, table_exists, write_table
 
 DEFAULT_HWM = "1900-01-01 00:00:00"
+# the default mark of integer columns: below every value a load would carry
+_LEAST = {T.ByteType: "-128", T.ShortType: "-32768", T.IntegerType: "-2147483648", T.LongType: "-9223372036854775808"}
 
 
 # --------------------------------------------------------------------------- high-water mark
@@ -38,12 +42,17 @@ def high_water_mark(target: DataFrame | None, col: str, default=DEFAULT_HWM):
     """
     if target is None:
         return default
-    value = target.agg(F.max(col).alias("hwm")).first()["hwm"]
+    # a zoned timestamp travels as text: a Python datetime would be shifted by the machine's time zone
+    mark = F.max(col)
+    mark = mark.cast("string") if isinstance(_type_of(target, col), T.TimestampType) else mark
+    value = target.agg(mark.alias("hwm")).first()["hwm"]
     return default if value is None else value
 
 
 def typed_literal(value, data_type: T.DataType | None = None) -> Column:
     """A literal typed like the column it is compared with (NTZ stays NTZ)."""
+    if value == DEFAULT_HWM and isinstance(data_type, T.NumericType):
+        value = "-Infinity" if isinstance(data_type, (T.FloatType, T.DoubleType)) else _LEAST.get(type(data_type), "-" + "9" * (getattr(data_type, "precision", 1) - getattr(data_type, "scale", 0) or 1))
     if isinstance(value, dt.datetime):
         value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
     elif isinstance(value, dt.date):
@@ -117,7 +126,7 @@ def append_table(
         current = spark.read.option("mergeSchema", str(merge).lower()).parquet(path)
         aligned_target, src = align_schema(current, src, on_schema_change)
         if on_schema_change == "sync_all_columns" and aligned_target.columns != current.columns:
-            write_table(cut_lineage(aligned_target), path)  # rewrite old rows to the new column set
+            write_table(cut_lineage(aligned_target), path, partition_by=partition_by)  # rewrite old rows to the new column set
         if hwm_path and table_exists(spark, hwm_path):
             hwm = high_water_mark(spark.read.parquet(hwm_path), "hwm")
         else:
@@ -126,13 +135,13 @@ def append_table(
     else:
         new = src
     obs = Observation("appended")
-    new = new.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(col).alias("hwm"))
+    new = new.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(col).cast("string").alias("hwm"))
     write_table(new, path, mode="append" if exists else "overwrite", partition_by=partition_by)
     metrics = obs.get
     rows = int(metrics["rows"])
     if hwm_path and rows:
-        mark = spark.createDataFrame([(metrics["hwm"], rows)], T.StructType([
-            T.StructField("hwm", src.schema[col].dataType), T.StructField("rows", T.LongType())]))
+        mark = spark.createDataFrame([(metrics["hwm"], rows)], "hwm string, rows bigint")
+        mark = mark.withColumn("hwm", F.col("hwm").cast(src.schema[col].dataType))
         write_table(mark, hwm_path, mode="append" if table_exists(spark, hwm_path) and not full_refresh else "overwrite")
     return rows
 
@@ -152,12 +161,13 @@ def merge_upsert(
     keys: Sequence[str],
     dedupe_order: Sequence[str | Column] | None = None,
     null_safe: bool = True,
-    check_unique: bool = False,
+    check_unique: bool = True,
 ) -> DataFrame:
     """Matched keys take the source row, unmatched rows of both sides are kept.
 
     The source must be unique on ``keys``: pass ``dedupe_order`` to keep the
-    latest source row per key, or ``check_unique`` to raise on duplicates. With ``null_safe`` NULL key parts match each
+    latest source row per key; otherwise duplicates raise (``check_unique=False`` only
+    where the caller has made the source unique). With ``null_safe`` NULL key parts match each
     other, which makes the merge idempotent (a second application is a no-op).
     Plan: one anti-join of the target against the (usually small) source, so
     AQE can broadcast the source side from its runtime size, plus a union.
@@ -195,15 +205,26 @@ def merge_table(
     """
     spark = src.sparkSession
     if full_refresh or not table_exists(spark, path):
-        out = latest_per_key(src, keys, dedupe_order) if dedupe_order else src
-        write_table(out, path, partition_by=partition_by)
+        write_table(merge_upsert(None, src, keys, dedupe_order), path, partition_by=partition_by)
         return
-    target = spark.read.parquet(path)
+    whole = target = spark.read.parquet(path)
+    if dedupe_order:
+        src = cut_lineage(latest_per_key(src, keys, dedupe_order))
+        dedupe_order = None
+    moved = False
     if partition_by:
-        touched = src.select(*partition_by).distinct()
-        target = target.join(touched, list(partition_by), "left_semi")
+        # a key that changes its partition leaves the old one, which a dynamic overwrite would not touch
+        there = target.select(*[F.col(c).alias(f"__t_{c}") for c in dict.fromkeys([*keys, *partition_by])])
+        same_key = reduce(lambda a, b: a & b, [src[k].eqNullSafe(there[f"__t_{k}"]) for k in keys])
+        same_part = reduce(lambda a, b: a & b, [src[c].eqNullSafe(there[f"__t_{c}"]) for c in partition_by])
+        moved = not src.join(there, same_key & ~same_part, "left_semi").isEmpty()
+        touched = src.select(*[F.col(c).alias(f"__p_{c}") for c in partition_by]).distinct()
+        inside = reduce(lambda a, b: a & b, [target[c].eqNullSafe(touched[f"__p_{c}"]) for c in partition_by])
+        target = whole if moved else target.join(touched, inside, "left_semi")
     merged = cut_lineage(merge_upsert(target, src, keys, dedupe_order))
-    if partition_by:
+    if partition_by and moved:
+        write_table(merged, path, partition_by=partition_by)
+    elif partition_by:
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     else:
         write_table(merged, path)
@@ -321,20 +342,20 @@ def append_with_schema_change(target: DataFrame, src: DataFrame, mode: str = "ap
 
 # --------------------------------------------------------------------------- change detection
 def diff(old: DataFrame, new: DataFrame, keys: Sequence[str], compare: Sequence[str] | None = None) -> DataFrame:
-    """Classify keys as insert / update / delete / same (full outer join + row hash).
+    """Classify keys as insert / update / delete / same (one full outer join).
 
     Returns the keys, ``_change`` and the new row's compared columns (old ones
-    for deletes). Both sides are hashed to one 64-bit value before the join, so
-    the shuffle carries keys + one long per row.
+    for deletes). Rows are compared column by column, NULL equal to NULL, so a value
+    that moves between nullable columns is an update; the shuffle carries the compared columns.
     """
     compare = list(compare) if compare is not None else [c for c in new.columns if c not in keys]
-    h = lambda df, n: df.select(*keys, F.xxhash64(*compare).alias(n), F.struct(*compare).alias(n + "_row"))
+    h = lambda df, n: df.select(*keys, F.lit(True).alias(n), F.struct(*compare).alias(n + "_row"))
     o, n = h(old, "_old"), h(new, "_new")
     j = o.join(n, list(keys), "full_outer")
     change = (
         F.when(F.col("_old").isNull(), "insert")
         .when(F.col("_new").isNull(), "delete")
-        .when(F.col("_old") != F.col("_new"), "update")
+        .when(~F.col("_old_row").eqNullSafe(F.col("_new_row")), "update")
         .otherwise("same")
     )
     row = F.coalesce(F.col("_new_row"), F.col("_old_row"))
@@ -344,6 +365,6 @@ def diff(old: DataFrame, new: DataFrame, keys: Sequence[str], compare: Sequence[
 def only_changed(src: DataFrame, previous: DataFrame, keys: Sequence[str], compare: Sequence[str] | None = None) -> DataFrame:
     """Source rows that are new or differ from ``previous`` (anti-join on key + row hash)."""
     compare = list(compare) if compare is not None else [c for c in src.columns if c not in keys]
-    prev = previous.select(*keys, F.xxhash64(*compare).alias("_h"))
-    cur = src.withColumn("_h", F.xxhash64(*compare))
+    prev = previous.select(*keys, row_hash(*compare).alias("_h"))
+    cur = src.withColumn("_h", row_hash(*compare))
     return cur.join(prev, [*keys, "_h"], "left_anti").drop("_h")

@@ -11,6 +11,7 @@ with one row per (group, bucket) — its size is groups × buckets, not rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,10 +31,17 @@ def bucketed_row_number(df: DataFrame, group: Sequence[str], order: Sequence[str
     counts = b.groupBy(*group, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0))).drop("__n")
-    out = local.join(offsets, [*group, "__bucket"], "left")
+    out = _join_null_safe(local, offsets, [*group, "__bucket"])
     return out.withColumn(name, (F.col("__off") + F.col("__rn")).cast("int")).drop("__bucket", "__rn", "__off")
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join in which NULL group values match each other."""
+    right = right.withColumnsRenamed({c: f"__r_{c}" for c in on})
+    cond = reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"__r_{c}"]) for c in on])
+    return left.join(right, cond, "left").drop(*[f"__r_{c}" for c in on])
+
+
 def bucketed_lag(
     df: DataFrame,
     group: Sequence[str],
@@ -61,7 +69,7 @@ def bucketed_lag(
     last = local.where("__last_row").select(*group, "__bucket", F.struct(*[F.col(c) for c in cols]).alias("__last"))
     w_prev = Window.partitionBy(*group).orderBy("__bucket")
     prev = last.withColumn("__prev", F.lag("__last").over(w_prev)).drop("__last")
-    out = local.join(prev, [*group, "__bucket"], "left")
+    out = _join_null_safe(local, prev, [*group, "__bucket"])
     return out.withColumns(
         {f"{prefix}{c}": F.when(F.col("__first"), F.col(f"__prev.{c}")).otherwise(F.col(f"__lag_{c}")) for c in cols}
     ).drop("__bucket", "__first", "__last_row", "__prev", *[f"__lag_{c}" for c in cols])

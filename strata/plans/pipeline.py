@@ -126,6 +126,7 @@ def run_pipeline(
     res = RunResult()
     path = lambda zone, table: zone_path(root, env, zone, table, ci_schema)
     log_rows: list[DataFrame] = []
+    failed: list[str] = []
 
     def record(model: str, zone: str, materialized: str, df: DataFrame, write) -> None:
         start = dt.datetime.now()
@@ -140,7 +141,8 @@ def run_pipeline(
             n = counted if isinstance(counted, int) else int(obs.get["rows"])
             res.written[model] = n
         except Exception as exc:  # logged, then re-raised
-            status, err = "FAIL", str(exc)[:1000]
+            status, err = "FAIL", str(exc)
+            failed.append(model)
             raise
         finally:
             if log_path:
@@ -204,10 +206,6 @@ def run_pipeline(
             # the table is rewritten anyway: stamp every row with this run, as a rebuild does
             clean = clean.withColumn("_silver_processed_at", ts_literal(batch.batch_ts))
         record(f"slv_{e}", "silver", "table", clean, lambda d, p=slv_path: write_table(d, p))
-        mark = seen.get.get("hwm")
-        if mark is not None:
-            write_table(spark.createDataFrame([(mark,)], "hwm timestamp_ntz"), slv_mark,
-                        mode="append" if table_exists(spark, slv_mark) else "overwrite")
         srej_path = path("silver", f"slv_{e}_rejects")
         srej = Z.silver_rejects(val, e, batch.batch_ts)
         sold = spark.read.parquet(srej_path) if table_exists(spark, srej_path) else None
@@ -215,53 +213,66 @@ def run_pipeline(
             srej = new_rows_since(srej, sold, "_rejected_at")
         record(f"slv_{e}_rejects", "silver", "merge", merge_upsert(sold, srej, ["_reject_id"], dedupe_order=_reject_order(srej)),
                lambda d, p=srej_path: write_table(d, p))
+        # the mark last: a stop before this line repeats the batch instead of losing its rejects
+        mark = seen.get.get("hwm")
+        if mark is not None:
+            write_table(spark.createDataFrame([(mark,)], "hwm timestamp_ntz"), slv_mark,
+                        mode="append" if table_exists(spark, slv_mark) else "overwrite")
 
-    # the four entity chains are independent: submit them concurrently
-    # (``threads`` like the reference's client parallelism; 1 = serial)
-    _run_all([lambda e=e: entity_chain(e) for e in ENTITY_NAMES], threads)
-
-    slv = {e: spark.read.parquet(path("silver", f"slv_{e}")) for e in ENTITY_NAMES}
-    # silver tests run before gold: an error-severity failure stops everything downstream
-    res.silver_checks = chk.raise_on_error(silver_checks(slv, fk_severity))
-    gold = {
-        "dim_customers": (G.dim_customers(slv["customers"], slv["orders"], tiers.customer), G.DIM_CUSTOMERS_CONTRACT),
-        "dim_products": (G.dim_products(slv["products"], slv["order_items"], tiers.product), G.DIM_PRODUCTS_CONTRACT),
-        "fct_orders": (G.fct_orders(slv["order_items"], slv["orders"]), G.FCT_ORDERS_CONTRACT),
-    }
-    # snapshot (SCD2) of silver customers, independent of gold
-    snap_path = path("bronze", "snap_customers")
-    hist = spark.read.parquet(snap_path) if table_exists(spark, snap_path) else None
-    snap_src = slv["customers"].select(*[c for c in slv["customers"].columns if not c.startswith("_")])
-    jobs = [
-        lambda: record("snap_customers", "bronze", "snapshot",
-                       snapshot_timestamp(hist, snap_src, "customer_id", "updated_at", batch.batch_ts),
-                       lambda d: write_table(d, snap_path))
-    ]
-    jobs += [
-        lambda name=name, df=df, contract=contract: record(
-            name, "gold", "table", chk.enforce_contract(df, contract), lambda d, p=path("gold", name): write_table(d, p))
-        for name, (df, contract) in gold.items()
-    ]
-    _run_all(jobs, threads)
-    fo = spark.read.parquet(path("gold", "fct_orders"))
-    dc = spark.read.parquet(path("gold", "dim_customers"))
-    dp = spark.read.parquet(path("gold", "dim_products"))
-    _run_all([
-        lambda name=name, df=df: record(name, "gold_analytics", "table", df, lambda d, p=path("gold_analytics", name): write_table(d, p))
-        for name, df in (
-            ("agg_daily_revenue", G.agg_daily_revenue(fo)),
-            ("agg_sales_by_customer", G.agg_sales_by_customer(dc)),
-            ("agg_sales_by_product", G.agg_sales_by_product(dp)),
-        )
-    ], threads)
-
-    # tests right after the models (error severity stops the run)
-    res.checks = chk.raise_on_error(gold_checks(spark.read.parquet(path("gold", "fct_orders")), dc, dp, tiers))
-    if log_path and log_rows:
-        all_rows = log_rows[0]
-        for r in log_rows[1:]:
-            all_rows = all_rows.unionByName(r)
-        write_table(all_rows.coalesce(1), log_path, mode="append" if table_exists(spark, log_path) else "overwrite")
+    started = dt.datetime.now()
+    try:
+        # the four entity chains are independent: submit them concurrently
+        # (``threads`` like the reference's client parallelism; 1 = serial)
+        _run_all([lambda e=e: entity_chain(e) for e in ENTITY_NAMES], threads)
+
+        slv = {e: spark.read.parquet(path("silver", f"slv_{e}")) for e in ENTITY_NAMES}
+        # silver tests run before gold: an error-severity failure stops everything downstream
+        res.silver_checks = chk.raise_on_error(silver_checks(slv, fk_severity))
+        gold = {
+            "dim_customers": (G.dim_customers(slv["customers"], slv["orders"], tiers.customer), G.DIM_CUSTOMERS_CONTRACT),
+            "dim_products": (G.dim_products(slv["products"], slv["order_items"], tiers.product), G.DIM_PRODUCTS_CONTRACT),
+            "fct_orders": (G.fct_orders(slv["order_items"], slv["orders"]), G.FCT_ORDERS_CONTRACT),
+        }
+        # snapshot (SCD2) of silver customers, independent of gold
+        snap_path = path("bronze", "snap_customers")
+        hist = spark.read.parquet(snap_path) if table_exists(spark, snap_path) else None
+        snap_src = slv["customers"].select(*[c for c in slv["customers"].columns if not c.startswith("_")])
+        jobs = [
+            lambda: record("snap_customers", "bronze", "snapshot",
+                           snapshot_timestamp(hist, snap_src, "customer_id", "updated_at", batch.batch_ts),
+                           lambda d: write_table(d, snap_path))
+        ]
+        jobs += [
+            lambda name=name, df=df, contract=contract: record(
+                name, "gold", "table", chk.enforce_contract(df, contract), lambda d, p=path("gold", name): write_table(d, p))
+            for name, (df, contract) in gold.items()
+        ]
+        _run_all(jobs, threads)
+        fo = spark.read.parquet(path("gold", "fct_orders"))
+        dc = spark.read.parquet(path("gold", "dim_customers"))
+        dp = spark.read.parquet(path("gold", "dim_products"))
+        _run_all([
+            lambda name=name, df=df: record(name, "gold_analytics", "table", df, lambda d, p=path("gold_analytics", name): write_table(d, p))
+            for name, df in (
+                ("agg_daily_revenue", G.agg_daily_revenue(fo)),
+                ("agg_sales_by_customer", G.agg_sales_by_customer(dc)),
+                ("agg_sales_by_product", G.agg_sales_by_product(dp)),
+            )
+        ], threads)
+
+        # tests right after the models (error severity stops the run)
+        res.checks = chk.raise_on_error(gold_checks(spark.read.parquet(path("gold", "fct_orders")), dc, dp, tiers))
+    except Exception as exc:  # a failed check has no model of its own: it gets a log row, then is raised again
+        if log_path and not failed:
+            tag = tag_text(invocation_id=batch.batch_id, job=f"build_{env}", env=env, model="checks", schema="checks", materialized="test")
+            log_rows.append(log_entry(spark, tag, f"{batch.batch_id}:checks", started, dt.datetime.now(), "FAIL", None, query_type="SELECT", error_message=str(exc)))
+        raise
+    finally:
+        if log_path and log_rows:
+            all_rows = log_rows[0]
+            for r in log_rows[1:]:
+                all_rows = all_rows.unionByName(r)
+            write_table(all_rows.coalesce(1), log_path, mode="append" if table_exists(spark, log_path) else "overwrite")
     return res
 
 
@@ -274,11 +285,11 @@ def _only_changed_keys(spark: SparkSession, brz_new: DataFrame, ent, state_path:
     The state (key, hash of the latest loaded version) is one row per key; the
     returned ``commit`` writes it and must run only after the append succeeded.
     """
+    from strata.functions.keys import row_hash
     from strata.operators.dedup import latest_per_key
 
     key = ent.key
-    row_hash = F.xxhash64(*ent.columns)
-    latest = latest_per_key(brz_new.withColumn("_row_hash", row_hash), [key], list(ent.dedupe_order) or [key],
+    latest = latest_per_key(brz_new.withColumn("_row_hash", row_hash(*ent.columns)), [key], list(ent.dedupe_order) or [key],
                             tie_break=[F.col("_row_hash").desc()])
     cand = latest.select(key, "_row_hash")
     prev = spark.read.parquet(state_path) if table_exists(spark, state_path) else None
@@ -287,7 +298,7 @@ def _only_changed_keys(spark: SparkSession, brz_new: DataFrame, ent, state_path:
     changed = cut_lineage(changed)
 
     def commit() -> None:
-        write_table(merge_upsert(prev, changed, [key]), state_path)
+        write_table(merge_upsert(prev, changed, [key], check_unique=False), state_path)
 
     return brz_new.join(changed.select(key), key, "left_semi"), commit
 
@@ -335,6 +346,10 @@ def silver_checks(slv: dict[str, DataFrame], fk_severity: str = "warn") -> DataF
     return out
 
 
+# Fixed value: the declared e-mail pattern.
+EMAIL = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
+
+
 def gold_checks(fct: DataFrame, dim_c: DataFrame, dim_p: DataFrame, tiers: Tiers = Tiers()) -> DataFrame:
     """The gold zone's declared tests, compiled per table into one pass + unique/FK jobs."""
     C = chk.Check
@@ -342,7 +357,7 @@ def gold_checks(fct: DataFrame, dim_c: DataFrame, dim_p: DataFrame, tiers: Tiers
     p_labels = tuple(lbl for _, lbl in tiers.product) + (G.PRODUCT_TIER_DEFAULT,)
     s = chk.run_checks(dim_c, "dim_customers", [
         C("not_null", "customer_id"), C("unique", "customer_id"), C("not_null", "email"),
-        C("match_regex", "email", regex=r"^[^@]+@[^@]+\.[^@]+$", severity="warn"),
+        C("match_regex", "email", regex=EMAIL, severity="warn"),
         C("between", "total_orders", min=0), C("between", "total_spent", min=0),
         C("accepted_values", "customer_tier", values=c_labels),
     ])

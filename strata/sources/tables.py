@@ -76,8 +76,17 @@ def list_tables(spark: SparkSession, zone_dir: str) -> list[str]:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the table is there; one that a stopped swap left aside is put back first, so no run takes it for missing."""
     fs, p = _jvm_path(spark, path)
-    return bool(fs.exists(p))
+    if fs.exists(p):
+        return True
+    parent = p.getParent()
+    if parent is None or not fs.exists(parent):
+        return False
+    aside = [st for st in fs.listStatus(parent) if st.getPath().getName().startswith(f"{p.getName()}.__old_")]
+    if not aside:
+        return False
+    return bool(fs.rename(max(aside, key=lambda st: st.getModificationTime()).getPath(), p))
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

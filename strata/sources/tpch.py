@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sources.tables import _jvm_path
 from strata.operators.joins import broadcast_if_small
 
 TABLES = (
@@ -41,16 +42,18 @@ _SCHEMAS: dict[str, object] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read an input table. Inputs are immutable snapshots, so the schema taken
-    from the parquet footers the first time is reused: later reads skip footer
-    inference (~5x cheaper to construct) and still list the files afresh."""
+    """Read an input table. The schema taken from the parquet footers is reused as long as the
+    listing (names, sizes, times) is the same: such reads skip footer inference (~5x cheaper to
+    construct), and a column that later files bring is read."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
+    fs, p = _jvm_path(spark, path)
+    stamp = tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p)))
+    known = _SCHEMAS.get(path)
+    if known is None or known[0] != stamp:
         df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
+        _SCHEMAS[path] = (stamp, df.schema)
         return df
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(known[1]).parquet(path)
 
 
 def clear_schema_cache() -> None:
