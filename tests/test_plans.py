@@ -29,7 +29,7 @@ def no_broadcast(spark):
 
 
 def test_no_python_udf_in_any_query(spark):
-    for name, fn in E.queries().items():
+    for name, fn in E.core_queries().items():
         plan = _plan(fn(spark, SF001))
         assert not re.search(r"PythonUDF|ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas", plan), name
 
