@@ -214,13 +214,16 @@ _QUERIES.update(
         "runlog_failures": (_k(K.runlog_failures), O.runlog_failures()),
         "runlog_row_trend": (_k(K.runlog_row_trend), O.runlog_row_trend()),
         "runlog_summary": (_k(K.runlog_summary), O.runlog_summary()),
+        "runlog_run_failures": (_k(K.runlog_run_failures), O.runlog_run_failures()),
+        "runlog_recent": (_k(K.runlog_recent), O.runlog_recent()),
+        "runlog_invocation_detail": (_k(K.runlog_invocation_detail), O.runlog_invocation_detail()),
         "runlog_trend_monitor": (_k(K.runlog_trend_monitor), O.runlog_trend_monitor()),
         "with_metadata_columns": (_k(K.with_metadata_columns), O.with_metadata_columns()),
         "streaming_dedupe_events": (_k(K.streaming_dedupe_events), "SELECT DISTINCT ON (event_id) * FROM events"),
         "mask_pii": (_k(K.mask_pii), O.mask_pii()),
         "slim_clone": (_k(K.slim_clone), O.rounded(O.silver("orders"), [], doubles=["total_amount"])),
-        # seeded Bernoulli sample: no SQL equivalent with the same draw → rows-only check
-        "sampled_clone": (_k(K.sampled_clone), None),
+        "sampled_clone": (_k(K.sampled_clone), O.rounded(O.sampled_clone(), [], doubles=["unit_price", "total_price", "discount_amount"])),
+        **{f"declared_tests_{z}": (_k(K.declared_tests(z)), O.declared_tests(z)) for z in ("transient", "bronze", "silver", "gold", "gold_analytics")},
     }
 )
 

@@ -646,12 +646,115 @@ def runlog_trend_monitor() -> str:
         f"rows_inserted, lag(rows_inserted) {w} AS prev_rows_inserted FROM ({query_log_parsed()}) AS l"
     )
     ratio = "CASE WHEN prev_rows_inserted > 0 THEN rows_inserted / prev_rows_inserted END"
+    growth = "CASE WHEN prev_duration_seconds > 0 THEN duration_seconds / prev_duration_seconds END"
     return (
         f"SELECT *, {ratio} AS row_change_ratio, CASE WHEN prev_rows_inserted IS NULL THEN 'first' "
-        f"WHEN {ratio} > 2.0 THEN 'spike' WHEN {ratio} < 0.5 THEN 'drop' ELSE 'ok' END AS row_flag FROM ({inner}) AS t"
+        f"WHEN {ratio} > 2.0 THEN 'spike' WHEN {ratio} < 0.5 THEN 'drop' ELSE 'ok' END AS row_flag, "
+        f"{growth} AS duration_ratio, coalesce({growth} > 1.5, FALSE) AS is_slower FROM ({inner}) AS t"
     )
 
 
+def runlog_run_failures() -> str:
+    return f"SELECT count(*) FILTER (WHERE status = 'FAIL') AS failures FROM ({query_log_parsed()}) AS l WHERE airflow_run_id = 'scheduled__2024-01-15'"
+
+
+def runlog_recent() -> str:
+    return f"SELECT * FROM ({query_log_parsed()}) AS l WHERE start_time >= {ts(LOG_NOW)} - INTERVAL 7 DAY"
+
+
+def runlog_invocation_detail() -> str:
+    return (
+        "SELECT event_sequence, model, model_schema, materialized, start_time, end_time, duration_seconds, status, rows_inserted, "
+        f"rows_updated, rows_deleted, error_message FROM ({query_log_parsed()}) AS l WHERE invocation_id = 'inv-33-2024-01-28'"
+    )
+
+
+# --------------------------------------------------------------------------- declared tests
+REJECT_KEY = {
+    "trn": {"customers": ("customer_id", "email"), "orders": ("order_id", "customer_id", "order_date"), "order_items": ("order_item_id", "order_id", "product_id"), "products": ("product_id", "product_name")},
+    "slv": {"customers": ("customer_id", "email"), "orders": ("order_id", "customer_id"), "order_items": ("order_item_id", "order_id"), "products": ("product_id", "product_name")},
+}
+
+
+def _rejects(prefix: str, entity: str) -> str:
+    source = f"SELECT *, {technical_reason(entity)} AS _reject_reason FROM ({RAW[entity]}) AS raw" if prefix == "trn" else silver_validated(entity)
+    return f"SELECT {skey(*REJECT_KEY[prefix][entity])} AS _reject_id, _reject_reason FROM ({source}) AS r WHERE _reject_reason IS NOT NULL"
+
+
+# Per zone, in SQL terms: (table, checks); a check is "column kind [what a failing row satisfies | parent table]".
+DECLARED = {
+    "transient": [
+        ("trn_customers", ["customer_id not_null_where", "_is_valid not_null", "_loaded_at not_null", "_batch_id not_null"]),
+        ("trn_orders", ["order_id not_null_where", "_is_valid not_null", "_loaded_at not_null"]),
+        ("trn_order_items", ["order_item_id not_null_where", "_is_valid not_null", "_loaded_at not_null"]),
+        ("trn_products", ["product_id not_null_where", "_is_valid not_null", "_loaded_at not_null"]),
+        *[(f"trn_{e}_rejects", ["_reject_id not_null", "_reject_id unique", "_reject_reason not_null"]) for e in RAW],
+    ],
+    "bronze": [
+        ("brz_customers", ["_bronze_sk not_null", "_bronze_sk unique", "customer_id not_null", "_source_system not_null", "_source_system accepted_values NOT IN ('fivetran')",
+                           "_sensitivity_tag not_null", "_sensitivity_tag accepted_values NOT IN ('pii', 'public', 'confidential')"]),
+        ("brz_orders", ["_bronze_sk not_null", "_bronze_sk unique", "order_id not_null", "_source_system not_null"]),
+        ("brz_order_items", ["_bronze_sk not_null", "_bronze_sk unique", "order_item_id not_null", "_source_system not_null"]),
+        ("brz_products", ["_bronze_sk not_null", "_bronze_sk unique", "product_id not_null", "_source_system not_null"]),
+    ],
+    "silver": [
+        ("slv_customers", ["customer_id not_null", "customer_id unique", "email not_null", "email unique", "first_name not_null", "last_name not_null", "state_code not_null", "country_code not_null"]),
+        ("slv_orders", ["order_id not_null", "order_id unique", "customer_id not_null", "customer_id relationships slv_customers", "total_amount not_null", "status not_null", f"status accepted_values NOT IN {STATUS_LIST}"]),
+        ("slv_order_items", ["order_item_id not_null", "order_item_id unique", "order_id not_null", "order_id relationships slv_orders", "product_id not_null", "product_id relationships slv_products", "quantity not_null"]),
+        ("slv_products", ["product_id not_null", "product_id unique", "price not_null", "cost not_null"]),
+        ("slv_customers_rejects", ["_reject_id not_null", "_reject_id unique", "_reject_reason not_null"]),
+        *[(f"slv_{e}_rejects", ["_reject_id not_null", "_reject_id unique"]) for e in ("orders", "order_items", "products")],
+    ],
+    "gold": [
+        ("dim_customers", ["customer_id not_null", "customer_id unique", "email match_regex", "total_orders not_null", "total_orders between < 0", "total_spent not_null", "total_spent between < 0",
+                           "customer_tier not_null", f"customer_tier accepted_values NOT IN {CUST_LABELS}"]),
+        ("dim_products", ["product_id not_null", "product_id unique", "price between <= 0", "cost between < 0", "total_orders not_null", "total_orders between < 0", "total_quantity_sold not_null",
+                          "total_quantity_sold between < 0", "total_revenue not_null", "total_revenue between < 0", "avg_selling_price between < 0", "profit_margin not_null",
+                          "performance_category not_null", f"performance_category accepted_values NOT IN {PROD_LABELS}"]),
+        ("fct_orders", ["order_item_id not_null", "order_item_id unique", "order_id not_null", "customer_id not_null", "customer_id relationships dim_customers", "product_id not_null",
+                        "product_id relationships dim_products", "order_date not_null", "status not_null", "quantity not_null", "quantity between < 1", "unit_price not_null", "unit_price between <= 0",
+                        "total_price not_null", "total_price between < 0", "discount_amount not_null", "discount_amount between < 0", "order_total not_null", "order_total between < 0", "created_at not_null"]),
+    ],
+    "gold_analytics": [
+        ("agg_sales_by_customer", ["customer_id not_null", "customer_id unique", "customer_tier not_null", f"customer_tier accepted_values NOT IN {CUST_LABELS}", "total_orders not_null", "total_orders between < 0",
+                                   "total_spent not_null", "total_spent between < 0"]),
+        ("agg_sales_by_product", ["product_id not_null", "product_id unique", "performance_category not_null", f"performance_category accepted_values NOT IN {PROD_LABELS}", "total_revenue not_null", "total_revenue between < 0"]),
+        ("agg_daily_revenue", ["order_date not_null", "order_date unique", "total_revenue not_null", "total_revenue between < 0", "total_orders not_null", "total_orders between < 1", "unique_customers not_null",
+                               "unique_customers between < 1", "total_units_sold not_null", "total_units_sold between < 1", "total_discounts not_null", "total_discounts between < 0", "avg_unit_price not_null",
+                               "avg_unit_price between <= 0"]),
+    ],
+}
+
+
+def _declared_table(name: str) -> str:
+    prefix, _, entity = name.partition("_")
+    if name.endswith("_rejects"):
+        return _rejects(prefix, entity.removesuffix("_rejects"))
+    zones = {"trn": transient, "brz": bronze, "slv": silver}
+    return zones[prefix](entity) if prefix in zones else globals()[name]()
+
+
+def declared_tests(zone: str) -> str:
+    def row(table: str, check: str) -> str:
+        col, kind, *rest = check.split(" ", 2)
+        if kind == "unique":
+            failures = f"(SELECT count(*) FROM (SELECT {col} FROM {table} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1) AS d)"
+        elif kind == "relationships":
+            failures = f"(SELECT count(*) FROM {table} AS c WHERE c.{col} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {rest[0]} AS p WHERE p.{col} = c.{col}))"
+        else:
+            bad = {"not_null": f"{col} IS NULL", "not_null_where": f"_is_valid AND {col} IS NULL", "match_regex": f"NOT regexp_matches({col}, '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$')"}.get(kind) or f"{col} {rest[0]}"
+            failures = f"(SELECT count(*) FROM {table} WHERE {bad})"
+        return _summary(table, col, kind, "error", f"(SELECT count(*) FROM {table})", failures, "(SELECT 1) AS one")
+
+    ctes = ", ".join(f"{t} AS MATERIALIZED ({_declared_table(t)})" for t, _ in DECLARED[zone])
+    return f"WITH {ctes} " + " UNION ALL ".join(row(t, c) for t, checks in DECLARED[zone] for c in checks)
+
+
+def sampled_clone() -> str:
+    bucket = "CAST('0x' || substr(md5('7:' || coalesce(CAST(order_id AS VARCHAR), '')), 1, 8) AS BIGINT) % 10000"
+    return f"SELECT * FROM ({RAW_ORDER_ITEMS}) AS i WHERE {bucket} < 1000"
+
+
 # --------------------------------------------------------------------------- clones
 def mask_pii() -> str:
     b = bronze("customers", "run", LOAD2_TS)

@@ -4,7 +4,8 @@ All row-level checks of one table (not_null, accepted_values, between,
 match_regex, each optionally with a ``where``) become ``count_if`` terms of a
 *single* aggregate: one scan, map-side partial aggregation, a one-row
 result. ``unique`` costs one aggregate by the column (partial aggregation
-collapses hot values before the shuffle) and ``relationships`` one anti-join.
+collapses hot values before the shuffle) and ``relationships`` the same
+aggregate plus a join of the counts to the parent keys.
 The summary is returned as a DataFrame (lazily); ``raise_on_error`` is the
 only place that collects it (a handful of rows).
 
@@ -81,8 +82,8 @@ def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
 
     Passes over ``df``: one aggregate for all row-level checks and row-count
     bounds, plus one per unique check (group by the column, then a global
-    aggregate of the group counts) and one per relationships check (left join
-    to the distinct parent keys, then a global aggregate). Each pass yields its
+    aggregate of the group counts) and one per relationships check (counts per
+    key joined to the distinct parent keys, then a global aggregate). Each pass yields its
     own row count, so no check needs an extra count job.
     """
     row_checks = [c for c in checks if c.kind in ROW_CHECKS or c.kind == "row_count_between"]
@@ -115,12 +116,14 @@ def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
                 F.count_if(F.col(c.column).isNotNull() & (F.col("__n") > 1)).alias("failures"),
             )
         elif c.kind == "relationships":
+            # child rows are counted by key before the join: a hot key, or all NULLs, is one row of it
             keys = c.to.select(F.col(c.field_ or c.column).alias("__pk")).where(F.col("__pk").isNotNull()).distinct()
             keys = keys.withColumn("__hit", F.lit(True))
-            j = df.select(c.column).join(keys, F.col(c.column) == F.col("__pk"), "left")
-            res = j.agg(
-                F.count(F.lit(1)).alias("row_count"),
-                F.count_if(F.col(c.column).isNotNull() & F.col("__hit").isNull()).alias("failures"),
+            counts = df.groupBy(F.col(c.column).alias("__fk")).agg(F.count(F.lit(1)).alias("__n"))
+            missed = F.col("__fk").isNotNull() & F.col("__hit").isNull()
+            res = counts.join(keys, F.col("__fk") == F.col("__pk"), "left").agg(
+                F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("row_count"),
+                F.coalesce(F.sum(F.when(missed, F.col("__n"))), F.lit(0)).alias("failures"),
             )
         else:
             raise ValueError(f"unknown check {c.kind!r}")

@@ -57,6 +57,18 @@ def sample_table(df: DataFrame, pct: float, seed: int = 42) -> DataFrame:
     return df if pct == 0 else df.sample(withReplacement=False, fraction=pct / 100.0, seed=seed)
 
 
+def sample_by_key(df: DataFrame, key: str, pct: float, seed: int = 42) -> DataFrame:
+    """About ``pct`` percent of the keys, with all their rows: the same keys in every table and on every run.
+
+    A key belongs to one of 10,000 buckets by the md5 of seed and key; NULL keys count as the empty text.
+    """
+    if pct < 0 or pct > 100:
+        raise ValueError("pct must be within [0, 100]")
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 10_000
+    return df if pct == 0 else df.where(bucket < round(pct * 100))
+
+
 def clone_name(schema: str, table: str) -> str:
     return f"{schema}_{table}".upper()
 

@@ -163,6 +163,26 @@ def failures(log: DataFrame, now: dt.datetime | str, days: int = 7) -> DataFrame
     )
 
 
+def run_failures(log: DataFrame, airflow_run_id: str) -> DataFrame:
+    """One row: how many model writes of one orchestrator run failed (0 for a run without any, or unknown)."""
+    return log.where(F.col("airflow_run_id") == airflow_run_id).agg(F.count_if(F.col("status") == "FAIL").alias("failures"))
+
+
+def recent(log: DataFrame, now: dt.datetime | str, days: int = 7) -> DataFrame:
+    """The log of the last ``days``: every row of them, no row limit."""
+    return log.where(F.col("start_time") >= ts_literal(now) - F.make_dt_interval(F.lit(days)))
+
+
+def invocation_detail(log: DataFrame, invocation_id: str) -> DataFrame:
+    """One invocation, a row for each model write, in execution order."""
+    return (
+        log.where(F.col("invocation_id") == invocation_id)
+        .select("event_sequence", "model", "model_schema", "materialized", "start_time", "end_time", "duration_seconds", "status",
+                "rows_inserted", "rows_updated", "rows_deleted", "error_message")
+        .orderBy("event_sequence")
+    )
+
+
 def row_trend(log: DataFrame, model: str, env: str = "prod", limit: int = 30) -> DataFrame:
     """Latest ``limit`` runs of a model (top-k: the limit is the feature)."""
     return (
@@ -190,6 +210,7 @@ def trend_monitor(
     bucket: Column | None = None,
     spike: float = 2.0,
     drop: float = 0.5,
+    slower: float = 1.5,
 ) -> DataFrame:
     """Each run against the previous run of the same model: duration growth, row spikes/drops.
 
@@ -204,8 +225,10 @@ def trend_monitor(
         .when(ratio < drop, "drop")
         .otherwise("ok")
     )
+    growth = F.when(F.col("prev_duration_seconds") > 0, F.col("duration_seconds") / F.col("prev_duration_seconds"))
     return with_prev.select(
         *group, "query_id", "start_time", "duration_seconds",
         F.col("prev_duration_seconds"), "rows_inserted", "prev_rows_inserted",
         ratio.alias("row_change_ratio"), flag.alias("row_flag"),
+        growth.alias("duration_ratio"), F.coalesce(growth > slower, F.lit(False)).alias("is_slower"),
     )

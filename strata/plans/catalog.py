@@ -16,9 +16,10 @@ from strata.operators import checks as chk
 from strata.operators import load as L
 from strata.operators import runlog as R
 from strata.operators import scd2 as H
-from strata.operators.clone import mask_columns, sample_table, select_tables
+from strata.operators.clone import mask_columns, sample_by_key, sample_table, select_tables
 from strata.plans import gold as G
 from strata.plans import zones as Z
+from strata.plans.declared import zone_checks
 from strata.plans.pipeline import TPCH_TIERS, Batch, build, gold_checks
 from strata.sources.tables import materialize
 from strata.sources.tpch import RawEntities, customer_versions, raw_entity, raw_query_history, read_table
@@ -245,6 +246,35 @@ def quality_summary(spark, sf):
     return gold_checks(fct, dc, dp, TPCH_TIERS)
 
 
+def declared_tests(zone: str):
+    """A query over the zone's tables with every declared test of the zone; each table is written once, as several passes read it."""
+    def tables(spark, sf) -> dict[str, DataFrame]:
+        b = Batch()
+        if zone in ("gold", "gold_analytics"):
+            names = {"gold": ("dim_customers", "dim_products", "fct_orders"), "gold_analytics": ("agg_sales_by_customer", "agg_sales_by_product", "agg_daily_revenue")}[zone]
+            t = _all(spark, sf, b)
+            return {n: t[n] for n in names}
+        out = {}
+        for e in ENTITIES:
+            raw = raw_entity(spark, sf, e)
+            trn = Z.transient(raw, e, b.batch_id, b.batch_ts)
+            brz = Z.bronze(trn, e, b.batch_ts)
+            if zone == "transient":
+                out |= {f"trn_{e}": trn, f"trn_{e}_rejects": Z.transient_rejects(raw, e, b.batch_id, b.batch_ts)}
+            elif zone == "bronze":
+                out[f"brz_{e}"] = brz
+            else:
+                val = materialize(Z.silver_validated(brz, e, b.batch_ts), f"validated_{e}")
+                out |= {f"slv_{e}": Z.silver_clean(val, e), f"slv_{e}_rejects": Z.silver_rejects(val, e, b.batch_ts)}
+        return out
+
+    def query(spark, sf):
+        built = {n: materialize(df, n) for n, df in tables(spark, sf).items()}
+        return zone_checks(zone, built, TPCH_TIERS.customer, TPCH_TIERS.product)
+
+    return query
+
+
 # --------------------------------------------------------------------------- run log
 def _log(spark, sf):
     return R.parse_log(raw_query_history(spark, sf))
@@ -283,6 +313,19 @@ def runlog_trend_monitor(spark, sf):
     return R.trend_monitor(_log(spark, sf))
 
 
+def runlog_run_failures(spark, sf):
+    return R.run_failures(_log(spark, sf), "scheduled__2024-01-15")
+
+
+def runlog_recent(spark, sf):
+    return R.recent(_log(spark, sf), LOG_NOW, days=7)
+
+
+def runlog_invocation_detail(spark, sf):
+    """One invocation, a row for each model write."""
+    return R.invocation_detail(_log(spark, sf), "inv-33-2024-01-28")
+
+
 def with_metadata_columns(spark, sf):
     """The generic metadata macro: five tag columns on raw products."""
     from strata.operators.metadata import with_metadata
@@ -291,21 +334,21 @@ def with_metadata_columns(spark, sf):
 
 
 def streaming_dedupe_events(spark, sf):
-    """Events as a file stream (availableNow) through the watermark de-duplication.
+    """Events with re-deliveries in later files, as a file stream of several epochs; one row for each event stays.
 
-    Runs the stream to completion into a parquet sink under the session's
-    checkpoint directory and returns the sink.
+    Purchases land a second time (a file of their own) and every event lands a third time, so
+    re-deliveries meet rows of their own epoch and of earlier ones, and are far later than the newest event seen.
     """
     import uuid
 
     from strata.sources.tables import ensure_checkpoint_dir
     from strata.streaming import dedupe_stream_to_table
 
-    schema = read_table(spark, sf, "events").schema
+    events = read_table(spark, sf, "events")
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/strata_streams/events-{uuid.uuid4().hex}"
-    return dedupe_stream_to_table(
-        spark, sf, schema, ["event_id"], "ts", f"{root}/sink", f"{root}/_checkpoint", file_glob="events.parquet"
-    )
+    for landed in (events, events.where(F.col("event_type") == "purchase"), events):
+        landed.write.mode("append").parquet(f"{root}/landing")
+    return dedupe_stream_to_table(spark, f"{root}/landing", events.schema, ["event_id"], f"{root}/sink", f"{root}/_checkpoint", max_files_per_trigger=2)
 
 
 # --------------------------------------------------------------------------- clones
@@ -323,4 +366,5 @@ def slim_clone(spark, sf):
 
 
 def sampled_clone(spark, sf):
-    return sample_table(raw_entity(spark, sf, "order_items"), 10, seed=7)
+    """A tenth of the orders' items, whole orders: the sample is by key, so any engine draws the same."""
+    return sample_by_key(raw_entity(spark, sf, "order_items"), "order_id", 10, seed=7)

@@ -25,6 +25,7 @@ from strata.operators.runlog import log_entry, tag_text
 from strata.operators.scd2 import snapshot_timestamp
 from strata.plans import gold as G
 from strata.plans import zones as Z
+from strata.plans.declared import EMAIL, zone_checks
 from strata.plans.entities import ENTITIES
 from strata.sources.tables import cut_lineage, read_table, table_exists, write_table, zone_path
 
@@ -35,6 +36,7 @@ ENTITY_NAMES = ("customers", "orders", "order_items", "products")
 class Batch:
     batch_id: str = "run-0001"
     batch_ts: str = "2024-02-01 06:00:00"
+    run_id: str | None = None  # the orchestrator's run id, for the log's tags
 
 
 @dataclass
@@ -98,6 +100,7 @@ class RunResult:
     checks: list = field(default_factory=list)
     reconciliation: dict[str, int] = field(default_factory=dict)  # raw rows − transient rows
     silver_checks: list = field(default_factory=list)
+    zone_checks: dict[str, list] = field(default_factory=dict)  # summary rows of every zone's declared tests
 
 
 def run_pipeline(
@@ -112,6 +115,7 @@ def run_pipeline(
     incremental_silver: bool = True,
     threads: int = 4,
     fk_severity: str = "warn",
+    bronze_key_severity: str = "warn",
     bronze_only_changed: bool = False,
 ) -> RunResult:
     """Write every zone for one batch; returns per-table row counts and check results.
@@ -120,8 +124,11 @@ def run_pipeline(
     the result equals a full rebuild. Off, silver is rebuilt from all bronze history.
     ``bronze_only_changed``: bronze appends only the rows of keys whose latest
     version differs from the last one loaded (SURVEY D2 option); silver is the same.
-    ``fk_severity``: silver relationship tests warn by default, because a child
+    Every zone's declared tests run on its written tables, before the next zone is built
+    (transient, bronze and silver before gold); a failed test of severity ``error`` stops the job.
+    ``fk_severity``: relationship tests warn by default, because a child
     whose parent was rejected is an expected orphan; ``"error"`` makes them block.
+    ``bronze_key_severity``: likewise for repeated bronze keys, which raw duplicates give and silver resolves.
     """
     res = RunResult()
     path = lambda zone, table: zone_path(root, env, zone, table, ci_schema)
@@ -130,7 +137,7 @@ def run_pipeline(
 
     def record(model: str, zone: str, materialized: str, df: DataFrame, write) -> None:
         start = dt.datetime.now()
-        tag = tag_text(invocation_id=batch.batch_id, job=f"build_{env}", env=env, model=model, schema=zone, materialized=materialized)
+        tag = tag_text(invocation_id=batch.batch_id, job=f"build_{env}", env=env, model=model, schema=zone, materialized=materialized, airflow_run_id=batch.run_id)
         spark.sparkContext.setJobDescription(tag)
 
         obs = Observation(model)
@@ -219,6 +226,11 @@ def run_pipeline(
             write_table(spark.createDataFrame([(mark,)], "hwm timestamp_ntz"), slv_mark,
                         mode="append" if table_exists(spark, slv_mark) else "overwrite")
 
+    def run_tests(zone: str, tables: dict[str, DataFrame]) -> list:
+        summary = zone_checks(zone, tables, tiers.customer, tiers.product, fk_severity, bronze_key_severity)
+        res.zone_checks[zone] = chk.raise_on_error(summary)
+        return res.zone_checks[zone]
+
     started = dt.datetime.now()
     try:
         # the four entity chains are independent: submit them concurrently
@@ -226,8 +238,11 @@ def run_pipeline(
         _run_all([lambda e=e: entity_chain(e) for e in ENTITY_NAMES], threads)
 
         slv = {e: spark.read.parquet(path("silver", f"slv_{e}")) for e in ENTITY_NAMES}
-        # silver tests run before gold: an error-severity failure stops everything downstream
-        res.silver_checks = chk.raise_on_error(silver_checks(slv, fk_severity))
+        # tests of the zones below run before gold: an error-severity failure stops everything downstream
+        stored = lambda zone, *names: {n: spark.read.parquet(path(zone, n)) for n in names}
+        run_tests("transient", stored("transient", *[f"trn_{e}{x}" for e in ENTITY_NAMES for x in ("", "_rejects")]))
+        run_tests("bronze", stored("bronze", *[f"brz_{e}" for e in ENTITY_NAMES]))
+        res.silver_checks = run_tests("silver", stored("silver", *[f"slv_{e}{x}" for e in ENTITY_NAMES for x in ("", "_rejects")]))
         gold = {
             "dim_customers": (G.dim_customers(slv["customers"], slv["orders"], tiers.customer), G.DIM_CUSTOMERS_CONTRACT),
             "dim_products": (G.dim_products(slv["products"], slv["order_items"], tiers.product), G.DIM_PRODUCTS_CONTRACT),
@@ -248,9 +263,9 @@ def run_pipeline(
             for name, (df, contract) in gold.items()
         ]
         _run_all(jobs, threads)
-        fo = spark.read.parquet(path("gold", "fct_orders"))
-        dc = spark.read.parquet(path("gold", "dim_customers"))
-        dp = spark.read.parquet(path("gold", "dim_products"))
+        built = stored("gold", *gold)
+        res.checks = run_tests("gold", built)
+        dc, dp, fo = built["dim_customers"], built["dim_products"], built["fct_orders"]
         _run_all([
             lambda name=name, df=df: record(name, "gold_analytics", "table", df, lambda d, p=path("gold_analytics", name): write_table(d, p))
             for name, df in (
@@ -260,11 +275,10 @@ def run_pipeline(
             )
         ], threads)
 
-        # tests right after the models (error severity stops the run)
-        res.checks = chk.raise_on_error(gold_checks(spark.read.parquet(path("gold", "fct_orders")), dc, dp, tiers))
+        run_tests("gold_analytics", stored("gold_analytics", "agg_daily_revenue", "agg_sales_by_customer", "agg_sales_by_product"))
     except Exception as exc:  # a failed check has no model of its own: it gets a log row, then is raised again
         if log_path and not failed:
-            tag = tag_text(invocation_id=batch.batch_id, job=f"build_{env}", env=env, model="checks", schema="checks", materialized="test")
+            tag = tag_text(invocation_id=batch.batch_id, job=f"build_{env}", env=env, model="checks", schema="checks", materialized="test", airflow_run_id=batch.run_id)
             log_rows.append(log_entry(spark, tag, f"{batch.batch_id}:checks", started, dt.datetime.now(), "FAIL", None, query_type="SELECT", error_message=str(exc)))
         raise
     finally:
@@ -322,36 +336,8 @@ def _run_all(jobs: list, threads: int) -> None:
             f.result()
 
 
-def silver_checks(slv: dict[str, DataFrame], fk_severity: str = "warn") -> DataFrame:
-    """The silver zone's declared tests: keys not NULL and unique, required columns, statuses, FKs."""
-    C = chk.Check
-    from strata.operators.rules import ORDER_STATUSES
-
-    nn = lambda *cols: [C("not_null", c) for c in cols]
-    suites = {
-        "slv_customers": [*nn("customer_id", "email", "first_name", "last_name", "state_code", "country_code"),
-                          C("unique", "customer_id"), C("unique", "email")],
-        "slv_orders": [*nn("order_id", "customer_id", "total_amount", "status"), C("unique", "order_id"),
-                       C("accepted_values", "status", values=ORDER_STATUSES),
-                       C("relationships", "customer_id", to=slv["customers"], field_="customer_id", severity=fk_severity)],
-        "slv_order_items": [*nn("order_item_id", "order_id", "product_id", "quantity"), C("unique", "order_item_id"),
-                            C("relationships", "order_id", to=slv["orders"], field_="order_id", severity=fk_severity),
-                            C("relationships", "product_id", to=slv["products"], field_="product_id", severity=fk_severity)],
-        "slv_products": [*nn("product_id", "price", "cost"), C("unique", "product_id")],
-    }
-    out = None
-    for table, checks in suites.items():
-        part = chk.run_checks(slv[table.removeprefix("slv_")], table, checks)
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-# Fixed value: the declared e-mail pattern.
-EMAIL = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
-
-
 def gold_checks(fct: DataFrame, dim_c: DataFrame, dim_p: DataFrame, tiers: Tiers = Tiers()) -> DataFrame:
-    """The gold zone's declared tests, compiled per table into one pass + unique/FK jobs."""
+    """A short gold suite with warnings instead of errors (the declared tests are in ``strata.plans.declared``)."""
     C = chk.Check
     c_labels = tuple(lbl for _, lbl in tiers.customer) + (G.CUSTOMER_TIER_DEFAULT,)
     p_labels = tuple(lbl for _, lbl in tiers.product) + (G.PRODUCT_TIER_DEFAULT,)
@@ -391,13 +377,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--batch-ts", default="2024-02-01 06:00:00")
     ap.add_argument("--tpch-tiers", action="store_true", help="use thresholds suited to the TPC-H stand-ins")
     ap.add_argument("--log", help="run-log table path")
+    ap.add_argument("--run-id", help="the orchestrator's run id, for the run log")
     ap.add_argument("--bronze-only-changed", action="store_true", help="append only keys whose latest version changed")
     ap.add_argument("--threads", type=int, default=4)
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("strata-pipeline").getOrCreate()
     env = "dev" if a.seeds else a.env
     raws = {e: read_entity(spark, env, e, seeds_dir=a.seeds, sf_dir=a.sf_dir) for e in ENTITY_NAMES}
-    res = run_pipeline(spark, raws, a.root, env=a.env, batch=Batch(a.batch_id, a.batch_ts),
+    res = run_pipeline(spark, raws, a.root, env=a.env, batch=Batch(a.batch_id, a.batch_ts, a.run_id),
                        tiers=TPCH_TIERS if a.tpch_tiers else Tiers(), ci_schema=a.ci_schema, log_path=a.log,
                        bronze_only_changed=a.bronze_only_changed, threads=a.threads)
     print(json.dumps({"written": res.written, "checks": [r.asDict() for r in res.checks]}, default=str))

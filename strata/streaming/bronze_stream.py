@@ -13,12 +13,14 @@ incremental bronze models.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.plans import zones as Z
+from strata.sources.tables import table_exists
 
 
 def ingest_bronze(
@@ -77,31 +79,44 @@ def dedupe_stream_to_table(
     source_path: str,
     schema: T.StructType,
     keys: list[str],
-    event_time: str,
     sink_path: str,
     checkpoint_path: str,
-    delay: str = "3 days",
     file_glob: str | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Run a file-source stream through ``dedupe_within_watermark`` into a parquet sink.
+    """Run a file-source stream into a parquet sink that holds one row for each key, however late a re-delivery is.
 
     ``source_path`` is a directory; ``file_glob`` picks its files (e.g. one table).
-
-    ``availableNow`` processes what has landed and stops; the parquet sink's own
-    log makes every epoch exactly-once. Returns the sink as a batch DataFrame.
+    No watermark is set, so no row is dropped for its time: a batch keeps the keys that no
+    earlier epoch wrote (NULL keys match each other). An epoch owns its folder, so a
+    repeated one replaces its own rows. Per batch, the sink is read for its key columns only.
+    Returns the sink as a batch DataFrame.
     """
     reader = spark.readStream.schema(schema)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
-    stream = reader.parquet(source_path)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stored = T.StructType([*schema.fields, T.StructField("_epoch", T.LongType())])
+
+    def per_batch(batch: DataFrame, epoch_id: int) -> None:
+        fresh = batch.dropDuplicates(keys)
+        if table_exists(batch.sparkSession, sink_path):
+            done = batch.sparkSession.read.schema(stored).parquet(sink_path).where(F.col("_epoch") < epoch_id)
+            done = done.select(*[F.col(k).alias(f"__seen_{k}") for k in keys])
+            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__seen_{k}")) for k in keys])
+            fresh = fresh.join(done, same, "left_anti")
+        fresh = fresh.withColumn("_epoch", F.lit(epoch_id).cast("bigint"))
+        fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_epoch").parquet(sink_path)
+
     q = (
-        dedupe_within_watermark(stream, keys, event_time, delay)
-        .writeStream.format("parquet")
-        .option("path", sink_path)
+        reader.parquet(source_path)
+        .writeStream.foreachBatch(per_batch)
         .option("checkpointLocation", checkpoint_path)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(sink_path)
+    if not table_exists(spark, sink_path):  # nothing has landed yet
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(stored).parquet(sink_path).drop("_epoch")
