@@ -240,9 +240,13 @@ def run_pipeline(
         slv = {e: spark.read.parquet(path("silver", f"slv_{e}")) for e in ENTITY_NAMES}
         # tests of the zones below run before gold: an error-severity failure stops everything downstream
         stored = lambda zone, *names: {n: spark.read.parquet(path(zone, n)) for n in names}
-        run_tests("transient", stored("transient", *[f"trn_{e}{x}" for e in ENTITY_NAMES for x in ("", "_rejects")]))
-        run_tests("bronze", stored("bronze", *[f"brz_{e}" for e in ENTITY_NAMES]))
-        res.silver_checks = run_tests("silver", stored("silver", *[f"slv_{e}{x}" for e in ENTITY_NAMES for x in ("", "_rejects")]))
+        lower = {
+            "transient": [f"trn_{e}{x}" for e in ENTITY_NAMES for x in ("", "_rejects")],
+            "bronze": [f"brz_{e}" for e in ENTITY_NAMES],
+            "silver": [f"slv_{e}{x}" for e in ENTITY_NAMES for x in ("", "_rejects")],
+        }
+        _run_all([lambda z=z, names=names: run_tests(z, stored(z, *names)) for z, names in lower.items()], threads)
+        res.silver_checks = res.zone_checks["silver"]
         gold = {
             "dim_customers": (G.dim_customers(slv["customers"], slv["orders"], tiers.customer), G.DIM_CUSTOMERS_CONTRACT),
             "dim_products": (G.dim_products(slv["products"], slv["order_items"], tiers.product), G.DIM_PRODUCTS_CONTRACT),
