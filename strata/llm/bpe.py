@@ -26,7 +26,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.pretokens import END_OF_TEXT, WordIds, byte_alphabet, default_vocabulary, id_lists, load_vocabulary, pretokens, row_slices, token_bytes
+from strata.llm.pretokens import END_OF_TEXT, WordIds, byte_alphabet, default_vocabulary, id_lists, load_vocabulary, row_slices, token_bytes
 
 MEMO_ARCS = 2_000_000
 TOGETHER = 64  # bytes of the longest word that is encoded with others
@@ -223,12 +223,12 @@ def encode(text: Column, path: str | None = None) -> Column:
     path = path or default_vocabulary()
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for lists in batches:
-            for ids, ends in _encoder(path).slices(lists):
+        for texts in batches:
+            for ids, ends in _encoder(path).slices(texts):
                 yield id_lists(ids, ends)
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(run, "binary")(pretokens(text))
+    return F.arrow_udf(run, "binary")(text)
 
 
 @lru_cache(maxsize=2)
@@ -269,13 +269,13 @@ def _both(text: Column, path: str) -> Column:
     """struct(ids, decoded) in one pass through one worker: what is decoded are the packed ids."""
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for lists in batches:
-            for ids, ends in _encoder(path).slices(lists):
+        for texts in batches:
+            for ids, ends in _encoder(path).slices(texts):
                 packed = id_lists(ids, ends)
                 yield pa.StructArray.from_arrays([packed, decode_array(packed, path)], names=["ids", "decoded"])
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(run, "struct<ids:binary,decoded:string>")(pretokens(text))
+    return F.arrow_udf(run, "struct<ids:binary,decoded:string>")(text)
 
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:

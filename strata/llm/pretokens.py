@@ -1,26 +1,32 @@
 """Words that byte-level BPE merges never cross, and their ids by batch.
 
-Texts are split by the JVM's regex engine; a task then sees Arrow lists of words, encodes
-each distinct word once (remembered within bounds) and expands ids by index arithmetic.
+A task sees Arrow batches of texts. Array arithmetic over a batch's characters finds where
+the published split pattern's words begin; each distinct word is encoded once (remembered
+within bounds) and ids are expanded by index arithmetic.
 """
 
 from __future__ import annotations
 
 import json
+import re
+import unicodedata
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+import pyarrow.compute
+import regex
 
 VOCABULARY = "byte_bpe_50k.json"  # of the public tokenizer files
 MEMO_WORDS = 250_000  # words a worker remembers; beyond, it starts anew
 
-# Fixed value: white space as the tokenizer's split pattern means it (Unicode White_Space).
-_SPACE = r"\t-\r \x85\xa0  -     　"
-# The published split pattern; alternatives that cannot start alike are put in order of frequency.
-SPLIT = rf" ?\p{{L}}+|'(?:[stmd]|re|ve|ll)| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+# White space as the tokenizer's split pattern means it (Unicode White_Space), and the endings that
+# the pattern takes together with the apostrophe before them.
+WHITE_SPACE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+ENDINGS_1 = "stmd"
+ENDINGS_2 = ("re", "ve", "ll")
 END_OF_TEXT = "<|endoftext|>"  # no word of the split pattern equals it
 
 
@@ -45,20 +51,93 @@ def load_vocabulary(path: str) -> tuple[dict[str, int], list[tuple[str, str]], d
     return spec["model"]["vocab"], merges, {t["content"]: t["id"] for t in spec["added_tokens"]}
 
 
-def pretokens(text: Column) -> Column:
-    """Words of a text, special-token strings as words of their own; NULL has none."""
-    text = F.coalesce(text, F.lit(""))
-    split = lambda part: F.regexp_extract_all(part, F.lit(SPLIT), F.lit(0))
-    mark = F.array(F.lit(END_OF_TEXT))
-    parts = F.split(text, r"<\|endoftext\|>", -1)
-    special = F.flatten(F.transform(parts, lambda p, i: F.when(i == 0, split(p)).otherwise(F.concat(mark, split(p)))))
-    return F.when(F.contains(text, F.lit(END_OF_TEXT)), special).otherwise(split(text))
-
-
-SLICE_WORDS = 1 << 18  # words, or ids, that are worked on at once (a longer row alone)
-
-
-def row_slices(sizes: np.ndarray, limit: int = SLICE_WORDS) -> Iterator[tuple[int, int]]:
+SPACE, LETTER, NUMBER, OTHER = range(4)
+
+
+@lru_cache(maxsize=1)
+def character_kinds() -> np.ndarray:
+    """Kind of each code point: white space, letter, number or other, as the tokenizers library sees it.
+
+    Characters that are newer than Python's own tables are looked up in the library.
+    """
+    from tokenizers import pre_tokenizers
+
+    kinds, table, unknown = {"L": LETTER, "N": NUMBER}, np.full(0x110000, OTHER, np.uint8), []
+    for c in range(0x110000):
+        category = unicodedata.category(chr(c))
+        if category[0] in kinds:
+            table[c] = kinds[category[0]]
+        elif category == "Cn":
+            unknown.append(chr(c))
+    split = pre_tokenizers.ByteLevel(add_prefix_space=False).pre_tokenize_str
+    for c in regex.findall(r"[\p{L}\p{N}]", "".join(unknown)):
+        pieces = split(f"a{c}1")
+        table[ord(c)] = OTHER if len(pieces) == 3 else LETTER if pieces[0][1] == (0, 2) else NUMBER
+    table[list(WHITE_SPACE)] = SPACE
+    return table
+
+
+def _specials(body: bytes, ends: np.ndarray) -> list[tuple[int, int]]:
+    """Places of special-token strings that lie inside one row."""
+    found = [m.span() for m in re.finditer(re.escape(END_OF_TEXT.encode()), body)]
+    return [(a, b) for a, b in found if np.searchsorted(ends, a, side="right") == np.searchsorted(ends, b - 1, side="right")]
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(words of all rows, words of each row); NULL and empty texts have none.
+
+    Words are maximal runs of letters, of numbers, of white space or of other characters, but: a
+    blank before another run belongs to that run; other white space before it is a word of its own;
+    an apostrophe that begins a word takes a listed ending with it; special-token strings are words.
+    """
+    texts = texts.cast(pa.large_string()).fill_null("")
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    if offsets[0] == offsets[-1]:
+        return pa.array([], pa.large_string()), np.zeros(len(texts), np.int64)
+    raw = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    body = raw.tobytes()
+    try:
+        chars = np.frombuffer(body.decode().encode("utf-32-le"), "<u4")
+    except UnicodeDecodeError:  # what is no UTF-8 becomes U+FFFD
+        return split_words(pa.array([t.decode("utf-8", "replace") for t in texts.cast(pa.large_binary()).to_pylist()], pa.large_string()))
+    n, bounds = len(chars), offsets - offsets[0]
+    lead = np.arange(n) if n == len(raw) else np.flatnonzero((raw & 0xC0) != 0x80)  # byte where each character begins
+    special = _specials(body, bounds[1:])
+    fresh = np.zeros(n + 1, bool)  # characters before which nothing is seen: of rows, of special tokens and after them
+    fresh[np.searchsorted(lead, bounds)] = True
+    fresh[np.searchsorted(lead, [x for ab in special for x in ab])] = True
+    kind = character_kinds()[chars]
+    begins = np.ones(n + 1, bool)
+    begins[1:n] = (kind[1:] != kind[:-1]) | fresh[1:n]
+    # a run after white space, in sight of it
+    after = np.flatnonzero(begins[:n] & (kind != SPACE) & ~fresh[:n])
+    after = after[kind[after - 1] == SPACE]
+    begins[after - 1] = True
+    begins[after[chars[after - 1] == 0x20]] = False
+    # apostrophes that begin a word; what lies past the end, or out of sight, is no letter
+    quote = np.flatnonzero((chars == 0x27) & begins[:n])
+    seen = lambda at, ok: np.where(ok, chars[np.minimum(at, n - 1)], 0)
+    near = ~fresh[quote + 1]
+    far = near & ~fresh[np.minimum(quote + 2, n)]
+    one, two = seen(quote + 1, near), seen(quote + 2, far)
+    short = np.isin(one, [ord(c) for c in ENDINGS_1])
+    long = np.any([(one == ord(a)) & (two == ord(b)) for a, b in ENDINGS_2], axis=0)
+    for some, size in ((quote[short], 2), (quote[long], 3)):
+        begins[some + 1] = False
+        begins[some + size] = True
+    for a, b in special:
+        at = np.searchsorted(lead, [a, b])
+        begins[at[0] + 1 : at[1]] = False
+    starts = lead[np.flatnonzero(begins[:n])]
+    words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(np.append(starts, len(raw)).astype(np.int64)), pa.py_buffer(body)])
+    return words, np.diff(np.searchsorted(starts, bounds))
+
+
+SLICE_BYTES = 1 << 21  # of texts that are split at once (a longer row alone)
+SLICE_IDS = 1 << 18  # ids that are worked on at once (a longer row alone)
+
+
+def row_slices(sizes: np.ndarray, limit: int = SLICE_IDS) -> Iterator[tuple[int, int]]:
     """Runs of rows whose sizes add up to ``limit`` at most, one row at least; none for no rows."""
     ends, at = np.cumsum(sizes), 0
     while at < len(ends):
@@ -84,26 +163,28 @@ class WordIds:
         self.memo.update(zip(words, range(len(self.memo), len(self.memo) + len(words)), strict=True))
         self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
-        self.pool = np.concatenate([self.pool, *(np.asarray(x, np.uint32) for x in ids)])
+        self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))])
 
-    def slices(self, lists: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def slices(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(all ids, end of each row in them) for one run of rows after the other."""
-        sizes = np.asarray(lists.value_lengths().fill_null(0), np.int64)
-        for a, b in row_slices(sizes):
-            yield self._ids(lists.slice(a, b - a).flatten(), np.cumsum(sizes[a:b]))
+        for a, b in row_slices(np.asarray(pa.compute.binary_length(texts).fill_null(0), np.int64), SLICE_BYTES):
+            words, sizes = split_words(texts.slice(a, b - a))
+            yield self._ids(words, np.cumsum(sizes))
 
     def _ids(self, flat: pa.Array, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(flat):
             return np.zeros(0, np.uint32), rows
         coded = flat.dictionary_encode()
         words = coded.dictionary.to_pylist()
-        new = [w for w in words if w not in self.memo]
-        if len(self.memo) + len(new) > MEMO_WORDS:
+        at = np.fromiter((self.memo.get(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(at < 0)
+        if len(new) and len(self.memo) + len(new) > MEMO_WORDS:
             self._forget()
-            new = words
-        if new:
-            self._learn(new)
-        place = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy(zero_copy_only=False)]
+            new = np.arange(len(words))
+        if len(new):
+            at[new] = len(self.memo) + np.arange(len(new))
+            self._learn([words[i] for i in new.tolist()])
+        place = at[coded.indices.to_numpy(zero_copy_only=False)]
         n = self.size[place]
         ends = np.cumsum(n)
         at = np.repeat(self.start[place] - (ends - n), n) + np.arange(ends[-1])

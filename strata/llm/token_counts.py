@@ -18,18 +18,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import materialize
-from strata.llm.pretokens import WordIds, default_vocabulary, pretokens
+from strata.llm.pretokens import WordIds, default_vocabulary
 
 BUCKET = 1024  # lengths of a bucket; suffix sums run inside buckets and over bucket totals
 
 
 @lru_cache(maxsize=2)
 def library_encoder(path: str) -> WordIds:
-    """One tokenizer and memo for each worker process."""
+    """One tokenizer and memo for each worker process; it gets words that are split already."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
     tokenizer = Tokenizer.from_file(path)
+    tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
     return WordIds(lambda words: [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)])
 
 
@@ -38,12 +39,12 @@ def token_count(text: Column, path: str | None = None) -> Column:
     path = path or default_vocabulary()
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for lists in batches:
-            for _, ends in library_encoder(path).slices(lists):
+        for texts in batches:
+            for _, ends in library_encoder(path).slices(texts):
                 yield pa.array(np.diff(ends, prepend=0).astype(np.int64))
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(run, "bigint")(pretokens(text))
+    return F.arrow_udf(run, "bigint")(text)
 
 
 def length_histogram(docs: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:

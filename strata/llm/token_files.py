@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import shared_path
-from strata.llm.pretokens import default_vocabulary, load_vocabulary, pretokens
+from strata.llm.pretokens import default_vocabulary, load_vocabulary
 from strata.llm.token_counts import library_encoder
 
 MAGIC = b"TKB1"
@@ -275,7 +275,7 @@ def write_token_files(docs: DataFrame, out: str, id_col: str = "doc_id", text_co
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    rows.select("doc_id", pretokens(F.col("text")).alias("words")).mapInArrow(run, FILE_SCHEMA).write.parquet(out)
+    rows.mapInArrow(run, FILE_SCHEMA).write.parquet(out)
 
 
 def read_token_files(files: DataFrame, alphabet: int) -> DataFrame:

@@ -79,3 +79,29 @@ def test_ids_that_are_no_text(spark):
     got = bpe.decode_array(pa.array([struct.pack("<I", 220), struct.pack("<II", 161, 162), b"", None]), pretokens.default_vocabulary()).to_pylist()
     t = Tokenizer.from_file(pretokens.default_vocabulary())
     assert got == [t.decode([220], skip_special_tokens=False), t.decode([161, 162], skip_special_tokens=False), "", ""]
+
+
+def test_words_are_those_of_the_library(tokenizer):
+    split = tokenizer.pre_tokenizer.pre_tokenize_str
+
+    def words(text):
+        out = []
+        for i, part in enumerate(text.split(pretokens.END_OF_TEXT)):
+            out += [pretokens.END_OF_TEXT] * (i > 0) + [part[a:b] for _, (a, b) in split(part)]
+        return out
+
+    rng = random.Random(5)
+    alphabet = [*"aab1  'strevlldm'!\n\té日½<|>", "\u3000", "\xa0", "'s", "'re", "<|endoftext|>", "<|endof", "text|>"]
+    rows = [None, "", *("".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))) for _ in range(4000))]
+    rows += ["".join(f"a{chr(c)}a1{chr(c)}1!{chr(c)}!" for c in range(at, at + 2048) if not 0xD800 <= c < 0xE000) for at in range(0, 0x20000, 2048)]  # every character
+    import pyarrow as pa
+
+    got, sizes = pretokens.split_words(pa.array(rows).slice(1))
+    got, at = got.to_pylist(), 0
+    for row, n in zip(rows[1:], sizes.tolist(), strict=True):
+        assert got[at : at + n] == words(row)
+        at += n
+    assert at == len(got)
+    invalid = pa.array([b"a b", b"x\xff y"]).cast(pa.binary()).view(pa.string())
+    assert pretokens.split_words(invalid)[0].to_pylist() == ["a", " b", "x", "\ufffd", " y"]
+    assert pretokens.split_words(pa.array([], pa.string()))[1].tolist() == []
