@@ -176,12 +176,32 @@ def _k(fn, round_cols=()):
     return lambda spark, sf: _out(fn(spark, sf), tuple(round_cols))
 
 
+def _technical_rejects(entity):
+    return _k(lambda spark, sf: Z.transient_rejects(raw_entity(spark, sf, entity), entity, BATCH.batch_id, BATCH.batch_ts))
+
+
+def _business_rejects(entity):
+    return _k(lambda spark, sf: Z.silver_rejects(_validated(spark, sf, entity), entity, BATCH.batch_ts))
+
+
+_MONEY = {"orders": ["total_amount"], "order_items": ["unit_price", "total_price", "discount_amount"], "products": ["price", "cost"]}
+_QUERIES.update({f"technical_rejects_{e}": (_technical_rejects(e), O.rounded(O.technical_rejects(e), [], doubles=_MONEY[e])) for e in ("orders", "order_items", "products")})
+_QUERIES.update({
+    "business_rejects_customers": (_business_rejects("customers"), O.business_rejects("customers")),
+    "business_rejects_orders": (_business_rejects("orders"), O.rounded(O.business_rejects("orders"), [], doubles=["total_amount"])),
+    "business_rejects_order_items": (_business_rejects("order_items"), O.rounded(O.business_rejects("order_items"), [], doubles=[c for c in _MONEY["order_items"] if c in O.REJECT_COLS["order_items"]])),
+})
+
 # load patterns, history, checks, run log, clones (strata.plans.catalog)
 _QUERIES.update(
     {
         "incremental_append": (_k(K.incremental_append), O.incremental_append()),
         "incremental_append_empty_target": (_k(K.incremental_append_empty_target), O.incremental_append_empty_target()),
         "merge_upsert": (_k(K.merge_upsert), O.merge_upsert()),
+        "stored_append": (_k(K.stored_append), O.incremental_append()),
+        "stored_full_refresh": (_k(K.stored_full_refresh), O.incremental_append_empty_target()),
+        "stored_merge": (_k(K.stored_merge), O.merge_upsert()),
+        "stored_snapshot": (_k(K.stored_snapshot), O.scd2_timestamp()),
         "delete_insert_window": (_k(K.delete_insert_window), O.delete_insert_window()),
         "late_lookback": (_k(K.late_lookback), O.late_lookback()),
         "microbatch_days": (_k(K.microbatch_days), O.microbatch_days()),
@@ -222,6 +242,7 @@ _QUERIES.update(
         "streaming_dedupe_events": (_k(K.streaming_dedupe_events), "SELECT DISTINCT ON (event_id) * FROM events"),
         "mask_pii": (_k(K.mask_pii), O.mask_pii()),
         "slim_clone": (_k(K.slim_clone), O.rounded(O.silver("orders"), [], doubles=["total_amount"])),
+        "full_clone_masked": (_k(K.full_clone_masked), O.full_clone_masked()),
         "sampled_clone": (_k(K.sampled_clone), O.rounded(O.sampled_clone(), [], doubles=["unit_price", "total_price", "discount_amount"])),
         **{f"declared_tests_{z}": (_k(K.declared_tests(z)), O.declared_tests(z)) for z in ("transient", "bronze", "silver", "gold", "gold_analytics")},
     }

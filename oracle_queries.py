@@ -767,6 +767,34 @@ def mask_pii() -> str:
     )
 
 
+def full_clone_masked() -> str:
+    masked = (
+        "customer_id, sha256(first_name) AS first_name, sha256(last_name) AS last_name, regexp_replace(email, '^[^@]*', '***') AS email, "
+        "'***' || right(phone, 4) AS phone, sha256(address) AS address, city"
+    )
+    return f"SELECT 'silver' AS zone, {masked} FROM ({silver('customers')}) AS s UNION ALL SELECT 'gold' AS zone, {masked} FROM ({dim_customers()}) AS d"
+
+
+def technical_rejects(entity: str) -> str:
+    return f"""SELECT * EXCLUDE (_r), _r AS _reject_reason, {ts()} AS _rejected_at, '{BATCH_ID}' AS _batch_id,
+           {skey(*REJECT_KEY['trn'][entity])} AS _reject_id
+        FROM (SELECT *, {technical_reason(entity)} AS _r FROM ({RAW[entity]}) AS raw) AS t WHERE _r IS NOT NULL"""
+
+
+# Business columns that silver rejects keep.
+REJECT_COLS = {
+    "customers": "customer_id, first_name, last_name, email",
+    "orders": "order_id, customer_id, order_date, status, total_amount",
+    "order_items": "order_item_id, order_id, product_id, quantity, unit_price, total_price",
+}
+
+
+def business_rejects(entity: str) -> str:
+    return f"""SELECT {REJECT_COLS[entity]}, _reject_reason, _silver_processed_at, {ts()} AS _rejected_at,
+           {skey(*REJECT_KEY['slv'][entity])} AS _reject_id
+        FROM ({silver_validated(entity)}) AS v WHERE _reject_reason IS NOT NULL"""
+
+
 def with_metadata_columns() -> str:
     return _dbl(
         f"SELECT *, 'fivetran' AS _source_system, 'product' AS _domain, 'public' AS _sensitivity_tag, "

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from strata.sources.tables import drop_path, write_table
 
 MASK_RULES = ("hash", "redact_email", "null", "keep_last4")
+# what a clone masks where the caller gives no masks: personal columns by name
+PERSONAL_MASKS = {"email": "redact_email", "phone": "keep_last4", "address": "hash", "first_name": "hash", "last_name": "hash"}
 
 # what may be created or dropped: one name, no path
 _CI_SCHEMA = re.compile(r"(?:PR|CI)_[A-Za-z0-9_]+", re.IGNORECASE)
@@ -99,7 +101,9 @@ def clone_for_ci(
 ) -> str:
     """Copy (or sample) every table, or only ``table_list`` entries, to ``<root>/<schema>/<SCHEMA>_<TABLE>``.
 
-    Refuses targets that are not CI schemas (must start with ``PR_`` or ``CI_``).
+    Refuses targets that are not CI schemas (must start with ``PR_`` or ``CI_``). ``masks`` (table → column →
+    rule) replaces the default, under which every table's personal columns (``PERSONAL_MASKS``) are masked: in rows
+    tagged ``pii``, or in all rows of a table without tags. ``masks={}`` copies everything as it is.
     """
     if not _CI_SCHEMA.fullmatch(target_schema):
         raise ValueError("clone target must be a CI schema (PR_* or CI_*, letters, digits and underscores)")
@@ -107,7 +111,9 @@ def clone_for_ci(
     there = {(s.upper(), t.upper()) for s, t in tables}
     if wanted is not None and wanted - there:
         raise ValueError(f"no such tables: {sorted('.'.join(x) for x in wanted - there)}")
-    masks = {t.upper(): m for t, m in (masks or {}).items()}
+    if masks is None:
+        masks = {t: {c: r for c, r in PERSONAL_MASKS.items() if c in df.columns} for (_, t), df in tables.items()}
+    masks = {t.upper(): m for t, m in masks.items()}
     if set(masks) - {t for _, t in there}:
         raise ValueError(f"masks for unknown tables: {sorted(set(masks) - {t for _, t in there})}")
     n = 0
@@ -115,7 +121,7 @@ def clone_for_ci(
         if wanted is not None and (schema.upper(), table.upper()) not in wanted:
             continue
         out = sample_table(df, pct, seed)
-        if table.upper() in masks:
+        if masks.get(table.upper()):
             out = mask_columns(out, masks[table.upper()])
         write_table(out, f"{target_root.rstrip('/')}/{target_schema}/{clone_name(schema, table)}")
         n += 1

@@ -103,6 +103,7 @@ def append_table(
     full_refresh: bool = False,
     hwm_path: str | None = None,
     on_schema_change: str = "ignore",
+    own_partitions: bool = False,
 ) -> int:
     """Append newer rows to the parquet table at ``path``; returns rows appended.
 
@@ -117,7 +118,13 @@ def append_table(
     ``hwm_path`` the high-water mark comes from a small side table (one row per
     load) instead of a ``max()`` over the whole target, and the new mark is taken
     from ``observe`` metrics of the write itself: no extra scan either way.
+
+    ``own_partitions`` (with ``hwm_path``): ``partition_by`` follows from ``col``, so rows beyond the mark
+    have partitions of their own, and the load replaces these. A load that was stopped before its mark was
+    written can then be repeated: it leaves one copy.
     """
+    if own_partitions and not (hwm_path and partition_by):
+        raise ValueError("own_partitions needs partition_by and hwm_path")
     spark = src.sparkSession
     exists = table_exists(spark, path) and not full_refresh
     if exists:
@@ -136,7 +143,10 @@ def append_table(
         new = src
     obs = Observation("appended")
     new = new.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(col).cast("string").alias("hwm"))
-    write_table(new, path, mode="append" if exists else "overwrite", partition_by=partition_by)
+    if exists and own_partitions:
+        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    else:
+        write_table(new, path, mode="append" if exists else "overwrite", partition_by=partition_by)
     metrics = obs.get
     rows = int(metrics["rows"])
     if hwm_path and rows:

@@ -8,6 +8,7 @@ are the batch clocks of the scenarios.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +17,12 @@ from strata.operators import checks as chk
 from strata.operators import load as L
 from strata.operators import runlog as R
 from strata.operators import scd2 as H
-from strata.operators.clone import mask_columns, sample_by_key, sample_table, select_tables
+from strata.operators.clone import clone_zones, mask_columns, sample_by_key
 from strata.plans import gold as G
 from strata.plans import zones as Z
 from strata.plans.declared import zone_checks
 from strata.plans.pipeline import TPCH_TIERS, Batch, build, gold_checks
-from strata.sources.tables import materialize
+from strata.sources.tables import ensure_checkpoint_dir, materialize, write_table
 from strata.sources.tpch import RawEntities, customer_versions, raw_entity, raw_query_history, read_table
 
 ENTITIES = ("customers", "orders", "order_items", "products")
@@ -36,6 +37,11 @@ FRESHNESS_NOW = "2024-01-31 06:00:00"
 SPLIT_DATE = "1998-01-01"
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A new folder for one query's stored tables, in the folder that driver and executors share."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/strata_stored/{name}-{uuid.uuid4().hex}"
+
+
 def _all(spark: SparkSession, sf: str, batch: Batch) -> dict[str, DataFrame]:
     return build(RawEntities(spark, sf), batch, TPCH_TIERS)
 
@@ -62,6 +68,43 @@ def incremental_append_empty_target(spark, sf):
     return L.append_incremental(second, first, "_loaded_at")
 
 
+def stored_append(spark, sf):
+    """The two loads of ``incremental_append`` on a stored table with a side mark; the second is run twice."""
+    path = _scratch(spark, "append")
+    first = Z.bronze(_trn_orders(spark, sf, LOAD1_TS, F.col("order_date") < SPLIT_DATE), "orders", LOAD1_TS)
+    second = Z.bronze(_trn_orders(spark, sf, LOAD2_TS), "orders", LOAD2_TS)
+    for batch in (first, second, second):
+        L.append_table(batch, f"{path}/orders", "_loaded_at", hwm_path=f"{path}/orders.__hwm")
+    return spark.read.parquet(f"{path}/orders")
+
+
+def stored_full_refresh(spark, sf):
+    """A stored table of the first load, rebuilt from the second."""
+    path = _scratch(spark, "refresh")
+    first = Z.bronze(_trn_orders(spark, sf, LOAD1_TS, F.col("order_date") < SPLIT_DATE), "orders", LOAD1_TS)
+    second = Z.bronze(_trn_orders(spark, sf, LOAD2_TS), "orders", LOAD2_TS)
+    L.append_table(first, f"{path}/orders", "_loaded_at", hwm_path=f"{path}/orders.__hwm")
+    L.append_table(second, f"{path}/orders", "_loaded_at", hwm_path=f"{path}/orders.__hwm", full_refresh=True)
+    return spark.read.parquet(f"{path}/orders")
+
+
+def stored_merge(spark, sf):
+    """The merge of ``merge_upsert`` on a stored table that is partitioned by version: updated keys move to another partition."""
+    path = f"{_scratch(spark, 'merge')}/orders"
+    L.merge_table(_orders_versioned(spark, sf, 1, F.col("order_date") < SPLIT_DATE), path, ["order_id"], partition_by=["version"])
+    L.merge_table(_orders_versioned(spark, sf, 2, F.col("order_date") >= "1997-01-01"), path, ["order_id"], partition_by=["version"])
+    return spark.read.parquet(path)
+
+
+def stored_snapshot(spark, sf):
+    """Two snapshot runs against a stored history, the second one twice (the repeat changes nothing)."""
+    path = f"{_scratch(spark, 'snapshot')}/customers"
+    v1, v2 = customer_versions(spark, sf)
+    for src, ts in ((v1, SNAP1_TS), (v2, SNAP2_TS), (v2, SNAP2_TS)):
+        H.snapshot_table(src, path, "customer_id", ts, updated_at="updated_at")
+    return spark.read.parquet(path)
+
+
 def _orders_versioned(spark, sf, version: int, where=None):
     o = raw_entity(spark, sf, "orders")
     if where is not None:
@@ -97,11 +140,27 @@ def late_lookback(spark, sf):
 
 
 def microbatch_days(spark, sf):
-    """Daily slices of events: each row tagged with its slice, aggregated per slice and type."""
-    ev = L.assign_batch(read_table(spark, sf, "events"), "ts", "day")
-    return ev.groupBy("_batch_start", "event_type").agg(
-        F.count(F.lit(1)).alias("events"), F.round(F.sum("value"), 4).alias("value_sum")
-    )
+    """Events by day and type, written a week at a time by ``run_microbatch``; one week is then run again and replaces itself."""
+    path = _scratch(spark, "microbatch")
+    events = read_table(spark, sf, "events").where("ts is not null")
+    first, last = events.agg(F.min(F.to_date("ts").cast("string")), F.max(F.to_date("ts").cast("string"))).first()
+    empty = first is None
+    begin = dt.datetime.fromisoformat(first or SPLIT_DATE)
+    end = dt.datetime.fromisoformat(last or SPLIT_DATE) + dt.timedelta(days=1)
+
+    def per_day(part: DataFrame) -> DataFrame:
+        return L.assign_batch(part, "ts", "day").groupBy("_batch_start", "event_type").agg(
+            F.count(F.lit(1)).alias("events"), F.round(F.sum("value"), 4).alias("value_sum"))
+
+    def sink(part: DataFrame, start: dt.datetime, _: dt.datetime) -> None:
+        part = part.withColumn("slice", F.lit(f"S{start:%Y%m%d}"))
+        part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slice").parquet(path)
+
+    if empty:
+        return per_day(events)
+    L.run_microbatch(events, "ts", begin, end, dt.timedelta(days=7), per_day, sink)
+    L.run_microbatch(events, "ts", begin, end, dt.timedelta(days=7), per_day, sink, only=[begin])
+    return spark.read.parquet(path).drop("slice")
 
 
 def schema_change_append_cols(spark, sf):
@@ -339,9 +398,6 @@ def streaming_dedupe_events(spark, sf):
     Purchases land a second time (a file of their own) and every event lands a third time, so
     re-deliveries meet rows of their own epoch and of earlier ones, and are far later than the newest event seen.
     """
-    import uuid
-
-    from strata.sources.tables import ensure_checkpoint_dir
     from strata.streaming import dedupe_stream_to_table
 
     events = read_table(spark, sf, "events")
@@ -359,10 +415,23 @@ def mask_pii(spark, sf):
 
 
 def slim_clone(spark, sf):
-    t = _all(spark, sf, Batch())
-    tables = {("SILVER", "SLV_ORDERS"): t["slv_orders"], ("SILVER", "SLV_PRODUCTS"): t["slv_products"], ("GOLD", "FCT_ORDERS"): t["fct_orders"]}
-    chosen = select_tables(tables, "SILVER.SLV_ORDERS")
-    return sample_table(chosen[("SILVER", "SLV_ORDERS")], 0)
+    """Of a lake's silver tables one is listed: the written clone of it."""
+    lake, t = _scratch(spark, "slim_clone"), _all(spark, sf, Batch())
+    for name in ("slv_orders", "slv_products"):
+        write_table(t[name], f"{lake}/silver/{name}")
+    clone_zones(spark, lake, "silver", f"{lake}/ci", "PR_1", table_list="SILVER.SLV_ORDERS")
+    return spark.read.parquet(f"{lake}/ci/PR_1/SILVER_SLV_ORDERS")
+
+
+def full_clone_masked(spark, sf):
+    """A full clone of two zones, which masks personal data by default: the clones of both customer tables, told apart by ``zone``."""
+    lake, t = _scratch(spark, "full_clone"), _all(spark, sf, Batch())
+    columns = ["customer_id", "first_name", "last_name", "email", "phone", "address", "city"]
+    write_table(t["slv_customers"], f"{lake}/silver/slv_customers")
+    write_table(t["dim_customers"], f"{lake}/gold/dim_customers")
+    clone_zones(spark, lake, "silver,gold", f"{lake}/ci", "PR_2")
+    cloned = {z: spark.read.parquet(f"{lake}/ci/PR_2/{n}").select(F.lit(z).alias("zone"), *columns) for z, n in (("silver", "SILVER_SLV_CUSTOMERS"), ("gold", "GOLD_DIM_CUSTOMERS"))}
+    return cloned["silver"].unionByName(cloned["gold"])
 
 
 def sampled_clone(spark, sf):

@@ -12,6 +12,7 @@ models (bronze append, reject merges, snapshot) see their previous state.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -101,6 +102,7 @@ class RunResult:
     reconciliation: dict[str, int] = field(default_factory=dict)  # raw rows − transient rows
     silver_checks: list = field(default_factory=list)
     zone_checks: dict[str, list] = field(default_factory=dict)  # summary rows of every zone's declared tests
+    freshness: dict[str, str] = field(default_factory=dict)  # entity → pass / warn
 
 
 def run_pipeline(
@@ -117,6 +119,8 @@ def run_pipeline(
     fk_severity: str = "warn",
     bronze_key_severity: str = "warn",
     bronze_only_changed: bool = False,
+    full_refresh: bool = False,
+    freshness: Mapping[str, str] | None = None,
 ) -> RunResult:
     """Write every zone for one batch; returns per-table row counts and check results.
 
@@ -129,6 +133,11 @@ def run_pipeline(
     ``fk_severity``: relationship tests warn by default, because a child
     whose parent was rejected is an expected orphan; ``"error"`` makes them block.
     ``bronze_key_severity``: likewise for repeated bronze keys, which raw duplicates give and silver resolves.
+    ``full_refresh``: bronze, rejects and silver forget earlier runs and are rebuilt from this
+    batch; the snapshot's history stays, as nothing could bring it back.
+    ``freshness`` (entity → time column): before anything is written, a source whose newest row is
+    older than a day at the batch's time, or that is empty, stops the job; one older than half a day warns.
+    A transient table whose rows do not add up to the raw rows stops it too.
     """
     res = RunResult()
     path = lambda zone, table: zone_path(root, env, zone, table, ci_schema)
@@ -168,24 +177,28 @@ def run_pipeline(
         # row-count reconciliation: raw rows observed flowing into the write vs rows
         # in the written table (a footer-only count; the raw source is not re-scanned)
         res.reconciliation[e] = res.written[f"trn_{e}"] - trn_all.count()
+        if res.reconciliation[e]:
+            raise RuntimeError(f"trn_{e} lacks {res.reconciliation[e]} of the raw rows")
         # technical rejects from the written table's invalid partition, not from raw again
         rej_path = path("transient", f"trn_{e}_rejects")
         rej = Z.transient_rejects(trn_all.where(~F.col("_is_valid")), e, batch.batch_id, batch.batch_ts)
-        old = spark.read.parquet(rej_path) if table_exists(spark, rej_path) else None
+        old = spark.read.parquet(rej_path) if table_exists(spark, rej_path) and not full_refresh else None
         if old is not None:
             rej = new_rows_since(rej, old, "_rejected_at")
         record(f"trn_{e}_rejects", "transient", "merge", merge_upsert(old, rej, ["_reject_id"], dedupe_order=_reject_order(rej)),
                lambda d, p=rej_path: write_table(d, p))
         # bronze: append valid rows newer than the high-water mark, kept in a
         # one-row-per-load side table (no max() over the growing bronze table);
-        # partitioned by load date so later readers prune whole loads
+        # partitioned by load date so later readers prune whole loads, and by load, so that
+        # a load that was stopped before its mark is replaced when it is repeated
         brz_path = path("bronze", f"brz_{e}")
-        brz_new = Z.bronze(trn_all, e, batch.batch_ts).withColumn("_load_date", F.to_date("_loaded_at"))
+        brz_new = Z.bronze(trn_all, e, batch.batch_ts).withColumns(
+            {"_load_date": F.to_date("_loaded_at"), "_load": F.concat(F.lit("L"), F.regexp_replace(F.col("_loaded_at").cast("string"), "[^0-9]", ""))})
         commit_state = None
         if bronze_only_changed:
-            brz_new, commit_state = _only_changed_keys(spark, brz_new, ent, f"{brz_path}.__state")
+            brz_new, commit_state = _only_changed_keys(spark, brz_new, ent, f"{brz_path}.__state", full_refresh)
         record(f"brz_{e}", "bronze", "incremental", brz_new,
-               lambda d, p=brz_path: append_table(d, p, "_loaded_at", partition_by=["_load_date"], hwm_path=f"{p}.__hwm"))
+               lambda d, p=brz_path: append_table(d, p, "_loaded_at", partition_by=["_load_date", "_load"], hwm_path=f"{p}.__hwm", own_partitions=True, full_refresh=full_refresh))
         if commit_state is not None:
             commit_state()  # only after the append landed: a failed append is retried in full
         # silver: validated once (written, partitioned by the business flag), then
@@ -195,7 +208,7 @@ def run_pipeline(
         slv_path = path("silver", f"slv_{e}")
         slv_mark = f"{slv_path}.__hwm"
         brz = read_table(spark, brz_path, schema=brz_new.schema)
-        incremental = incremental_silver and table_exists(spark, slv_path) and table_exists(spark, slv_mark)
+        incremental = incremental_silver and not full_refresh and table_exists(spark, slv_path) and table_exists(spark, slv_mark)
         if incremental:
             # the date predicate prunes old load partitions; the exact one keeps rows after the mark
             hwm = typed_literal(high_water_mark(spark.read.parquet(slv_mark), "hwm"), T.TimestampNTZType())
@@ -215,7 +228,7 @@ def run_pipeline(
         record(f"slv_{e}", "silver", "table", clean, lambda d, p=slv_path: write_table(d, p))
         srej_path = path("silver", f"slv_{e}_rejects")
         srej = Z.silver_rejects(val, e, batch.batch_ts)
-        sold = spark.read.parquet(srej_path) if table_exists(spark, srej_path) else None
+        sold = spark.read.parquet(srej_path) if table_exists(spark, srej_path) and not full_refresh else None
         if sold is not None:
             srej = new_rows_since(srej, sold, "_rejected_at")
         record(f"slv_{e}_rejects", "silver", "merge", merge_upsert(sold, srej, ["_reject_id"], dedupe_order=_reject_order(srej)),
@@ -224,7 +237,13 @@ def run_pipeline(
         mark = seen.get.get("hwm")
         if mark is not None:
             write_table(spark.createDataFrame([(mark,)], "hwm timestamp_ntz"), slv_mark,
-                        mode="append" if table_exists(spark, slv_mark) else "overwrite")
+                        mode="append" if table_exists(spark, slv_mark) and not full_refresh else "overwrite")
+
+    def check_freshness(e: str, col: str) -> None:
+        row = chk.source_freshness(raws[e], col, batch.batch_ts, table=e).first()
+        res.freshness[e] = row["status"]
+        if row["status"] == "error":
+            raise RuntimeError(f"raw {e} is stale: newest {col} is {row['max_loaded_at']}, {row['age_hours']} h before the batch")
 
     def run_tests(zone: str, tables: dict[str, DataFrame]) -> list:
         summary = zone_checks(zone, tables, tiers.customer, tiers.product, fk_severity, bronze_key_severity)
@@ -233,6 +252,7 @@ def run_pipeline(
 
     started = dt.datetime.now()
     try:
+        _run_all([lambda e=e, c=c: check_freshness(e, c) for e, c in (freshness or {}).items()], threads)
         # the four entity chains are independent: submit them concurrently
         # (``threads`` like the reference's client parallelism; 1 = serial)
         _run_all([lambda e=e: entity_chain(e) for e in ENTITY_NAMES], threads)
@@ -294,7 +314,7 @@ def run_pipeline(
     return res
 
 
-def _only_changed_keys(spark: SparkSession, brz_new: DataFrame, ent, state_path: str):
+def _only_changed_keys(spark: SparkSession, brz_new: DataFrame, ent, state_path: str, full_refresh: bool = False):
     """Rows of the keys whose latest version in this batch is new or changed.
 
     A key can repeat within a batch, so change is decided per key on its latest
@@ -310,7 +330,7 @@ def _only_changed_keys(spark: SparkSession, brz_new: DataFrame, ent, state_path:
     latest = latest_per_key(brz_new.withColumn("_row_hash", row_hash(*ent.columns)), [key], list(ent.dedupe_order) or [key],
                             tie_break=[F.col("_row_hash").desc()])
     cand = latest.select(key, "_row_hash")
-    prev = spark.read.parquet(state_path) if table_exists(spark, state_path) else None
+    prev = spark.read.parquet(state_path) if table_exists(spark, state_path) and not full_refresh else None
     changed = cand if prev is None else cand.join(prev, [key, "_row_hash"], "left_anti")
     # the bronze filter and the later state update must see the same set: cut it once
     changed = cut_lineage(changed)
@@ -365,7 +385,7 @@ def gold_checks(fct: DataFrame, dim_c: DataFrame, dim_p: DataFrame, tiers: Tiers
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``python -m strata.plans.pipeline --root DIR (--sf-dir DIR | --seeds DIR) [--env prod]``."""
+    """``python -m strata.plans.pipeline --root DIR (--raw-dir DIR | --sf-dir DIR | --seeds DIR) [--env prod]``."""
     import argparse
     import json
 
@@ -376,7 +396,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--env", default="prod", choices=["dev", "ci", "uat", "prod"])
     ap.add_argument("--ci-schema")
     ap.add_argument("--sf-dir", help="directory with the raw (TPC-H style) tables")
+    ap.add_argument("--raw-dir", help="directory with the raw parquet tables customers, orders, order_items and products")
     ap.add_argument("--seeds", help="seed CSV directory (dev)")
+    ap.add_argument("--full-refresh", action="store_true", help="rebuild bronze, rejects and silver from this batch (the snapshot stays)")
+    ap.add_argument("--freshness", action="append", default=[], metavar="ENTITY=COLUMN", help="stop when the source's newest time is over a day old")
     ap.add_argument("--batch-id", default="run-0001")
     ap.add_argument("--batch-ts", default="2024-02-01 06:00:00")
     ap.add_argument("--tpch-tiers", action="store_true", help="use thresholds suited to the TPC-H stand-ins")
@@ -387,10 +410,11 @@ def main(argv: list[str] | None = None) -> None:
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("strata-pipeline").getOrCreate()
     env = "dev" if a.seeds else a.env
-    raws = {e: read_entity(spark, env, e, seeds_dir=a.seeds, sf_dir=a.sf_dir) for e in ENTITY_NAMES}
+    raws = {e: read_entity(spark, env, e, seeds_dir=a.seeds, sf_dir=a.sf_dir, raw_dir=a.raw_dir) for e in ENTITY_NAMES}
     res = run_pipeline(spark, raws, a.root, env=a.env, batch=Batch(a.batch_id, a.batch_ts, a.run_id),
                        tiers=TPCH_TIERS if a.tpch_tiers else Tiers(), ci_schema=a.ci_schema, log_path=a.log,
-                       bronze_only_changed=a.bronze_only_changed, threads=a.threads)
+                       bronze_only_changed=a.bronze_only_changed, threads=a.threads, full_refresh=a.full_refresh,
+                       freshness=dict(x.split("=", 1) for x in a.freshness))
     print(json.dumps({"written": res.written, "checks": [r.asDict() for r in res.checks]}, default=str))
 
 

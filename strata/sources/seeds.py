@@ -51,14 +51,18 @@ def read_seed(spark: SparkSession, path: str, entity: str) -> DataFrame:
     )
 
 
-def read_entity(spark: SparkSession, env: str, entity: str, *, seeds_dir: str | None = None, sf_dir: str | None = None) -> DataFrame:
-    """Environment switch: seed CSVs in ``dev``, raw tables everywhere else."""
+def read_entity(spark: SparkSession, env: str, entity: str, *, seeds_dir: str | None = None, sf_dir: str | None = None, raw_dir: str | None = None) -> DataFrame:
+    """Environment switch: seed CSVs in ``dev``; elsewhere the raw tables of ``raw_dir``, or the stand-ins over ``sf_dir``."""
     if env == "dev":
         if seeds_dir is None:
             raise ValueError("dev environment needs seeds_dir")
         return read_seed(spark, f"{seeds_dir.rstrip('/')}/raw_{entity}.csv", entity)
+    if raw_dir is not None:
+        from strata.sources.raw import read_raw
+
+        return read_raw(spark, raw_dir, entity)
     if sf_dir is None:
-        raise ValueError("non-dev environments need sf_dir (raw tables)")
+        raise ValueError("non-dev environments need raw_dir (raw tables) or sf_dir (stand-ins)")
     from strata.sources.tpch import raw_entity
 
     return raw_entity(spark, sf_dir, entity)
