@@ -4,7 +4,7 @@ Three base patterns plus an entropy scan: over every candidate string, a window
 one character at a time; the Shannon entropy of its characters follows from the counts
 of the one character that leaves and the one that enters. Strings of a character class
 whose window entropy reaches the class's threshold are spans of that class, unless an
-allow-list pattern names them.
+allow-list pattern names them or placeholders make up half of them.
 """
 
 from __future__ import annotations
@@ -30,15 +30,21 @@ HINT = {"assign": r"(?i)(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]
 ENTROPY = (
     ("hexrun", r"(?<![0-9A-Za-z])(?:[0-9a-f]{20,}|[0-9A-F]{20,})(?![0-9A-Za-z])", 20, 2.8),
     ("base64", r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{24,}", 24, 3.9),
+    # issuers' prefixes name a token, so hex digits' entropy is enough
+    ("prefixed", r"(?<![A-Za-z0-9])(?:gh[pousr]_|github_pat_|[srp]k_(?:live|test)_|sk-|xox[abeoprs]-|glpat-|npm_|pypi-|hf_)[A-Za-z0-9_-]{20,}", 20, 2.8),
 )
+# A segment of a path or dashed word that is a plain word (camel case too, a short number after it) or a short number.
+_WORD = r"(?:(?:[A-Z]{1,15}|[A-Z]?[a-z]{1,15}(?:[A-Z][a-z]{2,14}){0,3})[0-9]{0,4}|[0-9]{1,8})(?![A-Za-z0-9])"
 # Strings that look random and are not secrets.
 ALLOW = (
     r"^[0-9]+$",  # numbers
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # UUIDs
-    r"(?i)example|sample|placeholder|dummy|changeme|xxxx|0123456789|abcdefgh",
+    r"^[A-Za-z0-9+/]{1,30}EXAMPLE(?:KEY)?$",  # keys that vendors' manuals mark as examples
     r"^(?:sha(?:1|256|512))[-:]",  # integrity digests
-    r"^[A-Za-z]+(?:[-_/][A-Za-z0-9]+)+$",  # paths and dashed words
+    rf"^(?=[A-Za-z]){_WORD}(?:[-_/]{_WORD})++$",  # paths and dashed words of plain words only; possessive, so long ones need no stack
 )
+# Strings of which these make up half or more are no secrets either.
+PLACEHOLDER = r"(?i)example|sample|placeholder|dummy|changeme|x{4,}|0123456789|abcdefgh(?:ijklmnop)?(?:qrstuvwxyz)?"
 
 
 def _spans(text: Column, pattern: str) -> Column:
@@ -113,7 +119,8 @@ def _long_enough(pattern: str, group: int, least: int):
 
 def _random(allow, window: int, bits: float):
     allowed = "|".join(f"(?:{x})" for x in allow)
-    return lambda s: (~F.regexp_like(s["word"], F.lit(allowed)) if allowed else F.lit(True)) & (window_entropy(s["word"], window) >= bits)
+    own = lambda s: 2 * F.length(F.regexp_replace(s["word"], PLACEHOLDER, "")) > F.length(s["word"])
+    return lambda s: (~F.regexp_like(s["word"], F.lit(allowed)) & own(s) if allowed else F.lit(True)) & (window_entropy(s["word"], window) >= bits)
 
 
 def _span(rank: int, kind: str, base: bool):
