@@ -92,6 +92,7 @@ class Model:
     bias: float
     features: np.ndarray = field(repr=False)
     weights: np.ndarray = field(repr=False)
+    fitted: bool = True  # False: no labelled row was there to fit
 
 
 def fit(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, settings: Settings = Settings()) -> Model:
@@ -111,7 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, sett
     rows = texts.select("doc_id", "toxic", _distinct_features(F.col("text"), settings.bits).alias("f"))
     found = rows.repartition(1).sortWithinPartitions("doc_id", "f").mapInArrow(_fit_task(settings), "feature bigint, weight double").collect()
     if not found:
-        return Model(settings.bits, 0.0, np.zeros(0, np.int64), np.zeros(0))
+        return Model(settings.bits, 0.0, np.zeros(0, np.int64), np.zeros(0), fitted=False)
     pairs = sorted((r[0], r[1]) for r in found)  # the bias stands at -1; at most 2**bits weights
     return Model(settings.bits, pairs[0][1], np.array([p[0] for p in pairs[1:]], np.int64), np.array([p[1] for p in pairs[1:]]))
 
@@ -171,6 +172,13 @@ def score_documents(docs: DataFrame, labels: DataFrame, settings: Settings = Set
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``docs`` without the rows that score one half or more; the columns stay."""
+    """``docs`` without the rows that score one half or more; the columns stay.
+
+    Without a labelled row to fit (no labels, only NULLs, only held-out ids or ids without
+    document) nothing is known against any text, and every row stays. NULL and empty texts
+    have no feature: they stay or go by the fitted bias.
+    """
     model = fit(docs, labels, held_out(F.col("doc_id")), settings)
+    if not model.fitted:
+        return docs
     return docs.where(score(model, F.col("text")) < 0.5)

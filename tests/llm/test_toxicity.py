@@ -52,3 +52,14 @@ def test_sample_is_bounded_and_seeded(spark):
     s = X.Settings(max_rows=500)
     a, b = X.fit(docs, labels, settings=s), X.fit(docs.repartition(7), labels.repartition(3), settings=s)
     assert a.bias == b.bias and (a.features == b.features).all() and (a.weights == b.weights).all()
+
+
+def test_nothing_goes_without_evidence(spark, docs_of):
+    """Empty labels, only NULLs, only held-out ids, ids without document: every row stays."""
+    docs = docs_of([(i, f"calm river {i}") for i in range(1, 30)] + [(None, "a b"), (3, None), (4, "")], clashing=True)
+    kind = "doc_id bigint, quality int, toxic int"
+    out = [i for i in range(1, 30) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert out
+    for rows in ([], [(1, 1, None), (None, 0, 1)], [(i, 0, 1) for i in out], [(999, 0, 1)]):
+        kept = X.drop_toxic(docs, spark.createDataFrame(rows, kind))
+        assert kept.columns == docs.columns and kept.count() == 32
