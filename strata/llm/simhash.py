@@ -178,21 +178,31 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     component's ids are NULL; an empty table gives an empty result; other columns of the
     input are ignored, whatever their names.
     """
+    rows = _with_first(docs, id_col, text_col, shingle, max_bits, seed, blocks)
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("first.doc_id").alias("component_id"), "text_key")
+
+
+def _with_first(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int, seed: int, blocks: int | None) -> DataFrame:
+    """A row per row: doc_id, fp, text_key, first (none, doc_id, text_key): the smallest (doc_id, text_key) of its component, NULL ids last."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.select("doc_id", simhash(F.col("text"), shingle, seed).alias("fp"), text_key(F.col("text")).alias("text_key"))
     rows = materialize(rows, "simhash_rows")
-    nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash_prints")
+    nodes = materialize(rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")), "simhash_prints")
     found = hamming_components(nodes.select("fp"), max_bits, blocks)
-    node = nodes.join(found, "fp", "left").select("fp", "least_id", F.coalesce("component", "fp").alias("component"))
-    least = node.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    comp = node.join(least, "component").select("fp", "component_id")
-    return rows.join(comp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "text_key")
+    node = nodes.join(found, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
+    least = node.groupBy("component").agg(F.min("first").alias("first"))
+    comp = node.drop("first").join(least, "component").select("fp", "first")
+    return rows.join(comp, "fp")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """``docs`` (columns doc_id, text and others) with one row of each near-duplicate group: the smallest id's."""
+    """``docs`` (columns doc_id, text and others) with one row of each near-duplicate group: the smallest id's.
+
+    Of several texts under that id, or of texts without id where none of the group has one,
+    the one with the smallest text_key stays; ids may repeat within and across groups.
+    """
     from strata.llm.common import drop_rows, one_of_repeated
 
-    found = simhash_components(docs, shingle=shingle, max_bits=max_bits)
-    kept = drop_rows(docs, found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
-    return one_of_repeated(kept)
+    found = _with_first(docs, "doc_id", "text", shingle, max_bits, 42, None)
+    chosen = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    return one_of_repeated(drop_rows(docs, found.where(~chosen)))

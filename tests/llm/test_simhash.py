@@ -55,6 +55,18 @@ def test_one_of_each_group_stays(docs_of):
     assert got.count((2, "other words are here now")) == 1 and got.count((None, "z")) == 1
 
 
+def test_exactly_one_of_each_group_stays(docs_of):
+    """Also where ids repeat within a group, are the smallest of several groups, or are all NULL."""
+    same = ["a b c d e", "A b c d e", "a B c d e", "a b C d e"]
+    hot = [(2, t) for t in same] + [(5, same[0])]
+    other = [(2, "other words are here now"), (2, "OTHER words are here now"), (9, "other words are here NOW")]
+    none = [(None, t) for t in ("no id at all here", "No id at all here", "NO id at all here", "no id at all here")]
+    mixed = [(None, "some have an id"), (7, "Some have an id"), (7, "SOME have an id")]
+    kept = S.keep_one(docs_of(hot + other + none + mixed, clashing=True)).collect()
+    assert sorted(((r["doc_id"], r["text"].lower()) for r in kept), key=repr) == sorted([(2, "a b c d e"), (2, "other words are here now"), (None, "no id at all here"), (7, "some have an id")], key=repr)
+    assert S.keep_one(docs_of([])).collect() == []
+
+
 def test_every_choice_of_blocks_finds_close_pairs():
     for blocks in range(5, 10):
         masks = S.block_masks(blocks, 4)
