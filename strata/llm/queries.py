@@ -18,7 +18,7 @@ def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op2_licenses(spark: SparkSession, sf: str) -> DataFrame:
-    found = licenses.find_licenses(table(spark, sf, "documents"))
+    found = licenses.find_licenses(table(spark, sf, "documents"), runs=licenses.RUNS)
     return found.withColumn("licenses", F.array_join("licenses", ","))
 
 
