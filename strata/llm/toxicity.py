@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import materialize, text_key
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -98,18 +100,25 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, settings: Settings = Settings()) -> Model:
     """Fit on labelled rows (``labels``: doc_id, toxic) that ``held_out`` (over doc_id) does not name.
 
-    At most ``settings.max_rows`` rows, chosen by a hash of doc_id. Labels that are NULL or
-    without document are ignored; of several labels of a document the largest counts.
+    At most ``settings.max_rows`` texts, one for each id, chosen by a hash of doc_id. Labels
+    that are NULL or without document are ignored; of several labels of a document the
+    largest counts; of several texts under one id the one with the smallest text_key.
     Without labelled rows every score is the prior, one half.
     """
     named = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic is not null")
     if held_out is not None:
         named = named.where(~held_out)
     named = named.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = docs.select("doc_id").where("doc_id is not null").distinct()  # partly distinct before the shuffle: a repeated id is one row a task
+    named = named.join(known, "doc_id", "left_semi")
     named = named.orderBy(F.xxhash64("doc_id", F.lit(settings.seed)), "doc_id").limit(settings.max_rows)  # top-k: each task keeps max_rows at most
-    texts = docs.select("doc_id", "text").join(F.broadcast(named), "doc_id")  # max_rows rows of two numbers
-    # features are made where the texts are; one task then sees the bounded sample's distinct feature numbers
+    named = materialize(named, "toxicity_sample")  # max_rows rows of two numbers
+    key = text_key(F.col("text")).alias("text_key")
+    firsts = docs.select("doc_id", key).join(F.broadcast(named), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text_key").alias("text_key"))
+    texts = docs.select("doc_id", "text", key).join(F.broadcast(firsts), ["doc_id", "text_key"])
+    # features are made where the texts are; equal texts of an id are one row before one task sees the bounded sample's distinct feature numbers
     rows = texts.select("doc_id", "toxic", _distinct_features(F.col("text"), settings.bits).alias("f"))
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min("f").alias("f"))
     found = rows.repartition(1).sortWithinPartitions("doc_id", "f").mapInArrow(_fit_task(settings), "feature bigint, weight double").collect()
     if not found:
         return Model(settings.bits, 0.0, np.zeros(0, np.int64), np.zeros(0), fitted=False)

@@ -63,3 +63,28 @@ def test_nothing_goes_without_evidence(spark, docs_of):
     for rows in ([], [(1, 1, None), (None, 0, 1)], [(i, 0, 1) for i in out], [(999, 0, 1)]):
         kept = X.drop_toxic(docs, spark.createDataFrame(rows, kind))
         assert kept.columns == docs.columns and kept.count() == 32
+
+
+def test_the_fit_sees_one_text_for_each_sampled_id(spark, docs_of, monkeypatch):
+    """A repeated id is one row of the sample, and labels without document take no place in it."""
+    seen = spark.sparkContext.accumulator(0)
+    real = X._fit_task
+
+    def counting(settings):
+        run = real(settings)
+
+        def counted(batches):
+            def each():
+                for b in batches:
+                    seen.add(b.num_rows)
+                    yield b
+
+            yield from run(each())
+
+        return counted
+
+    monkeypatch.setattr(X, "_fit_task", counting)
+    docs = docs_of([(1, f"hot text {i}") for i in range(300)] + [(1, "hot text 1")] * 50 + [(i, f"text {i}") for i in range(2, 12)])
+    labels = spark.createDataFrame([(i, i % 2) for i in [*range(1, 12), *range(1000, 1500)]], "doc_id bigint, toxic int")
+    X.fit(docs, labels, settings=X.Settings(max_rows=11))
+    assert seen.value == 11
