@@ -6,9 +6,9 @@ lanes of a block share its models, which start empty in every block.
 
 An id is coded in one or two range-coder steps. First, whether it is the id that followed
 last time after the two ids before it (order 2), the id that followed after the one
-before it (order 1), or another; the probabilities mix the confidences of both
-contexts and an order-0 term with weights that adapt. Another id is then coded by the
-adaptive order-0 frequencies. All arithmetic is on integers, so any machine decodes what
+before it (order 1), or another. Each context's share follows from its own confidence
+with a bias and a weight that adapt; the contexts are not mixed, an id that one misses
+escapes to the next. Another id is then coded by the adaptive order-0 frequencies. All arithmetic is on integers, so any machine decodes what
 another wrote.
 
 Layout (little-endian): magic 'TKB1', ids (u4), lanes (u4), crc32 of the ids as u4 (u4),
