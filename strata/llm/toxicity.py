@@ -114,11 +114,14 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, sett
     named = named.orderBy(F.xxhash64("doc_id", F.lit(settings.seed)), "doc_id").limit(settings.max_rows)  # top-k: each task keeps max_rows at most
     named = materialize(named, "toxicity_sample")  # max_rows rows of two numbers
     key = text_key(F.col("text")).alias("text_key")
-    firsts = docs.select("doc_id", key).join(F.broadcast(named), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text_key").alias("text_key"))
+    firsts = docs.select("doc_id", key).join(F.broadcast(named), "doc_id").groupBy("doc_id", "toxic", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    firsts = firsts.groupBy("doc_id", "toxic").agg(F.min(F.struct("text_key", "n")).alias("first")).select("doc_id", "toxic", "first.text_key", "first.n")
+    firsts = materialize(firsts, "toxicity_texts")
     texts = docs.select("doc_id", "text", key).join(F.broadcast(firsts), ["doc_id", "text_key"])
-    # features are made where the texts are; equal texts of an id are one row before one task sees the bounded sample's distinct feature numbers
+    # features are made where the texts are; one task then sees the bounded sample's distinct feature numbers
     rows = texts.select("doc_id", "toxic", _distinct_features(F.col("text"), settings.bits).alias("f"))
-    rows = rows.groupBy("doc_id", "toxic").agg(F.min("f").alias("f"))
+    if not firsts.where("n > 1").isEmpty():  # equal texts of an id become one row; only such samples are shuffled for it
+        rows = rows.groupBy("doc_id", "toxic").agg(F.min("f").alias("f"))
     found = rows.repartition(1).sortWithinPartitions("doc_id", "f").mapInArrow(_fit_task(settings), "feature bigint, weight double").collect()
     if not found:
         return Model(settings.bits, 0.0, np.zeros(0, np.int64), np.zeros(0), fitted=False)
