@@ -83,8 +83,8 @@ def _specials(body: bytes, ends: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in found if np.searchsorted(ends, a, side="right") == np.searchsorted(ends, b - 1, side="right")]
 
 
-def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """(words of all rows, words of each row); NULL and empty texts have none.
+def split_words(texts: pa.Array, specials: bool = True) -> tuple[pa.Array, np.ndarray]:
+    """(words of all rows, words of each row); NULL and empty texts have none. ``specials=False``: special-token strings are plain text.
 
     Words are maximal runs of letters, of numbers, of white space or of other characters, but: a
     blank before another run belongs to that run; other white space before it is a word of its own;
@@ -99,10 +99,10 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     try:
         chars = np.frombuffer(body.decode().encode("utf-32-le"), "<u4")
     except UnicodeDecodeError:  # what is no UTF-8 becomes U+FFFD
-        return split_words(pa.array([t.decode("utf-8", "replace") for t in texts.cast(pa.large_binary()).to_pylist()], pa.large_string()))
+        return split_words(pa.array([t.decode("utf-8", "replace") for t in texts.cast(pa.large_binary()).to_pylist()], pa.large_string()), specials)
     n, bounds = len(chars), offsets - offsets[0]
     lead = np.arange(n) if n == len(raw) else np.flatnonzero((raw & 0xC0) != 0x80)  # byte where each character begins
-    special = _specials(body, bounds[1:])
+    special = _specials(body, bounds[1:]) if specials else []
     fresh = np.zeros(n + 1, bool)  # characters before which nothing is seen: of rows, of special tokens and after them
     fresh[np.searchsorted(lead, bounds)] = True
     fresh[np.searchsorted(lead, [x for ab in special for x in ab])] = True
@@ -147,18 +147,21 @@ def row_slices(sizes: np.ndarray, limit: int = SLICE_IDS) -> Iterator[tuple[int,
 
 
 class WordIds:
-    """Ids of words, remembered up to ``MEMO_WORDS``; ``encode(words) -> [ids]`` is asked for unknown ones only."""
+    """Ids of words, remembered up to ``memo_words`` and ``memo_chars``; ``encode(words) -> [ids]`` is asked for unknown ones only."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
-        self.encode = encode
-        self._forget()
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], split: Callable[[pa.Array], tuple[pa.Array, np.ndarray]] = split_words, memo_words: int = MEMO_WORDS, memo_chars: int = 1 << 62, slice_bytes: int = SLICE_BYTES):
+        self.encode, self.split = encode, split
+        self.memo_words, self.memo_chars, self.slice_bytes = memo_words, memo_chars, slice_bytes
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        self.chars = 0
         self.memo: dict[str, int] = {}  # word -> its place in what follows
         self.start, self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def _learn(self, words: list[str]) -> None:
         ids = self.encode(words)
+        self.chars += sum(map(len, words))
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         self.memo.update(zip(words, range(len(self.memo), len(self.memo) + len(words)), strict=True))
         self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(size) - size])
@@ -167,8 +170,8 @@ class WordIds:
 
     def slices(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(all ids, end of each row in them) for one run of rows after the other."""
-        for a, b in row_slices(np.asarray(pa.compute.binary_length(texts).fill_null(0), np.int64), SLICE_BYTES):
-            words, sizes = split_words(texts.slice(a, b - a))
+        for a, b in row_slices(np.asarray(pa.compute.binary_length(texts).fill_null(0), np.int64), self.slice_bytes):
+            words, sizes = self.split(texts.slice(a, b - a))
             yield self._ids(words, np.cumsum(sizes))
 
     def _ids(self, flat: pa.Array, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,8 +181,8 @@ class WordIds:
         words = coded.dictionary.to_pylist()
         at = np.fromiter((self.memo.get(w, -1) for w in words), np.int64, len(words))
         new = np.flatnonzero(at < 0)
-        if len(new) and len(self.memo) + len(new) > MEMO_WORDS:
-            self._forget()
+        if len(new) and (len(self.memo) + len(new) > self.memo_words or self.chars > self.memo_chars):
+            self.forget()
             new = np.arange(len(words))
         if len(new):
             at[new] = len(self.memo) + np.arange(len(new))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat, decontaminate, hnsw, licenses, secrets, simhash, token_counts, token_files, toxicity
+from strata.llm import align, bpe, chat, decontaminate, hnsw, licenses, secrets, simhash, token_counts, token_files, toxicity
 from strata.llm.common import table
 
 
@@ -62,6 +62,10 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf, "documents")).drop("text_key")
 
 
+def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return align.alignment_counts(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_licenses": op2_licenses,
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_chat": op9_chat,
     "op10_simhash": op10_simhash,
+    "op11_alignment": op11_alignment,
 }
 
 # The other operators are beyond SQL (or, as decontamination, too slow in it on whole tables); tests hold them against brute force.
