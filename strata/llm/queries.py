@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import align, bpe, centroids, chat, decontaminate, hnsw, licenses, secrets, simhash, token_counts, token_files, toxicity
+from strata.llm import align, bpe, centroids, chat, decontaminate, hnsw, licenses, secrets, simhash, token_counts, token_files, toxicity, warc
 from strata.llm.common import table
 
 
@@ -70,6 +70,10 @@ def op12_centroids(spark: SparkSession, sf: str) -> DataFrame:
     return centroids.clustered(table(spark, sf, "embeddings"))
 
 
+def op13_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_licenses": op2_licenses,
@@ -83,7 +87,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
     "op11_alignment": op11_alignment,
     "op12_centroids": op12_centroids,
+    "op13_warc": op13_warc,
 }
 
 # The other operators are beyond SQL (or, as decontamination, too slow in it on whole tables); tests hold them against brute force.
-ORACLE_SQL: dict[str, str] = {"op2_licenses": licenses.oracle_sql(), "op12_centroids": centroids.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {"op2_licenses": licenses.oracle_sql(), "op12_centroids": centroids.oracle_sql(), "op13_warc": warc.oracle_sql()}
