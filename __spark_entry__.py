@@ -8,7 +8,6 @@ rounded (4 places, both sides), because engines sum in different orders.
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -26,6 +25,7 @@ import oracle_queries as O  # noqa: E402
 from strata.functions.keys import surrogate_key  # noqa: E402
 from strata.operators.rules import business_rules, tag_rules  # noqa: E402
 from strata.plans import catalog as K  # noqa: E402
+from strata.plans import stored as S  # noqa: E402
 from strata.plans import zones as Z  # noqa: E402
 from strata.plans.pipeline import TPCH_TIERS, Batch, build  # noqa: E402
 from strata.sources.tpch import RawEntities, raw_entity  # noqa: E402
@@ -248,15 +248,30 @@ _QUERIES.update(
     }
 )
 
+# several runs against versioned tables (strata.plans.stored)
+_QUERIES.update(
+    {
+        "snap_customers": (_k(S.snap_customers), O.snap_customers()),
+        "snap_customers_check": (_k(S.snap_customers_check), O.snap_customers_check()),
+        "merge_buckets": (_k(S.merge_buckets), O.merge_buckets()),
+        "merge_moved_keys": (_k(S.merge_moved_keys), O.merge_moved_keys()),
+        "stored_window": (_k(S.stored_window), O.delete_insert_window()),
+        "stored_lookback": (_k(S.stored_lookback), O.stored_lookback()),
+        "stored_schema_change": (_k(S.stored_schema_change), O.stored_schema_change()),
+    }
+)
+
 
 # the training-data operators and the corpus pipeline, where they are installed
 _LLM: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _LLM_SQL: dict[str, str] = {}
-if importlib.util.find_spec("strata.llm") and importlib.util.find_spec("corpus_pipeline"):
-    import corpus_pipeline  # noqa: E402
-    from strata.llm.queries import ORACLE_SQL as _LLM_SQL  # noqa: E402
-    from strata.llm.queries import QUERIES as _LLM  # noqa: E402
-
+try:  # the folders may be gone, or a library that only they need
+    import corpus_pipeline
+    from strata.llm.queries import ORACLE_SQL as _LLM_SQL
+    from strata.llm.queries import QUERIES as _LLM
+except ImportError:
+    pass
+else:
     _LLM = {**_LLM, "pipeline": corpus_pipeline.run}
 
 

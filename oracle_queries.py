@@ -819,3 +819,60 @@ def orders_fk_rule() -> str:
         f"SELECT order_id, customer_id, CASE WHEN {orphan} THEN 'orphan customer' END AS _reject_reason, "
         f"NOT coalesce({orphan}, false) AS _is_fk_valid FROM ({silver('orders')}) AS o"
     )
+
+
+# --------------------------------------------------------------------------- stored, versioned tables
+RUN1, RUN2, RUN3, MOVED_AT = "2024-02-01 06:00:00", "2024-02-02 06:00:00", "2024-02-03 06:00:00", "2024-02-01 12:00:00"
+_SNAP_COLS = "customer_id, first_name, last_name, email, phone, address, city, state_code, postal_code, country_code, created_at, updated_at"
+
+
+def snap_customers() -> str:
+    later = f"SELECT * REPLACE (CASE WHEN customer_id % 7 = 0 THEN 'Moved' ELSE city END AS city, CASE WHEN customer_id % 7 = 0 THEN {ts(MOVED_AT)} ELSE updated_at END AS updated_at) FROM a"
+    body = (
+        f"SELECT *, updated_at AS valid_from, {ts(RUN2)} AS valid_to FROM a WHERE customer_id % 10 = 3 "
+        f"UNION ALL SELECT *, {ts(RUN3)}, NULL FROM b WHERE customer_id % 10 = 3 "
+        f"UNION ALL SELECT *, updated_at, {ts(MOVED_AT)} FROM a WHERE customer_id % 7 = 0 AND customer_id % 10 <> 3 "
+        "UNION ALL SELECT *, updated_at, NULL FROM b WHERE customer_id % 10 <> 3"
+    )
+    return f"WITH a AS (SELECT {_SNAP_COLS} FROM ({silver('customers')}) AS s), b AS ({later}) SELECT *, {skey('customer_id', 'valid_from')} AS scd_id FROM ({body}) AS h"
+
+
+def snap_customers_check() -> str:
+    body = (
+        f"SELECT customer_id, first_name, city, NULL::VARCHAR AS hint, {ts(RUN1)} AS valid_from, CASE WHEN customer_id % 4 = 0 THEN {ts(RUN2)} END AS valid_to FROM a "
+        f"UNION ALL SELECT customer_id, first_name, city, 'h', {ts(RUN2)}, NULL FROM a WHERE customer_id % 4 = 0"
+    )
+    one = f"SELECT customer_id, first_name, city FROM ({silver('customers')}) AS s"
+    return f"WITH s AS ({one}), a AS (SELECT * FROM s UNION ALL SELECT NULL, 'Nobody', max(city) FROM s) SELECT *, {skey('customer_id', 'valid_from')} AS scd_id FROM ({body}) AS h"
+
+
+def merge_buckets() -> str:
+    return f"SELECT * FROM ({merge_upsert()}) AS m WHERE NOT (order_date < DATE '1993-01-01' AND order_id % 11 = 0)"
+
+
+def merge_moved_keys() -> str:
+    return f"SELECT * REPLACE (CASE WHEN order_id % 13 = 0 THEN (order_date + INTERVAL 45 DAY)::DATE ELSE order_date END AS order_date, CASE WHEN order_id % 13 = 0 THEN 2 ELSE 1 END AS version) FROM ({_orders_v(1)}) AS t"
+
+
+def stored_lookback() -> str:
+    cols = "event_id, ts, user_id, event_type, value"
+    return (
+        f"WITH tgt AS (SELECT {cols}, 1 AS version FROM events WHERE ts < TIMESTAMP '2024-01-20'), "
+        f"src AS (SELECT * REPLACE (CASE WHEN event_id % 50 <> 0 THEN ts END AS ts), 2 AS version FROM (SELECT {cols} FROM events) AS e), "
+        "late AS (SELECT * FROM src WHERE ts IS NULL OR ts > (SELECT max(ts) - INTERVAL 3 DAY FROM tgt)) "
+        "SELECT * FROM tgt WHERE event_id NOT IN (SELECT event_id FROM late) UNION ALL SELECT * FROM late"
+    )
+
+
+def stored_schema_change() -> str:
+    old, new = "FROM o WHERE order_date < DATE '1998-01-01'", "FROM o WHERE order_date >= DATE '1998-01-01'"
+    num = "CASE WHEN order_id % 3 <> 0 THEN CAST(customer_id AS VARCHAR) END"
+    txt = "CASE WHEN order_id % 3 = 0 THEN 'C' ELSE '' END || CAST(customer_id AS VARCHAR)"
+    row = lambda mode, c, s, p, frm: f"SELECT '{mode}' AS mode, order_id, {c} AS customer_id, {s} AS status, {p} AS payment_method {frm}"
+    cid, no, null = "CAST(customer_id AS VARCHAR)", "'no column'", "CAST(NULL AS VARCHAR)"
+    parts = [
+        row("ignore", cid, "status", no, old), row("ignore", num, null, no, new),
+        row("append_new_columns", cid, "status", null, old), row("append_new_columns", num, null, "payment_method", new),
+        row("sync_all_columns", cid, no, null, old), row("sync_all_columns", txt, no, "payment_method", new),
+    ]
+    return f"WITH o AS ({RAW_ORDERS}) " + " UNION ALL ".join(parts)
