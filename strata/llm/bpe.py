@@ -17,6 +17,7 @@ emits the arc labels.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,9 +27,12 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import let_go
 from strata.llm.pretokens import END_OF_TEXT, WordIds, byte_alphabet, default_vocabulary, id_lists, load_vocabulary, row_slices, token_bytes
 
-MEMO_ARCS = 2_000_000
+MEMO_ARCS = 500_000  # arcs a worker remembers, and words and characters in a task
+MEMO_WORDS, MEMO_CHARS = 150_000, 2_000_000
+SLICE_BYTES = 1 << 20  # of texts that are worked on at once (a longer row alone)
 TOGETHER = 64  # bytes of the longest word that is encoded with others
 
 
@@ -37,15 +41,15 @@ class Automaton:
         back = {c: b for b, c in enumerate(byte_alphabet())}
         self.ids = {bytes(back[c] for c in t): i for t, i in vocab.items() if all(c in back for c in t)}
         size = max(vocab.values()) + 1
-        self.born = [0] * size  # number of the gadget that made a token; bytes: 0
-        self.left, self.right = list(range(size)), list(range(size))
+        self.born = array("q", [0]) * size  # number of the gadget that made a token; bytes: 0
+        self.left, self.right = array("q", range(size)), array("q", range(size))
         self.cut: dict[int, int] = {}  # arc (u, v) -> number of the gadget that removed it
         for t, (a, b) in enumerate(merges, 1):
             self._gadget(t, vocab[a], vocab[b], vocab[a + b])
         self.special = {s: [i] for s, i in special.items()}
         self.arcs: dict[int, bool] = {}
         self.spell: dict[int, int] = {}  # (node, byte) -> node of the tokens' prefix tree
-        self.token_at = [-1]
+        self.token_at = array("q", [-1])
         for raw, i in self.ids.items():
             node = 0
             for byte in raw:
@@ -215,7 +219,18 @@ class Automaton:
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> WordIds:
     """One automaton and memo for each worker process."""
-    return WordIds(Automaton(*load_vocabulary(path)).encode)
+    return WordIds(Automaton(*load_vocabulary(path)).encode, memo_words=MEMO_WORDS, memo_chars=MEMO_CHARS, slice_bytes=SLICE_BYTES)
+
+
+def _slices(batches: Iterator[pa.Array], path: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and row ends of all batches; a task's words are forgotten with it."""
+    encoder = _encoder(path)
+    try:
+        for texts in batches:
+            yield from encoder.slices(texts)
+    finally:
+        encoder.forget()
+        let_go()
 
 
 def encode(text: Column, path: str | None = None) -> Column:
@@ -223,9 +238,8 @@ def encode(text: Column, path: str | None = None) -> Column:
     path = path or default_vocabulary()
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            for ids, ends in _encoder(path).slices(texts):
-                yield id_lists(ids, ends)
+        for ids, ends in _slices(batches, path):
+            yield id_lists(ids, ends)
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "binary")(text)
@@ -269,10 +283,9 @@ def _both(text: Column, path: str) -> Column:
     """struct(ids, decoded) in one pass through one worker: what is decoded are the packed ids."""
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            for ids, ends in _encoder(path).slices(texts):
-                packed = id_lists(ids, ends)
-                yield pa.StructArray.from_arrays([packed, decode_array(packed, path)], names=["ids", "decoded"])
+        for ids, ends in _slices(batches, path):
+            packed = id_lists(ids, ends)
+            yield pa.StructArray.from_arrays([packed, decode_array(packed, path)], names=["ids", "decoded"])
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "struct<ids:binary,decoded:string>")(text)

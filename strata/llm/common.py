@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import string
@@ -26,6 +27,26 @@ def ship(spark: SparkSession) -> None:
     sc._strata_shipped = True
 
 
+BATCH_BYTES = "4m"  # of texts that go to a Python worker at once, where the session does not say
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the bytes of Arrow batches: texts may be long, and both ends of a worker's pipe hold whole batches."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, BATCH_BYTES)
+
+
+def let_go() -> None:
+    """Give freed memory back to the system: Python workers outlive their tasks and lie next to the executor's heap."""
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -106,4 +127,4 @@ def _round(df: DataFrame) -> DataFrame:
     return materialize(df, "components")
 
 
-__all__ = ["ascii_lower", "connected_components", "drop_path", "drop_rows", "ensure_checkpoint_dir", "materialize", "one_of_repeated", "shared_path", "ship", "table", "text_key"]
+__all__ = ["ascii_lower", "connected_components", "drop_path", "drop_rows", "ensure_checkpoint_dir", "let_go", "materialize", "one_of_repeated", "shared_path", "ship", "small_batches", "table", "text_key"]

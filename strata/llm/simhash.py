@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import connected_components, materialize, text_key
+from strata.llm.common import connected_components, let_go, materialize, text_key
 
 
 def _fingerprint(text: str | None, shingle: int, seed: int) -> int:
@@ -60,9 +60,12 @@ def simhash(text: Column, shingle: int = 4, seed: int = 42) -> Column:
     """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            got = np.fromiter((_fingerprint(t.as_py(), shingle, seed) for t in texts), np.uint64, len(texts))
-            yield pa.array(got.view(np.int64))
+        try:
+            for texts in batches:
+                got = np.fromiter((_fingerprint(t.as_py(), shingle, seed) for t in texts), np.uint64, len(texts))
+                yield pa.array(got.view(np.int64))
+        finally:
+            let_go()
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "bigint")(text)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import materialize, text_key
+from strata.llm.common import let_go, materialize, text_key
 
 
 @dataclass(frozen=True)
@@ -31,7 +31,7 @@ class Settings:
     seed: int = 7
 
 
-MEMO_WORDS = 300_000  # words a worker remembers; beyond, it starts anew
+MEMO_WORDS = 150_000  # words a worker remembers; beyond, it starts anew
 
 
 class _Words(dict):
@@ -131,8 +131,11 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, sett
 
 def _distinct_features(text: Column, bits: int) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            yield pa.array([np.unique(features(t.as_py(), bits)).astype("<u4").tobytes() for t in texts], pa.binary())
+        try:
+            for texts in batches:
+                yield pa.array([np.unique(features(t.as_py(), bits)).astype("<u4").tobytes() for t in texts], pa.binary())
+        finally:
+            _WORDS.clear()
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "binary")(text)
@@ -143,6 +146,8 @@ def _fit_task(settings: Settings):
         rows = [(np.frombuffer(f, "<u4"), y) for b in batches for y, f in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
         if rows:
             bias, kept, w = ftrl(rows, settings)
+            del rows
+            let_go()
             yield pa.RecordBatch.from_arrays([pa.array(np.append(-1, kept).astype(np.int64)), pa.array(np.append(bias, w))], names=["feature", "weight"])
 
     return run
@@ -155,12 +160,17 @@ def score(model: Model, text: Column) -> Column:
         w = np.zeros(1 << model.bits)
         w[model.features] = model.weights
         on = w != 0
-        for texts in batches:
-            sums = np.full(len(texts), model.bias)
-            for i, t in enumerate(texts):
-                f = features(t.as_py(), model.bits)
-                sums[i] += w[np.unique(f[on[f]])].sum()
-            yield pa.array(1 / (1 + np.exp(-np.clip(sums, -35, 35))))
+        try:
+            for texts in batches:
+                sums = np.full(len(texts), model.bias)
+                for i, t in enumerate(texts):
+                    f = features(t.as_py(), model.bits)
+                    sums[i] += w[np.unique(f[on[f]])].sum()
+                yield pa.array(1 / (1 + np.exp(-np.clip(sums, -35, 35))))
+        finally:  # the worker lives on: other stages need the memory
+            _WORDS.clear()
+            del w, on
+            let_go()
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "double")(text)
