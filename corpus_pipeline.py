@@ -16,17 +16,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import bpe, decontaminate, secrets, simhash, toxicity
-from strata.llm.common import materialize, ship, table
+from strata.llm.common import materialize, ship, small_batches, table
 
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
+    small_batches(spark)
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the smallest id."""
     ship(spark)
+    small_batches(spark)
     return simhash.keep_one(docs)
 
 
@@ -43,6 +45,7 @@ def secret_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each text encoded and decoded again, as digests: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     ship(spark)
+    small_batches(spark)
     return bpe.digests(docs)
 
 
