@@ -257,6 +257,7 @@ _QUERIES.update(
         "merge_moved_keys": (_k(S.merge_moved_keys), O.merge_moved_keys()),
         "stored_window": (_k(S.stored_window), O.delete_insert_window()),
         "stored_lookback": (_k(S.stored_lookback), O.stored_lookback()),
+        "incremental_gold": (_k(S.incremental_gold), O.incremental_gold()),
         "stored_schema_change": (_k(S.stored_schema_change), O.stored_schema_change()),
     }
 )

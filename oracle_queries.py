@@ -876,3 +876,17 @@ def stored_schema_change() -> str:
         row("sync_all_columns", cid, no, null, old), row("sync_all_columns", txt, no, "payment_method", new),
     ]
     return f"WITH o AS ({RAW_ORDERS}) " + " UNION ALL ".join(parts)
+
+
+def incremental_gold() -> str:
+    """The tables as one run over the present rows makes them."""
+    parts = [
+        f"SELECT '{name}' AS table_name, CAST({key} AS VARCHAR) AS key, {n} AS n, round({amount}, 4) AS amount FROM ({sql}) AS {name}"
+        for name, key, n, amount, sql in (
+            ("fct_orders", "order_item_id", "quantity", "order_total", fct_orders()),
+            ("agg_daily_revenue", "order_date", "total_orders", "total_revenue", agg_daily_revenue()),
+            ("agg_sales_by_customer", "customer_id", "total_orders", "total_spent", agg_sales_by_customer()),
+            ("dim_products", "product_id", "total_orders", "total_revenue", dim_products()),
+        )
+    ]
+    return " UNION ALL ".join(parts)

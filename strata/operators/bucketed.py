@@ -79,6 +79,7 @@ def merge_parts(
     part_of_key: bool = True,
     compare: Sequence[str] | None = None,
     full_refresh: bool = False,
+    meta: dict | None = None,
 ) -> Change:
     """Upsert ``src`` and remove the keys of ``deletes``; NULL key parts match each other.
 
@@ -87,7 +88,7 @@ def merge_parts(
     and part columns of the target, nothing else). Rows whose ``compare`` columns (default: all but the keys) are
     unchanged are not rewritten: a repeated merge commits nothing and touches no file.
     The source must be unique on ``keys`` unless ``dedupe_order`` picks the first. Without a table
-    (or with ``full_refresh``) the source becomes the table.
+    (or with ``full_refresh``) the source becomes the table. ``meta`` is kept with the commit.
     """
     spark = src.sparkSession
     keys = list(keys)
@@ -101,7 +102,7 @@ def merge_parts(
     if not dedupe_order:
         _unique(src, keys, "merge source")
     if fresh:
-        version = write_parts(src, path, base, replaced=None)
+        version = write_parts(src, path, base, replaced=None, meta=meta)
         old_type = T.StructType([f for f in src.schema.fields if f.name not in (PART, *keys)])
         rows = src.select(*keys, F.lit(None).cast(old_type).alias(OLD), F.struct(*[f.name for f in old_type.fields]).alias(NEW))
         return Change(version, rows, inserted=src.count())
@@ -145,6 +146,8 @@ def merge_parts(
     change = Change(base, rows, *(int(x) for x in kinds))
     same_schema = {f.name: f.dataType for f in base.schema.fields} == {f.name: f.dataType for f in schema.fields}
     if not change.any and same_schema:
+        if any(base.meta.get(k) != v for k, v in (meta or {}).items()):  # a commit without files
+            change.version = write_parts(src.limit(0), path, base, meta=meta, schema=base.schema)
         return change
     now = F.when(F.col("_changed"), F.col(NEW)).otherwise(F.col(OLD))
     after = both.select(*keys, now.alias("_now")).where("_now is not null").select(*keys, "_now.*")
@@ -152,10 +155,32 @@ def merge_parts(
     # of the parts read, only those with a change are written
     dirty = rows.where(F.col(OLD).isNotNull()).select(*keys, f"{OLD}.*").select(part.alias(PART)).unionByName(rows.where(F.col(NEW).isNotNull()).select(*keys, f"{NEW}.*").select(part.alias(PART))).distinct()
     dirty = [r[0] for r in dirty.collect()]
-    change.version = write_parts(after.where(F.col(PART).isin(dirty)), path, base, replaced=dirty, schema=schema)
+    change.version = write_parts(after.where(F.col(PART).isin(dirty)), path, base, replaced=dirty, schema=schema, meta=meta)
     return change
 
 
+def changes(spark: SparkSession, path: str, keys: Sequence[str], old: Version | None, new: Version | None = None) -> DataFrame:
+    """What lies between two versions of a table: keys, _old and _new structs (NULL: no row), changed rows only.
+
+    Only parts whose directories differ are read, so the cost follows what the writes in between have touched.
+    """
+    new = new or load_version(spark, path)
+    if new is None:
+        raise FileNotFoundError(f"no version of {path} has been committed")
+    keys = list(keys)
+    before_parts = old.parts if old is not None else {}
+    differ = [p for p in {*before_parts, *new.parts} if before_parts.get(p) != new.parts.get(p)]
+    now = read_version(spark, path, new, differ)
+    values = [c for c in now.columns if c not in keys]
+    was = read_version(spark, path, old, differ) if old is not None else now.limit(0)
+    was, _ = align_schema(was, spark.createDataFrame([], now.schema), "sync_all_columns")
+    a = was.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.struct(*values).alias(OLD), F.lit(True).alias("_was"))
+    b = now.select(*keys, F.struct(*values).alias(NEW), F.lit(True).alias("_is"))
+    both = a.join(b, reduce(lambda x, y: x & y, [b[k].eqNullSafe(a[f"_k_{k}"]) for k in keys]), "full_outer")
+    both = both.where(~F.col(OLD).eqNullSafe(F.col(NEW)))
+    return both.select(*[F.when(F.col("_is"), F.col(k)).otherwise(F.col(f"_k_{k}")).alias(k) for k in keys], OLD, NEW)
+
+
 # --------------------------------------------------------------------------- windows of time
 def replace_window(src: DataFrame, path: str, col: str, start, end, fmt: str = "yyyyMM") -> Version:
     """Delete + insert on a stored table laid out by ``time_part(col, fmt)``: the half-open window [start, end) takes its rows from ``src``.
@@ -234,4 +259,4 @@ def compact(spark: SparkSession, path: str, most: int = 1) -> Version | None:
     return write_parts(rows, path, base, replaced=worn, schema=base.schema)
 
 
-__all__ = ["Change", "compact", "hash_part", "lookback_parts", "merge_parts", "range_part", "replace_window", "sync_table", "time_part"]
+__all__ = ["Change", "changes", "compact", "hash_part", "lookback_parts", "merge_parts", "range_part", "replace_window", "sync_table", "time_part"]

@@ -19,7 +19,7 @@ class Entity:
     transient_reject_key: tuple[str, ...]
     silver_reject_key: tuple[str, ...]
     silver_reject_columns: tuple[str, ...]  # business columns kept in silver rejects
-    # Extra total-order columns after _bronze_inserted_at desc (latest first).
+    # Order after _bronze_inserted_at desc (latest first); what is still equal is decided by a hash of the row.
     dedupe_order: tuple[str, ...] = ()
 
 
@@ -37,8 +37,7 @@ CUSTOMERS = Entity(
     transient_reject_key=("customer_id", "email"),
     silver_reject_key=("customer_id", "email"),
     silver_reject_columns=("customer_id", "first_name", "last_name", "email"),
-    # a total order: equal times are decided by the values
-    dedupe_order=("updated_at desc", "first_name desc", "last_name desc", "email desc", "phone desc", "address desc", "city desc", "state desc", "zip_code desc", "country desc", "created_at desc"),
+    dedupe_order=("updated_at desc",),
 )
 
 ORDERS = Entity(
@@ -54,8 +53,7 @@ ORDERS = Entity(
     transient_reject_key=("order_id", "customer_id", "order_date"),
     silver_reject_key=("order_id", "customer_id"),
     silver_reject_columns=("order_id", "customer_id", "order_date", "status", "total_amount"),
-    # a total order: equal times are decided by the values
-    dedupe_order=("updated_at desc", "customer_id desc", "order_date desc", "status desc", "total_amount desc", "shipping_address desc", "billing_address desc", "payment_method desc", "created_at desc"),
+    dedupe_order=("updated_at desc",),
 )
 
 ORDER_ITEMS = Entity(
@@ -87,8 +85,7 @@ PRODUCTS = Entity(
     transient_reject_key=("product_id", "product_name"),
     silver_reject_key=("product_id", "product_name"),
     silver_reject_columns=("product_id", "product_name", "category", "brand", "price", "cost"),
-    # a total order: equal times are decided by the values
-    dedupe_order=("updated_at desc", "product_name desc", "category desc", "subcategory desc", "brand desc", "price desc", "cost desc", "description desc", "is_active desc", "created_at desc"),
+    dedupe_order=("updated_at desc",),
 )
 
 ENTITIES = {e.name: e for e in (CUSTOMERS, ORDERS, ORDER_ITEMS, PRODUCTS)}

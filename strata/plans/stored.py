@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from strata.operators import bucketed as B
 from strata.operators import history as H
 from strata.plans import catalog as K
-from strata.plans.pipeline import Batch
+from strata.plans.lake import run_lake
+from strata.plans.pipeline import ENTITY_NAMES, TPCH_TIERS, Batch
 from strata.sources.tpch import raw_entity
 from strata.sources.versioned import read_version, replace_table
 
@@ -108,3 +109,27 @@ def stored_schema_change(spark: SparkSession, sf: str) -> DataFrame:
         told = got.select(F.lit(mode).alias("mode"), "order_id", F.col("customer_id").cast("string").alias("customer_id"), *[(F.col(c) if c in got.columns else F.lit("no column")).alias(c) for c in ("status", "payment_method")])
         out = told if out is None else out.unionByName(told)
     return out
+
+
+def incremental_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold after two runs of the incremental job: the second finds later orders, and other prices and customers of some it had.
+
+    One row per row of fct_orders, agg_daily_revenue, agg_sales_by_customer and dim_products: table_name, key, n, amount.
+    """
+    root = K._scratch(spark, "lake")
+    now = {e: raw_entity(spark, sf, e) for e in ENTITY_NAMES}
+    was = F.col("order_id") % 97 == 0
+    orders = now["orders"].where(F.col("order_date") < "1998-06-01")
+    orders = orders.withColumns({"total_amount": F.when(was, F.col("total_amount") + 1).otherwise(F.col("total_amount")), "customer_id": F.when(was, F.lit(1).cast("bigint")).otherwise(F.col("customer_id"))})
+    for raws, run, ts in (({**now, "orders": orders}, "r1", RUN1), (now, "r2", RUN2)):
+        run_lake(spark, raws, root, batch=Batch(run, ts), tiers=TPCH_TIERS, parts=4, fact_part="yyyy")
+    out = None
+    for zone, name, key, n, amount in (
+        ("gold", "fct_orders", "order_item_id", "quantity", "order_total"),
+        ("gold_analytics", "agg_daily_revenue", "order_date", "total_orders", "total_revenue"),
+        ("gold_analytics", "agg_sales_by_customer", "customer_id", "total_orders", "total_spent"),
+        ("gold", "dim_products", "product_id", "total_orders", "total_revenue"),
+    ):
+        told = read_version(spark, f"{root}/{zone}/{name}").select(F.lit(name).alias("table_name"), F.col(key).cast("string").alias("key"), F.col(n).alias("n"), F.round(amount, 4).alias("amount"))
+        out = told if out is None else out.unionByName(told)
+    return out

@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.keys import surrogate_key
+from strata.functions.keys import row_hash, surrogate_key
 from strata.functions.text import clean_columns
 from strata.operators.dedup import latest_per_key
 from strata.operators.load import new_rows_since
@@ -63,7 +63,8 @@ def silver_validated(brz: DataFrame, entity: str, batch_ts: dt.datetime | str) -
     """Latest row per key, standardised, with ``_is_business_valid`` and the reason."""
     e = ENTITIES[entity]
     order = ["_bronze_inserted_at desc", *e.dedupe_order]
-    latest = latest_per_key(brz, [e.key], order)
+    # one number makes the order total: the values themselves are neither shuffled nor sorted for it
+    latest = latest_per_key(brz, [e.key], order, tie_break=[row_hash(*e.columns).desc()])
     std = clean_columns(latest, e.silver_spec, keep=GOVERNANCE).withColumn("_silver_processed_at", ts_literal(batch_ts))
     return tag_rules(std, business_rules(entity), "_is_business_valid", "_reject_reason")
 
