@@ -890,3 +890,20 @@ def incremental_gold() -> str:
         )
     ]
     return " UNION ALL ".join(parts)
+
+
+def stream_ingest_orders() -> str:
+    cols = "order_id, customer_id, order_date, status, CAST(total_amount AS DOUBLE) AS total_amount"
+    return (
+        f"WITH raw AS (SELECT *, {technical_reason('orders')} AS _r FROM ({RAW_ORDERS}) AS o) "
+        f"SELECT CASE WHEN _r IS NULL THEN 'bronze' ELSE 'rejects' END AS zone, {cols}, _r AS _reject_reason FROM raw"
+    )
+
+
+def stream_dedupe_late() -> str:
+    return (
+        "WITH e AS (SELECT * FROM events WHERE ts IS NOT NULL), m AS (SELECT max(ts) - INTERVAL 3 DAY AS mark FROM e) "
+        "SELECT 'kept' AS kind, event_id, 1::BIGINT AS n FROM e "
+        "UNION ALL SELECT 'late', event_id, 1 FROM e, m WHERE event_id % 4 = 0 AND ts < mark "
+        "UNION ALL SELECT 'untimed', event_id, 1 FROM e WHERE event_id % 100 = 1"
+    )

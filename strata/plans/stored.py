@@ -12,8 +12,9 @@ from strata.operators import history as H
 from strata.plans import catalog as K
 from strata.plans.lake import run_lake
 from strata.plans.pipeline import ENTITY_NAMES, TPCH_TIERS, Batch
-from strata.sources.tpch import raw_entity
+from strata.sources.tpch import raw_entity, read_table
 from strata.sources.versioned import read_version, replace_table
+from strata.streaming.epochs import dedupe_epochs, ingest_epochs
 
 # Clocks of the runs.
 RUN1, RUN2, RUN3 = "2024-02-01 06:00:00", "2024-02-02 06:00:00", "2024-02-03 06:00:00"
@@ -133,3 +134,35 @@ def incremental_gold(spark: SparkSession, sf: str) -> DataFrame:
         told = read_version(spark, f"{root}/{zone}/{name}").select(F.lit(name).alias("table_name"), F.col(key).cast("string").alias("key"), F.col(n).alias("n"), F.round(amount, 4).alias("amount"))
         out = told if out is None else out.unionByName(told)
     return out
+
+
+# --------------------------------------------------------------------------- streams
+def _landed(spark: SparkSession, name: str, files: list[DataFrame]) -> str:
+    """A landing folder whose files arrived one after the other."""
+    root = K._scratch(spark, name)
+    for df in files:
+        df.coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    return root
+
+
+def stream_ingest_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw orders that land in four files, ingested one file an epoch; bronze and rejects told apart by ``zone``."""
+    raw = raw_entity(spark, sf, "orders")
+    root = _landed(spark, "ingest", [raw.where(F.col("order_id") % 4 == i) for i in range(4)])
+    ingest_epochs(spark, f"{root}/landing", raw.schema, "orders", f"{root}/bronze", f"{root}/rejects", f"{root}/checkpoint", "s", RUN1, max_files_per_trigger=1)
+    cols = ["order_id", "customer_id", "order_date", "status", "total_amount"]
+    bronze = read_version(spark, f"{root}/bronze").select(F.lit("bronze").alias("zone"), *cols, F.lit(None).cast("string").alias("_reject_reason"))
+    return bronze.unionByName(read_version(spark, f"{root}/rejects").select(F.lit("rejects").alias("zone"), *cols, "_reject_reason"))
+
+
+def stream_dedupe_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Events, then a quarter of them again, some long after their time, and some without a time: (kind, event_id, n)."""
+    events = read_table(spark, sf, "events").where("ts is not null")
+    early = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    again = events.where("event_id % 4 = 0")
+    untimed = events.where("event_id % 100 = 1").withColumn("ts", F.lit(None).cast(events.schema["ts"].dataType))
+    root = _landed(spark, "dedupe", [events.where(early).unionByName(events.where(early & (F.col("event_id") % 3 == 0))), events.where(~early), again.unionByName(untimed)])
+    dedupe_epochs(spark, f"{root}/landing", events.schema, ["event_id"], "ts", f"{root}/sink", f"{root}/late", f"{root}/state", f"{root}/checkpoint", "3 days", max_files_per_trigger=1)
+    kept = read_version(spark, f"{root}/sink").groupBy("event_id").agg(F.count(F.lit(1)).alias("n")).select(F.lit("kept").alias("kind"), "event_id", "n")
+    aside = read_version(spark, f"{root}/late").groupBy("_reason", "event_id").agg(F.count(F.lit(1)).alias("n"))
+    return kept.unionByName(aside.select(F.col("_reason").alias("kind"), "event_id", "n"))

@@ -161,15 +161,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as a parquet table under the checkpoint directory and read it back.
 
     Like ``cut_lineage`` (the result depends only on files in shared storage) but
     columnar: later readers prune columns and push filters, and the write is one
-    pass without row serialisation.
+    pass without row serialisation. ``partition_by`` columns let readers prune.
     """
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/strata_tables/{name}-{uuid.uuid4().hex}"
+    if partition_by:
+        df.write.partitionBy(*partition_by).parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
     df.write.parquet(path)
     return spark.read.parquet(path)
