@@ -4,12 +4,12 @@ A block is coded by itself: header, then lanes. Lanes are equal runs of the bloc
 that are coded side by side, one id of each lane a step, so a step works on arrays; all
 lanes of a block share its models, which start empty in every block.
 
-An id is coded in one or two range-coder steps. First, whether it is the id that followed
-last time after the two ids before it (order 2), the id that followed after the one
-before it (order 1), or another. Each context's share follows from its own confidence
-with a bias and a weight that adapt; the contexts are not mixed, an id that one misses
-escapes to the next. Another id is then coded by the adaptive order-0 frequencies. All arithmetic is on integers, so any machine decodes what
-another wrote.
+An id is coded by decisions: is it the id that followed last time after the two ids before
+it (order 2), else, is it the one that followed after the one before it (order 1), else,
+which id (by adaptive order-0 frequencies). The probability of each yes or no mixes all
+three contexts: its logit is a weighted sum of what order 2, order 1 and order 0 say for or
+against the candidate, and the weights learn from the coding error after every step. All
+arithmetic is on integers, so any machine decodes what another wrote.
 
 Layout (little-endian): magic 'TKB1', ids (u4), lanes (u4), crc32 of the ids as u4 (u4),
 words of each lane (u4 each), then each lane's 16-bit words. A wrong checksum is an error.
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import shared_path
+from strata.llm.common import shared_path, text_key
 from strata.llm.pretokens import default_vocabulary, load_vocabulary
 from strata.llm.token_counts import library_encoder
 
@@ -39,17 +39,24 @@ U = np.uint64
 LOW32 = U(0xFFFFFFFF)
 
 
+def _log(x: np.ndarray) -> np.ndarray:
+    """Natural logarithm of positive integers in 1/1024, the same on every machine (straight between powers of two)."""
+    e = np.frexp(np.asarray(x, np.float64))[1].astype(np.int64) - 1
+    return ((e << 10) + ((np.asarray(x, np.int64) << 10) >> e) - 1024) * 710 >> 10
+
+
 class _Models:
     """What coder and decoder learn alike, step by step."""
 
-    ONE = 1 << 15  # probabilities of the first step
+    ONE = 1 << 15  # probabilities of the decisions
     RENEW = 4  # steps between renewals of the order-0 sums
 
     def __init__(self, alphabet: int):
         self.freq = np.ones(alphabet, np.int64)
         self.next1, self.next2 = np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.int64)
         self.sure1, self.sure2 = np.full(1 << 16, -2048, np.int64), np.full(1 << 18, -2048, np.int64)  # log odds, 1/1024
-        self.mix = [np.array([0, 768], np.int64), np.array([0, 768], np.int64)]  # order-0 term and weight (1/1024) by order
+        # weights (1/1024) of: always, order 2, order 1, order 0; for the decision on order 2's id and for that on order 1's
+        self.weights = [np.array([0, 700, 300, 40], np.int64), np.array([0, 100, 700, 40], np.int64)]
         # 1 / (1 + e^-x) for x in 1/64 from -12 to 12
         self.squash = np.array([round(self.ONE / (1 + math.exp(-i / 64))) for i in range(-768, 769)], np.int64)
         self.steps = 0
@@ -57,25 +64,34 @@ class _Models:
 
     def _renew(self) -> None:
         self.sums = np.concatenate([[0], np.cumsum(self.freq)])
+        self.total = int(_log(self.sums[-1:])[0])
 
     def expect(self, a: np.ndarray, b: np.ndarray):
-        """For ids ``a`` before ``b`` before the next: (order-2 id, order-1 id, and the three shares of ONE)."""
+        """For ids ``a`` before ``b`` before the next: (order-2 id, order-1 id, and their shares of ONE)."""
         self.at1 = b & 0xFFFF
         self.at2 = ((a * 0x9E3B + b * 0x85EB + (a >> 3)) ^ (b << 5)) & 0x3FFFF
-        self.p = []
-        for order, sure in ((1, self.sure2[self.at2]), (0, self.sure1[self.at1])):
-            zero, weight = self.mix[order]
-            self.p.append(self.squash[np.clip((zero + (sure * weight >> 10)) >> 4, -768, 768) + 768])
+        by2, by1 = self.next2[self.at2], self.next1[self.at1]
+        sure2, sure1 = self.sure2[self.at2], self.sure1[self.at1]
+        self.same = by1 == by2
+        always = np.full(len(a), 1024)
+        # a context speaks for its own id, and, where it is sure, against the other's
+        self.seen = [
+            np.stack([always, sure2, np.where(self.same, sure1, -np.maximum(sure1, 0)), _log(self.freq[by2]) - self.total]),
+            np.stack([always, -np.maximum(sure2, 0), sure1, _log(self.freq[by1]) - self.total]),
+        ]
+        self.p = [self.squash[np.clip((w @ x) >> 14, -768, 768) + 768] for w, x in zip(self.weights, self.seen, strict=True)]
         two = np.clip(self.p[0], 32, self.ONE - 96)
         one = np.clip((self.ONE - two) * self.p[1] >> 15, 16, self.ONE - two - 32)
-        return self.next2[self.at2], self.next1[self.at1], two, one
+        return by2, by1, two, np.where(self.same, 16, one)
 
     def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        for order, hit, p, sure, at, nxt in ((1, hit2, self.p[0], self.sure2, self.at2, self.next2), (0, hit1, self.p[1], self.sure1, self.at1, self.next1)):
-            off = (hit << 15) - p  # 1/32768
+        asked = [np.ones(len(ids), bool), (hit2 == 0) & ~self.same]  # the second decision is not always taken
+        for d, hit in enumerate((hit2, hit1)):
+            off = np.where(asked[d], (hit << 15) - self.p[d], 0)  # the coding error, 1/32768
+            step = (self.seen[d] @ off >> 15) >> (5 + len(ids).bit_length())
+            self.weights[d] = np.clip(self.weights[d] + step, -4096, 4096)
+        for hit, sure, at, nxt in ((hit2, self.sure2, self.at2, self.next2), (hit1, self.sure1, self.at1, self.next1)):
             old = sure[at]
-            self.mix[order][0] += int(off.sum()) >> (8 + len(ids).bit_length())
-            self.mix[order][1] += int((off * old >> 15).sum()) >> (6 + len(ids).bit_length())
             sure[at] = np.clip(old + np.where(hit, 400, -160), -6000, 6000)
             keep = (old > 1024) & (hit == 0)  # a sure context keeps its id once
             nxt[at] = np.where(keep, nxt[at], ids)
@@ -231,8 +247,9 @@ def write_token_files(docs: DataFrame, out: str, id_col: str = "doc_id", text_co
     """Encode every whole text, append ``end_id``, and write blocks to ``out`` in ascending id order.
 
     Files hold ranges of ids in order, blocks the ids of a file in order; a long document spans
-    blocks. NULL texts are empty; rows with one id follow each other by text; NULL ids come
-    first; other columns are ignored; an empty table writes no block.
+    blocks. NULL texts are empty; rows with one id (or none) follow each other by the text's first
+    characters and its hash, and may fill many files; NULL ids come first; other columns are
+    ignored; an empty table writes no block.
     """
     path = path or default_vocabulary()
     alphabet = alphabet_of(path)
@@ -274,7 +291,10 @@ def write_token_files(docs: DataFrame, out: str, id_col: str = "doc_id", text_co
             yield flush()
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # rows that agree in all but the last are the same, so any order of these gives the same files
+    order = ["doc_id", "_begin", "_key", "_row"]
+    rows = rows.withColumns({"_begin": F.substring("text", 1, 64), "_key": text_key(F.col("text")), "_row": F.monotonically_increasing_id()})
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     rows.mapInArrow(run, FILE_SCHEMA).write.parquet(out)
 
 

@@ -40,6 +40,31 @@ def test_predictable_ids_shrink():
     assert len(T.encode_block(ids, 50257)) < len(ids) // 2
 
 
+def test_every_decision_mixes_all_contexts():
+    """One context's opinion changes the probability of the other's candidate, and the weights learn from the error."""
+    m, a, b = T._Models(100), np.array([3]), np.array([5])
+    m.expect(a, b)
+    m.next1[m.at1], m.next2[m.at2] = 7, 9
+    _, _, two, one = m.expect(a, b)
+    m.sure1[m.at1] = 5000
+    assert m.expect(a, b)[2] < two and m.expect(a, b)[3] > one  # order 1 is sure of another id
+    m.next1[m.at1] = 9
+    agreed = m.expect(a, b)[2]
+    assert agreed > two  # both say the same
+    m.freq[9] += 500
+    assert m.expect(a, b)[2] > agreed  # and order 0 knows it well
+    before = [w.copy() for w in m.weights]
+    for _ in range(50):
+        m.expect(a, b)
+        m.learn(np.array([9]), np.array([1]), np.array([1]))
+    assert any((x != y).any() for x, y in zip(before, m.weights, strict=True))
+
+
+def test_logarithms_are_close_and_whole():
+    x = np.array([1, 2, 3, 24, 1000, 50257, 10**12])
+    assert T._log(x).dtype == np.int64 and np.abs(T._log(x) / 1024 - np.log(x)).max() < 0.07
+
+
 def test_damage_is_found():
     block = T.encode_block(np.arange(5000, dtype=np.uint32), 50257)
     for at in (0, 5, 13, 20, len(block) // 2):
