@@ -257,6 +257,8 @@ _QUERIES.update(
         "merge_moved_keys": (_k(S.merge_moved_keys), O.merge_moved_keys()),
         "stored_window": (_k(S.stored_window), O.delete_insert_window()),
         "stored_lookback": (_k(S.stored_lookback), O.stored_lookback()),
+        "sampled_clone_linked": (_k(S.sampled_clone_linked), O.sampled_clone_linked()),
+        "digest_diff": (_k(S.digest_diff), O.digest_diff()),
         "stream_ingest_orders": (_k(S.stream_ingest_orders), O.stream_ingest_orders()),
         "stream_dedupe_late": (_k(S.stream_dedupe_late), O.stream_dedupe_late()),
         "incremental_gold": (_k(S.incremental_gold), O.incremental_gold()),

@@ -770,7 +770,7 @@ def mask_pii() -> str:
 def full_clone_masked() -> str:
     masked = (
         "customer_id, sha256(first_name) AS first_name, sha256(last_name) AS last_name, regexp_replace(email, '^[^@]*', '***') AS email, "
-        "'***' || right(phone, 4) AS phone, sha256(address) AS address, city"
+        "'***' || right(phone, 4) AS phone, sha256(address) AS address, sha256(city) AS city"
     )
     return f"SELECT 'silver' AS zone, {masked} FROM ({silver('customers')}) AS s UNION ALL SELECT 'gold' AS zone, {masked} FROM ({dim_customers()}) AS d"
 
@@ -907,3 +907,19 @@ def stream_dedupe_late() -> str:
         "UNION ALL SELECT 'late', event_id, 1 FROM e, m WHERE event_id % 4 = 0 AND ts < mark "
         "UNION ALL SELECT 'untimed', event_id, 1 FROM e WHERE event_id % 100 = 1"
     )
+
+
+def sampled_clone_linked() -> str:
+    bucket = "CAST('0x' || substr(md5('42:' || coalesce(CAST(customer_id AS VARCHAR), '')), 1, 8) AS BIGINT) % 10000"
+    return (
+        f"WITH c AS (SELECT customer_id, sha256(city) AS masked FROM ({silver('customers')}) AS s WHERE {bucket} < 1000), "
+        f"o AS (SELECT order_id, sha256(shipping_address) AS masked FROM ({silver('orders')}) AS s WHERE customer_id IN (SELECT customer_id FROM c)), "
+        f"i AS (SELECT order_item_id, product_id FROM ({silver('order_items')}) AS s WHERE order_id IN (SELECT order_id FROM o)), "
+        f"p AS (SELECT product_id FROM ({silver('products')}) AS s WHERE product_id IN (SELECT product_id FROM i)) "
+        "SELECT 'slv_customers' AS table_name, customer_id AS key, masked FROM c UNION ALL SELECT 'slv_orders', order_id, masked FROM o "
+        "UNION ALL SELECT 'slv_order_items', order_item_id, NULL FROM i UNION ALL SELECT 'slv_products', product_id, NULL FROM p"
+    )
+
+
+def digest_diff() -> str:
+    return f"SELECT * FROM ({snapshot_diff()}) AS d WHERE _change <> 'same'"

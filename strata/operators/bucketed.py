@@ -181,6 +181,42 @@ def changes(spark: SparkSession, path: str, keys: Sequence[str], old: Version |
     return both.select(*[F.when(F.col("_is"), F.col(k)).otherwise(F.col(f"_k_{k}")).alias(k) for k in keys], OLD, NEW)
 
 
+def digests(df: DataFrame, keys: Sequence[str], buckets: int, compare: Sequence[str] | None = None) -> DataFrame:
+    """(_bucket, _n, _sum): rows of each hash bucket and the sum of their hashes, whatever their order. One row for each bucket."""
+    compare = list(compare) if compare is not None else [c for c in df.columns if c not in keys]
+    hashed = df.select(F.pmod(row_hash(*keys), F.lit(buckets)).alias("_bucket"), row_hash(*keys, *compare).cast("decimal(20,0)").alias("_h"))
+    return hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"), F.sum("_h").alias("_sum"))
+
+
+def diff_by_digest(old: DataFrame, new: DataFrame, keys: Sequence[str], buckets: int = 4096, compare: Sequence[str] | None = None, old_digests: DataFrame | None = None) -> DataFrame:
+    """Keys that were inserted, updated or deleted between two extracts: keys, ``_change`` and the new row's values (the old ones of a delete).
+
+    Digests of key buckets are compared first (``old_digests``: kept from the last time, then equal
+    extracts never read the old one); only rows of buckets that differ are shuffled and joined.
+    NULL keys match each other. Rows are told apart by 64-bit hashes summed over a bucket: two
+    different buckets pass as equal with a chance of about 2 to the -64.
+    """
+    compare = list(compare) if compare is not None else [c for c in new.columns if c not in keys]
+    a, b = old_digests if old_digests is not None else digests(old, keys, buckets, compare), digests(new, keys, buckets, compare)
+    a, b = a.withColumnsRenamed({"_n": "_an", "_sum": "_as"}), b.withColumnsRenamed({"_n": "_bn", "_sum": "_bs"})
+    unlike = a.join(b, "_bucket", "full_outer").where(~(F.col("_an").eqNullSafe(F.col("_bn")) & F.col("_as").eqNullSafe(F.col("_bs"))))
+    which = [r[0] for r in unlike.select("_bucket").collect()]  # at most ``buckets`` numbers
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        if not which:
+            df = df.limit(0)
+        elif len(which) < buckets:
+            df = df.where(F.pmod(row_hash(*keys), F.lit(buckets)).isin(which))
+        return df.select(*[F.col(k).alias(f"{name}_{k}") for k in keys], F.struct(*compare).alias(f"{name}_row"), F.lit(True).alias(f"{name}_is"))
+
+    o, n = side(old, "_o"), side(new, "_n")
+    both = o.join(n, reduce(lambda x, y: x & y, [o[f"_o_{k}"].eqNullSafe(n[f"_n_{k}"]) for k in keys]), "full_outer")
+    change = F.when(F.col("_o_is").isNull(), "insert").when(F.col("_n_is").isNull(), "delete").when(~F.col("_o_row").eqNullSafe(F.col("_n_row")), "update")
+    row = F.when(F.col("_n_is"), F.col("_n_row")).otherwise(F.col("_o_row"))
+    out = both.select(*[F.when(F.col("_n_is"), F.col(f"_n_{k}")).otherwise(F.col(f"_o_{k}")).alias(k) for k in keys], change.alias("_change"), row.alias("_row"))
+    return out.where("_change is not null").select(*keys, "_change", "_row.*")
+
+
 # --------------------------------------------------------------------------- windows of time
 def replace_window(src: DataFrame, path: str, col: str, start, end, fmt: str = "yyyyMM") -> Version:
     """Delete + insert on a stored table laid out by ``time_part(col, fmt)``: the half-open window [start, end) takes its rows from ``src``.
@@ -259,4 +295,4 @@ def compact(spark: SparkSession, path: str, most: int = 1) -> Version | None:
     return write_parts(rows, path, base, replaced=worn, schema=base.schema)
 
 
-__all__ = ["Change", "changes", "compact", "hash_part", "lookback_parts", "merge_parts", "range_part", "replace_window", "sync_table", "time_part"]
+__all__ = ["Change", "changes", "compact", "diff_by_digest", "digests", "hash_part", "lookback_parts", "merge_parts", "range_part", "replace_window", "sync_table", "time_part"]

@@ -1,7 +1,8 @@
 """CI table clones: sampled or slim copies of zone tables, PII masking, teardown.
 
 One independent sample-and-write job per table (Bernoulli sampling is a
-per-partition filter: no shuffle). ``pct = 0`` means a full copy.
+per-partition filter: no shuffle), or one linked sample by key, in which every row
+finds the rows it refers to. ``pct = 0`` means a full copy.
 Masking is driven by each table's ``_sensitivity_tag`` column or an explicit
 rule map and uses built-in functions only.
 """
@@ -9,16 +10,21 @@ rule map and uses built-in functions only.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.sources.tables import drop_path, write_table
+from strata.sources.tables import drop_path, materialize, write_table
 
 MASK_RULES = ("hash", "redact_email", "null", "keep_last4")
 # what a clone masks where the caller gives no masks: personal columns by name
-PERSONAL_MASKS = {"email": "redact_email", "phone": "keep_last4", "address": "hash", "first_name": "hash", "last_name": "hash"}
+PERSONAL_MASKS = {
+    "email": "redact_email", "phone": "keep_last4", "first_name": "hash", "last_name": "hash",
+    **{c: "hash" for c in ("address", "shipping_address", "billing_address", "city", "postal_code", "zip_code")},
+}
 
 # what may be created or dropped: one name, no path
 _CI_SCHEMA = re.compile(r"(?:PR|CI)_[A-Za-z0-9_]+", re.IGNORECASE)
@@ -71,6 +77,62 @@ def sample_by_key(df: DataFrame, key: str, pct: float, seed: int = 42) -> DataFr
     return df if pct == 0 else df.where(bucket < round(pct * 100))
 
 
+@dataclass(frozen=True)
+class Reference:
+    """Rows of ``child`` belong to rows of ``parent`` by an equal column (the parent's may have another name)."""
+
+    child: str
+    parent: str
+    column: str
+    parent_column: str | None = None
+
+
+def sample_with_references(tables: Mapping[str, DataFrame], root: str, key: str, pct: float, references: Sequence[Reference], seed: int = 42) -> dict[str, DataFrame]:
+    """A sample in which every kept row finds its parents: ``root`` is sampled by ``key``, the rest follows.
+
+    Walking from the root, a table's children keep the rows whose parent was kept (a row with
+    several sampled parents must find each), and other parents keep the rows that a kept child
+    needs. A NULL reference points nowhere and asks for nothing. Tables that no reference
+    connects with the root are sampled by nothing and stay whole. ``pct`` 0: everything.
+    """
+    if root not in tables:
+        raise ValueError(f"no table {root!r} to sample")
+    unknown = {t for r in references for t in (r.child, r.parent)} - set(tables)
+    if unknown:
+        raise ValueError(f"references to unknown tables: {sorted(unknown)}")
+    out = {root: sample_by_key(tables[root], key, pct, seed)}
+    if pct == 0:
+        return dict(tables)
+    todo = [root]
+    while todo:  # the graph of tables is small
+        now = todo.pop(0)
+        for r in references:
+            if r.parent == now and r.child not in out:
+                kept = tables[r.child]
+                for up in references:
+                    if up.child == r.child and up.parent in out:
+                        kept = _semi(kept, up.column, out[up.parent], up.parent_column or up.column, nulls=True)
+                out[r.child] = kept
+                todo.append(r.child)
+    reached = True
+    while reached:  # parents that were not on the way: what the kept children ask for
+        reached = False
+        for parent in [t for t in tables if t not in out]:
+            asked = [r for r in references if r.parent == parent and r.child in out]
+            if asked:
+                keys = reduce(DataFrame.unionByName, [out[r.child].select(F.col(r.column).alias("_key")) for r in asked]).distinct()
+                out[parent] = _semi(tables[parent], asked[0].parent_column or asked[0].column, keys, "_key")
+                reached = True
+    return {t: out.get(t, df) for t, df in tables.items()}
+
+
+def _semi(df: DataFrame, column: str, keys: DataFrame, key_column: str, nulls: bool = False) -> DataFrame:
+    """Rows whose ``column`` is among the keys (with ``nulls``: or NULL); distinct keys, so a hot key is one row of them."""
+    own = keys.select(F.col(key_column).alias("_wanted")).where("_wanted is not null").distinct()
+    found = df.join(own, df[column] == own["_wanted"], "left_semi")
+    return found.unionByName(df.where(F.col(column).isNull())) if nulls else found
+
+
 def clone_name(schema: str, table: str) -> str:
     return f"{schema}_{table}".upper()
 
@@ -98,12 +160,16 @@ def clone_for_ci(
     table_list: str = "*",
     seed: int = 42,
     masks: Mapping[str, Mapping[str, str]] | None = None,
+    by_key: tuple[str, str] | None = None,
+    references: Sequence[Reference] = (),
 ) -> str:
     """Copy (or sample) every table, or only ``table_list`` entries, to ``<root>/<schema>/<SCHEMA>_<TABLE>``.
 
     Refuses targets that are not CI schemas (must start with ``PR_`` or ``CI_``). ``masks`` (table → column →
-    rule) replaces the default, under which every table's personal columns (``PERSONAL_MASKS``) are masked: in rows
-    tagged ``pii``, or in all rows of a table without tags. ``masks={}`` copies everything as it is.
+    rule) replaces the default, under which every table's personal columns (``PERSONAL_MASKS``) are masked, whatever
+    tag their rows carry; masks given apply to rows tagged ``pii`` (all rows of a table without tags). ``masks={}`` copies everything as it is.
+    Each table is sampled on its own, unless ``by_key`` names (table, key column) and ``references`` what hangs
+    together: then the key's rows and all that belongs to them are cloned, and nothing refers to a row left out.
     """
     if not _CI_SCHEMA.fullmatch(target_schema):
         raise ValueError("clone target must be a CI schema (PR_* or CI_*, letters, digits and underscores)")
@@ -111,22 +177,29 @@ def clone_for_ci(
     there = {(s.upper(), t.upper()) for s, t in tables}
     if wanted is not None and wanted - there:
         raise ValueError(f"no such tables: {sorted('.'.join(x) for x in wanted - there)}")
+    tag = "pii" if masks is not None else None
     if masks is None:
         masks = {t: {c: r for c, r in PERSONAL_MASKS.items() if c in df.columns} for (_, t), df in tables.items()}
     masks = {t.upper(): m for t, m in masks.items()}
     if set(masks) - {t for _, t in there}:
         raise ValueError(f"masks for unknown tables: {sorted(set(masks) - {t for _, t in there})}")
     n = 0
+    if by_key and pct:
+        linked = sample_with_references({t: df for (_, t), df in tables.items()}, by_key[0], by_key[1], pct, references, seed)
+        # the parts of the sample depend on each other: each is drawn once
+        tables, pct_each = {(s, t): materialize(linked[t], f"clone_{t}") for s, t in tables}, 0
+    else:
+        pct_each = pct
     for (schema, table), df in tables.items():
         if wanted is not None and (schema.upper(), table.upper()) not in wanted:
             continue
-        out = sample_table(df, pct, seed)
+        out = sample_table(df, pct_each, seed)
         if masks.get(table.upper()):
-            out = mask_columns(out, masks[table.upper()])
+            out = mask_columns(out, masks[table.upper()], only_tag=tag)
         write_table(out, f"{target_root.rstrip('/')}/{target_schema}/{clone_name(schema, table)}")
         n += 1
     mode = "full" if wanted is None else "slim"
-    return f"Clone completed. {n} tables cloned into {target_schema} (mode={mode}, sample={pct}%)."
+    return f"{n} tables in {target_schema}; mode={mode}; {f'{pct}% sampled' if pct else 'all rows'}"
 
 
 def clone_zones(
@@ -139,6 +212,8 @@ def clone_zones(
     table_list: str = "*",
     seed: int = 42,
     masks: Mapping[str, Mapping[str, str]] | None = None,
+    by_key: tuple[str, str] | None = None,
+    references: Sequence[Reference] = (),
 ) -> str:
     """Full mode: every table found in the comma-separated ``zones`` under ``root``;
     slim mode: only the ``SCHEMA.TABLE`` entries of ``table_list``."""
@@ -148,7 +223,7 @@ def clone_zones(
     for zone in [z.strip() for z in zones.split(",") if z.strip()]:
         for t in list_tables(spark, f"{root.rstrip('/')}/{zone}"):
             tables[(zone, t)] = spark.read.parquet(f"{root.rstrip('/')}/{zone}/{t}")
-    return clone_for_ci(spark, tables, target_root, target_schema, pct, table_list, seed, masks)
+    return clone_for_ci(spark, tables, target_root, target_schema, pct, table_list, seed, masks, by_key, references)
 
 
 def drop_ci_schema(spark: SparkSession, root: str, schema: str) -> None:

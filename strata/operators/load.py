@@ -132,7 +132,7 @@ def append_table(
         merge = on_schema_change in ("append_new_columns", "sync_all_columns", "fail")
         current = spark.read.option("mergeSchema", str(merge).lower()).parquet(path)
         aligned_target, src = align_schema(current, src, on_schema_change)
-        if on_schema_change == "sync_all_columns" and aligned_target.columns != current.columns:
+        if on_schema_change == "sync_all_columns" and aligned_target.dtypes != current.dtypes:
             write_table(cut_lineage(aligned_target), path, partition_by=partition_by)  # rewrite old rows to the new column set
         if hwm_path and table_exists(spark, hwm_path):
             hwm = high_water_mark(spark.read.parquet(hwm_path), "hwm")
@@ -227,7 +227,7 @@ def merge_table(
         there = target.select(*[F.col(c).alias(f"__t_{c}") for c in dict.fromkeys([*keys, *partition_by])])
         same_key = reduce(lambda a, b: a & b, [src[k].eqNullSafe(there[f"__t_{k}"]) for k in keys])
         same_part = reduce(lambda a, b: a & b, [src[c].eqNullSafe(there[f"__t_{c}"]) for c in partition_by])
-        moved = not src.join(there, same_key & ~same_part, "left_semi").isEmpty()
+        moved = not src.join(there, same_key & ~same_part, "left_semi").isEmpty()  # ``bucketed.merge_parts`` moves keys without a whole rewrite
         touched = src.select(*[F.col(c).alias(f"__p_{c}") for c in partition_by]).distinct()
         inside = reduce(lambda a, b: a & b, [target[c].eqNullSafe(touched[f"__p_{c}"]) for c in partition_by])
         target = whole if moved else target.join(touched, inside, "left_semi")
@@ -357,11 +357,13 @@ def diff(old: DataFrame, new: DataFrame, keys: Sequence[str], compare: Sequence[
     Returns the keys, ``_change`` and the new row's compared columns (old ones
     for deletes). Rows are compared column by column, NULL equal to NULL, so a value
     that moves between nullable columns is an update; the shuffle carries the compared columns.
+    NULL keys match each other.
     """
     compare = list(compare) if compare is not None else [c for c in new.columns if c not in keys]
-    h = lambda df, n: df.select(*keys, F.lit(True).alias(n), F.struct(*compare).alias(n + "_row"))
+    h = lambda df, n: df.select(*[F.col(k).alias(f"{n}_{k}") for k in keys], F.lit(True).alias(n), F.struct(*compare).alias(n + "_row"))
     o, n = h(old, "_old"), h(new, "_new")
-    j = o.join(n, list(keys), "full_outer")
+    j = o.join(n, reduce(lambda a, b: a & b, [o[f"_old_{k}"].eqNullSafe(n[f"_new_{k}"]) for k in keys]), "full_outer")
+    j = j.withColumns({k: F.when(F.col("_new"), F.col(f"_new_{k}")).otherwise(F.col(f"_old_{k}")) for k in keys})
     change = (
         F.when(F.col("_old").isNull(), "insert")
         .when(F.col("_new").isNull(), "delete")
@@ -375,6 +377,7 @@ def diff(old: DataFrame, new: DataFrame, keys: Sequence[str], compare: Sequence[
 def only_changed(src: DataFrame, previous: DataFrame, keys: Sequence[str], compare: Sequence[str] | None = None) -> DataFrame:
     """Source rows that are new or differ from ``previous`` (anti-join on key + row hash)."""
     compare = list(compare) if compare is not None else [c for c in src.columns if c not in keys]
-    prev = previous.select(*keys, row_hash(*compare).alias("_h"))
+    prev = previous.select(*[F.col(k).alias(f"_prev_{k}") for k in keys], row_hash(*compare).alias("_prev_h"))
     cur = src.withColumn("_h", row_hash(*compare))
-    return cur.join(prev, [*keys, "_h"], "left_anti").drop("_h")
+    same = reduce(lambda a, b: a & b, [cur[k].eqNullSafe(prev[f"_prev_{k}"]) for k in keys], cur["_h"] == prev["_prev_h"])
+    return cur.join(prev, same, "left_anti").drop("_h")

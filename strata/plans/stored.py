@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from strata.operators import bucketed as B
 from strata.operators import history as H
+from strata.operators.clone import Reference, clone_name, clone_zones
 from strata.plans import catalog as K
 from strata.plans.lake import run_lake
 from strata.plans.pipeline import ENTITY_NAMES, TPCH_TIERS, Batch
-from strata.sources.tpch import raw_entity, read_table
+from strata.sources.tables import write_table
+from strata.sources.tpch import customer_versions, raw_entity, read_table
 from strata.sources.versioned import read_version, replace_table
 from strata.streaming.epochs import dedupe_epochs, ingest_epochs
 
@@ -136,6 +138,34 @@ def incremental_gold(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+# --------------------------------------------------------------------------- clones and extracts
+LINKS = (
+    Reference("slv_orders", "slv_customers", "customer_id"), Reference("slv_order_items", "slv_orders", "order_id"),
+    Reference("slv_order_items", "slv_products", "product_id"),
+)
+
+
+def sampled_clone_linked(spark: SparkSession, sf: str) -> DataFrame:
+    """A clone of the silver zone: a tenth of the customers with their orders, items and these items' products."""
+    lake, t = K._scratch(spark, "linked_clone"), K._all(spark, sf, Batch())
+    keys = {"slv_customers": ("customer_id", "city"), "slv_orders": ("order_id", "shipping_address"), "slv_order_items": ("order_item_id", None), "slv_products": ("product_id", None)}
+    for name in keys:
+        write_table(t[name], f"{lake}/silver/{name}")
+    clone_zones(spark, lake, "silver", f"{lake}/ci", "PR_3", pct=10, by_key=("slv_customers", "customer_id"), references=LINKS)
+    out = None
+    for name, (key, masked) in keys.items():
+        got = spark.read.parquet(f"{lake}/ci/PR_3/{clone_name('silver', name)}")
+        told = got.select(F.lit(name).alias("table_name"), F.col(key).alias("key"), (F.col(masked) if masked else F.lit(None).cast("string")).alias("masked"))
+        out = told if out is None else out.unionByName(told)
+    return out
+
+
+def digest_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """What changed between two customer extracts, by bucket digests first: only buckets that differ are joined."""
+    v1, v2 = customer_versions(spark, sf)
+    return B.diff_by_digest(v1, v2, ["customer_id"], buckets=256)
+
+
 # --------------------------------------------------------------------------- streams
 def _landed(spark: SparkSession, name: str, files: list[DataFrame]) -> str:
     """A landing folder whose files arrived one after the other."""

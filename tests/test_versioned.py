@@ -214,3 +214,57 @@ def test_four_modes_with_added_dropped_and_retyped_columns(spark, scratch):
         B.sync_table(new, p, "fail")
     B.sync_table(old, p, "fail")
     assert len(rows(spark, p)) == 4
+
+
+# --------------------------------------------------------------------------- change detection, clones, older forms
+def test_digests_find_only_buckets_that_differ(spark):
+    old = spark.createDataFrame([(i, "a") for i in range(500)] + [(None, "n")], "id int, v string")
+    new = spark.createDataFrame([(i, "b" if i == 7 else "a") for i in range(1, 501)] + [(None, "n")], "id int, v string")
+    got = sorted((r["id"], r["_change"], r["v"]) for r in B.diff_by_digest(old, new, ["id"], buckets=64).collect())
+    assert got == [(0, "delete", "a"), (7, "update", "b"), (500, "insert", "a")]
+    kept = B.digests(old, ["id"], 64).cache()
+    broken = old.withColumn("v", F.raise_error(F.lit("was read")).cast("string"))
+    assert B.diff_by_digest(broken, old, ["id"], buckets=64, old_digests=kept).collect() == []  # equal: the old extract is not read
+    null = spark.createDataFrame([(None, "N"), (3, "a")], "id int, v string")
+    assert [tuple(r) for r in B.diff_by_digest(null, null.replace("N", "M"), ["id"]).collect()] == [(None, "update", "M")]
+
+
+def test_null_keys_match_in_change_detection(spark):
+    from strata.operators.load import diff, only_changed
+
+    df = spark.createDataFrame([(None, "a"), (1, "b")], "id int, v string")
+    assert {r["_change"] for r in diff(df, df, ["id"]).collect()} == {"same"} and only_changed(df, df, ["id"]).count() == 0
+
+
+def test_stored_sync_of_a_retyped_column(spark, scratch):
+    from strata.operators.load import append_table
+
+    p, t = f"{scratch}/t", dt.datetime(2024, 1, 1)
+    append_table(spark.createDataFrame([(1, t)], "n int, ts timestamp_ntz"), p, "ts")
+    append_table(spark.createDataFrame([("x", t + dt.timedelta(1))], "n string, ts timestamp_ntz"), p, "ts", on_schema_change="sync_all_columns")
+    assert sorted(r["n"] for r in spark.read.parquet(p).collect()) == ["1", "x"]
+
+
+def test_a_linked_sample_keeps_every_reference(spark, scratch):
+    from strata.operators import clone as C
+
+    tables = {
+        ("silver", "c"): spark.createDataFrame([(i, f"city {i}") for i in range(200)], "cid int, city string"),
+        ("silver", "o"): spark.createDataFrame([(i, i % 200 if i % 50 else None, "pii?") for i in range(600)], "oid int, cid int, shipping_address string").withColumn("_sensitivity_tag", F.lit("confidential")),
+        ("silver", "i"): spark.createDataFrame([(i, i % 600, i % 37) for i in range(2000)], "iid int, oid int, pid int"),
+        ("silver", "p"): spark.createDataFrame([(i,) for i in range(80)], "pid int"),
+        ("silver", "x"): spark.range(5),
+    }
+    links = [C.Reference("o", "c", "cid"), C.Reference("i", "o", "oid"), C.Reference("i", "p", "pid")]
+    said = C.clone_for_ci(spark, tables, scratch, "PR_1", pct=20, by_key=("c", "cid"), references=links)
+    assert "5 tables" in said
+    got = {t: spark.read.parquet(f"{scratch}/PR_1/{C.clone_name('silver', t)}") for t in "coipx"}
+    assert 10 < got["c"].count() < 80 and got["x"].count() == 5
+    for r in links:
+        child = got[r.child].where(F.col(r.column).isNotNull())
+        assert child.count() > 0 and child.join(got[r.parent], r.column, "left_anti").count() == 0, r
+    assert got["o"].where("cid is null").count() == 12  # they refer to nobody
+    assert got["p"].count() <= 37
+    assert {len(r["shipping_address"]) for r in got["o"].collect()} == {64}  # masked whatever the tag
+    with pytest.raises(ValueError, match="unknown tables"):
+        C.sample_with_references({"c": tables["silver", "c"]}, "c", "cid", 5, links)
