@@ -3,9 +3,10 @@
 Both sides hash every run of ``k`` words and keep, of each ``w`` consecutive hashes,
 the smallest (the first of equal ones). A span of ``w + k - 1`` words or more that a
 document shares with an item holds the same window on both sides, hence the same kept
-hash at the same place. The kept hashes are joined; each hit names a diagonal
-(document position minus item position), along which the item is compared word by word,
-which extends the hit both ways and removes hash collisions.
+hash at the same place. The kept hashes are joined; each hit is extended both ways, word by
+word, as far as a window that holds its run can reach, which also removes hash collisions.
+Windows of neighbouring hits overlap, so a long shared span comes out whole, and the work
+grows with the hits, not with a hit times the length of its item.
 
 Items shorter than the guaranteed span use their own length as ``k`` and a window of one.
 """
@@ -66,7 +67,9 @@ def fingerprints(rows: DataFrame, k: int, w: int, mark_rows: bool = False) -> Da
     cols = rows.columns
     low = (1 << POS_BITS) - 1
     rows = _gram_hashes(rows, k)
-    rows = rows.withColumn("_p", F.transform("grams", lambda h, i: h.bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("bigint")))).drop("grams")
+    packed = F.transform("grams", lambda h, i: h.bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("bigint")))
+    too_long = F.raise_error(F.lit(f"a text has more than 2^{POS_BITS} words")).cast("array<bigint>")
+    rows = rows.withColumn("_p", F.when(F.size("grams") <= low, packed).otherwise(too_long)).drop("grams")
     # never empty; the outer form keeps the optimizer from testing the array beforehand, which would build it twice
     each = rows.select(*cols, "_p", F.posexplode_outer(F.concat(F.array(F.lit(None).cast("bigint")), F.col("_p"))).alias("_i", "_own"))
     at = lambda d: F.get("_p", F.col("_i") - 1 + d)  # noqa: E731  NULL outside; least() skips NULLs
@@ -116,13 +119,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return out.withColumn("n_hit", F.size("hits"))
 
 
-def _extended(met: DataFrame, span: int) -> DataFrame:
-    """(doc_id, text_key, n_words, item_id, _at) from hits with both sides' words; rows without item pass."""
-    start = F.col("pos") - F.col("item_pos")
-    skip = F.greatest(-start, F.lit(0))  # item words before the document's first word
-    begin = F.greatest(start, F.lit(0))
-    length = F.least(F.size("item_words") - skip, F.size("words") - begin)
-    met = met.select("doc_id", "text_key", "n_words", "item_id", F.least(F.lit(span), F.size("item_words")).alias("_span"), begin.alias("_from"), F.when(F.col("item_words").isNotNull(), F.slice("words", begin + 1, length)).alias("_seg"), F.slice("item_words", skip + 1, length).alias("_iseg"))
+def _extended(met: DataFrame, span: int, k: int) -> DataFrame:
+    """(doc_id, text_key, n_words, item_id, _at) from hits of ``k`` words with both sides' words; rows without item pass.
+
+    Every window of an item holds a kept run, so from each run only the words that share a window with it are compared.
+    """
+    own = F.least(F.lit(span), F.size("item_words"))
+    reach = own - k  # words of a window before or after the run
+    back = F.least(reach, F.col("pos"), F.col("item_pos"))
+    begin, skip = F.col("pos") - back, F.col("item_pos") - back
+    length = F.least(back + k + reach, F.size("item_words") - skip, F.size("words") - begin)
+    met = met.select("doc_id", "text_key", "n_words", "item_id", own.alias("_span"), begin.alias("_from"), F.when(F.col("item_words").isNotNull(), F.slice("words", begin + 1, length)).alias("_seg"), F.slice("item_words", skip + 1, length).alias("_iseg"))
     met = met.withColumn("_at", F.when(F.col("_iseg").isNotNull(), _hit_positions(F.col("_seg"), F.col("_iseg"), F.col("_from"), F.col("_span")))).drop("_seg", "_iseg", "_from", "_span")
     found = F.size("_at") > 0
     return met.select("doc_id", "text_key", "n_words", F.when(found, F.col("item_id")).alias("item_id"), F.when(found, F.col("_at")).alias("_at"))
@@ -134,7 +141,7 @@ def _met(rows: DataFrame, items: DataFrame, k: int, w: int, span: int, mark_rows
     kept = fingerprints(rows, k, w, mark_rows)
     met = kept.join(F.broadcast(own), "hash", "left" if mark_rows else "inner").where(F.col("item_key").isNotNull() | F.col("hash").isNull())
     met = met.join(F.broadcast(items.select("item_key", "item_id", F.col("words").alias("item_words"))), "item_key", "left")
-    return _extended(met.withColumn("n_words", F.when(F.col("hash").isNull(), F.size("words"))), span)
+    return _extended(met.withColumn("n_words", F.when(F.col("hash").isNull(), F.size("words"))), span, k)
 
 
 def _met_shuffled(rows: DataFrame, items: DataFrame, k: int, w: int, span: int, mark_rows: bool) -> DataFrame:
@@ -145,7 +152,7 @@ def _met_shuffled(rows: DataFrame, items: DataFrame, k: int, w: int, span: int,
     met = met.join(items.select("item_key", "item_id", F.col("words").alias("item_words")), "item_key")
     one = rows.dropDuplicates(["doc_id", "text_key"]).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "words")
     met = met.join(one, met["doc_id"].eqNullSafe(one["_id"]) & (met["text_key"] == one["_key"]))
-    found = _extended(met.withColumn("n_words", F.lit(None).cast("int")), span)
+    found = _extended(met.withColumn("n_words", F.lit(None).cast("int")), span, k)
     if not mark_rows:
         return found
     base = rows.select("doc_id", "text_key", F.size("words").alias("n_words"), F.lit(None).cast("string").alias("item_id"), F.lit(None).cast("array<int>").alias("_at"))

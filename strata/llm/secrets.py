@@ -47,16 +47,25 @@ ALLOW = (
 PLACEHOLDER = r"(?i)example|sample|placeholder|dummy|changeme|x{4,}|0123456789|abcdefgh(?:ijklmnop)?(?:qrstuvwxyz)?"
 
 
+PIECE = 256  # characters of a candidate that are slid over at once
+MATCHES = 128  # of a block of matches
+
+
 def _spans(text: Column, pattern: str) -> Column:
     """Matches of ``pattern`` as structs (begin, word), begin in code points: the pieces between matches give the places."""
     words = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
     lengths = F.transform(words, lambda m: F.length(m))
     steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(words)), lengths, lambda g, n: F.struct(g.alias("g"), n.alias("n")))
-    # a match begins after all gaps up to its own and all earlier matches
+    # a match begins after all gaps up to its own and all earlier matches; sums run inside blocks of matches, then over the blocks
     zero = F.struct(F.lit(0).alias("upto"), F.array().cast("array<int>").alias("begins"))
     walk = lambda acc, x: F.struct((acc["upto"] + x["g"] + x["n"]).alias("upto"), F.concat(acc["begins"], F.array(acc["upto"] + x["g"])).alias("begins"))
-    begins = F.aggregate(steps, zero, walk, lambda acc: acc["begins"])
+    n = F.size(steps)
+    numbers = F.when(n > 0, F.sequence(F.lit(0), F.floor((n - 1) / MATCHES).cast("int"))).otherwise(F.array().cast("array<int>"))
+    inside = F.transform(numbers, lambda b: F.aggregate(F.slice(steps, b * MATCHES + 1, F.lit(MATCHES)), zero, walk))
+    none = F.struct(F.lit(0).alias("upto"), F.array().cast("array<array<int>>").alias("parts"))
+    joined = lambda acc, r: F.struct((acc["upto"] + r["upto"]).alias("upto"), F.concat(acc["parts"], F.array(F.transform(r["begins"], lambda x: x + acc["upto"]))).alias("parts"))
+    begins = F.flatten(F.aggregate(inside, none, joined, lambda acc: acc["parts"]))
     return F.arrays_zip(begins.alias("begin"), words.alias("word"))
 
 
@@ -68,6 +77,19 @@ def _contribution(c: Column) -> Column:
 def window_entropy(word: Column, window: int) -> Column:
     """Largest Shannon entropy, in bits a character, of any ``window`` consecutive characters; 0 for shorter words.
 
+    A long word is slid over in pieces that overlap by a window less one character, since to reach a
+    character of a string takes time with its place.
+    """
+    pieces = F.regexp_extract_all(word, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    more = F.concat(F.slice(pieces, F.lit(2), F.size(pieces)), F.array(F.lit("")))
+    lapped = F.zip_with(pieces, more, lambda a, b: F.concat(a, F.substring(b, 1, window - 1)))
+    whole = F.length(word) <= PIECE
+    return F.array_max(F.transform(F.when(whole, F.array(word)).otherwise(lapped), lambda x: _slid(x, window)))
+
+
+def _slid(word: Column, window: int) -> Column:
+    """``window_entropy`` of a short word.
+
     The sum of c log2 c over a window's counts c is carried along: one character leaves,
     one enters, and only their two counts change.
     """

@@ -63,3 +63,26 @@ def test_kept_rows(spark, docs_of):
     kept = D.drop_contaminated(docs, bench_of(spark, [(1, w)]))
     assert kept.columns == docs.columns
     assert sorted((tuple(r)[:2] for r in kept.collect()), key=repr) == sorted([(1, "clean"), (2, "clean"), (2, "clean"), (None, None)], key=repr)
+
+
+def test_long_items_take_time_with_their_length(spark, docs_of):
+    import random
+    import time
+
+    rng = random.Random(2)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(100_000)]
+    words[50_000] = "changed"
+    item = spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")
+    words[50_000] = "other"
+    began = time.time()
+    got = D.contamination(docs_of([(1, "before " + " ".join(words) + " after")]), item).select("n_words", "n_hit").first()
+    assert tuple(got) == (100_002, 99_999)
+    assert time.time() - began < 200
+
+
+def test_a_repeating_item_and_document(spark, docs_of):
+    """One word over and over: every diagonal hits, each only near its run."""
+    item = spark.createDataFrame([(1, "a " * 300), (2, "a b " * 40)], "item_id bigint, text string")
+    rows = [(1, "a " * 500), (2, "x " + "a b " * 9 + "y"), (3, "a " * 9), (4, "a " * 10)]
+    got = sorted((r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in D.contamination(docs_of(rows), item).collect())
+    assert got == [(1, 500, 500, ["1"]), (2, 20, 18, ["2"]), (3, 9, 0, []), (4, 10, 10, ["1"])]

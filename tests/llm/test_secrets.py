@@ -97,3 +97,28 @@ def test_redaction(spark, docs_of):
     assert out.columns == docs.columns
     assert {r["doc_id"]: (r["text"], r["n_chars"], r["words"]) for r in out.collect()} == {1: ("a [SECRET] b", 12, "x"), 2: ("clean", 5, "x"), 3: (None, None, "x"), 4: ("x 😀 [SECRET] [SECRET]", 21, "x")}
     assert S.redact(docs_of([])).collect() == []
+
+
+def test_very_long_candidates_take_time_with_their_length(docs_of):
+    """A megabyte of random base64 goes through the entropy scan; the windows at the seams of the pieces count."""
+    import random
+    import time
+
+    rng = random.Random(1)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    word = "".join(rng.choice(letters) for _ in range(1_000_000))
+    began = time.time()
+    row = S.find_secrets(docs_of([(1, f"data {word} end")])).select("secret_spans").first()
+    assert [(s["kind"], s["begin"], s["end"]) for s in row["secret_spans"]] == [("base64", 5, 5 + len(word))]
+    assert time.time() - began < 300
+    dull = "a1" * 600
+    for at in (0, 240, 250, 256, 500, 1000):  # one random stretch, wherever it lies
+        own = dull[:at] + word[:40] + dull[at:]
+        got = docs_of([(1, own)]).select(S.window_entropy(F.col("text"), 24).alias("e")).first()["e"]
+        assert got == pytest.approx(entropy(own, 24), abs=1e-9)
+
+
+def test_many_matches_keep_their_places(docs_of):
+    text = " ".join(f"{i:032x}" for i in range(1000))
+    spans = S.find_secrets(docs_of([(1, text)])).select("secret_spans").first()["secret_spans"]
+    assert [(s["begin"], s["end"]) for s in spans if s["kind"] == "hex"] == [(33 * i, 33 * i + 32) for i in range(1000)]
