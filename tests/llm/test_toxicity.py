@@ -10,6 +10,7 @@ from strata.llm import toxicity as X
 from strata.llm.common import table
 
 SF01 = "/root/testdata/sf0.1"
+SF001 = "/root/testdata/sf0.001"
 
 
 def test_held_out_labels(spark):
@@ -88,3 +89,69 @@ def test_the_fit_sees_one_text_for_each_sampled_id(spark, docs_of, monkeypatch):
     labels = spark.createDataFrame([(i, i % 2) for i in [*range(1, 12), *range(1000, 1500)]], "doc_id bigint, toxic int")
     X.fit(docs, labels, settings=X.Settings(max_rows=11))
     assert seen.value == 11
+
+
+# --------------------------------------------------------------------------- the fit, number by number
+def plain_features(text, bits):
+    """Words, neighbours and skipped pairs, hashed one by one in Python integers."""
+    import zlib
+
+    wide = (1 << 64) - 1
+    words = [zlib.crc32(w.strip(".,;:!?()[]{}\"'«»¡¿…-*_").encode("utf-8", "surrogatepass")) for w in (text or "").lower().split()]
+    mixed = [w * 0x9E3779B97F4A7C15 & wide for w in words]
+    out = list(mixed)
+    out += [(mixed[i] ^ (words[i + 1] + 0x5BD1)) * 0xC2B2AE3D27D4EB4F & wide for i in range(len(words) - 1)]
+    out += [(mixed[i] ^ (words[i + 2] + 0xA5A5A5)) * 0x165667B19E3779F9 & wide for i in range(len(words) - 2)]
+    return sorted({x >> (40 - bits // 2) & ((1 << bits) - 1) for x in out})
+
+
+def plain_ftrl(rows, s):
+    """FTRL-proximal, a coordinate at a time."""
+    import math
+
+    import numpy as np
+
+    z, n = {}, {}
+
+    def weight(f):
+        if abs(z.get(f, 0.0)) <= s.l1:
+            return 0.0
+        return -(z[f] - math.copysign(s.l1, z[f])) / ((s.beta + math.sqrt(n[f])) / s.alpha + s.l2)
+
+    share = (sum(y for _, y in rows) + 1) / (len(rows) + 2)
+    bias, bias_n = math.log(share / (1 - share)), 1.0
+    order = np.random.default_rng(s.seed)
+    for _ in range(s.epochs):
+        for i in order.permutation(len(rows)):
+            features, y = rows[i]
+            g = 1 / (1 + math.exp(-max(-35, min(35, bias + sum(map(weight, features)))))) - y
+            for f in features:
+                w = weight(f)
+                rate = (math.sqrt(n.get(f, 0.0) + g * g) - math.sqrt(n.get(f, 0.0))) / s.alpha
+                z[f] = z.get(f, 0.0) + g - rate * w
+                n[f] = n.get(f, 0.0) + g * g
+            bias_n += g * g
+            bias -= s.alpha * g / math.sqrt(bias_n)
+    return bias, {f: weight(f) for f in z if weight(f)}
+
+
+def test_fit_and_scores_equal_a_plain_ftrl(spark, documents):
+    import math
+
+    from strata.llm import toxicity as X
+    from strata.llm.common import table
+
+    s = X.Settings(bits=16, epochs=2, l1=0.5)
+    labels = table(spark, SF001, "labels")
+    toxic = {r["doc_id"]: int(r["toxic"]) for r in labels.collect() if r["toxic"] is not None}
+    docs = {r["doc_id"]: r["text"] for r in documents.select("doc_id", "text").collect()}
+    rows = [(plain_features(docs[i], s.bits), toxic[i]) for i in sorted(set(toxic) & set(docs))]  # rows reach the fit by id
+    bias, weights = plain_ftrl(rows, s)
+    model = X.fit(documents, labels, settings=s)
+    assert abs(model.bias - bias) < 1e-9 and len(weights) > 50
+    got = dict(zip(model.features.tolist(), model.weights.tolist(), strict=True))
+    assert set(got) == set(weights) and max(abs(got[f] - w) for f, w in weights.items()) < 1e-9
+    scores = {r["doc_id"]: r["s"] for r in documents.select("doc_id", X.score(model, documents["text"]).alias("s")).collect()}
+    for i, text in docs.items():
+        logit = bias + sum(weights.get(f, 0.0) for f in plain_features(text, s.bits))
+        assert abs(scores[i] - 1 / (1 + math.exp(-max(-35, min(35, logit))))) < 1e-9
