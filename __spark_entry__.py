@@ -241,7 +241,7 @@ _QUERIES.update(
         "with_metadata_columns": (_k(K.with_metadata_columns), O.with_metadata_columns()),
         "streaming_dedupe_events": (_k(K.streaming_dedupe_events), "SELECT DISTINCT ON (event_id) * FROM events"),
         "mask_pii": (_k(K.mask_pii), O.mask_pii()),
-        "slim_clone": (_k(K.slim_clone), O.rounded(O.silver("orders"), [], doubles=["total_amount"])),
+        "slim_clone": (_k(K.slim_clone), O.slim_clone()),
         "full_clone_masked": (_k(K.full_clone_masked), O.full_clone_masked()),
         "sampled_clone": (_k(K.sampled_clone), O.rounded(O.sampled_clone(), [], doubles=["unit_price", "total_price", "discount_amount"])),
         **{f"declared_tests_{z}": (_k(K.declared_tests(z)), O.declared_tests(z)) for z in ("transient", "bronze", "silver", "gold", "gold_analytics")},

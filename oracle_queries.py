@@ -767,6 +767,11 @@ def mask_pii() -> str:
     )
 
 
+def slim_clone() -> str:
+    masked = "sha256(shipping_address) AS shipping_address, sha256(billing_address) AS billing_address"
+    return rounded(f"SELECT * REPLACE ({masked}) FROM ({silver('orders')}) AS s", [], doubles=["total_amount"])
+
+
 def full_clone_masked() -> str:
     masked = (
         "customer_id, sha256(first_name) AS first_name, sha256(last_name) AS last_name, regexp_replace(email, '^[^@]*', '***') AS email, "

@@ -44,8 +44,8 @@ def mask_expr(col: str, rule: str) -> Column:
     raise ValueError(f"unknown mask rule {rule!r}; expected one of {MASK_RULES}")
 
 
-def mask_columns(df: DataFrame, rules: Mapping[str, str], only_tag: str | None = "pii") -> DataFrame:
-    """Mask ``rules`` columns; with ``only_tag`` only rows tagged that sensitivity are masked."""
+def mask_columns(df: DataFrame, rules: Mapping[str, str], only_tag: str | None = "pii", unless_tag: str | None = None) -> DataFrame:
+    """Mask ``rules`` columns; with ``only_tag`` only rows tagged that sensitivity, with ``unless_tag`` all but these (untagged rows are masked)."""
     types = dict(df.dtypes)
     out = {}
     for col, rule in rules.items():
@@ -54,6 +54,8 @@ def mask_columns(df: DataFrame, rules: Mapping[str, str], only_tag: str | None =
         m = mask_expr(col, rule).cast(out_type)
         if only_tag and "_sensitivity_tag" in df.columns:
             m = F.when(F.col("_sensitivity_tag") == only_tag, m).otherwise(F.col(col).cast(out_type))
+        elif unless_tag and "_sensitivity_tag" in df.columns:
+            m = F.when(F.col("_sensitivity_tag") == unless_tag, F.col(col).cast(out_type)).otherwise(m)
         out[col] = m
     return df.withColumns(out)
 
@@ -166,8 +168,8 @@ def clone_for_ci(
     """Copy (or sample) every table, or only ``table_list`` entries, to ``<root>/<schema>/<SCHEMA>_<TABLE>``.
 
     Refuses targets that are not CI schemas (must start with ``PR_`` or ``CI_``). ``masks`` (table → column →
-    rule) replaces the default, under which every table's personal columns (``PERSONAL_MASKS``) are masked, whatever
-    tag their rows carry; masks given apply to rows tagged ``pii`` (all rows of a table without tags). ``masks={}`` copies everything as it is.
+    rule) replaces the default, under which every table's personal columns (``PERSONAL_MASKS``) are masked in
+    all rows but those tagged ``public``; masks given apply to rows tagged ``pii`` (all rows of a table without tags). ``masks={}`` copies everything as it is.
     Each table is sampled on its own, unless ``by_key`` names (table, key column) and ``references`` what hangs
     together: then the key's rows and all that belongs to them are cloned, and nothing refers to a row left out.
     """
@@ -177,7 +179,7 @@ def clone_for_ci(
     there = {(s.upper(), t.upper()) for s, t in tables}
     if wanted is not None and wanted - there:
         raise ValueError(f"no such tables: {sorted('.'.join(x) for x in wanted - there)}")
-    tag = "pii" if masks is not None else None
+    tags = {"only_tag": "pii"} if masks is not None else {"only_tag": None, "unless_tag": "public"}
     if masks is None:
         masks = {t: {c: r for c, r in PERSONAL_MASKS.items() if c in df.columns} for (_, t), df in tables.items()}
     masks = {t.upper(): m for t, m in masks.items()}
@@ -195,7 +197,7 @@ def clone_for_ci(
             continue
         out = sample_table(df, pct_each, seed)
         if masks.get(table.upper()):
-            out = mask_columns(out, masks[table.upper()], only_tag=tag)
+            out = mask_columns(out, masks[table.upper()], **tags)
         write_table(out, f"{target_root.rstrip('/')}/{target_schema}/{clone_name(schema, table)}")
         n += 1
     mode = "full" if wanted is None else "slim"

@@ -18,6 +18,7 @@ from strata.operators import load as L
 from strata.operators import runlog as R
 from strata.operators import scd2 as H
 from strata.operators.clone import clone_zones, mask_columns, sample_by_key
+from strata.operators.rules import ORDER_STATUSES
 from strata.plans import gold as G
 from strata.plans import zones as Z
 from strata.plans.declared import zone_checks
@@ -249,7 +250,7 @@ def check_unique(spark, sf):
 
 def check_accepted_values(spark, sf):
     o = raw_entity(spark, sf, "orders").withColumn("status", F.upper(F.trim("status")))
-    return chk.run_checks(o, "orders", [C("accepted_values", "status", values=("COMPLETED", "SHIPPED", "PROCESSING", "CANCELLED", "PENDING"))])
+    return chk.run_checks(o, "orders", [C("accepted_values", "status", values=tuple(ORDER_STATUSES))])
 
 
 def check_relationships(spark, sf):
@@ -415,7 +416,7 @@ def mask_pii(spark, sf):
 
 
 def slim_clone(spark, sf):
-    """Of a lake's silver tables one is listed: the written clone of it."""
+    """Of a lake's silver tables one is listed: the written clone of it, addresses masked."""
     lake, t = _scratch(spark, "slim_clone"), _all(spark, sf, Batch())
     for name in ("slv_orders", "slv_products"):
         write_table(t[name], f"{lake}/silver/{name}")

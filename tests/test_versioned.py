@@ -265,6 +265,6 @@ def test_a_linked_sample_keeps_every_reference(spark, scratch):
         assert child.count() > 0 and child.join(got[r.parent], r.column, "left_anti").count() == 0, r
     assert got["o"].where("cid is null").count() == 12  # they refer to nobody
     assert got["p"].count() <= 37
-    assert {len(r["shipping_address"]) for r in got["o"].collect()} == {64}  # masked whatever the tag
+    assert {len(r["shipping_address"]) for r in got["o"].collect()} == {64}  # masked, though not tagged pii
     with pytest.raises(ValueError, match="unknown tables"):
         C.sample_with_references({"c": tables["silver", "c"]}, "c", "cid", 5, links)
