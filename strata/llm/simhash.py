@@ -5,6 +5,11 @@ word shingles. Two fingerprints that differ in at most ``d`` of 64 bits, cut int
 ``d + 2`` or more blocks, agree on all but ``d`` blocks; joining on every choice of
 blocks that may agree therefore meets every close pair. Candidates that meet are
 verified by Hamming distance.
+
+Many texts on one template agree in most bits and would meet in one bucket. A bucket of
+more than ``SPLIT`` fingerprints is dealt out again before its rows are shuffled, by the
+same rule: the bits that vary in it are cut into blocks, and every choice of these that
+may agree joins the bucket's mask.
 """
 
 from __future__ import annotations
@@ -18,7 +23,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import connected_components, let_go, materialize, text_key
+from strata.llm.common import connected_components, let_go, materialize, ship, text_key
+from strata.operators.joins import broadcast_if_small
+
+SPLIT = 1 << 15  # fingerprints of a bucket that one task compares; more are dealt out by further blocks
+SEEN = 512  # fingerprints of a bucket of SPLIT that the look for large buckets sees on average
 
 
 def _fingerprint(text: str | None, shingle: int, seed: int) -> int:
@@ -75,11 +84,32 @@ def block_masks(blocks: int, max_bits: int) -> list[int]:
     """Bit masks of every choice of ``blocks - max_bits`` of ``blocks`` near-equal blocks of 64 bits."""
     if not 0 < max_bits < blocks <= 64:
         raise ValueError("need 0 < max_bits < blocks <= 64")
-    edges = [64 * i // blocks for i in range(blocks + 1)]
-    one = [((1 << edges[i + 1]) - 1) ^ ((1 << edges[i]) - 1) for i in range(blocks)]
+    return _choices(list(range(64)), blocks, max_bits)
+
+
+def _choices(bits: list[int], blocks: int, max_bits: int) -> list[int]:
+    edges = [len(bits) * i // blocks for i in range(blocks + 1)]
+    one = [sum(1 << b for b in bits[edges[i] : edges[i + 1]]) for i in range(blocks)]
     return [sum(c) for c in combinations(one, blocks - max_bits)]
 
 
+def finer_masks(mask: int, varying: int, max_bits: int) -> list[int]:
+    """Masks that split a bucket of ``mask``: every close pair of the bucket still agrees on one of them.
+
+    The bits of ``varying`` are cut into ``max_bits + 2`` blocks; two fingerprints that
+    differ in at most ``max_bits`` bits differ in at most as many blocks. Bits outside
+    ``varying`` are left free, so ``varying`` may be any part of the bits that vary. None
+    where it has no more than ``max_bits`` bits: no choice of blocks is sure to agree then.
+    """
+    bits = [b for b in range(64) if varying >> b & 1 and not mask >> b & 1]
+    blocks = min(max_bits + 2, len(bits))
+    return [mask | c for c in _choices(bits, blocks, max_bits)] if blocks > max_bits else []
+
+
+def _signed(m: int) -> int:
+    return m - (1 << 64) if m >> 63 else m
+
+
 def blocks_for(rows: int, max_bits: int) -> int:
     """Blocks whose joint key has at least log2(rows) + 2 bits, so that chance meetings stay below a constant per row.
 
@@ -158,14 +188,60 @@ def _links_in_buckets(max_bits: int):
     return run
 
 
-def hamming_components(prints: DataFrame, max_bits: int = 4, blocks: int | None = None) -> DataFrame:
-    """(fp, component) for distinct BIGINT fingerprints ``fp`` that have a link; links join fingerprints within ``max_bits`` bits."""
+def _large_buckets(met: DataFrame, max_bits: int, split: int) -> DataFrame:
+    """(mask, key, finer): the buckets to split, with the masks that split them.
+
+    A seeded sample of the rows names the buckets; it decides where rows are compared,
+    never whether: a large bucket that it misses is compared whole.
+    """
+    part = min(1.0, SEEN / split)
+    seen = met.sample(part, seed=7).groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n"), F.bit_or("fp").alias("some"), F.bit_and("fp").alias("all"))
+
+    def run(masks: pa.Array, varying: pa.Array) -> pa.Array:
+        pairs = zip(masks.to_pylist(), varying.to_pylist(), strict=True)
+        return pa.array([[_signed(m) for m in finer_masks(x % (1 << 64), v % (1 << 64), max_bits)] for x, v in pairs], pa.list_(pa.int64()))
+
+    run.__annotations__ = {"masks": pa.Array, "varying": pa.Array, "return": pa.Array}
+    finer = F.arrow_udf(run, "array<bigint>")(F.col("mask"), F.col("some").bitwiseXOR(F.col("all")))
+    large = seen.where(F.col("n") > split * part / 2).select("mask", "key", finer.alias("finer"))
+    return materialize(large.where(F.size("finer") > 0), "simhash_large")
+
+
+def _met(rows: DataFrame, masks: Column) -> DataFrame:
+    """(mask, key, fp): each fingerprint in its bucket of each mask."""
+    return rows.select("fp", F.explode(masks).alias("mask")).select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
+
+
+def _bucket_links(prints: DataFrame, masks: list[int], rows: int, max_bits: int, split: int) -> DataFrame:
+    """(a, b): links that connect what lies within ``max_bits`` bits of each other; no bucket much above ``split`` rows is held by one task."""
+    met, found = _met(prints, F.array(*[F.lit(_signed(m)) for m in masks])), []
+    large = _large_buckets(met, max_bits, split) if rows > split else None
+    while large is not None and not large.isEmpty():
+        few = broadcast_if_small(large)
+        found.append(_compared(met.join(few, ["mask", "key"], "left_anti"), max_bits))
+        # masks of several buckets may coincide: a fingerprint is one row of the common bucket
+        met = materialize(_met(met.join(few, ["mask", "key"]), F.col("finer")).distinct(), "simhash_split")
+        large = _large_buckets(met, max_bits, split)
+    links = _compared(met, max_bits)
+    for part in found:
+        links = links.unionAll(part)
+    return links
+
+
+def _compared(met: DataFrame, max_bits: int) -> DataFrame:
+    return met.repartition("mask", "key").sortWithinPartitions("mask", "key").mapInArrow(_links_in_buckets(max_bits), "a bigint, b bigint")
+
+
+def hamming_components(prints: DataFrame, max_bits: int = 4, blocks: int | None = None, split: int = SPLIT) -> DataFrame:
+    """(fp, component) for distinct BIGINT fingerprints ``fp`` that have a link; links join fingerprints within ``max_bits`` bits.
+
+    ``prints`` is read several times: give a written table. Buckets of more than about
+    ``split`` fingerprints are split by further blocks, on Spark, until none is left.
+    """
+    ship(prints.sparkSession)
     rows = prints.count()
     masks = block_masks(blocks or blocks_for(rows, max_bits), max_bits)
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    keyed = prints.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in signed])).alias("mask", "key"))
-    links = keyed.select("mask", "key", "fp").repartition("mask", "key").sortWithinPartitions("mask", "key").mapInArrow(_links_in_buckets(max_bits), "a bigint, b bigint")
-    found = connected_components(links)
+    found = connected_components(_bucket_links(prints, masks, rows, max_bits, split))
     return found.select(F.col("node").alias("fp"), "component")
 
 

@@ -74,3 +74,48 @@ def test_every_choice_of_blocks_finds_close_pairs():
         for _ in range(200):
             diff = sum(1 << b for b in rng.sample(range(64), 4))
             assert any(diff & m == 0 for m in masks)
+
+
+def test_finer_masks_keep_every_close_pair():
+    rng = random.Random(3)
+    for n in (5, 6, 9, 30):
+        bits = rng.sample(range(64), 30 + n)
+        mask, varying = sum(1 << b for b in bits[:30]), sum(1 << b for b in bits[30:])
+        masks = S.finer_masks(mask, varying | mask, 4)
+        assert all(m & mask == mask and m != mask and (m & ~mask) & ~varying == 0 for m in masks)
+        free = [b for b in range(64) if not mask >> b & 1]
+        for _ in range(200):
+            diff = sum(1 << b for b in rng.sample(free, 4))
+            assert any(diff & m == 0 for m in masks)
+    assert S.finer_masks(0, 0b1111, 4) == [] and S.finer_masks(7, 0b1111111, 4) == []
+
+
+@pytest.mark.parametrize("split", [40, 600])
+def test_fingerprints_on_one_template_are_split(spark, monkeypatch, split):
+    """Most fingerprints share the upper 38 bits, so that they meet in one bucket of several masks."""
+    rng = random.Random(split)
+    free, base = range(26), rng.getrandbits(64)
+    prints = {rng.getrandbits(64) for _ in range(300)}
+    for _ in range(700):
+        p = base
+        for b in free:
+            p ^= rng.getrandbits(1) << b
+        prints.add(p)
+    for p in rng.sample(sorted(prints), 200):
+        for _ in range(rng.randint(1, 3)):
+            for b in rng.sample(range(64), rng.randint(1, 5)):
+                p ^= 1 << b
+            prints.add(p)
+    prints = sorted(np.array(sorted(prints), np.uint64).view(np.int64).tolist())
+    sizes, compared = [], S._compared
+
+    def watched(met, bits):
+        sizes.append(met.groupBy("mask", "key").count().agg({"count": "max"}).first()[0] or 0)
+        return compared(met, bits)
+
+    monkeypatch.setattr(S, "_compared", watched)
+    df = spark.createDataFrame([(p,) for p in prints], "fp bigint")
+    got = {r[0]: r[1] for r in S.hamming_components(df, 4, 6, split).collect()}
+    want = components(prints, lambda a, b: ((prints[a] ^ prints[b]) & (2**64 - 1)).bit_count() <= 4)
+    assert [got.get(p, p) for p in prints] == want and len(set(want)) < len(want)
+    assert len(sizes) >= 2 and max(sizes) <= 2 * split
