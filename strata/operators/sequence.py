@@ -52,24 +52,24 @@ def bucketed_lag(
 ) -> DataFrame:
     """``lag(c) over (partition by group order by order)`` for each ``c`` in ``cols``.
 
-    Inside a bucket it is a normal lag; the first row of a bucket takes the last
-    row of the nearest earlier non-empty bucket, found on the small
-    per-(group, bucket) table.
+    Inside a bucket it is a normal lag. The first and last rows of all buckets of a group then
+    meet in a second window, where the row before a bucket's first is the last of the nearest
+    earlier bucket; other rows stay with their bucket. ``df`` is read once, and a group's edge
+    rows are at most two for each bucket. NULL group values are a group; NULL buckets come last.
     """
     b = df.withColumn("__bucket", bucket)
     w_in = Window.partitionBy(*group, "__bucket").orderBy(*_asc(order))
     local = b.withColumns(
         {
             **{f"__lag_{c}": F.lag(c).over(w_in) for c in cols},
-            "__first": F.row_number().over(w_in) == 1,
+            "__rn": F.row_number().over(w_in),
             # the bucket's last row is the one without a successor: no extra aggregate
-            "__last_row": F.lead(F.lit(1)).over(w_in).isNull(),
+            "__edge": (F.row_number().over(w_in) == 1) | F.lead(F.lit(1)).over(w_in).isNull(),
         }
-    )
-    last = local.where("__last_row").select(*group, "__bucket", F.struct(*[F.col(c) for c in cols]).alias("__last"))
-    w_prev = Window.partitionBy(*group).orderBy("__bucket")
-    prev = last.withColumn("__prev", F.lag("__last").over(w_prev)).drop("__last")
-    out = _join_null_safe(local, prev, [*group, "__bucket"])
+    ).withColumn("__place", F.when(~F.col("__edge"), F.col("__bucket")))
+    # the row number orders edge rows of one bucket: rows that tie in ``order`` keep the first window's order
+    w_edge = Window.partitionBy(*group, "__edge", "__place").orderBy(*_asc(["__bucket", "__rn"]))
+    out = local.withColumns({f"__before_{c}": F.lag(c).over(w_edge) for c in cols})
     return out.withColumns(
-        {f"{prefix}{c}": F.when(F.col("__first"), F.col(f"__prev.{c}")).otherwise(F.col(f"__lag_{c}")) for c in cols}
-    ).drop("__bucket", "__first", "__last_row", "__prev", *[f"__lag_{c}" for c in cols])
+        {f"{prefix}{c}": F.when(F.col("__rn") == 1, F.col(f"__before_{c}")).otherwise(F.col(f"__lag_{c}")) for c in cols}
+    ).drop("__bucket", "__rn", "__edge", "__place", *[f"__{k}_{c}" for k in ("lag", "before") for c in cols])

@@ -36,6 +36,25 @@ def test_bucketed_lag_equals_window(spark):
     assert sorted(map(tuple, got.select("qid", "prev_x").collect())) == sorted(map(tuple, ref.select("qid", "prev_x").collect()))
 
 
+def test_bucketed_lag_with_ties_and_missing_times_reads_its_input_once(spark, tmp_path):
+    day = lambda d: None if d is None else T(2024, 1, d)
+    rows = [(g, day(d), i) for i, (g, d) in enumerate([(1, 1), (1, 1), (1, 1), (1, 4), (1, None), (1, None), (1, 9), (None, 2), (None, 3), (2, None)])]
+    spark.createDataFrame(rows, "g int, ts timestamp_ntz, q int").write.parquet(f"{tmp_path}/log")
+    df = spark.read.parquet(f"{tmp_path}/log")
+    out = bucketed_lag(df, ["g"], ["ts"], F.date_trunc("day", "ts"), ["q", "ts"])
+    assert out.columns == ["g", "ts", "q", "prev_q", "prev_ts"]
+    got = out.collect()
+    for g, times in ((1, [1, 1, 1, 4, 9, None, None]), (None, [2, 3]), (2, [None])):
+        before = {r.q: r.prev_q for r in got if r.g == g}
+        chain = [q for q in before if before[q] is None]
+        while len(chain) < len(before):  # whichever way ties fall, every row follows exactly one other
+            chain += [q for q in before if before[q] == chain[-1]]
+        assert [rows[q][1] for q in chain] == [day(d) for d in times] and len(chain) == len(times)
+        assert all(r.prev_ts == (None if r.prev_q is None else rows[r.prev_q][1]) for r in got if r.g == g)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Join" not in plan
+
+
 def test_parse_log_filters_and_sequences(spark):
     tag = lambda **kw: R.tag_text(**kw)
     rows = [
