@@ -49,12 +49,11 @@ def ingest_epochs(
     """
 
     def per_epoch(batch: DataFrame, epoch: int) -> None:
-        name, part = f"{run_id}-{epoch}", F.lit(_part_of(epoch))
+        name, part = f"{run_id}-{epoch}", _part_of(epoch)
         flagged = materialize(Z.transient(batch, entity, name, clock), f"epoch_{entity}", partition_by=["_is_valid"])
-        rows = Z.bronze(flagged, entity, clock).withColumn(PART, part)
-        write_parts(rows, bronze, load_version(spark, bronze), replaced=[_part_of(epoch)])
-        bad = Z.transient_rejects(flagged.where(~F.col("_is_valid")), entity, name, clock).withColumn(PART, part)
-        write_parts(bad, rejects, load_version(spark, rejects), replaced=[_part_of(epoch)])
+        write_parts(Z.bronze(flagged, entity, clock), bronze, load_version(spark, bronze), replaced=[part], one_part=part)
+        bad = Z.transient_rejects(flagged.where(~F.col("_is_valid")), entity, name, clock)
+        write_parts(bad, rejects, load_version(spark, rejects), replaced=[part], one_part=part)
 
     _run(spark, landing, schema, checkpoint, per_epoch, max_files_per_trigger)
 
@@ -99,15 +98,15 @@ def dedupe_epochs(
         t = F.col(event_time)
         reason = F.when(t.isNull(), UNTIMED).when(t < mark, LATE)
         rows = materialize(batch.withColumn("_reason", reason), "epoch_rows")  # the epoch's rows are read once
-        part = F.lit(_part_of(epoch))
-        aside = rows.where("_reason is not null").withColumn("_epoch", F.lit(epoch).cast("bigint")).withColumn(PART, part)
+        part = _part_of(epoch)
+        aside = rows.where("_reason is not null").withColumn("_epoch", F.lit(epoch).cast("bigint"))
         fresh = rows.where("_reason is null").drop("_reason").dropDuplicates(keys)
         if base is not None:
             seen = read_version(spark, state, base).select(*[F.col(k).alias(f"_s_{k}") for k in keys])
             fresh = fresh.join(seen, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]), "left_anti")
         fresh = materialize(fresh, "epoch_fresh")
-        write_parts(fresh.withColumn(PART, part), sink, load_version(spark, sink), replaced=[_part_of(epoch)])
-        write_parts(aside, late, load_version(spark, late), replaced=[_part_of(epoch)])
+        write_parts(fresh, sink, load_version(spark, sink), replaced=[part], one_part=part)
+        write_parts(aside, late, load_version(spark, late), replaced=[part], one_part=part)
         top = rows.agg(F.max(event_time).cast("string")).first()[0]
         newest = max(x for x in (newest, top, "") if x is not None) or None
         gone = []

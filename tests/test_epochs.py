@@ -78,3 +78,39 @@ def test_an_ingest_epoch_that_is_repeated_leaves_one_copy(spark, scratch, monkey
     got = sorted(r["order_id"] for r in V.read_version(spark, f"{scratch}/brz").collect())
     assert len(got) == len(set(got)) == orders.count() - 1
     assert [r["order_id"] for r in V.read_version(spark, f"{scratch}/rej").collect()] == [107]
+
+
+def test_an_epoch_of_many_files_is_written_by_many_tasks(spark, scratch):
+    """Rows of one part met in one partition before, whatever their number."""
+    from pyspark.sql import functions as F
+
+    from strata.sources.seeds import SEED_SCHEMAS, read_entity
+    from tests.conftest import SEEDS
+
+    def filled(folder):
+        return spark.read.parquet(folder).select(F.input_file_name()).distinct().count()
+
+    orders = read_entity(spark, "dev", "orders", seeds_dir=SEEDS)
+    orders.repartition(4).write.parquet(f"{scratch}/landing")
+    E.ingest_epochs(spark, f"{scratch}/landing", SEED_SCHEMAS["orders"], "orders", f"{scratch}/brz", f"{scratch}/rej", f"{scratch}/ckpt", "s", "2024-02-01 06:00:00")
+    (made,) = V.load_version(spark, f"{scratch}/brz").directories
+    assert filled(f"{scratch}/brz/{made}") > 1
+    V.replace_table(orders.repartition(4), f"{scratch}/whole")
+    (made,) = V.load_version(spark, f"{scratch}/whole").directories
+    assert filled(f"{scratch}/whole/{made}") > 1 and V.read_version(spark, f"{scratch}/whole").count() == orders.count()
+
+
+def test_a_load_lands_in_many_files_and_is_one_epoch(spark, scratch):
+    import glob
+
+    from strata.plans import stored
+
+    load = spark.range(1000, numPartitions=4).select("id")
+    seen = []
+
+    def run(root):
+        E._run(spark, f"{root}/landing", load.schema, f"{root}/checkpoint", lambda batch, epoch: seen.append((epoch, batch.count())), None)
+
+    root = stored._landed(spark, "t", [load, load.where("id < 10")], run)
+    assert seen == [(0, 1000), (1, 10)]
+    assert len(glob.glob(f"{root.removeprefix('file:')}/landing/part-*.parquet")) > 2
