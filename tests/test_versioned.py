@@ -268,3 +268,22 @@ def test_a_linked_sample_keeps_every_reference(spark, scratch):
     assert {len(r["shipping_address"]) for r in got["o"].collect()} == {64}  # masked, though not tagged pii
     with pytest.raises(ValueError, match="unknown tables"):
         C.sample_with_references({"c": tables["silver", "c"]}, "c", "cid", 5, links)
+
+
+def test_a_merge_stores_what_changed_and_can_forget_it(spark, scratch):
+    """Before, all rows of the touched parts lay under the checkpoint directory, and stayed there."""
+    import os
+
+    root = f"{B.materialize.__globals__['ensure_checkpoint_dir'](spark).removeprefix('file:').rstrip('/')}/strata_tables"
+    names = lambda: {d for d in (os.listdir(root) if os.path.isdir(root) else ()) if d.startswith("merge_")}
+    p, part, had = f"{scratch}/t", B.range_part("id", 1000), names()
+    make = lambda lo, hi, v: spark.range(lo, hi).selectExpr("id", f"'{v}' AS v")
+    B.merge_parts(make(0, 1000, "a"), p, ["id"], part).forget()
+    c = B.merge_parts(make(990, 1010, "b"), p, ["id"], part, deletes=make(5, 7, "").select("id"))
+    assert (c.inserted, c.updated, c.deleted) == (10, 10, 2)
+    (left,) = names() - had
+    assert spark.read.parquet(f"{root}/{left}").count() == 22
+    c.forget()
+    assert names() == had
+    got = {r["id"]: r["v"] for r in V.read_version(spark, p).collect()}
+    assert got == {i: "a" if i < 990 else "b" for i in range(1010) if i not in (5, 6)}
