@@ -77,6 +77,12 @@ def character_kinds() -> np.ndarray:
     return table
 
 
+@lru_cache(maxsize=1)
+def _byte_kinds() -> bytes:
+    """Kind of each one-byte character, as a translation of bytes; OTHER + 1 for all other bytes."""
+    return character_kinds()[:0x80].tobytes() + bytes([OTHER + 1]) * 0x80
+
+
 def _specials(body: bytes, ends: np.ndarray) -> list[tuple[int, int]]:
     """Places of special-token strings that lie inside one row."""
     found = [m.span() for m in re.finditer(re.escape(END_OF_TEXT.encode()), body)]
@@ -97,16 +103,22 @@ def split_words(texts: pa.Array, specials: bool = True) -> tuple[pa.Array, np.nd
     raw = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
     body = raw.tobytes()
     try:
-        chars = np.frombuffer(body.decode().encode("utf-32-le"), "<u4")
+        chars = raw if body.isascii() else np.frombuffer(body.decode().encode("utf-32-le"), "<u4")
     except UnicodeDecodeError:  # what is no UTF-8 becomes U+FFFD
         return split_words(pa.array([t.decode("utf-8", "replace") for t in texts.cast(pa.large_binary()).to_pylist()], pa.large_string()), specials)
     n, bounds = len(chars), offsets - offsets[0]
-    lead = np.arange(n) if n == len(raw) else np.flatnonzero((raw & 0xC0) != 0x80)  # byte where each character begins
+    kind = np.frombuffer(body.translate(_byte_kinds()), np.uint8)
+    if n == len(raw):
+        lead = np.arange(n)  # byte where each character begins
+    else:
+        lead = np.flatnonzero((raw & 0xC0) != 0x80)
+        kind = kind.take(lead)
+        wide = np.flatnonzero(kind > OTHER)
+        kind[wide] = character_kinds()[chars[wide]]
     special = _specials(body, bounds[1:]) if specials else []
     fresh = np.zeros(n + 1, bool)  # characters before which nothing is seen: of rows, of special tokens and after them
     fresh[np.searchsorted(lead, bounds)] = True
     fresh[np.searchsorted(lead, [x for ab in special for x in ab])] = True
-    kind = character_kinds()[chars]
     begins = np.ones(n + 1, bool)
     begins[1:n] = (kind[1:] != kind[:-1]) | fresh[1:n]
     # a run after white space, in sight of it
@@ -194,6 +206,142 @@ class WordIds:
         return self.pool[at], np.concatenate([[0], ends])[rows]
 
 
+class ShortWords:
+    """Numbers 0, 1, ... of words of up to 15 bytes, in the order they came; found by array arithmetic.
+
+    A word is two integers, its bytes and its length, so equal integers are equal words. An
+    open-addressing table leads from their hash to the number.
+    """
+
+    BYTES = 15
+
+    def __init__(self, most: int):
+        self.bits = (2 * most - 1).bit_length()
+        self.most, self.size = most, 0
+        self.slots = np.full(1 << self.bits, -1, np.int32)
+        self.low, self.high = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.uint64)
+
+    @classmethod
+    def keys(cls, body: bytes, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Both integers of the words in ``body``; of no meaning for longer words."""
+        eight = np.ndarray((len(body) + 9,), "<u8", body + bytes(16), strides=(1,))  # the eight bytes from each place
+        low, high = (np.array([(1 << 8 * min(max(n - skip, 0), 8)) - 1 for n in range(cls.BYTES + 1)], np.uint64).take(sizes, mode="clip") for skip in (0, 8))
+        low &= eight[starts]
+        high &= eight[starts + 8]
+        high |= sizes.astype(np.uint64) << np.uint64(56)
+        return low, high
+
+    def _hash(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        mixed = (low * np.uint64(0x9E3779B97F4A7C15)) ^ (high * np.uint64(0xC2B2AE3D27D4EB4F))
+        mixed ^= mixed >> np.uint64(29)
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Numbers of the words; -1 for unknown ones."""
+        at = self._hash(low, high)
+        found = self.slots.take(at)
+        held = found.astype(np.int64)
+        open_ = np.flatnonzero((held >= 0) & ((self.low.take(held, mode="clip") != low) | (self.high.take(held, mode="clip") != high)))
+        at = at[open_]
+        while len(open_):  # another word's place: the next one
+            at = (at + 1) & (len(self.slots) - 1)
+            held = self.slots[at]
+            found[open_] = held
+            more = (held >= 0) & ((self.low[held] != low[open_]) | (self.high[held] != high[open_]))
+            open_, at = open_[more], at[more]
+        return found
+
+    def add(self, low: np.ndarray, high: np.ndarray) -> None:
+        """Give different, unknown words the next numbers."""
+        before, self.size = self.size, self.size + len(low)
+        self.low, self.high = room(self.low, self.size), room(self.high, self.size)
+        self.low[before : self.size], self.high[before : self.size] = low, high
+        at, new = self._hash(low, high), np.arange(before, self.size, dtype=np.int32)
+        while len(new):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = new[free]  # one of those that want a place gets it
+            more = self.slots[at] != new
+            at, new = (at[more] + 1) & (len(self.slots) - 1), new[more]
+
+
+def room(array: np.ndarray, size: int) -> np.ndarray:
+    """The array, or a longer copy, with ``size`` places at least."""
+    if size <= len(array):
+        return array
+    out = np.zeros(max(size, len(array) * 3 // 2), array.dtype)
+    out[: len(array)] = array
+    return out
+
+
+class ManyWordIds(WordIds):
+    """Like ``WordIds`` for texts with many different words: short ones are found without a Python object for each.
+
+    ``encode_flat(words) -> (all ids, ids of each word)``; words that are not short go the plain way.
+    """
+
+    def __init__(self, encode, encode_flat: Callable[[list[str], np.ndarray], tuple[np.ndarray, np.ndarray]], short_words: int, memo_words: int, memo_chars: int):
+        self.encode_flat, self.short_words = encode_flat, short_words
+        self.long = WordIds(encode, memo_words=memo_words, memo_chars=memo_chars)  # forgets by itself
+        super().__init__(encode)
+
+    def forget(self) -> None:
+        self.long.forget()
+        self.forget_short()
+
+    def forget_short(self, least: int = 0) -> None:
+        self.short = ShortWords(max(self.short_words, least))
+        self.short_ends, self.short_pool = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.uint32)  # a word's ids lie between two ends
+
+    def _learn_short(self, words: pa.DictionaryArray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Numbers of words that are all unknown; they may repeat."""
+        index = words.indices.to_numpy(zero_copy_only=False)
+        one = np.empty(len(words.dictionary), np.int64)
+        one[index] = np.arange(len(index))
+        begin = self.short.size
+        ids, sizes = self.encode_flat(words.dictionary.to_pylist(), np.asarray(pa.compute.binary_length(words.dictionary), np.int64))
+        self.short.add(low[one], high[one])
+        used = int(self.short_ends[begin])
+        self.short_ends = room(self.short_ends, self.short.size + 1)
+        self.short_ends[begin + 1 : self.short.size + 1] = used + np.cumsum(sizes)
+        self.short_pool = room(self.short_pool, used + len(ids))
+        self.short_pool[used : used + len(ids)] = ids
+        return begin + index
+
+    def _ids(self, flat: pa.Array, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(flat):
+            return np.zeros(0, np.uint32), rows
+        bounds = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset : flat.offset + len(flat) + 1]
+        starts, sizes = bounds[:-1], np.diff(bounds)
+        low, high = ShortWords.keys(flat.buffers()[2].to_pybytes(), starts, sizes)
+        long = np.flatnonzero(sizes > ShortWords.BYTES)
+        place = self.short.find(low, high)
+        place[long] = 0
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            words = flat.take(pa.array(new)).dictionary_encode()
+            if self.short.size + len(words.dictionary) > self.short.most:
+                new = np.flatnonzero(sizes <= ShortWords.BYTES)
+                words = flat.take(pa.array(new)).dictionary_encode()
+                self.forget_short(len(words.dictionary))
+            place[new] = self._learn_short(words, low[new], high[new])
+        begin = self.short_ends.take(place)
+        n = self.short_ends.take(place + 1) - begin
+        if len(long):
+            ids, ends = self.long._ids(flat.take(pa.array(long)), np.arange(1, len(long) + 1))
+            n[long] = np.diff(ends, prepend=0)
+        ends = np.cumsum(n)
+        begin -= ends
+        begin += n
+        at = np.repeat(begin, n)
+        at += np.arange(len(at))
+        out = self.short_pool.take(at, mode="clip")
+        if len(long):
+            own = n[long]
+            out[np.repeat(ends[long] - np.cumsum(own), own) + np.arange(len(ids))] = ids
+        return out, np.concatenate([[0], ends])[rows]
+
+
 def id_lists(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
     """Binary column: each row's ids as little-endian unsigned 32-bit integers."""
     offsets = np.concatenate([[0], ends]).astype(np.int64) * 4

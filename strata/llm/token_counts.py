@@ -18,20 +18,47 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import materialize
-from strata.llm.pretokens import WordIds, default_vocabulary
+from strata.llm.pretokens import ManyWordIds, byte_alphabet, default_vocabulary, token_bytes
 
 BUCKET = 1024  # lengths of a bucket; suffix sums run inside buckets and over bucket totals
 
 
+SHORT_WORDS = 1 << 20  # short words a worker remembers (some 40 bytes each); beyond, it starts anew
+TOGETHER = 1 << 12  # words that the library gets at once
+LONG_WORDS, LONG_CHARS = 50_000, 4_000_000  # other words, and their characters
+
+
 @lru_cache(maxsize=2)
-def library_encoder(path: str) -> WordIds:
+def library_encoder(path: str) -> ManyWordIds:
     """One tokenizer and memo for each worker process; it gets words that are split already."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer, pre_tokenizers
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-    return WordIds(lambda words: [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)])
+    bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    tokenizer, joined = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    tokenizer.pre_tokenizer = bytewise
+    joined.pre_tokenizer = pre_tokenizers.Sequence([bytewise, pre_tokenizers.CharDelimiterSplit(byte_alphabet()[0])])
+    spelled = np.fromiter(map(len, token_bytes(path)), np.int64)
+
+    def encode(words: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def encode_flat(words: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Many words as one text, which the library splits at NUL and does not merge across; a word's ids spell its bytes."""
+        if len(words) > TOGETHER:
+            parts = [encode_flat(words[a : a + TOGETHER], sizes[a : a + TOGETHER]) for a in range(0, len(words), TOGETHER)]
+            return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+        text = "\0".join(words)
+        if text.count("\0") < len(words):
+            ids = np.array(joined.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            ends, want = np.cumsum(spelled[ids]), np.cumsum(sizes)
+            at = np.searchsorted(ends, want)
+            if len(ends) and ends[-1] == want[-1] and (ends[at] == want).all():
+                return ids, np.diff(at, prepend=-1)
+        lists = encode(words)  # words with NUL, or a vocabulary that does not spell every byte
+        return np.array([i for own in lists for i in own], np.uint32), np.fromiter(map(len, lists), np.int64, len(lists))
+
+    return ManyWordIds(encode, encode_flat, SHORT_WORDS, LONG_WORDS, LONG_CHARS)
 
 
 def token_count(text: Column, path: str | None = None) -> Column:

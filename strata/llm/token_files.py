@@ -1,6 +1,6 @@
 """Operator 3: token ids in a compressed binary format.
 
-A block is coded by itself: header, then lanes. Lanes are equal runs of the block's ids
+A block is coded by itself: header, states, words. Lanes are equal runs of the block's ids
 that are coded side by side, one id of each lane a step, so a step works on arrays; all
 lanes of a block share its models, which start empty in every block.
 
@@ -9,10 +9,15 @@ it (order 2), else, is it the one that followed after the one before it (order 1
 which id (by adaptive order-0 frequencies). The probability of each yes or no mixes all
 three contexts: its logit is a weighted sum of what order 2, order 1 and order 0 say for or
 against the candidate, and the weights learn from the coding error after every step. All
-arithmetic is on integers, so any machine decodes what another wrote.
+arithmetic is on integers (floats hold whole numbers exactly), so any machine decodes what
+another wrote.
 
-Layout (little-endian): magic 'TKB1', ids (u4), lanes (u4), crc32 of the ids as u4 (u4),
-words of each lane (u4 each), then each lane's 16-bit words. A wrong checksum is an error.
+Decisions and ids become bits by a range variant of asymmetric numeral systems: each lane is
+one 63-bit state. Its coder runs from the last step to the first, so that the reader goes
+forward; whenever states run low, the reader gives the next words to those lanes in order.
+
+Layout (little-endian): magic 'TKB2', ids (u4), lanes (u4), crc32 of the ids as u4 (u4),
+state of each lane (u8 each), then the words (u4 each). A wrong checksum is an error.
 """
 
 from __future__ import annotations
@@ -31,73 +36,143 @@ from strata.llm.common import shared_path, text_key
 from strata.llm.pretokens import default_vocabulary, load_vocabulary
 from strata.llm.token_counts import library_encoder
 
-MAGIC = b"TKB1"
-BLOCK_IDS = 1 << 18  # ids of a block at most
-MAX_LANES = 2048
+MAGIC = b"TKB2"
+BLOCK_IDS = 5 << 16  # ids of a block at most
+MAX_LANES = 4096
 STEP_IDS = 64  # ids of a lane at least, where the block has as many
 U = np.uint64
 LOW32 = U(0xFFFFFFFF)
+LEAST = 1 << 31  # of a lane's state between steps
+ID_BITS = 24  # scale of the order-0 sums
 
 
 def _log(x: np.ndarray) -> np.ndarray:
     """Natural logarithm of positive integers in 1/1024, the same on every machine (straight between powers of two)."""
-    e = np.frexp(np.asarray(x, np.float64))[1].astype(np.int64) - 1
-    return ((e << 10) + ((np.asarray(x, np.int64) << 10) >> e) - 1024) * 710 >> 10
+    # a double's exponent and the first ten bits of its fraction
+    return ((np.asarray(x, np.float64).view(np.int64) >> 42) - (1023 << 10)) * 710 >> 10
 
 
 class _Models:
     """What coder and decoder learn alike, step by step."""
 
     ONE = 1 << 15  # probabilities of the decisions
-    RENEW = 4  # steps between renewals of the order-0 sums
+    # 1 / (1 + e^-x) for x in 1/64 from -12 to 12, never quite 0 or ONE
+    SQUASH = np.array([min(max(round(32768 / (1 + math.exp(-i / 64))), 32), 32768 - 96) for i in range(-768, 769)], np.int32)
+    RENEW = 2, 16  # the order-0 sums are renewed when the steps grew by half, after 16 steps at most
 
     def __init__(self, alphabet: int):
-        self.freq = np.ones(alphabet, np.int64)
-        self.next1, self.next2 = np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.int64)
-        self.sure1, self.sure2 = np.full(1 << 16, -2048, np.int64), np.full(1 << 18, -2048, np.int64)  # log odds, 1/1024
+        if alphabet > 1 << ID_BITS - 2:
+            raise ValueError("alphabet too large for the scale of its sums")
+        self.freq = np.ones(alphabet, np.int32)
+        # by context: the id that followed, and how sure that is (log odds, 1/1024), side by side
+        self.pairs = [np.full(size, np.array([0, -2048], np.int32).view(np.int64)[0]) for size in (1 << 18, 1 << 16)]
+        (self.next2, self.sure2), (self.next1, self.sure1) = ((p.view(np.int32)[::2], p.view(np.int32)[1::2]) for p in self.pairs)
         # weights (1/1024) of: always, order 2, order 1, order 0; for the decision on order 2's id and for that on order 1's
-        self.weights = [np.array([0, 700, 300, 40], np.int64), np.array([0, 100, 700, 40], np.int64)]
-        # 1 / (1 + e^-x) for x in 1/64 from -12 to 12
-        self.squash = np.array([round(self.ONE / (1 + math.exp(-i / 64))) for i in range(-768, 769)], np.int64)
-        self.steps = 0
+        self.weights = np.array([[0, 700, 300, 40], [0, 100, 700, 40]], np.int64)
+        self.steps = self.due = 0
         self._renew()
 
     def _renew(self) -> None:
-        self.sums = np.concatenate([[0], np.cumsum(self.freq)])
-        self.total = int(_log(self.sums[-1:])[0])
+        sums = np.zeros(len(self.freq) + 1, np.int64)
+        np.cumsum(self.freq, out=sums[1:])
+        if sums[-1] > 1 << ID_BITS - 1:
+            self.freq += 1
+            self.freq >>= 1
+            np.cumsum(self.freq, out=sums[1:])
+        total = int(sums[-1])
+        self.total = int(_log(np.array([total]))[0]) + 127 * 710  # with the bias of a float's exponent
+        sums *= (1 << 2 * ID_BITS) // total  # 1 << ID_BITS + 1 or more: no id's share is empty
+        sums >>= ID_BITS
+        sums[-1] = 1 << ID_BITS
+        self.sums = sums.astype(np.int32)
+        part, most = self.RENEW
+        self.due = self.steps + min(self.steps // part, most - 1)
 
     def expect(self, a: np.ndarray, b: np.ndarray):
         """For ids ``a`` before ``b`` before the next: (order-2 id, order-1 id, and their shares of ONE)."""
+        n = len(a)
         self.at1 = b & 0xFFFF
-        self.at2 = ((a * 0x9E3B + b * 0x85EB + (a >> 3)) ^ (b << 5)) & 0x3FFFF
-        by2, by1 = self.next2[self.at2], self.next1[self.at1]
-        sure2, sure1 = self.sure2[self.at2], self.sure1[self.at1]
-        self.same = by1 == by2
-        always = np.full(len(a), 1024)
+        self.at2 = (a * 0x9E3779B1 + b * 0x85EBCA6B >> 14) & 0x3FFFF
+        # two rows everywhere: the decision on order 2's id, that on order 1's
+        self.by, self.sure = by, sure = np.empty((2, n), np.int32), np.empty((2, n), np.int32)
+        for d, at in enumerate((self.at2, self.at1)):
+            pair = self.pairs[d].take(at).view(np.int32)
+            by[d], sure[d] = pair[::2], pair[1::2]
+        self.same = by[1] == by[0]
         # a context speaks for its own id, and, where it is sure, against the other's
-        self.seen = [
-            np.stack([always, sure2, np.where(self.same, sure1, -np.maximum(sure1, 0)), _log(self.freq[by2]) - self.total]),
-            np.stack([always, -np.maximum(sure2, 0), sure1, _log(self.freq[by1]) - self.total]),
-        ]
-        self.p = [self.squash[np.clip((w @ x) >> 14, -768, 768) + 768] for w, x in zip(self.weights, self.seen, strict=True)]
-        two = np.clip(self.p[0], 32, self.ONE - 96)
-        one = np.clip((self.ONE - two) * self.p[1] >> 15, 16, self.ONE - two - 32)
-        return by2, by1, two, np.where(self.same, 16, one)
+        self.seen = seen = np.empty((3, 2, n), np.int32)
+        against = np.negative(np.maximum(sure, 0))
+        seen[0, 0], seen[0, 1] = sure[0], against[0]
+        seen[1, 0], seen[1, 1] = against[1] + (sure[1] - against[1]) * self.same, sure[1]
+        # _log of the frequencies, which a float holds exactly
+        often = self.freq.take(by).astype(np.float32).view(np.int32)
+        often >>= 13
+        often *= 710
+        often >>= 10
+        np.subtract(often, self.total, out=seen[2])
+        w = self.weights.astype(np.int32)[:, :, None]
+        x = seen[0] * w[:, 1]
+        x += seen[1] * w[:, 2]
+        x += seen[2] * w[:, 3]
+        x += (w[:, 0] << 10) + (768 << 14)
+        x >>= 14
+        self.p = self.SQUASH.take(x, mode="clip")
+        two = self.p[0]
+        left = self.ONE - two
+        one = left * self.p[1]
+        one >>= 15
+        one *= ~self.same
+        np.maximum(one, 16, out=one)
+        left -= 32
+        np.minimum(one, left, out=one)
+        return by[0], by[1], two, one
+
+    def shares(self, two: np.ndarray, one: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(begin, size) in ONE of each lane's outcome: 0 for order 2's id, 1 for order 1's, 2 for neither."""
+        n = len(two)
+        bounds = np.zeros((4, n), np.int32)
+        bounds[1], bounds[3] = two, self.ONE
+        np.add(two, one, out=bounds[2])
+        at = which * n
+        at += np.arange(n)
+        begin = bounds.take(at)
+        at += n
+        return begin, bounds.take(at) - begin
+
+    def find(self, value: np.ndarray) -> np.ndarray:
+        """Ids whose order-0 share holds each value; in ascending order, as neighbours are found faster."""
+        keyed = value.astype(np.int64) << 32
+        keyed |= np.arange(len(value))
+        keyed.sort()
+        found = np.empty(len(value), np.int64)
+        found[keyed & 0xFFFFFFFF] = np.searchsorted(self.sums, (keyed >> 32).astype(np.int32), side="right") - 1
+        return found
 
     def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        asked = [np.ones(len(ids), bool), (hit2 == 0) & ~self.same]  # the second decision is not always taken
-        for d, hit in enumerate((hit2, hit1)):
-            off = np.where(asked[d], (hit << 15) - self.p[d], 0)  # the coding error, 1/32768
-            step = (self.seen[d] @ off >> 15) >> (5 + len(ids).bit_length())
-            self.weights[d] = np.clip(self.weights[d] + step, -4096, 4096)
-        for hit, sure, at, nxt in ((hit2, self.sure2, self.at2, self.next2), (hit1, self.sure1, self.at1, self.next1)):
-            old = sure[at]
-            sure[at] = np.clip(old + np.where(hit, 400, -160), -6000, 6000)
-            keep = (old > 1024) & (hit == 0)  # a sure context keeps its id once
-            nxt[at] = np.where(keep, nxt[at], ids)
-        np.add.at(self.freq, ids, 24)
+        hit = np.array([hit2, hit1], np.int32)
+        off = (hit << 15) - self.p  # the coding error, 1/32768
+        off[1] *= (hit[0] == 0) & ~self.same  # the second decision is not always taken
+        seen, off = self.seen.astype(np.float64), off.astype(np.float64)  # whole numbers below 2^53: exact in any order
+        sums = np.empty((2, 4))
+        sums[:, 0], sums[:, 1:] = 1024 * off.sum(axis=1), np.vecdot(seen, off).T
+        self.weights += sums.astype(np.int64) >> 20 + len(ids).bit_length()
+        np.minimum(self.weights, 4096, out=self.weights)
+        np.maximum(self.weights, -4096, out=self.weights)
+        hit *= 560
+        hit -= 160
+        hit += self.sure
+        np.clip(hit, -6000, 6000, out=hit)
+        pair = np.empty((2, len(ids), 2), np.int32)
+        now = ids.astype(np.int32)
+        kept = self.by - now
+        kept *= self.sure > 1024  # a sure context keeps its id once
+        np.add(kept, now, out=pair[:, :, 0])
+        pair[:, :, 1] = hit
+        pair = pair.view(np.int64)[:, :, 0]
+        self.pairs[0][self.at2], self.pairs[1][self.at1] = pair[0], pair[1]
+        np.add.at(self.freq, ids, np.int32(24))
         self.steps += 1
-        if self.steps % self.RENEW == 0:
+        if self.steps > self.due:
             self._renew()
 
 
@@ -112,59 +187,41 @@ def encode_block(ids: np.ndarray, alphabet: int) -> bytes:
     lanes, steps = _shape(len(ids))
     if len(ids) and int(ids.max()) >= alphabet:
         raise ValueError("id beyond the alphabet")
-    grid = np.zeros(lanes * steps, np.int64)
+    grid = np.zeros(lanes * steps, np.int32)
     grid[: len(ids)] = ids
-    grid = grid.reshape(lanes, steps)
+    grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
     models = _Models(alphabet)
-    low, span = np.zeros(lanes, U), np.full(lanes, LOW32 << U(16) | U(0xFFFF), U)  # 48-bit coder
-    words: list[np.ndarray] = []
-    owner: list[np.ndarray] = []
-    every = np.arange(lanes)
-
-    def narrow(who: np.ndarray, begin: np.ndarray, size: np.ndarray, total) -> None:
-        r = span[who] // U(total)
-        low[who] += r * begin.astype(U)
-        span[who] = r * size.astype(U)
-        flush(who)
-
-    def flush(who: np.ndarray) -> None:
-        # a word goes when both ends agree on it, or when the span is too small: then it is cut to where they do
-        while len(who):
-            same = (low[who] >> U(32)) == ((low[who] + span[who]) >> U(32))
-            tight = ~same & (span[who] < U(1 << 24))
-            if tight.any():
-                t = who[tight]
-                span[t] = U(1 << 24) - (low[t] & U((1 << 24) - 1))
-            who = who[same | tight]
-            if len(who):
-                words.append((low[who] >> U(32)).astype("<u2"))
-                owner.append(who)
-                low[who] = (low[who] & LOW32) << U(16)
-                span[who] <<= U(16)
-
+    shares: list[tuple] = []  # (begin, size) of each step's decisions; lanes without a hit, and (begin, size) of their ids
     a = b = np.zeros(lanes, np.int64)
-    for s in range(steps):
-        ids_now = grid[:, s]
+    for row in grid:
+        ids_now = row.astype(np.int64)
         by2, by1, two, one = models.expect(a, b)
-        hit2 = (ids_now == by2).astype(np.int64)
-        hit1 = (ids_now == by1).astype(np.int64)
-        first = np.where(hit2 == 1, 0, np.where(hit1 == 1, two, two + one))
-        size = np.where(hit2 == 1, two, np.where(hit1 == 1, one, models.ONE - two - one))
-        narrow(every, first, size, models.ONE)
-        rest = np.flatnonzero((hit2 | hit1) == 0)
-        if len(rest):
-            x = ids_now[rest]
-            narrow(rest, models.sums[x], models.sums[x + 1] - models.sums[x], int(models.sums[-1]))
+        hit2, hit1 = ids_now == by2, ids_now == by1
+        miss = ~(hit2 | hit1)
+        rest = np.flatnonzero(miss)
+        x = ids_now[rest]
+        begin = models.sums.take(x)
+        shares.append((*models.shares(two, one, np.add(~hit2, miss, dtype=np.int64)), rest, begin, models.sums.take(x + 1) - begin))
         models.learn(ids_now, hit2, hit1)
         a, b = b, ids_now
-    for _ in range(3):  # what is left of low
-        words.append((low >> U(32)).astype("<u2"))
-        owner.append(every)
-        low = (low & LOW32) << U(16)
-    who, out = np.concatenate(owner), np.concatenate(words)
-    order = np.argsort(who, kind="stable")
-    counts = np.bincount(who, minlength=lanes).astype("<u4")
-    return MAGIC + struct.pack("<III", len(ids), lanes, zlib.crc32(ids.tobytes())) + counts.tobytes() + out[order].tobytes()
+    words: list[np.ndarray] = []
+
+    def put(state: np.ndarray, begin: np.ndarray, size: np.ndarray, bits: int) -> np.ndarray:
+        size = size.astype(U)
+        full = np.flatnonzero(state >= size << U(63 - bits))
+        over = state[full]
+        words.append((over & LOW32).astype("<u4"))
+        state[full] = over >> U(32)
+        times = state // size
+        return (times << U(bits)) + (state - times * size) + begin.astype(U)
+
+    state = np.full(lanes, LEAST, U)
+    for first, size, rest, begin, share in reversed(shares):
+        if len(rest):
+            state[rest] = put(state[rest], begin, share, ID_BITS)
+        state = put(state, first, size, 15)
+    words.append(state.astype("<u8").view("<u4"))
+    return MAGIC + struct.pack("<III", len(ids), lanes, zlib.crc32(ids.tobytes())) + np.concatenate(words[::-1]).tobytes()
 
 
 def decode_block(block: bytes, alphabet: int) -> np.ndarray:
@@ -172,63 +229,52 @@ def decode_block(block: bytes, alphabet: int) -> np.ndarray:
     if len(block) < 16 or block[:4] != MAGIC:
         raise ValueError("no token block")
     n, lanes, crc = struct.unpack_from("<III", block, 4)
-    if (lanes, -(-n // max(lanes, 1))) != _shape(n) or len(block) < 16 + 4 * lanes:
+    if (lanes, -(-n // max(lanes, 1))) != _shape(n) or len(block) < 16 + 8 * lanes:
         raise ValueError("token block: wrong header")
-    steps = _shape(n)[1]
-    counts = np.frombuffer(block, "<u4", lanes, 16).astype(np.int64)
-    data = np.frombuffer(block[16 + 4 * lanes :], "<u2").astype(U) if (len(block) - 16 - 4 * lanes) % 2 == 0 else np.zeros(0, U)
-    if counts.sum() != len(data):
+    if len(block) % 4:
         raise ValueError("token block: wrong length")
-    data = np.append(data, U(0))
-    at, stop = np.cumsum(counts) - counts, len(data) - 1
+    steps = _shape(n)[1]
+    state = np.frombuffer(block, "<u8", lanes, 16).astype(np.int64)
+    words, at = np.frombuffer(block, "<u4", -1, 16 + 8 * lanes).astype(np.int64), 0
     models = _Models(alphabet)
-    low, span, code = np.zeros(lanes, U), np.full(lanes, LOW32 << U(16) | U(0xFFFF), U), np.zeros(lanes, U)
-    for _ in range(3):
-        code = code << U(16) | data[np.minimum(at, stop)]
-        at = at + 1
-    every = np.arange(lanes)
-    out = np.zeros((lanes, steps), np.int64)
-
-    def take(who: np.ndarray, r: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
-        low[who] += r * begin.astype(U)
-        span[who] = r * size.astype(U)
-        while len(who):
-            same = (low[who] >> U(32)) == ((low[who] + span[who]) >> U(32))
-            tight = ~same & (span[who] < U(1 << 24))
-            if tight.any():
-                t = who[tight]
-                span[t] = U(1 << 24) - (low[t] & U((1 << 24) - 1))
-            who = who[same | tight]
-            if len(who):
-                code[who] = (code[who] & LOW32) << U(16) | data[np.minimum(at[who], stop)]
-                at[who] += 1
-                low[who] = (low[who] & LOW32) << U(16)
-                span[who] <<= U(16)
+
+    def fill(state: np.ndarray) -> None:
+        nonlocal at
+        low = np.flatnonzero(state < LEAST)
+        if at + len(low) > len(words):
+            raise ValueError("token block: wrong length")
+        state[low] = state[low] << 32 | words[at : at + len(low)]
+        at += len(low)
 
     a = b = np.zeros(lanes, np.int64)
-    for s in range(steps):
+    out = np.zeros((steps, lanes), "<u4")
+    for row in out:
         by2, by1, two, one = models.expect(a, b)
-        r = span // U(models.ONE)
-        value = np.minimum((code - low) // np.maximum(r, U(1)), U(models.ONE - 1)).astype(np.int64)
-        hit2 = (value < two).astype(np.int64)
-        hit1only = ((value >= two) & (value < two + one)).astype(np.int64)
-        begin = np.where(hit2 == 1, 0, np.where(hit1only == 1, two, two + one))
-        size = np.where(hit2 == 1, two, np.where(hit1only == 1, one, models.ONE - two - one))
-        take(every, r, begin, size)
-        ids_now = np.where(hit2 == 1, by2, by1)
-        rest = np.flatnonzero((hit2 | hit1only) == 0)
+        value = (state & (models.ONE - 1)).astype(np.int32)
+        hit2, miss = value < two, value >= two + one
+        first, size = models.shares(two, one, np.add(~hit2, miss, dtype=np.int64))
+        state >>= 15
+        state *= size
+        state += value - first
+        fill(state)
+        ids_now = (by1 + (by2 - by1) * hit2).astype(np.int64)
+        rest = np.flatnonzero(miss)
         if len(rest):
-            total = int(models.sums[-1])
-            r = span[rest] // U(total)
-            value = np.minimum((code[rest] - low[rest]) // np.maximum(r, U(1)), U(total - 1)).astype(np.int64)
-            x = np.searchsorted(models.sums, value, side="right") - 1
-            take(rest, r, models.sums[x], models.sums[x + 1] - models.sums[x])
+            some = state[rest]
+            value = (some & ((1 << ID_BITS) - 1)).astype(np.int32)
+            x = models.find(value)
+            begin = models.sums.take(x)
+            some >>= ID_BITS
+            some *= models.sums.take(x + 1) - begin
+            some += value - begin
+            fill(some)
+            state[rest] = some
             ids_now[rest] = x
-        out[:, s] = ids_now
-        models.learn(ids_now, hit2, (ids_now == by1).astype(np.int64))
+        row[:] = ids_now
+        models.learn(ids_now, hit2, ids_now == by1)
         a, b = b, ids_now
-    ids = np.ascontiguousarray(out.reshape(-1)[:n], "<u4")
-    if zlib.crc32(ids.tobytes()) != crc:
+    ids = np.ascontiguousarray(out.T.reshape(-1)[:n], "<u4")
+    if zlib.crc32(ids.tobytes()) != crc or at != len(words):
         raise ValueError("token block: wrong checksum")
     return ids
 
