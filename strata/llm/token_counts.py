@@ -23,7 +23,7 @@ from strata.llm.pretokens import ManyWordIds, byte_alphabet, default_vocabulary,
 BUCKET = 1024  # lengths of a bucket; suffix sums run inside buckets and over bucket totals
 
 
-SHORT_WORDS = 1 << 20  # short words a worker remembers (some 40 bytes each); beyond, it starts anew
+SHORT_WORDS = 1 << 21  # short words a worker remembers (some 40 bytes each); beyond, it starts anew
 TOGETHER = 1 << 12  # words that the library gets at once
 LONG_WORDS, LONG_CHARS = 50_000, 4_000_000  # other words, and their characters
 
